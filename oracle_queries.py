@@ -187,3 +187,201 @@ ORACLE["scenario_topn"] = scenario_topn_sql("part", PART_SCENARIOS) + "\nSELECT
 ORACLE["scenario_topn_orders"] = scenario_topn_sql("orders", ORDER_SCENARIOS) + "\nSELECT * FROM recs"
 ORACLE["recommendation_validation"] = validation_sql("part", PART_SCENARIOS)
 ORACLE["recommendation_validation_orders"] = validation_sql("orders", ORDER_SCENARIOS)
+
+
+# ---------------------------------------------------------------------------
+# Cleaning and profiling
+# ---------------------------------------------------------------------------
+from pricewise.functions.clean import (  # noqa: E402
+    CURRENCY_RULES, MISSING_TOKENS, MOJIBAKE_TAGS, NUMERIC_TEXT, PY_WHITESPACE)
+
+# Test-table schemas (column, is_text), as listed in FIXTURES.md section 8.
+SCHEMAS = {
+    "region": [("r_regionkey", 0), ("r_name", 1)],
+    "nation": [("n_nationkey", 0), ("n_name", 1), ("n_regionkey", 0)],
+    "customer": [("c_custkey", 0), ("c_name", 1), ("c_nationkey", 0), ("c_acctbal", 0), ("c_mktsegment", 1)],
+    "supplier": [("s_suppkey", 0), ("s_name", 1), ("s_nationkey", 0), ("s_acctbal", 0)],
+    "part": [("p_partkey", 0), ("p_name", 1), ("p_brand", 1), ("p_type", 1), ("p_size", 0), ("p_retailprice", 0)],
+    "orders": [("o_orderkey", 0), ("o_custkey", 0), ("o_orderstatus", 1), ("o_totalprice", 0), ("o_orderdate", 0),
+               ("o_orderpriority", 1)],
+    "lineitem": [("l_orderkey", 0), ("l_partkey", 0), ("l_suppkey", 0), ("l_linenumber", 0), ("l_quantity", 0),
+                 ("l_extendedprice", 0), ("l_discount", 0), ("l_tax", 0), ("l_returnflag", 1), ("l_linestatus", 1),
+                 ("l_shipdate", 0)],
+    "events": [("event_id", 0), ("ts", 0), ("user_id", 0), ("event_type", 1), ("value", 0), ("props", 1)],
+    "documents": [("doc_id", 0), ("text", 1), ("lang", 1), ("source", 1), ("n_chars", 0)],
+    "embeddings": [("vec_id", 0), ("embedding", 0), ("label", 0)],
+    "pages": [("page_id", 0), ("url", 1), ("html", 1)],
+    "benchmark": [("item_id", 0), ("text", 1)],
+    "labels": [("doc_id", 0), ("quality", 0), ("toxic", 0)],
+    "conversations": [("conv_id", 0), ("turn", 0), ("role", 1), ("text", 1)],
+}
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+WS = PY_WHITESPACE
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, {lit('^' + WS + '+|' + WS + '+$')}, '', 'g')"
+
+
+def missing_sql(x: str) -> str:
+    s = strip_sql(x)
+    return f"CASE WHEN {s} IN ({', '.join(lit(t) for t in MISSING_TOKENS)}) THEN NULL ELSE {s} END"
+
+
+def mojibake_sql(x: str) -> str:
+    s = x
+    for tag, rep in MOJIBAKE_TAGS:
+        s = f"replace({s}, {lit(tag)}, {lit(rep)})"
+    return strip_sql(f"regexp_replace({s}, {lit(WS + '+')}, ' ', 'g')")
+
+
+def parse_price_sql(x: str) -> str:
+    s = f"replace({mojibake_sql(x)}, ',', '')"
+    parts = []
+    for rate, pats in CURRENCY_RULES:
+        for p in pats:
+            p2 = p.replace(r"(?![\p{L}\p{N}_])", r"(?:[^\p{L}\p{N}_]|$)")
+            e = f"regexp_extract({s}, {lit(p2)}, 1, 'i')"
+            parts.append(f"CASE WHEN {e} <> '' THEN CAST({e} AS DOUBLE) * CAST({rate!r} AS DOUBLE) END")
+    return "coalesce(" + ", ".join(parts) + ")"
+
+
+def numeric_sql(x: str) -> str:
+    s = f"replace({strip_sql(x)}, ',', '')"
+    return f"CASE WHEN regexp_matches({s}, {lit(NUMERIC_TEXT)}) THEN TRY_CAST({s} AS DOUBLE) END"
+
+
+MESSY_CTE = """messy AS (
+  SELECT p_partkey AS item_id,
+    CASE p_partkey % 8
+      WHEN 0 THEN 'About ' || CAST(p_retailprice AS VARCHAR) || ' EUR'
+      WHEN 1 THEN '$ ' || CAST(p_retailprice AS VARCHAR)
+      WHEN 2 THEN '<c2><a3>' || CAST(p_retailprice AS VARCHAR)
+      WHEN 3 THEN '  ' || CAST(p_retailprice AS VARCHAR) || ' inr  '
+      WHEN 4 THEN ' - '
+      WHEN 5 THEN '<e2><82><ac>1,' || CAST(p_retailprice AS VARCHAR) || ' / ' || CAST(p_retailprice AS VARCHAR) || ' USD'
+      WHEN 6 THEN CAST(p_retailprice AS VARCHAR) || 'EURO'
+      ELSE 'N/A' END AS misc_price
+  FROM part)"""
+
+
+def normalized_table_sql(t: str) -> str:
+    cols = ", ".join(f"{missing_sql(c)} AS {c}" if txt else c for c, txt in SCHEMAS[t])
+    return f"SELECT {cols} FROM {t}"
+
+
+def column_profile_sql(t: str, with_dtype: bool = False) -> str:
+    parts = []
+    for i, (c, _) in enumerate(SCHEMAS[t]):
+        parts.append(f"""SELECT {i} AS pos, '{c}' AS "column", count(*) AS n, count(*) - count(v) AS missing,
+  count(DISTINCT v) AS "unique" FROM (SELECT CAST({c} AS VARCHAR) AS v FROM nt)""")
+    body = " UNION ALL ".join(parts)
+    return f"""WITH nt AS ({normalized_table_sql(t)}), per AS ({body})
+SELECT "column", missing, CASE WHEN n > 0 THEN missing / n ELSE CAST(0 AS DOUBLE) END AS missing_ratio, "unique",
+  CASE WHEN n - missing > 0 THEN "unique" / (n - missing) ELSE CAST(0 AS DOUBLE) END AS unique_ratio_non_missing
+FROM per"""
+
+
+def long_sql(t: str, cols=None) -> str:
+    cols = cols or [c for c, _ in SCHEMAS[t]]
+    return " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value FROM nt" for c in cols)
+
+
+def top_k_sql(t: str, cols=None, k: int = 15) -> str:
+    return f"""WITH nt AS ({normalized_table_sql(t)}), lv AS ({long_sql(t, cols)}),
+cnt AS (SELECT "column", value, count(*) AS "count" FROM lv WHERE value IS NOT NULL GROUP BY "column", value),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY "count" DESC, value ASC) AS INTEGER) AS rank FROM cnt)
+SELECT * FROM r WHERE rank <= {k}"""
+
+
+def numeric_like_sql(t: str) -> str:
+    parts = [f"SELECT '{c}' AS \"column\", count(v) AS non_missing, count({numeric_sql('v')}) AS numeric_count "
+             f"FROM (SELECT CAST({c} AS VARCHAR) AS v FROM nt)" for c, _ in SCHEMAS[t]]
+    return f"""WITH nt AS ({normalized_table_sql(t)}), per AS ({' UNION ALL '.join(parts)})
+SELECT "column", non_missing, numeric_count,
+  greatest(CAST(50 AS BIGINT), CAST(floor(non_missing * CAST(0.3 AS DOUBLE)) AS BIGINT)) AS threshold,
+  numeric_count >= greatest(CAST(50 AS BIGINT), CAST(floor(non_missing * CAST(0.3 AS DOUBLE)) AS BIGINT)) AS is_numeric_like
+FROM per"""
+
+
+def histogram_sql(values_sql: str, bins: int) -> str:
+    n = f"CAST({bins} AS DOUBLE)"
+    edge = lambda i: f"(CASE WHEN {i} >= {bins} THEN hi ELSE {i} * ((hi - lo) / {n}) + lo END)"
+    return f"""WITH vals AS (SELECT x FROM ({values_sql}) WHERE x IS NOT NULL AND NOT isnan(x)),
+rng0 AS (SELECT min(x) AS lo0, max(x) AS hi0 FROM vals),
+rng AS (SELECT CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM rng0),
+r0 AS (SELECT x, lo, hi, CAST(floor((x - lo) * ({n} / (hi - lo))) AS INTEGER) AS i0 FROM vals CROSS JOIN rng),
+r1 AS (SELECT x, lo, hi, CASE WHEN i0 >= {bins} THEN {bins - 1} ELSE i0 END AS i FROM r0),
+r2 AS (SELECT CASE WHEN x < {edge('i')} THEN i - 1 WHEN x >= {edge('(i + 1)')} AND i <> {bins - 1} THEN i + 1 ELSE i END AS bin FROM r1),
+cnt AS (SELECT bin, count(*) AS c FROM r2 GROUP BY bin),
+grid AS (SELECT CAST(range AS INTEGER) AS bin FROM range({bins}))
+SELECT grid.bin, {edge('grid.bin')} AS bin_left, {edge('(grid.bin + 1)')} AS bin_right, coalesce(c, 0) AS "count"
+FROM grid CROSS JOIN rng LEFT JOIN cnt ON grid.bin = cnt.bin"""
+
+
+def tier_counts_sql(values_sql: str) -> str:
+    return f"""WITH vals AS ({values_sql}),
+t AS (SELECT {tier_sql('x')} AS tier FROM vals),
+cnt AS (SELECT tier, count(*) AS c FROM t WHERE tier IS NOT NULL GROUP BY tier),
+tiers(tier_order, tier) AS (VALUES (0, 'budget'), (1, 'mid_range'), (2, 'premium'), (3, 'flagship'))
+SELECT tier_order, tiers.tier, coalesce(c, 0) AS "count" FROM tiers LEFT JOIN cnt ON tiers.tier = cnt.tier"""
+
+
+def input_summary_sql() -> str:
+    parts = []
+    for t, cols in SCHEMAS.items():
+        nulls = " + ".join(f"count_if({c} IS NULL)" for c, _ in cols)
+        ntext = sum(txt for _, txt in cols)
+        parts.append(f"SELECT '{t}' AS file, count(*) AS rows, {len(cols)} AS cols, CAST({nulls} AS BIGINT) AS null_total, "
+                     f"{ntext} AS object_cols FROM {t}")
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["normalize_missing"] = f"WITH {MESSY_CTE} SELECT item_id, {missing_sql('misc_price')} AS misc_price FROM messy"
+ORACLE["normalize_missing_documents"] = (f"SELECT doc_id, {missing_sql('text')} AS text, {missing_sql('lang')} AS lang, "
+                                         f"{missing_sql('source')} AS source FROM documents")
+ORACLE["clean_mojibake"] = f"WITH {MESSY_CTE} SELECT item_id, {mojibake_sql('misc_price')} AS cleaned FROM messy"
+ORACLE["clean_mojibake_documents"] = f"SELECT doc_id, {mojibake_sql('text')} AS cleaned FROM documents"
+ORACLE["parse_price_eur"] = f"WITH {MESSY_CTE} SELECT item_id, {parse_price_sql('misc_price')} AS price_eur FROM messy"
+ORACLE["parse_price_eur_documents"] = f"SELECT doc_id, {parse_price_sql('text')} AS price_eur FROM documents"
+ORACLE["price_tier"] = (f"WITH {MESSY_CTE}, p AS (SELECT item_id, {parse_price_sql('misc_price')} AS price_eur FROM messy) "
+                        f"SELECT item_id, price_eur, {tier_sql('price_eur')} AS price_tier FROM p")
+ORACLE["to_numeric_lenient"] = ("SELECT c_custkey, " + ", ".join(
+    f"{numeric_sql(f'CAST({c} AS VARCHAR)')} AS {c}_num" for c in ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])
+    + " FROM customer")
+ORACLE["clip_min"] = ("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_extendedprice * l_discount < 1 "
+                      "THEN CAST(1 AS DOUBLE) ELSE l_extendedprice * l_discount END AS discount_amount FROM lineitem")
+ORACLE["log_target"] = (f"WITH {catalog_cte('part')} SELECT item_id, ln(1 + price_eur) AS log_price, "
+                        "exp(ln(1 + price_eur)) - 1 AS price_back, price_eur AS price_same FROM cat")
+ORACLE["ppr_ratio"] = (f"WITH {catalog_cte('orders')} SELECT item_id, CAST(spec_score_0_100 AS DOUBLE) / "
+                       "nullif(price_eur, 0) AS performance_to_price_ratio FROM cat")
+for _t in ["customer", "part", "events", "documents"]:
+    ORACLE[f"column_profile_{_t}"] = column_profile_sql(_t)
+ORACLE["profile_extremes"] = (f"SELECT * FROM ({column_profile_sql('events')}) "
+                              "WHERE missing_ratio > 0.9 OR unique_ratio_non_missing > 0.9")
+ORACLE["duplicate_group_sizes"] = (f"WITH {catalog_cte('part')}, g AS (SELECT oem, model, count(*) AS group_size FROM cat "
+                                   "WHERE oem IS NOT NULL AND model IS NOT NULL GROUP BY oem, model) "
+                                   "SELECT group_size, count(*) AS number_of_groups FROM g GROUP BY group_size")
+ORACLE["duplicate_group_sizes_model"] = (f"WITH {catalog_cte('part')}, g AS (SELECT model, count(*) AS group_size FROM cat "
+                                         "WHERE model IS NOT NULL GROUP BY model) "
+                                         "SELECT group_size, count(*) AS number_of_groups FROM g GROUP BY group_size")
+ORACLE["top_k_values"] = top_k_sql("events", ["event_type", "user_id", "props"])
+ORACLE["top_k_values_part"] = top_k_sql("part")
+ORACLE["numeric_like"] = numeric_like_sql("customer")
+ORACLE["histogram"] = histogram_sql("SELECT CAST(c_acctbal AS DOUBLE) AS x FROM customer", 30)
+ORACLE["histogram_price"] = histogram_sql(f"WITH {MESSY_CTE} SELECT {parse_price_sql('misc_price')} AS x FROM messy", 60)
+ORACLE["tier_counts"] = tier_counts_sql(f"WITH {MESSY_CTE} SELECT {parse_price_sql('misc_price')} AS x FROM messy")
+ORACLE["tier_counts_documents"] = tier_counts_sql(f"SELECT {parse_price_sql('text')} AS x FROM documents")
+ORACLE["input_summary"] = input_summary_sql()
+_QS = [i / 100 for i in range(101)]
+ORACLE["sorted_index_curve"] = (f"WITH {catalog_cte('orders')}, q AS (SELECT quantile_cont(price_eur, ["
+                                + ", ".join(f"CAST({v!r} AS DOUBLE)" for v in _QS) + "]) AS v FROM cat) "
+                                "SELECT CAST(i - 1 AS INTEGER) AS point, (i - 1) / CAST(100 AS DOUBLE) AS quantile, v[i] AS value "
+                                "FROM q CROSS JOIN range(1, 102) t(i)")
+ORACLE["column_profile_report"] = None  # dtype names differ between engines; rows-only check
+del ORACLE["column_profile_report"]

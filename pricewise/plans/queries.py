@@ -40,3 +40,164 @@ def q_reco_validation(spark: SparkSession, src: str) -> DataFrame:
 @register("recommendation_validation_orders")
 def q_reco_validation_orders(spark: SparkSession, src: str) -> DataFrame:
     return vp.value_validation(spark, src, "orders")
+
+
+# --- cleaning (scalar functions) -------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from pricewise.functions import clean as C  # noqa: E402
+from pricewise.operators import profile as P  # noqa: E402
+from pricewise.sources.catalog import catalog, messy_price_text  # noqa: E402
+from pricewise.sources.tables import read_table  # noqa: E402
+
+PROFILE_TABLES = ["customer", "part", "events", "documents"]
+
+
+@register("normalize_missing")
+def q_normalize_missing(spark, src):
+    return C.normalize_missing(messy_price_text(spark, src))
+
+
+@register("normalize_missing_documents")
+def q_normalize_missing_docs(spark, src):
+    return C.normalize_missing(read_table(spark, src, "documents").select("doc_id", "text", "lang", "source"))
+
+
+@register("clean_mojibake")
+def q_clean_mojibake(spark, src):
+    return messy_price_text(spark, src).select("item_id", C.clean_mojibake("misc_price").alias("cleaned"))
+
+
+@register("clean_mojibake_documents")
+def q_clean_mojibake_docs(spark, src):
+    return read_table(spark, src, "documents").select("doc_id", C.clean_mojibake("text").alias("cleaned"))
+
+
+@register("parse_price_eur")
+def q_parse_price(spark, src):
+    return messy_price_text(spark, src).select("item_id", C.parse_price_eur("misc_price").alias("price_eur"))
+
+
+@register("parse_price_eur_documents")
+def q_parse_price_docs(spark, src):
+    return read_table(spark, src, "documents").select("doc_id", C.parse_price_eur("text").alias("price_eur"))
+
+
+@register("price_tier")
+def q_price_tier(spark, src):
+    parsed = messy_price_text(spark, src).select("item_id", C.parse_price_eur("misc_price").alias("price_eur"))
+    return parsed.select("item_id", "price_eur", C.price_tier("price_eur").alias("price_tier"))
+
+
+@register("to_numeric_lenient")
+def q_to_numeric(spark, src):
+    cust = read_table(spark, src, "customer")
+    return cust.select("c_custkey", *[C.to_numeric_lenient(F.col(c).cast("string")).alias(c + "_num")
+                                      for c in ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]])
+
+
+@register("clip_min")
+def q_clip_min(spark, src):
+    li = read_table(spark, src, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", "l_partkey",
+                     C.clip_min(F.col("l_extendedprice") * F.col("l_discount"), 1.0).alias("discount_amount"))
+
+
+@register("log_target")
+def q_log_target(spark, src):
+    cat = catalog(spark, src, "part")
+    return cat.select("item_id", C.log_target("price_eur", "log_price_eur").alias("log_price"),
+                      C.inverse_log_target(C.log_target("price_eur", "log_price_eur"), "log_price_eur").alias("price_back"),
+                      C.log_target("price_eur", "price_eur").alias("price_same"))
+
+
+@register("ppr_ratio")
+def q_ppr_ratio(spark, src):
+    return catalog(spark, src, "orders").select("item_id", C.ppr_ratio().alias("performance_to_price_ratio"))
+
+
+# --- profiling ---------------------------------------------------------------
+
+def _profile_input(spark, src, table):
+    return C.normalize_missing(read_table(spark, src, table))
+
+
+for _t in PROFILE_TABLES:
+    def _mk(t):
+        def q(spark, src):
+            return P.column_profile(_profile_input(spark, src, t), with_dtype=False)
+        return q
+    register(f"column_profile_{_t}")(_mk(_t))
+
+
+@register("profile_extremes")
+def q_profile_extremes(spark, src):
+    return P.profile_extremes(P.column_profile(_profile_input(spark, src, "events"), with_dtype=False))
+
+
+@register("duplicate_group_sizes")
+def q_dup_groups(spark, src):
+    return P.duplicate_group_sizes(catalog(spark, src, "part"), ["oem", "model"])
+
+
+@register("duplicate_group_sizes_model")
+def q_dup_groups_model(spark, src):
+    return P.duplicate_group_sizes(catalog(spark, src, "part"), ["model"])
+
+
+@register("top_k_values")
+def q_top_k(spark, src):
+    return P.top_k_values(_profile_input(spark, src, "events"), ["event_type", "user_id", "props"], 15)
+
+
+@register("top_k_values_part")
+def q_top_k_part(spark, src):
+    return P.top_k_values(_profile_input(spark, src, "part"), None, 15)
+
+
+@register("numeric_like")
+def q_numeric_like(spark, src):
+    return P.numeric_like(_profile_input(spark, src, "customer"))
+
+
+@register("histogram")
+def q_histogram(spark, src):
+    return P.histogram(read_table(spark, src, "customer"), "c_acctbal", P.COLUMN_BINS)
+
+
+@register("histogram_price")
+def q_histogram_price(spark, src):
+    parsed = messy_price_text(spark, src).select(C.parse_price_eur("misc_price").alias("price_eur"))
+    return P.histogram(parsed, "price_eur", P.PRICE_BINS)
+
+
+@register("tier_counts")
+def q_tier_counts(spark, src):
+    parsed = messy_price_text(spark, src).select(C.parse_price_eur("misc_price").alias("price_eur"))
+    return P.tier_counts(parsed, "price_eur")
+
+
+@register("tier_counts_documents")
+def q_tier_counts_docs(spark, src):
+    parsed = read_table(spark, src, "documents").select(C.parse_price_eur("text").alias("price_eur"))
+    return P.tier_counts(parsed, "price_eur")
+
+
+ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+              "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+@register("input_summary")
+def q_input_summary(spark, src):
+    return P.input_summary({t: read_table(spark, src, t) for t in ALL_TABLES})
+
+
+@register("sorted_index_curve")
+def q_sorted_curve(spark, src):
+    return P.sorted_index_curve(catalog(spark, src, "orders"), "price_eur", 101)
+
+
+@register("column_profile_report")
+def q_profile_report(spark, src):
+    return P.column_profile(_profile_input(spark, src, "part"), with_dtype=True)

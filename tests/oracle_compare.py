@@ -42,6 +42,31 @@ def digest(cols, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+def _key(v):
+    if isinstance(v, float) and not math.isnan(v):
+        return f"{v:.6g}"
+    return norm(v)
+
+
+def close(cols, rows, ocols, orows, rel=1e-9):
+    """Row sets equal up to a relative float tolerance (rounding-boundary safe)."""
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    oorder = sorted(range(len(ocols)), key=lambda i: ocols[i])
+    a = sorted(([r[i] for i in order] for r in rows), key=lambda r: [_key(v) for v in r])
+    b = sorted(([r[i] for i in oorder] for r in orows), key=lambda r: [_key(v) for v in r])
+    for ra, rb in zip(a, b):
+        for x, y in zip(ra, rb):
+            if isinstance(x, (int, float)) and isinstance(y, (int, float)) and not isinstance(x, bool):
+                x, y = float(x), float(y)
+                if math.isnan(x) and math.isnan(y):
+                    continue
+                if abs(x - y) > rel * max(1.0, abs(x), abs(y)):
+                    return False
+            elif norm(x) != norm(y):
+                return False
+    return True
+
+
 def duck(sf_dir):
     import duckdb
     con = duckdb.connect()
@@ -85,7 +110,7 @@ def main():
             continue
         h1, l1 = digest(cols, rows)
         h2, l2 = digest(ocols, orows)
-        ok = sorted(cols) == sorted(ocols) and len(rows) == len(orows) and h1 == h2
+        ok = sorted(cols) == sorted(ocols) and len(rows) == len(orows) and (h1 == h2 or close(cols, rows, ocols, orows))
         if ok:
             print(f"OK   {name}: {len(rows)} rows {ts:.1f}s")
         else:
