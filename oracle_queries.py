@@ -385,3 +385,278 @@ ORACLE["sorted_index_curve"] = (f"WITH {catalog_cte('orders')}, q AS (SELECT qua
                                 "FROM q CROSS JOIN range(1, 102) t(i)")
 ORACLE["column_profile_report"] = None  # dtype names differ between engines; rows-only check
 del ORACLE["column_profile_report"]
+
+
+# ---------------------------------------------------------------------------
+# Price tables, reports, joins, windows, harness
+# ---------------------------------------------------------------------------
+NUMERIC = ["size", "n_lines", "avg_quantity", "avg_discount", "avg_extendedprice", "item_age"]
+NUM_ALL = ["is_premium_brand"] + NUMERIC
+VOCAB = {
+    "part": (sorted(f"Brand#{i}" for i in range(1, 26)), ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]),
+    "orders": (["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], ["F", "O", "P"]),
+}
+
+
+def q(name: str) -> str:
+    return '"' + name + '"'
+
+
+def readable_cte(kind: str) -> str:
+    return catalog_cte(kind) + f""",
+bm AS (SELECT brand_group AS pb, avg(price_eur) AS bmean FROM cat GROUP BY brand_group),
+om AS (SELECT avg(price_eur) AS omean FROM cat),
+prem AS (SELECT pb, CASE WHEN bmean > omean THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS is_premium_brand FROM bm CROSS JOIN om),
+rd AS (SELECT item_id, price_eur, brand_group, item_type, is_premium_brand, {', '.join(NUMERIC)}
+       FROM cat LEFT JOIN prem ON cat.brand_group = prem.pb)"""
+
+
+def encoded_cte(kind: str) -> str:
+    brands, types = VOCAB[kind]
+    meds = ", ".join(f"median({c}) AS m_{c}" for c in NUM_ALL)
+    imp = ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in NUM_ALL)
+    st = ", ".join(f"avg({c}) AS mu_{c}, CASE WHEN stddev_pop({c}) IS NULL OR stddev_pop({c}) = 0 THEN CAST(1 AS DOUBLE) "
+                   f"ELSE stddev_pop({c}) END AS sd_{c}" for c in NUM_ALL)
+    nums = ", ".join(f"({c} - mu_{c}) / sd_{c} AS num__{c}" for c in NUM_ALL)
+    bcols = ", ".join(f"CASE WHEN brand_group = {lit(b)} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS {q('cat__brand_group_' + b)}"
+                      for b in brands)
+    tcols = ", ".join(f"CASE WHEN item_type = {lit(t)} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS {q('cat__item_type_' + t)}"
+                      for t in types)
+    return readable_cte(kind) + f""",
+med AS (SELECT {meds} FROM rd),
+imp AS (SELECT item_id, price_eur, brand_group, item_type, {imp} FROM rd CROSS JOIN med),
+st AS (SELECT {st} FROM imp),
+enc AS (SELECT item_id AS row_id, {nums}, {bcols}, {tcols}, CAST(price_eur AS DOUBLE) AS target_price_eur
+        FROM imp CROSS JOIN st)"""
+
+
+def enc_features(kind: str) -> list[str]:
+    brands, types = VOCAB[kind]
+    return ["num__" + c for c in NUM_ALL] + ["cat__brand_group_" + b for b in brands] + ["cat__item_type_" + t for t in types]
+
+
+def importance_cte(kind: str = "part") -> str:
+    parts = []
+    for model, y in [("abs_corr (price_eur)", "target_price_eur"), ("abs_corr (log_price_eur)", "ln(1 + target_price_eur)")]:
+        for f in enc_features(kind):
+            parts.append(f"SELECT {lit(model)} AS model, {lit(f)} AS feature, coalesce(abs(corr({q(f)}, {y})), CAST(0 AS DOUBLE)) AS importance FROM enc")
+    return encoded_cte(kind) + ",\nimpt AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def harness_cte(kind: str = "part", x: str = "num__avg_quantity") -> str:
+    return encoded_cte(kind) + f""",
+ef AS (SELECT enc.*, {fold_sql('row_id')} AS fold FROM enc),
+ks AS (SELECT CAST(range AS INTEGER) AS k FROM range(5)),
+base AS (SELECT k AS bfold, median(target_price_eur) AS baseline FROM ks JOIN ef ON ef.fold <> ks.k GROUP BY k),
+t AS (SELECT row_id, fold, target_price_eur AS y, {q(x)} AS x, target_price_eur AS yt, 'price_eur' AS target_mode FROM ef
+      UNION ALL
+      SELECT row_id, fold, target_price_eur AS y, {q(x)} AS x, ln(1 + target_price_eur) AS yt, 'log_price_eur' AS target_mode FROM ef),
+medt AS (SELECT target_mode AS mm, k AS mfold, median(yt) AS med_t FROM ks JOIN t ON t.fold <> ks.k GROUP BY target_mode, k),
+pm AS (SELECT row_id, fold, 'median_baseline' AS model, target_mode, y,
+              CASE WHEN target_mode = 'log_price_eur' THEN exp(med_t) - 1 ELSE med_t END AS yhat
+       FROM t LEFT JOIN medt ON t.fold = medt.mfold AND t.target_mode = medt.mm),
+pf AS (SELECT target_mode AS pmode, fold AS pfold,
+              CAST(count(CASE WHEN x IS NOT NULL AND yt IS NOT NULL THEN 1 END) AS DOUBLE) AS n,
+              sum(CASE WHEN x IS NOT NULL AND yt IS NOT NULL THEN x END) AS sx,
+              sum(CASE WHEN x IS NOT NULL AND yt IS NOT NULL THEN yt END) AS sy,
+              sum(CASE WHEN x IS NOT NULL AND yt IS NOT NULL THEN x * x END) AS sxx,
+              sum(CASE WHEN x IS NOT NULL AND yt IS NOT NULL THEN x * yt END) AS sxy
+       FROM t GROUP BY target_mode, fold),
+modes AS (SELECT DISTINCT target_mode AS md FROM t),
+tr AS (SELECT md, k, coalesce(sum(n), 0) AS n, coalesce(sum(sx), 0) AS sx, coalesce(sum(sy), 0) AS sy,
+              coalesce(sum(sxx), 0) AS sxx, coalesce(sum(sxy), 0) AS sxy
+       FROM modes CROSS JOIN ks LEFT JOIN pf ON pf.pmode = modes.md AND pf.pfold <> ks.k GROUP BY md, k),
+cf AS (SELECT md, k, (n * sxy - sx * sy) / nullif(n * sxx - sx * sx, 0) AS slope, sx, sy, n FROM tr),
+cf2 AS (SELECT md, k, slope, (sy - slope * sx) / nullif(n, 0) AS icpt FROM cf),
+po AS (SELECT row_id, fold, 'ols_one_feature' AS model, target_mode, y,
+              CASE WHEN target_mode = 'log_price_eur' THEN exp(icpt + slope * x) - 1 ELSE icpt + slope * x END AS yhat
+       FROM t LEFT JOIN cf2 ON t.target_mode = cf2.md AND t.fold = cf2.k),
+preds AS (SELECT u.*, baseline FROM (SELECT * FROM pm UNION ALL SELECT * FROM po) u LEFT JOIN base ON u.fold = base.bfold),
+mets AS (
+  SELECT target_mode, model, fold, count(*) AS n, avg(abs(y - p)) AS MAE, sqrt(avg(abs(y - p) * abs(y - p))) AS RMSE,
+         avg(CASE WHEN abs(y) + abs(p) = 0 THEN CAST(0 AS DOUBLE) ELSE 2 * abs(y - p) / (abs(y) + abs(p)) END) * 100 AS sMAPE,
+         CASE WHEN avg(abs(y - baseline)) = 0 THEN NULL ELSE avg(abs(y - p)) / avg(abs(y - baseline)) END AS MASE,
+         CASE WHEN var_pop(y) * count(*) = 0 THEN NULL ELSE 1 - sum(abs(y - p) * abs(y - p)) / (var_pop(y) * count(*)) END AS R2
+  FROM (SELECT *, CASE WHEN yhat < 1 THEN CAST(1 AS DOUBLE) ELSE yhat END AS p FROM preds) GROUP BY target_mode, model, fold),
+cvm AS (SELECT target_mode, model, avg(MAE) AS MAE, avg(RMSE) AS RMSE, avg(sMAPE) AS sMAPE, avg(MASE) AS MASE, avg(R2) AS R2
+        FROM mets GROUP BY target_mode, model)"""
+
+
+SEG_ORDER_SQL = "CASE segment WHEN 'Entry' THEN 0 WHEN 'Mid-range' THEN 1 WHEN 'Flagship' THEN 2 END"
+SUMMARY_MEANS = ["spec_score_0_100", "size", "n_lines", "avg_quantity", "avg_discount", "avg_extendedprice", "item_age"]
+
+
+def segment_summary_sql(kind: str = "part") -> str:
+    means = ", ".join(f"avg({c}) AS avg_{c}" for c in SUMMARY_MEANS)
+    return (f"WITH {value_cte(kind)} SELECT segment, count(*) AS \"count\", avg(price_eur) AS avg_price_eur, "
+            f"median(price_eur) AS median_price_eur, {means} FROM vf WHERE segment IS NOT NULL GROUP BY segment")
+
+
+def given_clusters_cte() -> str:
+    return segmented_cte("part") + f""",
+gc AS (SELECT seg.*, {fold_sql('item_id', 3)} AS cluster FROM seg),
+co AS (SELECT cluster, avg(price_eur) AS avg_price_eur, avg(spec_score_0_100) AS avg_spec_score_0_100
+       FROM gc WHERE cluster IS NOT NULL GROUP BY cluster),
+co2 AS (SELECT *, CAST(row_number() OVER (ORDER BY avg_price_eur ASC NULLS LAST, avg_spec_score_0_100 ASC NULLS LAST, cluster) AS INTEGER) AS rank FROM co),
+co3 AS (SELECT *, CASE rank WHEN 1 THEN 'Entry' WHEN 2 THEN 'Mid-range' WHEN 3 THEN 'Flagship' END AS segment FROM co2)"""
+
+
+def method_counts_sql(kind: str) -> str:
+    return f"""WITH {value_cte(kind)},
+c AS (SELECT count_if(zscore_value_outlier) AS c1, count_if(isolation_value_outlier) AS c2, count_if(market_underpriced_outlier) AS c3,
+             count_if(zscore_value_outlier AND isolation_value_outlier) AS c4,
+             count_if(zscore_value_outlier AND isolation_value_outlier AND market_underpriced_outlier) AS c5,
+             count_if(is_value_outlier) AS c6 FROM vf)
+SELECT 1 AS method_order, 'Z-score within segment' AS method, c1 AS "count" FROM c
+UNION ALL SELECT 2, 'IsolationForest + high value_score', c2 FROM c
+UNION ALL SELECT 3, 'Market expected-price underpricing Z-score', c3 FROM c
+UNION ALL SELECT 4, 'Intersection', c4 FROM c
+UNION ALL SELECT 5, 'Intersection(all three)', c5 FROM c
+UNION ALL SELECT 6, 'Union(final)', c6 FROM c"""
+
+
+def topn_sql(kind: str, budget: float, n: int, seg=None, brand=None) -> str:
+    cond = f"price_eur <= CAST({budget!r} AS DOUBLE)"
+    if seg:
+        cond += f" AND segment = {lit(seg)}"
+    if brand:
+        cond += f" AND brand_group = {lit(brand)}"
+    return f"""WITH {value_cte(kind)},
+cand AS (SELECT * FROM vf WHERE {cond}),
+top AS (SELECT *, CAST(row_number() OVER (ORDER BY {SORT_SQL}) AS INTEGER) AS rn FROM cand)
+SELECT rn AS recommendation_rank, oem, model, brand_group, price_eur, price_eur / CAST({budget!r} AS DOUBLE) AS budget_utilization,
+       price_tier, segment, spec_score_0_100, value_score, performance_to_price_ratio, market_price_discount_ratio,
+       expected_market_price_eur, market_underpriced_outlier, is_value_outlier, avg_quantity, n_lines,
+       avg_extendedprice, size, avg_discount, {reason_sql()} AS recommendation_reason, item_id
+FROM top WHERE rn <= {n}"""
+
+
+O = ORACLE
+O["read_table"] = "SELECT * FROM part"
+O["brand_summary"] = (f"WITH {readable_cte('part')} SELECT brand_group, count(*) AS \"count\", avg(price_eur) AS avg_price_eur, "
+                      "median(price_eur) AS median_price_eur, avg(is_premium_brand) AS avg_is_premium_brand "
+                      "FROM rd WHERE brand_group IS NOT NULL GROUP BY brand_group")
+O["segment_summary"] = segment_summary_sql("part")
+O["rename_relabel"] = (f"SELECT segment AS segment_name, {SEG_ORDER_SQL} AS segment_order, \"count\" AS value "
+                       f"FROM ({segment_summary_sql('part')})")
+O["cluster_order"] = f"WITH {given_clusters_cte()} SELECT * FROM co3"
+O["label_map_join"] = (f"WITH {given_clusters_cte()} SELECT gc.item_id, gc.cluster, co3.segment "
+                       "FROM gc LEFT JOIN co3 ON gc.cluster = co3.cluster")
+O["outlier_method_counts"] = method_counts_sql("part")
+O["outlier_method_counts_orders"] = method_counts_sql("orders")
+O["outlier_validation"] = f"""WITH {value_cte('part')} SELECT is_value_outlier, count(*) AS "count", avg(price_eur) AS avg_price_eur,
+  avg(value_score) AS avg_value_score, avg(performance_to_price_ratio) AS avg_performance_to_price_ratio,
+  avg(value_score_lift_vs_segment) AS avg_value_lift_vs_segment,
+  avg(price_discount_vs_segment_median) AS avg_price_discount_vs_segment_median,
+  avg(expected_market_price_eur) AS avg_expected_market_price_eur, avg(market_price_gap_eur) AS avg_market_price_gap_eur,
+  avg(market_price_discount_ratio) AS avg_market_price_discount_ratio FROM vf GROUP BY is_value_outlier"""
+O["outlier_by_segment"] = (f"WITH {value_cte('orders')} SELECT segment, count_if(is_value_outlier) AS \"sum\", count(*) AS \"count\", "
+                           "count_if(is_value_outlier) / count(*) AS outlier_ratio FROM vf WHERE segment IS NOT NULL GROUP BY segment")
+O["recommendation_lift"] = (scenario_topn_sql("part", PART_SCENARIOS) + """,
+per AS (SELECT scenario, scenario_label, avg(value_score) AS recommendation_mean_value_score,
+               avg(performance_to_price_ratio) AS recommendation_mean_performance_to_price_ratio FROM recs GROUP BY scenario, scenario_label),
+ov AS (SELECT avg(value_score) AS overall_mean_value_score,
+              avg(spec_score_0_100 / nullif(price_eur, 0)) AS overall_mean_performance_to_price_ratio FROM cat)
+SELECT per.*, ov.*, recommendation_mean_value_score / nullif(overall_mean_value_score, 0) AS lift_vs_overall,
+       recommendation_mean_performance_to_price_ratio / nullif(overall_mean_performance_to_price_ratio, 0) AS ppr_lift_vs_overall
+FROM per CROSS JOIN ov""")
+O["numeric_reference"] = f"WITH {readable_cte('part')} " + " UNION ALL ".join(
+    f"SELECT {lit(c)} AS raw_feature, {lit('num__' + c)} AS model_feature, avg(CAST({c} AS DOUBLE)) AS mean, "
+    f"CASE WHEN stddev_pop(CAST({c} AS DOUBLE)) IS NULL OR stddev_pop(CAST({c} AS DOUBLE)) = 0 THEN CAST(1 AS DOUBLE) "
+    f"ELSE stddev_pop(CAST({c} AS DOUBLE)) END AS std, median(CAST({c} AS DOUBLE)) AS median FROM rd" for c in NUM_ALL)
+O["distinct_brands"] = f"WITH {catalog_cte('part')} SELECT DISTINCT brand_group FROM cat WHERE brand_group IS NOT NULL"
+O["feature_medians"] = (f"WITH {readable_cte('orders')} SELECT " +
+                        ", ".join(f"CAST(median({c}) AS DOUBLE) AS {c}" for c in NUM_ALL) + " FROM rd")
+O["feature_importance_correlation"] = f"WITH {importance_cte()} SELECT * FROM impt"
+O["union_all"] = O["feature_importance_correlation"]
+O["topn_features_per_model"] = (f"WITH {importance_cte()}, r AS (SELECT *, CAST(row_number() OVER (PARTITION BY model "
+                                "ORDER BY importance DESC NULLS LAST, feature) AS INTEGER) AS rank FROM impt) SELECT * FROM r WHERE rank <= 15")
+O["consensus_factors"] = (f"WITH {importance_cte()}, r AS (SELECT *, CAST(row_number() OVER (PARTITION BY model "
+                          "ORDER BY importance DESC NULLS LAST, feature) AS INTEGER) AS rank FROM impt), top AS (SELECT * FROM r WHERE rank <= 15) "
+                          "SELECT feature, avg(rank) AS avg_rank, count(DISTINCT model) AS model_count FROM top GROUP BY feature "
+                          "HAVING count(DISTINCT model) >= 2")
+O["brand_importance_share"] = (f"WITH {importance_cte()} SELECT model, coalesce(sum(CASE WHEN starts_with(feature, 'cat__brand_group_') "
+                               "THEN importance END), 0) AS brand_importance_sum, sum(importance) AS total_importance, "
+                               "CASE WHEN sum(importance) = 0 THEN NULL ELSE coalesce(sum(CASE WHEN starts_with(feature, 'cat__brand_group_') "
+                               "THEN importance END), 0) / sum(importance) END AS brand_importance_ratio FROM impt GROUP BY model")
+O["top_price_drivers"] = (f"WITH {importance_cte()}, tot AS (SELECT model AS tm, sum(importance) AS t FROM impt GROUP BY model), "
+                          "nrm AS (SELECT impt.*, importance / nullif(t, 0) AS share FROM impt LEFT JOIN tot ON impt.model = tot.tm), "
+                          "top AS (SELECT * FROM nrm ORDER BY share DESC NULLS LAST, model, feature LIMIT 20) "
+                          "SELECT *, CASE WHEN starts_with(feature, 'cat__brand_group_') THEN 'brand' ELSE 'hardware_or_spec' END AS driver_type FROM top")
+O["prefix_flag"] = (f"WITH {importance_cte()} SELECT model, feature, CASE WHEN starts_with(feature, 'cat__brand_group_') "
+                    "THEN 'brand' ELSE 'hardware_or_spec' END AS driver_type FROM impt")
+O["kfold_assign"] = f"SELECT o_orderkey AS item_id, {fold_sql('o_orderkey')} AS fold FROM orders"
+O["holdout_split"] = (f"SELECT o_orderkey AS item_id, CAST(o_totalprice AS DOUBLE) AS price_eur, CASE WHEN {fold_sql('o_orderkey')} = 0 "
+                      "THEN 'test' ELSE 'train' END AS split FROM orders")
+O["baseline_median"] = f"WITH {harness_cte()} SELECT bfold AS k, baseline FROM base"
+O["oof_predict_ols"] = f"WITH {harness_cte()} SELECT * FROM preds"
+O["regression_metrics"] = f"WITH {harness_cte()} SELECT * FROM mets"
+O["cv_mean_metrics"] = f"WITH {harness_cte()} SELECT * FROM cvm"
+O["model_leaderboard"] = f"WITH {harness_cte()} SELECT * FROM cvm ORDER BY MAE, RMSE, model, target_mode LIMIT 1"
+O["leakage_guard"] = ("SELECT * FROM (VALUES ('price_tier', true), ('value_score', true), ('spec_score_0_100', true), "
+                      "('price_per_ram_gb', false), ('price_per_storage_gb', false), ('battery_per_eur', false), ('oem', true), "
+                      "('model', true)) t(\"column\", present_in_price_model)")
+O["load_price_features"] = (f"WITH {encoded_cte('part')} SELECT row_id, " + ", ".join(q(f) for f in enc_features("part"))
+                            + ", target_price_eur AS label FROM enc")
+O["drop_target"] = O["load_price_features"]
+O["budget_filter"] = (f"WITH {segmented_cte('part')} SELECT * FROM seg WHERE price_eur <= 950 AND segment = 'Mid-range' "
+                      "AND brand_group = 'Brand#7'")
+O["non_null_key_filter"] = (f"WITH {catalog_cte('orders')} SELECT item_id, brand_group FROM cat WHERE brand_group IS NOT NULL "
+                            "AND spec_score_0_100 IS NOT NULL")
+O["outlier_predicates"] = (f"WITH {value_cte('orders')} SELECT item_id, segment, market_underpriced_outlier, zscore_value_outlier, "
+                           "isolation_value_outlier, is_value_outlier FROM vf")
+O["flag_union"] = (f"WITH {value_cte('orders')} SELECT item_id, zscore_value_outlier OR market_underpriced_outlier AS flag_union, "
+                   "zscore_value_outlier AND market_underpriced_outlier AS flag_intersection FROM vf")
+O["segment_baselines"] = (f"""WITH {segmented_cte('orders')},
+sb AS (SELECT segment AS s, avg(value_score) AS segment_mean_value_score, median(price_eur) AS segment_median_price_eur,
+              median(spec_score_0_100 / nullif(price_eur, 0)) AS segment_median_performance_to_price_ratio
+       FROM seg WHERE segment IS NOT NULL GROUP BY segment)
+SELECT item_id, segment, segment_mean_value_score, segment_median_price_eur, segment_median_performance_to_price_ratio
+FROM seg LEFT JOIN sb ON seg.segment = sb.s""")
+O["segment_lifts"] = (f"""WITH {segmented_cte('orders')},
+sb AS (SELECT segment AS s, avg(value_score) AS m, median(price_eur) AS mp FROM seg WHERE segment IS NOT NULL GROUP BY segment)
+SELECT item_id, value_score / nullif(m, 0) AS value_score_lift_vs_segment, (mp - price_eur) / nullif(mp, 0) AS price_discount_vs_segment_median
+FROM seg LEFT JOIN sb ON seg.segment = sb.s""")
+O["segment_zscore"] = (f"""WITH {segmented_cte('orders')},
+z AS (SELECT segment AS s, avg(value_score) AS m0, stddev_pop(value_score) AS s0, avg(avg_discount) AS m1, stddev_pop(avg_discount) AS s1
+      FROM seg WHERE segment IS NOT NULL GROUP BY segment)
+SELECT item_id, (value_score - m0) / nullif(s0, 0) AS value_z_in_segment, (avg_discount - m1) / nullif(s1, 0) AS discount_z_in_segment
+FROM seg LEFT JOIN z ON seg.segment = z.s""")
+O["topn_brands_per_segment"] = (f"""WITH {segmented_cte('part')},
+c AS (SELECT segment, brand_group, count(*) AS "count" FROM seg WHERE segment IS NOT NULL AND brand_group IS NOT NULL GROUP BY segment, brand_group),
+r AS (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY "count" DESC, brand_group ASC) AS rk FROM c)
+SELECT segment, brand_group, "count" FROM r WHERE rk <= 3""")
+O["market_price_features"] = (f"WITH {value_cte('part')} SELECT item_id, expected_market_price_eur, market_price_gap_eur, "
+                              "market_price_discount_ratio FROM vf")
+O["high_value_filter"] = (f"WITH {catalog_cte('orders')}, qv AS (SELECT quantile_cont(value_score, 0.75) AS qq FROM cat) "
+                          "SELECT item_id, coalesce(value_score >= qq, false) AS high_value FROM cat CROSS JOIN qv")
+O["value_outliers"] = f"WITH {value_cte('part')} SELECT * EXCLUDE (fold, market_pred) FROM vf"
+O["rank_value_outliers"] = (f"WITH {value_cte('orders')} SELECT item_id, performance_to_price_ratio, market_price_discount_ratio, "
+                            "value_score FROM vf WHERE is_value_outlier")
+O["recommend_topn"] = topn_sql("part", 960.0, 10)
+O["recommendation_rank"] = (f"SELECT recommendation_rank, item_id FROM ({topn_sql('orders', 150000.0, 10, 'Mid-range', '3-MEDIUM')})")
+O["outlier_flag_join"] = f"WITH {value_cte('orders')} SELECT item_id, price_eur, is_value_outlier FROM vf"
+O["recommend_for_user"] = scenario_topn_sql("part", PART_SCENARIOS, max_n=8) + "\nSELECT * FROM recs"
+O["scenario_join"] = (f"WITH {segmented_cte('orders')}, {scenarios_cte(ORDER_SCENARIOS)} SELECT scenario, count(*) AS candidates, "
+                      "min(price_eur) AS min_price, max(price_eur) AS max_price FROM seg JOIN sc ON price_eur <= budget_eur "
+                      "AND (want_segment IS NULL OR segment = want_segment) AND (want_brand IS NULL OR brand_group = want_brand) "
+                      "GROUP BY scenario")
+O["anchor_cross_join"] = (f"WITH {catalog_cte('orders')}, ov AS (SELECT avg(value_score) AS m FROM cat) "
+                          "SELECT item_id, value_score / nullif(m, 0) AS value_vs_overall FROM cat CROSS JOIN ov")
+O["group_stat_join"] = (f"WITH {catalog_cte('orders')}, z AS (SELECT brand_group AS b, avg(price_eur) AS m, stddev_pop(price_eur) AS s "
+                        "FROM cat WHERE brand_group IS NOT NULL GROUP BY brand_group) "
+                        "SELECT item_id, (price_eur - m) / nullif(s, 0) AS price_z_in_brand FROM cat LEFT JOIN z ON cat.brand_group = z.b")
+O["positional_align"] = (f"WITH {encoded_cte('part')} SELECT rd.item_id AS row_id, rd.brand_group, enc.target_price_eur "
+                         "FROM rd JOIN enc ON rd.item_id = enc.row_id")
+O["median_impute"] = (f"WITH {readable_cte('orders')}, m AS (SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in NUMERIC)
+                      + " FROM rd) SELECT item_id, " + ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in NUMERIC)
+                      + " FROM rd CROSS JOIN m")
+O["standardize"] = (f"WITH {readable_cte('orders')}, s AS (SELECT " + ", ".join(
+    f"avg({c}) AS mu_{c}, CASE WHEN stddev_pop({c}) IS NULL OR stddev_pop({c}) = 0 THEN CAST(1 AS DOUBLE) ELSE stddev_pop({c}) END AS sd_{c}"
+    for c in NUMERIC) + " FROM rd) SELECT item_id, " + ", ".join(f"({c} - mu_{c}) / sd_{c} AS z_{c}" for c in NUMERIC)
+    + " FROM rd CROSS JOIN s")
+_OH = [b for b in VOCAB["part"][0] if b != "Brand#9"]
+O["one_hot"] = (f"WITH {catalog_cte('part')} SELECT item_id, " + ", ".join(
+    f"CASE WHEN brand_group = {lit(b)} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS {q('cat__brand_group_' + b)}" for b in _OH)
+    + ", CASE WHEN brand_group IS NOT NULL AND brand_group NOT IN (" + ", ".join(lit(b) for b in _OH + ['Other'])
+    + ") OR brand_group = 'Other' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS \"cat__brand_group_Other\" FROM cat")

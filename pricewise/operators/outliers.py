@@ -79,14 +79,11 @@ def outlier_method_counts(df: DataFrame) -> DataFrame:
         F.count_if(z).alias("c1"), F.count_if(iso).alias("c2"), F.count_if(mkt).alias("c3"),
         F.count_if(z & iso).alias("c4"), F.count_if(z & iso & mkt).alias("c5"),
         F.count_if(F.col("is_value_outlier")).alias("c6"))
-    return counts.select(F.inline(F.array(
-        F.struct(F.lit(1).alias("method_order"), F.lit("Z-score within segment").alias("method"), F.col("c1").alias("count")),
-        F.struct(F.lit(2), F.lit("IsolationForest + high value_score"), F.col("c2")),
-        F.struct(F.lit(3), F.lit("Market expected-price underpricing Z-score"), F.col("c3")),
-        F.struct(F.lit(4), F.lit("Intersection"), F.col("c4")),
-        F.struct(F.lit(5), F.lit("Intersection(all three)"), F.col("c5")),
-        F.struct(F.lit(6), F.lit("Union(final)"), F.col("c6")),
-    )))
+    names = ["Z-score within segment", "IsolationForest + high value_score",
+             "Market expected-price underpricing Z-score", "Intersection", "Intersection(all three)", "Union(final)"]
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("method_order"), F.lit(n).alias("method"), F.col(f"c{i + 1}").alias("count"))
+        for i, n in enumerate(names)])))
 
 
 def outlier_validation(df: DataFrame, roles: Roles = Roles()) -> DataFrame:

@@ -201,3 +201,343 @@ def q_sorted_curve(spark, src):
 @register("column_profile_report")
 def q_profile_report(spark, src):
     return P.column_profile(_profile_input(spark, src, "part"), with_dtype=True)
+
+
+# --- reports, joins, windows, transforms --------------------------------------
+
+from pricewise.operators import features as FE  # noqa: E402
+from pricewise.operators import folds as FO  # noqa: E402
+from pricewise.operators import metrics as ME  # noqa: E402
+from pricewise.operators import outliers as OU  # noqa: E402
+from pricewise.operators import recommend as RE  # noqa: E402
+from pricewise.operators import reports as RP  # noqa: E402
+from pricewise.operators import segments as SG  # noqa: E402
+from pricewise.plans import harness as HA  # noqa: E402
+from pricewise.plans import price_plan as PP  # noqa: E402
+from pricewise.sources import tables as TB  # noqa: E402
+
+
+@register("read_table")
+def q_read_table(spark, src):
+    return TB.read_table(spark, src, "part")
+
+
+@register("brand_summary")
+def q_brand_summary(spark, src):
+    return RP.brand_summary(PP.readable(spark, src, "part"), R)
+
+
+@register("segment_summary")
+def q_segment_summary(spark, src):
+    return RP.segment_summary(vp.value_frame(spark, src, "part"), R)
+
+
+@register("rename_relabel")
+def q_rename_relabel(spark, src):
+    s = RP.segment_summary(vp.value_frame(spark, src, "part"), R)
+    order = F.create_map(*[x for k, v in SG.SEGMENT_ORDER.items() for x in (F.lit(k), F.lit(v))])
+    return s.select(F.col("segment").alias("segment_name"), order[F.col("segment")].alias("segment_order"),
+                    F.col("count").alias("value"))
+
+
+def _given_clusters(spark, src):
+    seg = vp.segmented_catalog(spark, src, "part")
+    return seg.withColumn("cluster", FO.fold_of("item_id", 3))
+
+
+@register("cluster_order")
+def q_cluster_order(spark, src):
+    return SG.cluster_order(_given_clusters(spark, src), "cluster", "price_eur", "spec_score_0_100")
+
+
+@register("label_map_join")
+def q_label_map_join(spark, src):
+    return SG.assign_segment_labels(_given_clusters(spark, src), "cluster", R).select("item_id", "cluster", "segment")
+
+
+@register("outlier_method_counts")
+def q_outlier_counts(spark, src):
+    return OU.outlier_method_counts(vp.value_frame(spark, src, "part"))
+
+
+@register("outlier_method_counts_orders")
+def q_outlier_counts_orders(spark, src):
+    return OU.outlier_method_counts(vp.value_frame(spark, src, "orders"))
+
+
+@register("outlier_validation")
+def q_outlier_validation(spark, src):
+    return OU.outlier_validation(vp.value_frame(spark, src, "part"), R)
+
+
+@register("outlier_by_segment")
+def q_outlier_by_segment(spark, src):
+    return OU.outlier_by_segment(vp.value_frame(spark, src, "orders"), R)
+
+
+@register("recommendation_lift")
+def q_reco_lift(spark, src):
+    recs = vp.value_recommendations(spark, src, "part")
+    return RE.recommendation_lift(recs, catalog(spark, src, "part"), R)
+
+
+@register("numeric_reference")
+def q_numeric_reference(spark, src):
+    rd = PP.readable(spark, src, "part")
+    return RP.numeric_reference(rd, [FE.NUM_PREFIX + c for c in ["is_premium_brand"] + PP.NUMERIC_COLS])
+
+
+@register("distinct_brands")
+def q_distinct_brands(spark, src):
+    return RP.distinct_brands(catalog(spark, src, "part"))
+
+
+@register("feature_medians")
+def q_feature_medians(spark, src):
+    rd = PP.readable(spark, src, "orders")
+    return FE.column_medians(rd, ["is_premium_brand"] + PP.NUMERIC_COLS)
+
+
+@register("feature_importance_correlation")
+def q_importance_corr(spark, src):
+    return PP.importance_by_correlation(spark, src, "part")
+
+
+@register("topn_features_per_model")
+def q_topn_features(spark, src):
+    return RP.topn_features_per_model(PP.importance_by_correlation(spark, src, "part"), 15)
+
+
+@register("consensus_factors")
+def q_consensus(spark, src):
+    return RP.consensus_factors(PP.importance_by_correlation(spark, src, "part"), 15)
+
+
+@register("brand_importance_share")
+def q_brand_share(spark, src):
+    return RP.brand_importance_share(PP.importance_by_correlation(spark, src, "part"))
+
+
+@register("top_price_drivers")
+def q_top_drivers(spark, src):
+    return RP.top_price_drivers(PP.importance_by_correlation(spark, src, "part"), 20)
+
+
+@register("prefix_flag")
+def q_prefix_flag(spark, src):
+    imp = PP.importance_by_correlation(spark, src, "part")
+    return imp.select("model", "feature", RP.prefix_flag("feature").alias("driver_type"))
+
+
+@register("kfold_assign")
+def q_kfold(spark, src):
+    return FO.kfold_assign(catalog(spark, src, "orders").select("item_id"), "item_id")
+
+
+@register("holdout_split")
+def q_holdout(spark, src):
+    train, test = FO.holdout_split(catalog(spark, src, "orders").select("item_id", "price_eur"), "item_id")
+    return (train.withColumn("split", F.lit("train"))
+            .unionByName(test.withColumn("split", F.lit("test"))))
+
+
+@register("baseline_median")
+def q_baseline_median(spark, src):
+    enc = PP.encoded_with_folds(spark, src, "part")
+    return FO.baseline_median(enc, TB.TARGET_COL)
+
+
+def _harness_predictions(spark, src):
+    return HA.oof_baseline_predictions(PP.encoded_with_folds(spark, src, "part"), "num__avg_quantity")
+
+
+@register("oof_predict_ols")
+def q_oof_ols(spark, src):
+    return _harness_predictions(spark, src)
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, src):
+    return ME.regression_metrics(_harness_predictions(spark, src))
+
+
+@register("cv_mean_metrics")
+def q_cv_means(spark, src):
+    return ME.cv_mean_metrics(ME.regression_metrics(_harness_predictions(spark, src)))
+
+
+@register("model_leaderboard")
+def q_leaderboard(spark, src):
+    return ME.best_model(ME.cv_mean_metrics(ME.regression_metrics(_harness_predictions(spark, src))))
+
+
+@register("leakage_guard")
+def q_leakage(spark, src):
+    return TB.leakage_report(catalog(spark, src, "part"))
+
+
+@register("drop_target")
+def q_drop_target(spark, src):
+    enc = PP.encoded(spark, src, "part")
+    return TB.load_price_features(TB.drop_leakage(enc.join(catalog(spark, src, "part").select(
+        F.col("item_id").alias("row_id"), "value_score", "price_tier"), "row_id")))
+
+
+@register("load_price_features")
+def q_load_price_features(spark, src):
+    return TB.load_price_features(PP.encoded(spark, src, "part"))
+
+
+@register("budget_filter")
+def q_budget_filter(spark, src):
+    seg = vp.segmented_catalog(spark, src, "part")
+    return seg.filter((F.col("price_eur") <= 950.0) & (F.col("segment") == "Mid-range") & (F.col("brand_group") == "Brand#7"))
+
+
+@register("non_null_key_filter")
+def q_non_null(spark, src):
+    return catalog(spark, src, "orders").dropna(subset=["brand_group", "spec_score_0_100"]).select("item_id", "brand_group")
+
+
+def _flags(spark, src, kind="part"):
+    return vp.value_frame(spark, src, kind).select(
+        "item_id", "segment", "market_underpriced_outlier", "zscore_value_outlier",
+        "isolation_value_outlier", "is_value_outlier")
+
+
+@register("outlier_predicates")
+def q_outlier_predicates(spark, src):
+    return _flags(spark, src, "orders")
+
+
+@register("flag_union")
+def q_flag_union(spark, src):
+    f = _flags(spark, src, "orders")
+    return f.select("item_id", (F.col("zscore_value_outlier") | F.col("market_underpriced_outlier")).alias("flag_union"),
+                    (F.col("zscore_value_outlier") & F.col("market_underpriced_outlier")).alias("flag_intersection"))
+
+
+@register("segment_baselines")
+def q_segment_baselines(spark, src):
+    return SG.segment_baselines(vp.segmented_catalog(spark, src, "orders"), R).select(
+        "item_id", "segment", "segment_mean_value_score", "segment_median_price_eur",
+        "segment_median_performance_to_price_ratio")
+
+
+@register("segment_lifts")
+def q_segment_lifts(spark, src):
+    return SG.segment_lifts(SG.segment_baselines(vp.segmented_catalog(spark, src, "orders"), R), R).select(
+        "item_id", "value_score_lift_vs_segment", "price_discount_vs_segment_median")
+
+
+@register("segment_zscore")
+def q_segment_zscore(spark, src):
+    return SG.segment_zscore(vp.segmented_catalog(spark, src, "orders"),
+                             {"value_score": "value_z_in_segment", "avg_discount": "discount_z_in_segment"}).select(
+        "item_id", "value_z_in_segment", "discount_z_in_segment")
+
+
+@register("topn_brands_per_segment")
+def q_topn_brands(spark, src):
+    return SG.topn_brands_per_segment(vp.segmented_catalog(spark, src, "part"), 3, R)
+
+
+@register("market_price_features")
+def q_market_features(spark, src):
+    return vp.value_frame(spark, src, "part").select(
+        "item_id", "expected_market_price_eur", "market_price_gap_eur", "market_price_discount_ratio")
+
+
+@register("high_value_filter")
+def q_high_value(spark, src):
+    return OU.high_value_filter(catalog(spark, src, "orders"), "value_score").select("item_id", "high_value")
+
+
+@register("value_outliers")
+def q_value_outliers(spark, src):
+    return vp.value_frame(spark, src, "part").drop("fold", "market_pred")
+
+
+@register("rank_value_outliers")
+def q_rank_outliers(spark, src):
+    return OU.rank_value_outliers(vp.value_frame(spark, src, "orders"), R).select(
+        "item_id", "performance_to_price_ratio", "market_price_discount_ratio", "value_score")
+
+
+@register("recommend_topn")
+def q_recommend_topn(spark, src):
+    return RE.recommend_topn(vp.value_frame(spark, src, "part"), 960.0, 10, None, None, R)
+
+
+@register("recommendation_rank")
+def q_reco_rank(spark, src):
+    return RE.recommend_topn(vp.value_frame(spark, src, "orders"), 150000.0, 10, "Mid-range", "3-MEDIUM", R).select(
+        "recommendation_rank", "item_id")
+
+
+@register("outlier_flag_join")
+def q_outlier_flag_join(spark, src):
+    vf = vp.value_frame(spark, src, "orders")
+    saved = vf.filter(F.col("is_value_outlier")).select("item_id")
+    return OU.flag_from_outlier_table(vf.select("item_id", "price_eur"), saved, "item_id", "is_value_outlier")
+
+
+@register("recommend_for_user")
+def q_recommend_for_user(spark, src):
+    vf = vp.value_frame(spark, src, "part")
+    saved = vf.filter(F.col("is_value_outlier")).select("item_id")
+    return RE.recommend_for_user(vf.drop("is_value_outlier"), saved, vp.scenario_table(spark, "part"), 8, R)
+
+
+@register("scenario_join")
+def q_scenario_join(spark, src):
+    pairs = RE.scenario_join(vp.segmented_catalog(spark, src, "orders"), vp.scenario_table(spark, "orders"), R)
+    return pairs.groupBy("scenario").agg(F.count(F.lit(1)).alias("candidates"),
+                                         F.min("price_eur").alias("min_price"), F.max("price_eur").alias("max_price"))
+
+
+@register("anchor_cross_join")
+def q_anchor(spark, src):
+    cat = catalog(spark, src, "orders")
+    overall = cat.agg(F.avg("value_score").alias("overall_mean_value_score"))
+    return cat.crossJoin(F.broadcast(overall)).select(
+        "item_id", F.try_divide(F.col("value_score"), F.col("overall_mean_value_score")).alias("value_vs_overall"))
+
+
+@register("group_stat_join")
+def q_group_stat(spark, src):
+    cat = catalog(spark, src, "orders")
+    return SG.segment_zscore(cat.withColumnRenamed("brand_group", "segment"), {"price_eur": "price_z_in_brand"}).select(
+        "item_id", "price_z_in_brand")
+
+
+@register("positional_align")
+def q_positional_align(spark, src):
+    rd = PP.readable(spark, src, "part").select(F.col("item_id").alias("row_id"), "brand_group")
+    enc = PP.encoded(spark, src, "part").select("row_id", "target_price_eur")
+    return rd.join(enc, "row_id", "inner")
+
+
+@register("median_impute")
+def q_median_impute(spark, src):
+    rd = PP.readable(spark, src, "orders")
+    return FE.median_impute(rd, PP.NUMERIC_COLS).select("item_id", *PP.NUMERIC_COLS)
+
+
+@register("standardize")
+def q_standardize(spark, src):
+    rd = PP.readable(spark, src, "orders")
+    return FE.standardize(rd, PP.NUMERIC_COLS, prefix="z_").select("item_id", *["z_" + c for c in PP.NUMERIC_COLS])
+
+
+@register("one_hot")
+def q_one_hot(spark, src):
+    cat = catalog(spark, src, "part").select("item_id", "brand_group", "item_type")
+    # vocabulary with an "Other" bucket: one brand is left out on purpose
+    brands = [b for b in FE.vocabulary(cat, "brand_group") if b != "Brand#9"] + ["Other"]
+    return FE.one_hot(cat, "brand_group", brands, "cat__brand_group_").drop("brand_group", "item_type")
+
+
+@register("union_all")
+def q_union_all(spark, src):
+    return PP.importance_by_correlation(spark, src, "part")
