@@ -660,3 +660,111 @@ O["one_hot"] = (f"WITH {catalog_cte('part')} SELECT item_id, " + ", ".join(
     f"CASE WHEN brand_group = {lit(b)} THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS {q('cat__brand_group_' + b)}" for b in _OH)
     + ", CASE WHEN brand_group IS NOT NULL AND brand_group NOT IN (" + ", ".join(lit(b) for b in _OH + ['Other'])
     + ") OR brand_group = 'Other' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS \"cat__brand_group_Other\" FROM cat")
+
+
+# ---------------------------------------------------------------------------
+# Guide pieces, clustering given clusters, blend arithmetic
+# ---------------------------------------------------------------------------
+
+def guide_requests_cte() -> str:
+    def per(kind, tag):
+        return f"""SELECT request_id * 10 + {tag} AS request_id, brand_group AS brand,
+  CASE WHEN request_id % 3 = 0 THEN NULL ELSE budget END AS budget_price_eur,
+  CASE WHEN request_id % 2 = 0 THEN NULL ELSE size END AS size, avg_quantity,
+  CAST(floor(size / 10) AS DOUBLE) AS network_generation, CAST(w AS DOUBLE) AS resolution_width_px,
+  CAST(h AS DOUBLE) AS resolution_height_px, CAST(2026 AS DOUBLE) - age AS launch_year
+FROM (SELECT brand_group, min(item_id) AS request_id, max(price_eur) AS budget, avg(size) AS size,
+             avg(avg_quantity) AS avg_quantity, min(size) AS w, max(size) AS h, max(item_age) AS age
+      FROM {kind}_cat GROUP BY brand_group)"""
+    pc = catalog_cte("part").replace("li AS", "pli AS").replace("cat0 AS", "pcat0 AS").replace("cat AS (", "part_cat AS (")
+    pc = pc.replace("JOIN li ON", "JOIN pli ON").replace("FROM cat0)", "FROM pcat0)")
+    oc = catalog_cte("orders").replace("li AS", "oli AS").replace("cat0 AS", "ocat0 AS").replace("cat AS (", "orders_cat AS (")
+    oc = oc.replace("JOIN li ON", "JOIN oli ON").replace("FROM cat0)", "FROM ocat0)").replace("FROM li)", "FROM oli)")
+    return pc + "," + oc + f",\nreq AS ({per('part', 0)} UNION ALL {per('orders', 1)})"
+
+
+def fmt1(x: str) -> str:
+    return f"coalesce(printf('%.1f', CAST({x} AS DOUBLE)), 'nan')"
+
+
+O["price_guidance_label"] = (f"WITH {value_cte('orders')} SELECT item_id, price_eur - expected_market_price_eur AS price_gap_eur, "
+                             "CASE WHEN price_eur - expected_market_price_eur IS NULL THEN 'no_planned_price_to_compare' "
+                             "WHEN abs(price_eur - expected_market_price_eur) <= greatest(CAST(30 AS DOUBLE), expected_market_price_eur * CAST(0.08 AS DOUBLE)) "
+                             "THEN 'planned_price_is_near_model_guideline' WHEN price_eur - expected_market_price_eur > 0 "
+                             "THEN 'planned_price_is_above_model_guideline' ELSE 'planned_price_is_below_model_guideline' END AS guidance FROM vf")
+O["adjusted_brand_summary"] = f"""WITH {value_cte('part')},
+a AS (SELECT brand_group, price_eur AS actual_price_eur, expected_market_price_eur AS spec_only_pred_price_eur,
+             price_eur - expected_market_price_eur AS r FROM vf WHERE brand_group IS NOT NULL)
+SELECT brand_group, count(*) AS "count", avg(actual_price_eur) AS avg_actual_price_eur,
+       avg(spec_only_pred_price_eur) AS avg_spec_only_pred_price_eur, avg(r) AS avg_adjusted_brand_premium_eur,
+       median(r) AS median_adjusted_brand_premium_eur,
+       avg(r) / nullif(avg(spec_only_pred_price_eur), 0) AS premium_ratio_vs_pred
+FROM a GROUP BY brand_group"""
+_gr = guide_requests_cte()
+_rd_frag = readable_cte("part")[len(catalog_cte("part")):]
+O["brand_note"] = f"""WITH {_gr}, {value_cte('part').lstrip()}{_rd_frag},
+bs AS (SELECT brand_group AS b1, avg(price_eur) AS bp, count(*) AS bc FROM rd WHERE brand_group IS NOT NULL GROUP BY brand_group),
+ad AS (SELECT brand_group AS b2, avg(price_eur - expected_market_price_eur) AS ba FROM vf WHERE brand_group IS NOT NULL GROUP BY brand_group)
+SELECT request_id, brand,
+  CASE WHEN brand IS NULL OR brand = '' THEN 'no brand specified'
+       WHEN bc IS NULL AND ba IS NULL THEN 'brand premium row unavailable'
+       ELSE concat_ws('; ', CASE WHEN bc IS NOT NULL THEN 'avg_price=' || {fmt1('bp')} || ' EUR, count=' || CAST(bc AS VARCHAR) END,
+                            CASE WHEN ba IS NOT NULL THEN 'adjusted_premium=' || {fmt1('ba')} || ' EUR' END) END AS brand_premium_note
+FROM req LEFT JOIN bs ON req.brand = bs.b1 LEFT JOIN ad ON req.brand = ad.b2"""
+O["unit_flags"] = f"""WITH {_gr}
+SELECT request_id,
+  CASE WHEN network_generation IS NOT NULL THEN CASE WHEN network_generation >= 5 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END AS has_5g,
+  CASE WHEN network_generation IS NOT NULL THEN CASE WHEN network_generation >= 4 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END END AS has_4g_or_more,
+  resolution_width_px * resolution_height_px AS resolution_total_px,
+  CASE WHEN resolution_width_px IS NOT NULL AND resolution_width_px <> 0 AND resolution_height_px IS NOT NULL
+       THEN resolution_height_px / resolution_width_px END AS aspect_ratio,
+  CASE WHEN launch_year IS NOT NULL THEN CASE WHEN CAST(2026 AS DOUBLE) - launch_year < 0 THEN CAST(0 AS DOUBLE)
+       ELSE CAST(2026 AS DOUBLE) - launch_year END END AS phone_age
+FROM req"""
+O["default_feature_row"] = f"""WITH {_gr}, m AS (SELECT median(size) AS ms, median(avg_quantity) AS mq FROM part_cat)
+SELECT request_id, coalesce(size, ms) AS size, coalesce(avg_quantity, mq) AS avg_quantity FROM req CROSS JOIN m"""
+O["reference_lookup"] = f"""WITH {_gr}, {readable_cte('part').lstrip()},
+bs AS (SELECT brand_group AS b, avg(is_premium_brand) AS avg_is_premium_brand FROM rd WHERE brand_group IS NOT NULL GROUP BY brand_group),
+ref AS (SELECT avg(CAST(size AS DOUBLE)) AS mean, CASE WHEN stddev_pop(CAST(size AS DOUBLE)) IS NULL OR stddev_pop(CAST(size AS DOUBLE)) = 0
+               THEN CAST(1 AS DOUBLE) ELSE stddev_pop(CAST(size AS DOUBLE)) END AS std FROM rd)
+SELECT request_id, brand, avg_is_premium_brand AS is_premium_brand, (size - mean) / std AS num__size
+FROM req LEFT JOIN bs ON req.brand = bs.b CROSS JOIN ref"""
+O["phone_key"] = f"WITH {catalog_cte('part')} SELECT item_id, oem || '||' || model AS phone_key FROM cat"
+
+_DB = ["price_eur", "spec_score_0_100", "avg_quantity"]
+
+
+def given_cluster_features_cte() -> str:
+    meds = ", ".join(f"median({c}) AS m_{c}" for c in _DB)
+    imp = ", ".join(f"coalesce(CAST({c} AS DOUBLE), m_{c}) AS {c}" for c in _DB)
+    st = ", ".join(f"avg({c}) AS mu_{c}, CASE WHEN stddev_pop({c}) IS NULL OR stddev_pop({c}) = 0 THEN CAST(1 AS DOUBLE) "
+                   f"ELSE stddev_pop({c}) END AS sd_{c}" for c in _DB)
+    zs = ", ".join(f"({c} - mu_{c}) / sd_{c} AS z_{c}" for c in _DB)
+    return catalog_cte("part") + f""",
+g0 AS (SELECT item_id, {fold_sql('item_id', 3)} AS cluster, {', '.join(_DB)} FROM cat),
+gm AS (SELECT {meds} FROM g0),
+gi AS (SELECT item_id, cluster, {imp} FROM g0 CROSS JOIN gm),
+gs AS (SELECT {st} FROM gi),
+gz AS (SELECT item_id, cluster, {zs} FROM gi CROSS JOIN gs),
+cents AS (SELECT cluster AS c, {', '.join(f'avg(z_{c}) AS c_{c}' for c in _DB)} FROM gz WHERE cluster IS NOT NULL GROUP BY cluster)"""
+
+
+_dist = " + ".join(f"(z_{c} - c_{c}) * (z_{c} - c_{c})" for c in _DB)
+_cdist = " + ".join(f"(a.c_{c} - b.c_{c}) * (a.c_{c} - b.c_{c})" for c in _DB)
+O["davies_bouldin"] = f"""WITH {given_cluster_features_cte()},
+sc AS (SELECT cluster AS c2, avg(sqrt({_dist})) AS s FROM gz JOIN cents ON gz.cluster = cents.c GROUP BY cluster),
+ci AS (SELECT cents.*, s FROM cents JOIN sc ON cents.c = sc.c2),
+pr AS (SELECT a.c AS i, (a.s + b.s) / nullif(sqrt({_cdist}), 0) AS r FROM ci a CROSS JOIN ci b WHERE a.c <> b.c),
+mx AS (SELECT i, max(r) AS m FROM pr GROUP BY i)
+SELECT avg(m) AS davies_bouldin FROM mx"""
+O["assign_nearest"] = f"""WITH {given_cluster_features_cte()},
+d AS (SELECT item_id, c, {_dist} AS d2 FROM gz CROSS JOIN cents),
+r AS (SELECT item_id, c, row_number() OVER (PARTITION BY item_id ORDER BY d2, c) AS rn FROM d)
+SELECT item_id, CAST(c AS INTEGER) AS cluster FROM r WHERE rn = 1"""
+O["weighted_blend"] = f"""WITH {harness_cte()},
+pp AS (SELECT * FROM preds WHERE target_mode = 'price_eur'),
+mae AS (SELECT model AS wm, avg(abs(y - yhat)) AS cv_mae FROM pp GROUP BY model),
+raw AS (SELECT wm, CAST(1 AS DOUBLE) / greatest(cv_mae, CAST(1e-6 AS DOUBLE)) AS w FROM mae),
+tot AS (SELECT sum(w) AS t, count(*) AS n_models FROM raw),
+wt AS (SELECT wm, w / t AS weight FROM raw CROSS JOIN tot)
+SELECT row_id, sum(weight * yhat) AS yhat, n_models FROM pp JOIN wt ON pp.model = wt.wm CROSS JOIN tot GROUP BY row_id, n_models"""

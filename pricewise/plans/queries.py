@@ -541,3 +541,213 @@ def q_one_hot(spark, src):
 @register("union_all")
 def q_union_all(spark, src):
     return PP.importance_by_correlation(spark, src, "part")
+
+
+# --- models, clustering, isolation, guide (model-based: rows-only checks) -----
+
+from pricewise.operators import cluster as CL  # noqa: E402
+from pricewise.operators import guide as GD  # noqa: E402
+from pricewise.operators import isolation as ISO  # noqa: E402
+from pricewise.operators import models as M  # noqa: E402
+from pricewise.plans import model_plan as MP  # noqa: E402
+
+
+@register("fit_linear")
+def q_fit_linear(spark, src):
+    return MP.holdout_fit_predictions(spark, src, M.LINEAR)
+
+
+@register("fit_ridge")
+def q_fit_ridge(spark, src):
+    return MP.holdout_fit_predictions(spark, src, M.RIDGE)
+
+
+@register("fit_random_forest")
+def q_fit_rf(spark, src):
+    return MP.holdout_fit_predictions(spark, src, MP.SMOKE_RF)
+
+
+@register("fit_boosted_trees")
+def q_fit_gbt(spark, src):
+    return MP.holdout_fit_predictions(spark, src, MP.SMOKE_GBT)
+
+
+@register("compare_models")
+def q_compare(spark, src):
+    return M.compare_models(MP.encoded(spark, src), MP.SMOKE_MODELS)[1].drop("fit_seconds")
+
+
+@register("cross_validate")
+def q_cross_validate(spark, src):
+    return M.cross_validate(MP.encoded(spark, src), [M.LINEAR, M.RIDGE, MP.SMOKE_RF])[1]
+
+
+@register("oof_predict")
+def q_oof_predict(spark, src):
+    return M.oof_predict(MP.encoded(spark, src), MP.SMOKE_RF, "log_price_eur")
+
+
+@register("stacking_ensemble")
+def q_stacking(spark, src):
+    return M.stacking_ensemble(MP.encoded(spark, src), MP.ENSEMBLE_BASES)[1]
+
+
+@register("weighted_blend_models")
+def q_blend_models(spark, src):
+    return M.weighted_blend(MP.encoded(spark, src), MP.ENSEMBLE_BASES)[0]
+
+
+@register("holdout_predictions")
+def q_holdout_preds(spark, src):
+    enc = MP.encoded(spark, src)
+    stack = M.stacking_ensemble(enc, MP.ENSEMBLE_BASES)[1]
+    blend = M.weighted_blend(enc, MP.ENSEMBLE_BASES)[1]
+    return M.holdout_predictions(enc, stack, blend)
+
+
+@register("feature_importance")
+def q_feature_importance(spark, src):
+    return M.feature_importance(MP.encoded(spark, src), [MP.SMOKE_RF, MP.SMOKE_GBT])
+
+
+@register("adjusted_brand_premium")
+def q_adjusted_premium(spark, src):
+    rd = PP.readable(spark, src, "part").select(F.col("item_id").alias("row_id"), "brand_group")
+    return RP.adjusted_brand_summary(M.adjusted_brand_premium(MP.encoded(spark, src), rd, MP.SMOKE_GBT))
+
+
+@register("adjusted_brand_summary")
+def q_adjusted_summary(spark, src):
+    vf = vp.value_frame(spark, src, "part")
+    return RP.adjusted_brand_summary(vf.select("brand_group", F.col("price_eur").alias("actual_price_eur"),
+                                               F.col("expected_market_price_eur").alias("spec_only_pred_price_eur")))
+
+
+@register("kmeans_segments")
+def q_kmeans(spark, src):
+    return MP.segmented_by_kmeans(spark, src).select("item_id", "cluster", "segment")
+
+
+@register("k_sweep")
+def q_k_sweep(spark, src):
+    return CL.k_sweep(catalog(spark, src, "part"), R.segment_features, range(2, 9), n_init=3)
+
+
+@register("silhouette")
+def q_silhouette(spark, src):
+    pred, _, _ = CL.kmeans_segments(catalog(spark, src, "part"), R.segment_features, 3, 3)
+    return spark.createDataFrame([(CL.silhouette(pred),)], "silhouette double")
+
+
+@register("hierarchical_compare")
+def q_hier(spark, src):
+    return CL.hierarchical_compare(catalog(spark, src, "part"), R.segment_features, 3, 3)
+
+
+@register("pca_2d")
+def q_pca(spark, src):
+    return CL.pca_2d(catalog(spark, src, "part"), R.segment_features)
+
+
+@register("isolation_outliers")
+def q_isolation(spark, src):
+    cols = ["value_score", "spec_score_0_100", "price_eur", "item_age"]
+    z = CL.scaled_features(catalog(spark, src, "orders").withColumnRenamed("item_id", "row_id"), cols, prefix="iso_")
+    return ISO.isolation_outliers(z, [f"iso_{c}" for c in cols])
+
+
+@register("value_outliers_full")
+def q_value_outliers_full(spark, src):
+    return MP.full_value_outliers(spark, src, "part").select(
+        "item_id", "segment", "market_underpriced_outlier", "zscore_value_outlier", "isolation_raw_outlier",
+        "isolation_value_outlier", "is_value_outlier")
+
+
+@register("price_guide")
+def q_price_guide(spark, src):
+    return MP.price_guide(spark, src)
+
+
+# --- S-checked pieces of the guide and the clustering ---------------------------
+
+@register("price_guidance_label")
+def q_guidance(spark, src):
+    vf = vp.value_frame(spark, src, "orders")
+    gap = F.col("price_eur") - F.col("expected_market_price_eur")
+    return vf.select("item_id", gap.alias("price_gap_eur"),
+                     GD.price_guidance_label(gap, F.col("expected_market_price_eur")).alias("guidance"))
+
+
+def _brand_tables(spark, src):
+    bsum = RP.brand_summary(PP.readable(spark, src, "part"), R)
+    vf = vp.value_frame(spark, src, "part")
+    adj = RP.adjusted_brand_summary(vf.select("brand_group", F.col("price_eur").alias("actual_price_eur"),
+                                              F.col("expected_market_price_eur").alias("spec_only_pred_price_eur")))
+    return bsum, adj
+
+
+@register("brand_note")
+def q_brand_note(spark, src):
+    req = MP.guide_requests(spark, src).select("request_id", "brand")
+    bsum, adj = _brand_tables(spark, src)
+    return GD.brand_note(req, bsum, adj).select("request_id", "brand", "brand_premium_note")
+
+
+@register("unit_flags")
+def q_unit_flags(spark, src):
+    req = MP.guide_requests(spark, src)
+    return C.unit_flags(req, 2026).select("request_id", "has_5g", "has_4g_or_more", "resolution_total_px",
+                                          "aspect_ratio", "phone_age")
+
+
+@register("default_feature_row")
+def q_default_row(spark, src):
+    req = MP.guide_requests(spark, src).select("request_id", "size", "avg_quantity")
+    med = FE.column_medians(catalog(spark, src, "part"), ["size", "avg_quantity"])
+    return (req.crossJoin(F.broadcast(med.select(F.col("size").alias("_ms"), F.col("avg_quantity").alias("_mq"))))
+            .select("request_id", F.coalesce("size", "_ms").alias("size"), F.coalesce("avg_quantity", "_mq").alias("avg_quantity")))
+
+
+@register("reference_lookup")
+def q_reference_lookup(spark, src):
+    req = MP.guide_requests(spark, src).select("request_id", "brand", "size")
+    rd = PP.readable(spark, src, "part")
+    bsum = RP.brand_summary(rd, R).select(F.col("brand_group").alias("_b"), "avg_is_premium_brand")
+    ref = RP.numeric_reference(rd, ["num__size"]).select("mean", "std")
+    out = req.join(F.broadcast(bsum), F.col("brand") == F.col("_b"), "left").crossJoin(F.broadcast(ref))
+    return out.select("request_id", "brand", F.col("avg_is_premium_brand").alias("is_premium_brand"),
+                      ((F.col("size") - F.col("mean")) / F.col("std")).alias("num__size"))
+
+
+@register("phone_key")
+def q_phone_key(spark, src):
+    return catalog(spark, src, "part").select("item_id", F.concat(F.col("oem").cast("string"), F.lit("||"),
+                                                                  F.col("model").cast("string")).alias("phone_key"))
+
+
+DB_COLS = ["price_eur", "spec_score_0_100", "avg_quantity"]
+
+
+def _given_cluster_features(spark, src):
+    cat = catalog(spark, src, "part").withColumn("cluster", FO.fold_of("item_id", 3))
+    return CL.scaled_features(cat, DB_COLS)
+
+
+@register("davies_bouldin")
+def q_davies_bouldin(spark, src):
+    return CL.davies_bouldin(_given_cluster_features(spark, src), [f"z_{c}" for c in DB_COLS])
+
+
+@register("assign_nearest")
+def q_assign_nearest(spark, src):
+    z = _given_cluster_features(spark, src)
+    zc = [f"z_{c}" for c in DB_COLS]
+    cents = CL.cluster_centroids(z, zc)
+    return CL.assign_nearest(z.drop("cluster"), zc, cents).select("item_id", "cluster")
+
+
+@register("weighted_blend")
+def q_weighted_blend(spark, src):
+    preds = _harness_predictions(spark, src).filter(F.col("target_mode") == "price_eur")
+    w = M.blend_weights(preds)
+    return M.blend_predict(preds, w).crossJoin(F.broadcast(w.agg(F.count(F.lit(1)).alias("n_models"))))
