@@ -21,6 +21,7 @@ from pricewise.operators.folds import kfold_assign
 from pricewise.operators.outliers import value_outliers
 from pricewise.operators.segments import assign_segment_labels, percentile_segments
 from pricewise.plans import price_plan as PP
+from pricewise.session import cut_lineage
 from pricewise.sources.catalog import DEFAULT_AS_OF_YEAR, catalog
 
 SMOKE_RF = M.scaled(M.RANDOM_FOREST, numTrees=20, maxDepth=8)
@@ -64,6 +65,8 @@ def full_value_outliers(spark, src, kind: str = "part") -> DataFrame:
     iso_cols = ["value_score", "performance_to_price_ratio", "market_price_discount_ratio", "spec_score_0_100",
                 "price_eur", "item_age"]
     z = CL.scaled_features(tmp.withColumnRenamed("item_id", "row_id"), iso_cols, prefix="iso_")
+    # the scaled table ends a long plan; write it to the shared checkpoint folder
+    z = cut_lineage(z.select("row_id", *[f"iso_{c}" for c in iso_cols]))
     flags = ISO.isolation_outliers(z, [f"iso_{c}" for c in iso_cols])
     joined = base.join(flags.select(F.col("row_id").alias("item_id"), "isolation_raw_outlier"), "item_id", "left")
     return value_outliers(joined, "market_pred", R, iso_col="isolation_raw_outlier")
