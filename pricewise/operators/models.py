@@ -72,7 +72,7 @@ def _estimator(spec: ModelSpec, train: DataFrame, label: str):
         n, sd = max(int(st["n"] or 1), 1), float(st["sd"] or 1.0) or 1.0
         return LinearRegression(featuresCol="features", labelCol=label, predictionCol="pred_t",
                                 regParam=p.get("alpha", 1.0) / n * sd, elasticNetParam=0.0,
-                                standardization=False, solver="l-bfgs", maxIter=200, tol=1e-9)
+                                standardization=False, solver="normal")
     if spec.kind == "rf":
         return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="pred_t", seed=SEED,
                                      numTrees=p["numTrees"], maxDepth=min(p["maxDepth"], 30),

@@ -751,3 +751,47 @@ def q_weighted_blend(spark, src):
     preds = _harness_predictions(spark, src).filter(F.col("target_mode") == "price_eur")
     w = M.blend_weights(preds)
     return M.blend_predict(preds, w).crossJoin(F.broadcast(w.agg(F.count(F.lit(1)).alias("n_models"))))
+
+
+# --- sources and sinks (round trips through the shared scratch folder) ---------
+
+import uuid  # noqa: E402
+
+from pricewise.session import scratch_path  # noqa: E402
+from pricewise.sources import sinks as SK  # noqa: E402
+
+
+def _scratch(spark, name):
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@register("write_csv")
+def q_write_csv(spark, src):
+    path = SK.write_csv(vp.value_frame(spark, src, "part").drop("fold", "market_pred"), _scratch(spark, "value_frame_csv"))
+    return TB.read_csv(spark, path)
+
+
+@register("write_json")
+def q_write_json(spark, src):
+    preds = _harness_predictions(spark, src).filter(F.col("target_mode") == "price_eur")
+    path = SK.write_json(SK.blend_weights_json(M.blend_weights(preds)), _scratch(spark, "blend_weights_json"))
+    return SK.read_json(spark, path)
+
+
+@register("write_model")
+def q_write_model(spark, src):
+    enc = MP.encoded(spark, src)
+    feats = FE.feature_columns(enc)
+    m = M.fit(M.RIDGE, enc.filter(F.col("fold") != 0), feats, "log_price_eur")
+    path = SK.write_model(m, _scratch(spark, "model_package"),
+                          {"target_mode": "log_price_eur", "model_name": "Ridge", "feature_names": feats})
+    loaded, meta = SK.load_model(path)
+    return M.predict(loaded, enc.filter(F.col("fold") == 0), meta["target_mode"])
+
+
+@register("read_csv_fallback")
+def q_read_csv_fallback(spark, src):
+    docs = TB.read_table(spark, src, "documents").select("doc_id", "lang", "source", "text")
+    path = _scratch(spark, "documents_latin1_csv")
+    docs.write.mode("overwrite").option("header", "true").option("escape", '"').option("encoding", "ISO-8859-1").csv(path)
+    return TB.read_csv_fallback(spark, path)
