@@ -67,8 +67,9 @@ def _estimator(spec: ModelSpec, train: DataFrame, label: str):
                                 regParam=0.0, elasticNetParam=0.0, standardization=False)
     if spec.kind == "ridge":
         # sklearn's alpha on the sum of squares equals MLlib's regParam on the
-        # mean loss scaled by the label's std (MLlib standardises the label).
-        st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(label).alias("sd")).first()
+        # mean loss scaled by the label's std: the normal-equation solver
+        # standardises the label with its population std.
+        st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
         n, sd = max(int(st["n"] or 1), 1), float(st["sd"] or 1.0) or 1.0
         return LinearRegression(featuresCol="features", labelCol=label, predictionCol="pred_t",
                                 regParam=p.get("alpha", 1.0) / n * sd, elasticNetParam=0.0,
