@@ -14,19 +14,22 @@ from pricewise.operators.common import CATALOG_ROLES, Roles
 from pricewise.operators.features import encoded_price_table, feature_columns, readable_price_table, vocabulary
 from pricewise.operators.folds import kfold_assign
 from pricewise.operators.reports import univariate_importance
-from pricewise.sources.catalog import catalog
+from pricewise.session import cut_lineage
+from pricewise.sources.catalog import catalog, catalog_table
 from pricewise.sources.tables import TARGET_COL
 
 NUMERIC_COLS = ["size", "n_lines", "avg_quantity", "avg_discount", "avg_extendedprice", "item_age"]
 
 
 def readable(spark: SparkSession, src: str, kind: str = "part", roles: Roles = CATALOG_ROLES) -> DataFrame:
-    return readable_price_table(catalog(spark, src, kind), roles, NUMERIC_COLS)
+    return cut_lineage(readable_price_table(catalog_table(spark, src, kind), roles, NUMERIC_COLS))
 
 
 def encoded(spark: SparkSession, src: str, kind: str = "part", roles: Roles = CATALOG_ROLES) -> DataFrame:
+    """Encoded table, materialised once: model fits scan it many times."""
     r = readable(spark, src, kind, roles)
-    return encoded_price_table(r, roles, NUMERIC_COLS, vocabulary(r, roles.brand), vocabulary(r, "item_type"))
+    return cut_lineage(encoded_price_table(r, roles, NUMERIC_COLS, vocabulary(r, roles.brand),
+                                           vocabulary(r, "item_type")))
 
 
 def encoded_with_folds(spark: SparkSession, src: str, kind: str = "part") -> DataFrame:

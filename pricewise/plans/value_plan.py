@@ -15,7 +15,8 @@ from pricewise.operators.folds import kfold_assign, ols_oof_predict
 from pricewise.operators.outliers import value_outliers
 from pricewise.operators.recommend import recommendation_validation, scenario_topn, scenarios_frame
 from pricewise.operators.segments import percentile_segments
-from pricewise.sources.catalog import catalog
+from pricewise.session import cut_lineage
+from pricewise.sources.catalog import catalog_table
 
 # Scenario presets for the two test catalogues. Part prices run
 # 900-1000, order totals 1,000-500,000, so the reference's budgets are
@@ -38,7 +39,7 @@ SCENARIOS = {"part": PART_SCENARIOS, "orders": ORDER_SCENARIOS}
 
 
 def segmented_catalog(spark: SparkSession, source: str, kind: str = "part", approx: bool = False) -> DataFrame:
-    return percentile_segments(catalog(spark, source, kind), "price_eur", approx=approx)
+    return percentile_segments(catalog_table(spark, source, kind), "price_eur", approx=approx)
 
 
 def value_frame(spark: SparkSession, source: str, kind: str = "part", roles: Roles = CATALOG_ROLES,
@@ -46,7 +47,8 @@ def value_frame(spark: SparkSession, source: str, kind: str = "part", roles: Rol
     """Segmented catalogue with every value column and outlier flag."""
     seg = kfold_assign(segmented_catalog(spark, source, kind, approx), roles.item_id)
     pred = ols_oof_predict(seg, roles.spec, roles.price, out="market_pred")
-    return value_outliers(pred, "market_pred", roles, iso_col=None, approx=approx)
+    # the flagged frame feeds several reports and the recommendations: write it once
+    return cut_lineage(value_outliers(pred, "market_pred", roles, iso_col=None, approx=approx))
 
 
 def scenario_table(spark: SparkSession, kind: str = "part") -> DataFrame:

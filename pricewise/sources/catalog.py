@@ -63,14 +63,20 @@ def part_catalog(spark: SparkSession, source: str, as_of_year: int = DEFAULT_AS_
     ))
 
 
-def order_catalog(spark: SparkSession, source: str, as_of_year: int = DEFAULT_AS_OF_YEAR) -> DataFrame:
+def order_catalog(spark: SparkSession, source: str, as_of_year: int = DEFAULT_AS_OF_YEAR,
+                  materialize: bool = False) -> DataFrame:
     """Large catalogue: one row per order. The spec score is the order's total
     quantity scaled to 0-100 by the largest total (a one-row aggregate joined
-    back by broadcast)."""
+    back by broadcast). With ``materialize`` the per-order line statistics are
+    written once, so the join and the maximum do not aggregate ``lineitem``
+    twice."""
     orders = read_table(spark, source, "orders")
     lines = read_table(spark, source, "lineitem").select(
         "l_orderkey", "l_quantity", "l_discount", "l_extendedprice", "l_shipdate")
     stats = _line_stats(lines, "l_orderkey")
+    if materialize:
+        from pricewise.session import cut_lineage
+        stats = cut_lineage(stats)
     top = stats.agg(F.max("sum_quantity").alias("max_quantity"))
     cat = orders.join(stats, orders.o_orderkey == stats.l_orderkey, "left").crossJoin(F.broadcast(top))
     return _finish(cat.select(
@@ -98,6 +104,21 @@ def catalog(spark: SparkSession, source: str, kind: str = "part",
     return CATALOGS[kind](spark, source, as_of_year)
 
 
+def catalog_table(spark: SparkSession, source: str, kind: str = "part",
+                  as_of_year: int = DEFAULT_AS_OF_YEAR) -> DataFrame:
+    """The catalogue computed once and written to the shared checkpoint folder.
+
+    Every statistic of the value pipeline (cuts, fold sums, segment means,
+    medians and spreads) is an aggregate over the catalogue; without this
+    each of them would re-scan and re-aggregate ``lineitem`` (their column
+    sets differ, so Spark cannot reuse one exchange for all of them).
+    """
+    from pricewise.session import cut_lineage
+    if kind == "orders":
+        return cut_lineage(order_catalog(spark, source, as_of_year, materialize=True))
+    return cut_lineage(catalog(spark, source, kind, as_of_year))
+
+
 def messy_price_text(spark: SparkSession, source: str) -> DataFrame:
     """Price text in several currencies and dirty forms, derived from ``part``
     (one form per ``p_partkey % 8``), for the cleaning functions."""
