@@ -23,7 +23,8 @@ def column_medians(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     """One row: the exact median of each column (NULLs skipped)."""
     if approx:
         return df.agg(*[F.percentile_approx(quote(c), 0.5, 100000).cast("double").alias(c) for c in cols])
-    return df.agg(*[F.median(quote(c)).cast("double").alias(c) for c in cols])
+    from pricewise.operators.quantiles import column_medians_exact
+    return column_medians_exact(df, cols)
 
 
 def median_impute(df: DataFrame, cols, medians: DataFrame | None = None, approx: bool = False) -> DataFrame:

@@ -45,9 +45,11 @@ def complement_rows(df: DataFrame, k: int = N_FOLDS, fold_col: str = "fold") ->
 def baseline_median(df: DataFrame, y_col: str, k: int = N_FOLDS, fold_col: str = "fold",
                     approx: bool = False) -> DataFrame:
     """Per fold k: median of y over the training rows (fold != k). One row per fold."""
-    agg = F.percentile_approx(y_col, 0.5, 100000) if approx else F.median(y_col)
-    return (complement_rows(df.select(fold_col, y_col), k, fold_col)
-            .groupBy("k").agg(agg.cast("double").alias("baseline")))
+    rows = complement_rows(df.select(fold_col, y_col), k, fold_col)
+    if approx:
+        return rows.groupBy("k").agg(F.percentile_approx(y_col, 0.5, 100000).cast("double").alias("baseline"))
+    from pricewise.operators.quantiles import exact_median
+    return exact_median(rows, y_col, ["k"], "baseline")
 
 
 def ols_oof_predict(df: DataFrame, x_col: str, y_col: str, k: int = N_FOLDS,

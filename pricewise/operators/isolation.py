@@ -137,6 +137,7 @@ def isolation_outliers(df: DataFrame, cols, n_trees: int = N_TREES, sample_size:
     sample = sample_for_trees(df, cols, n, n_trees, sample_size, seed)
     forest = grow_trees(sample, cols, sample_size, seed).toPandas()  # n_trees * <= 2*sample_size rows
     scored = score_rows(df, cols, forest, sample_size)
-    q = scored.agg(F.percentile("isolation_score", F.lit(1.0 - contamination)).alias("_q"))
+    from pricewise.operators.quantiles import quantile_row
+    q = quantile_row(scored, "isolation_score", [1.0 - contamination], "_qs").select(F.col("_qs")[0].alias("_q"))
     return (scored.crossJoin(F.broadcast(q))
             .withColumn("isolation_raw_outlier", F.col("isolation_score") > F.col("_q")).drop("_q"))

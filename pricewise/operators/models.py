@@ -138,7 +138,8 @@ def compare_models(enc: DataFrame, specs=DEFAULT_MODELS, modes=TARGET_MODES, tes
     enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
     feats = feature_columns(enc)
     train, test = enc.filter(F.col("fold") != test_fold), enc.filter(F.col("fold") == test_fold)
-    base = train.agg(F.median(TARGET_COL).alias("baseline"))
+    from pricewise.operators.quantiles import exact_median
+    base = exact_median(train, TARGET_COL, (), "baseline")
 
     def job(mode, spec):
         def run():

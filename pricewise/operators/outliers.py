@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricewise.functions.clean import clip_min, ppr_ratio
 from pricewise.operators.common import Roles, desc_last, join_small
+from pricewise.operators.quantiles import quantile_row
 from pricewise.operators.segments import segment_baselines, segment_lifts, segment_zscore
 
 # Fixed value: one-sided 95 % normal threshold used by both z-score rules.
@@ -24,8 +25,9 @@ def market_price_features(df: DataFrame, expected_col: str, roles: Roles = Roles
 
 def high_value_threshold(df: DataFrame, value_col: str = "value_score", q: float = HIGH_VALUE_QUANTILE,
                          approx: bool = False) -> DataFrame:
-    agg = F.percentile_approx(value_col, q, 1_000_000) if approx else F.percentile(value_col, F.lit(q))
-    return df.agg(agg.cast("double").alias("_value_q"))
+    if approx:
+        return df.agg(F.percentile_approx(value_col, q, 1_000_000).cast("double").alias("_value_q"))
+    return quantile_row(df, value_col, [q], "_qs").select(F.col("_qs")[0].alias("_value_q"))
 
 
 def high_value_filter(df: DataFrame, value_col: str = "value_score", q: float = HIGH_VALUE_QUANTILE,

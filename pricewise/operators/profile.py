@@ -158,7 +158,7 @@ def input_summary(tables: dict) -> DataFrame:
 def sorted_index_curve(df: DataFrame, col: str, points: int = 101) -> DataFrame:
     """The sorted-value curve as a percentile grid (q = 0, 1/(points-1), ..., 1).
     A global row position would need one task over the whole column."""
+    from pricewise.operators.quantiles import exact_quantiles
     qs = [i / (points - 1) for i in range(points)]
-    q = df.agg(F.percentile(F.col(quote(col)).cast("double"), F.array(*[F.lit(v) for v in qs])).alias("v"))
-    return q.select(F.posexplode("v").alias("point", "value")).select(
-        "point", (F.col("point") / F.lit(float(points - 1))).alias("quantile"), "value")
+    q = exact_quantiles(df, col, qs)
+    return q.select(F.col("qi").alias("point"), (F.col("qi") / F.lit(float(points - 1))).alias("quantile"), "value")

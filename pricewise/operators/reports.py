@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pricewise.operators.common import Roles, join_small
 from pricewise.operators.features import BRAND_PREFIX, NUM_PREFIX
+from pricewise.operators.quantiles import exact_median
 from pricewise.operators.segments import SEGMENT_ORDER
 from pricewise.sources.tables import quote
 
@@ -20,11 +21,14 @@ TOP_DRIVERS = 20
 
 def brand_summary(df: DataFrame, roles: Roles = Roles(), premium_col: str = "is_premium_brand") -> DataFrame:
     """By brand: rows, mean and median price, mean premium flag; dearest first."""
-    return (df.filter(F.col(roles.brand).isNotNull()).groupBy(roles.brand)
+    keyed = df.filter(F.col(roles.brand).isNotNull())
+    med = exact_median(keyed, roles.price, [roles.brand], "median_price_eur")
+    return (keyed.groupBy(roles.brand)
             .agg(F.count(F.lit(1)).alias("count"),
                  F.avg(roles.price).alias("avg_price_eur"),
-                 F.median(roles.price).alias("median_price_eur"),
                  F.avg(premium_col).alias("avg_is_premium_brand"))
+            .join(med, roles.brand, "left")
+            .select(roles.brand, "count", "avg_price_eur", "median_price_eur", "avg_is_premium_brand")
             .orderBy(F.col("avg_price_eur").desc_nulls_last(), roles.brand))
 
 
@@ -33,12 +37,14 @@ def adjusted_brand_summary(df: DataFrame, brand: str = "brand_group", actual: st
     """By brand: rows, mean actual, mean spec-only prediction, mean and median
     residual (actual - prediction), and residual over prediction."""
     resid = F.col(actual) - F.col(pred)
-    return (df.filter(F.col(brand).isNotNull()).withColumn("_r", resid).groupBy(brand)
+    keyed = df.filter(F.col(brand).isNotNull()).withColumn("_r", resid)
+    med = exact_median(keyed, "_r", [brand], "median_adjusted_brand_premium_eur")
+    return (keyed.groupBy(brand)
             .agg(F.count(F.lit(1)).alias("count"),
                  F.avg(actual).alias("avg_actual_price_eur"),
                  F.avg(pred).alias("avg_spec_only_pred_price_eur"),
-                 F.avg("_r").alias("avg_adjusted_brand_premium_eur"),
-                 F.median("_r").alias("median_adjusted_brand_premium_eur"))
+                 F.avg("_r").alias("avg_adjusted_brand_premium_eur"))
+            .join(med, brand, "left")
             .withColumn("premium_ratio_vs_pred", F.try_divide(F.col("avg_adjusted_brand_premium_eur"),
                                                               F.col("avg_spec_only_pred_price_eur")))
             .orderBy(F.col("avg_adjusted_brand_premium_eur").desc_nulls_last(), brand))
@@ -49,11 +55,13 @@ def segment_summary(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
     feature; Entry, Mid-range, Flagship order."""
     seg = roles.segment
     order = F.create_map(*[x for k, v in SEGMENT_ORDER.items() for x in (F.lit(k), F.lit(v))])
-    aggs = [F.count(F.lit(1)).alias("count"), F.avg(roles.price).alias("avg_price_eur"),
-            F.median(roles.price).alias("median_price_eur")]
+    keyed = df.filter(F.col(seg).isNotNull())
+    med = exact_median(keyed, roles.price, [seg], "median_price_eur")
+    aggs = [F.count(F.lit(1)).alias("count"), F.avg(roles.price).alias("avg_price_eur")]
     aggs += [F.avg(quote(c)).alias(f"avg_{c}") for c in roles.summary_means]
-    return (df.filter(F.col(seg).isNotNull()).groupBy(seg).agg(*aggs)
-            .withColumn("_o", order[F.col(seg)]).orderBy(F.col("_o").asc_nulls_last(), seg).drop("_o"))
+    out = keyed.groupBy(seg).agg(*aggs).join(med, seg, "left")
+    out = out.select(seg, "count", "avg_price_eur", "median_price_eur", *[f"avg_{c}" for c in roles.summary_means])
+    return out.withColumn("_o", order[F.col(seg)]).orderBy(F.col("_o").asc_nulls_last(), seg).drop("_o")
 
 
 def numeric_reference(readable: DataFrame, encoded_cols, cols=None) -> DataFrame:
@@ -66,8 +74,10 @@ def numeric_reference(readable: DataFrame, encoded_cols, cols=None) -> DataFrame
                                F.col(quote(c)).cast("double").alias("v")) for i, c in enumerate(cols)])
     longv = readable.select(F.inline(pairs))
     sd = F.stddev_pop("v")
+    med = exact_median(longv, "v", ["pos", "raw_feature"], "median")
     return (longv.groupBy("pos", "raw_feature")
-            .agg(F.avg("v").alias("mean"), sd.alias("_sd"), F.median("v").alias("median"))
+            .agg(F.avg("v").alias("mean"), sd.alias("_sd"))
+            .join(med, ["pos", "raw_feature"], "left")
             .select("pos", "raw_feature", F.concat(F.lit(NUM_PREFIX), F.col("raw_feature")).alias("model_feature"),
                     "mean", F.when(F.col("_sd").isNull() | (F.col("_sd") == 0), 1.0).otherwise(F.col("_sd")).alias("std"),
                     "median")

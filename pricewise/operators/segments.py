@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pricewise.functions.clean import ppr_ratio
 from pricewise.operators.common import Roles, join_small
+from pricewise.operators.quantiles import column_medians_exact, quantile_row
 
 # Segment names, ordered from cheapest to dearest.
 SEGMENT_LABELS = ["Entry", "Mid-range", "Flagship"]
@@ -27,10 +28,9 @@ def percentile_segments(df: DataFrame, price_col: str = "price_eur", out: str =
     n = len(labels)
     qs = [i / n for i in range(1, n)]
     if approx:
-        cuts = F.percentile_approx(price_col, qs, 1_000_000)
+        cut_row = df.agg(F.percentile_approx(price_col, qs, 1_000_000).alias("_cuts"))
     else:
-        cuts = F.percentile(F.col(price_col), F.array(*[F.lit(q) for q in qs]))
-    cut_row = df.agg(cuts.alias("_cuts"))
+        cut_row = quantile_row(df, price_col, qs, "_cuts")
     out_df = df.crossJoin(F.broadcast(cut_row))
     expr = F.when(F.col(price_col).isNull(), F.lit(None).cast("string"))
     for i, label in enumerate(labels[:-1]):
@@ -68,13 +68,20 @@ def segment_baselines(df: DataFrame, roles: Roles = Roles(), approx: bool = Fals
     """Adds segment mean value score, segment median price and segment median PPR
     to every row (NULL for rows without a segment)."""
     seg = roles.segment
-    med = (lambda c: F.percentile_approx(c, 0.5, 100000).cast("double")) if approx else F.median
     if "performance_to_price_ratio" not in df.columns:
         df = df.withColumn("performance_to_price_ratio", ppr_ratio(roles.spec, roles.price))
-    stats = (df.filter(F.col(seg).isNotNull()).groupBy(seg)
-             .agg(F.avg(roles.value).alias("segment_mean_value_score"),
-                  med(roles.price).alias("segment_median_price_eur"),
-                  med("performance_to_price_ratio").alias("segment_median_performance_to_price_ratio")))
+    keyed = df.filter(F.col(seg).isNotNull())
+    means = keyed.groupBy(seg).agg(F.avg(roles.value).alias("segment_mean_value_score"))
+    if approx:
+        meds = keyed.groupBy(seg).agg(
+            F.percentile_approx(roles.price, 0.5, 100000).cast("double").alias("segment_median_price_eur"),
+            F.percentile_approx("performance_to_price_ratio", 0.5, 100000).cast("double")
+             .alias("segment_median_performance_to_price_ratio"))
+    else:
+        meds = column_medians_exact(keyed, [roles.price, "performance_to_price_ratio"], [seg]).select(
+            seg, F.col(roles.price).alias("segment_median_price_eur"),
+            F.col("performance_to_price_ratio").alias("segment_median_performance_to_price_ratio"))
+    stats = means.join(meds, seg, "left")
     return join_small(df, stats, seg, "left", bounded=True)
 
 
