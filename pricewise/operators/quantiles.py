@@ -9,7 +9,7 @@ skipped) with bounded per-task state:
 
 1. count the rows of every group;
 2. while the value interval that must contain a group's target ranks holds
-   more than ``max_bracket`` rows (and is not a single value), narrow it: a
+   more than ``max_bracket`` distinct values (HyperLogLog estimate), narrow it: a
    ``percentile_approx`` grid over the rows still inside proposes two grid
    values around each target rank, and exact counts verify the proposal (if
    it fails, the old interval is kept and the next grid is finer);
@@ -35,6 +35,7 @@ MAX_BRACKET = 1_000_000
 GRID = 1000
 ACCURACY = 200_000
 MAX_ROUNDS = 10
+MAX_GRID = 16_000
 
 
 def _key_cond(keys, prefix="_s_"):
@@ -69,7 +70,8 @@ def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = M
     for g in groups:
         base = base.filter(F.col(g).isNotNull())
 
-    counts = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"))
+    counts = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"),
+                                       F.approx_count_distinct("_x").alias("_nd"))
     qdf = spark.createDataFrame([(i, q) for i, q in enumerate(qs)], "_qi int, _q double")
     pos = F.col("_q") * (F.col("_n") - 1)
     state = (counts.crossJoin(F.broadcast(qdf))
@@ -77,7 +79,7 @@ def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = M
                      F.floor(pos).cast("long").alias("_rlo"), F.ceil(pos).cast("long").alias("_rhi"),
                      F.lit(None).cast("double").alias("_L"), F.lit(None).cast("double").alias("_U"),
                      F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_inside"),
-                     F.lit(grid).alias("_m")))
+                     F.col("_nd").alias("_dist"), F.lit(grid).alias("_m")))
     state = cut_lineage(state, "quantile_state")
 
     def inside_rows(st):
@@ -87,13 +89,15 @@ def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = M
             & (F.col("_U").isNull() | (F.col("_x") <= F.col("_U")))
         return base.join(F.broadcast(s) if _small(s) else s, cond, "inner").drop(*["_s_" + g for g in groups])
 
-    open_cond = (F.col("_inside") > max_bracket) & (F.col("_L").isNull() | F.col("_U").isNull()
-                                                    | (F.col("_L") < F.col("_U")))
+    # the final step collects distinct (value, count) pairs, so the bound is on distinct values
+    open_cond = (F.col("_dist") > max_bracket) & (F.col("_L").isNull() | F.col("_U").isNull()
+                                                  | (F.col("_L") < F.col("_U")))
     for _ in range(MAX_ROUNDS):
+        # a round that cannot narrow any interval (grid already at its cap) ends the loop
         open_ = state.filter(open_cond)
         if open_.limit(1).count() == 0:
             break
-        m = int(open_.agg(F.max("_m")).first()[0])
+        m = min(int(open_.agg(F.max("_m")).first()[0]), MAX_GRID)
         rows = inside_rows(open_)
         gridv = F.array(*[F.lit(i / m) for i in range(m + 1)])
         approx = rows.groupBy(*groups, "_qi").agg(F.percentile_approx("_x", gridv, accuracy).alias("_grid"))
@@ -107,7 +111,9 @@ def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = M
         ck = (rows.join(F.broadcast(cs) if _small(cs) else cs, _key_cond(groups) & (F.col("_qi") == F.col("_cqi")))
               .groupBy(*groups, "_qi")
               .agg(F.count_if(F.col("_x") < F.col("_L2")).alias("_b2"),
-                   F.count_if((F.col("_x") >= F.col("_L2")) & (F.col("_x") <= F.col("_U2"))).alias("_i2")))
+                   F.count_if((F.col("_x") >= F.col("_L2")) & (F.col("_x") <= F.col("_U2"))).alias("_i2"),
+                   F.approx_count_distinct(F.when((F.col("_x") >= F.col("_L2")) & (F.col("_x") <= F.col("_U2")),
+                                                  F.col("_x"))).alias("_d2")))
         nxt = cand.join(ck, [*groups, "_qi"], "left")
         nb = F.col("_below") + F.coalesce(F.col("_b2"), F.lit(0))
         ok = (F.col("_L2").isNotNull() & F.col("_i2").isNotNull() & (nb <= F.col("_rlo"))
@@ -118,7 +124,8 @@ def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = M
             F.when(ok, F.col("_U2")).otherwise(F.col("_U")).alias("_U"),
             F.when(ok, nb).otherwise(F.col("_below")).alias("_below"),
             F.when(ok, F.col("_i2")).otherwise(F.col("_inside")).alias("_inside"),
-            F.when(ok, F.col("_m")).otherwise(F.col("_m") * 4).alias("_m"))
+            F.when(ok, F.col("_d2")).otherwise(F.col("_dist")).alias("_dist"),
+            F.when(ok, F.col("_m")).otherwise(F.least(F.col("_m") * 4, F.lit(MAX_GRID))).alias("_m"))
         state = cut_lineage(state.filter(~open_cond).unionByName(refined), "quantile_state")
 
     # final: (value, count) pairs inside each interval, walked to the two ranks
