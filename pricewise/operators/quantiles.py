@@ -80,18 +80,24 @@ def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = M
                      F.lit(None).cast("double").alias("_L"), F.lit(None).cast("double").alias("_U"),
                      F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_inside"),
                      F.col("_nd").alias("_dist"), F.lit(grid).alias("_m")))
-    state = cut_lineage(state, "quantile_state")
+    # the final step collects distinct (value, count) pairs, so the bound is on distinct values
+    open_cond = (F.col("_dist") > max_bracket) & (F.col("_L").isNull() | F.col("_U").isNull()
+                                                  | (F.col("_L") < F.col("_U")))
+    # one row per group and quantile: small, cached; one job computes it and
+    # tells whether any interval needs narrowing at all (usually none)
+    state = state.cache()
+    n_state = state.count()
+    small_state = n_state <= 100_000
+    if state.filter(open_cond).limit(1).count() > 0:
+        state = cut_lineage(state, "quantile_state")
 
     def inside_rows(st):
         """Rows of ``base`` inside each interval of ``st`` (tagged with _qi)."""
         s = st.select(*[F.col(g).alias("_s_" + g) for g in groups], "_qi", "_L", "_U")
         cond = _key_cond(groups) & (F.col("_L").isNull() | (F.col("_x") >= F.col("_L"))) \
             & (F.col("_U").isNull() | (F.col("_x") <= F.col("_U")))
-        return base.join(F.broadcast(s) if _small(s) else s, cond, "inner").drop(*["_s_" + g for g in groups])
+        return base.join(F.broadcast(s) if small_state else s, cond, "inner").drop(*["_s_" + g for g in groups])
 
-    # the final step collects distinct (value, count) pairs, so the bound is on distinct values
-    open_cond = (F.col("_dist") > max_bracket) & (F.col("_L").isNull() | F.col("_U").isNull()
-                                                  | (F.col("_L") < F.col("_U")))
     for _ in range(MAX_ROUNDS):
         # a round that cannot narrow any interval (grid already at its cap) ends the loop
         open_ = state.filter(open_cond)
@@ -108,7 +114,7 @@ def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = M
                 .withColumn("_L2", F.col("_grid")[ilo]).withColumn("_U2", F.col("_grid")[ihi]).drop("_grid"))
         cand = cut_lineage(cand, "quantile_candidates")
         cs = cand.select(*[F.col(g).alias("_s_" + g) for g in groups], F.col("_qi").alias("_cqi"), "_L2", "_U2")
-        ck = (rows.join(F.broadcast(cs) if _small(cs) else cs, _key_cond(groups) & (F.col("_qi") == F.col("_cqi")))
+        ck = (rows.join(F.broadcast(cs) if small_state else cs, _key_cond(groups) & (F.col("_qi") == F.col("_cqi")))
               .groupBy(*groups, "_qi")
               .agg(F.count_if(F.col("_x") < F.col("_L2")).alias("_b2"),
                    F.count_if((F.col("_x") >= F.col("_L2")) & (F.col("_x") <= F.col("_U2"))).alias("_i2"),

@@ -795,3 +795,48 @@ def q_read_csv_fallback(spark, src):
     path = _scratch(spark, "documents_latin1_csv")
     docs.write.mode("overwrite").option("header", "true").option("escape", '"').option("encoding", "ISO-8859-1").csv(path)
     return TB.read_csv_fallback(spark, path)
+
+
+# --- remaining inventory keys ----------------------------------------------------
+
+register("load_model")(q_write_model)        # save, load back, score: one round trip
+register("inverse_log_target")(q_log_target)  # log1p then expm1 back to EUR
+register("flag_intersection")(q_flag_union)   # both the OR and the AND column
+register("column_profile")(QUERIES["column_profile_part"])
+
+
+@register("select_features")
+def q_select_features(spark, src):
+    enc = PP.encoded(spark, src, "part")
+    return enc.select("row_id", *[F.col(f"`{c}`") for c in enc.columns if c.startswith(FE.NUM_PREFIX)])
+
+
+@register("format_reason")
+def q_format_reason(spark, src):
+    vf = vp.value_frame(spark, src, "orders")
+    return vf.select("item_id", C.format_reason("performance_to_price_ratio", "value_score", "spec_score_0_100",
+                                                "market_price_discount_ratio", "avg_quantity", "size")
+                     .alias("recommendation_reason"))
+
+
+def _summary_inputs(spark, src):
+    best = ME.best_model(ME.cv_mean_metrics(ME.regression_metrics(_harness_predictions(spark, src))))
+    drivers = RP.top_price_drivers(PP.importance_by_correlation(spark, src, "part"), 20)
+    vf = vp.value_frame(spark, src, "part")
+    return best, drivers, vf
+
+
+@register("modeling_summary")
+def q_modeling_summary(spark, src):
+    best, drivers, vf = _summary_inputs(spark, src)
+    return RP.modeling_summary(best, drivers, vf, vf, R)
+
+
+@register("quality_checks")
+def q_quality_checks(spark, src):
+    cvm = ME.cv_mean_metrics(ME.regression_metrics(_harness_predictions(spark, src)))
+    vf = vp.value_frame(spark, src, "part")
+    recs = RE.scenario_topn(vf, vp.scenario_table(spark, "part"), 10, R)
+    val = RE.recommendation_validation(recs, vp.scenario_table(spark, "part"), R)
+    leak = TB.leakage_report(PP.encoded(spark, src, "part"))
+    return RP.quality_checks(val, cvm, vf, vf, leak, R)
