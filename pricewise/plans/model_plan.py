@@ -55,12 +55,14 @@ def market_oof(spark, src, kind: str = "part", spec=SMOKE_RF) -> DataFrame:
     from pricewise.operators.features import median_impute
     data = median_impute(seg, feats).withColumnRenamed("item_id", "row_id").withColumn("target", F.col("price_eur"))
     oof = M.oof_predict(data, spec, "price_eur", features=feats, target="target")
-    return seg.join(oof.select(F.col("row_id").alias("item_id"), F.col("yhat").alias("market_pred")), "item_id", "left")
+    # five fitted pipelines sit in this plan: write the result once
+    return cut_lineage(seg.join(oof.select(F.col("row_id").alias("item_id"), F.col("yhat").alias("market_pred")),
+                                "item_id", "left"), "market_oof")
 
 
 def full_value_outliers(spark, src, kind: str = "part") -> DataFrame:
     """Whole flag pipeline: RF market model (OOF) + isolation forest + z-scores."""
-    base = market_oof(spark, src, kind).cache()
+    base = market_oof(spark, src, kind)
     tmp = value_outliers(base, "market_pred", R, iso_col=None)
     iso_cols = ["value_score", "performance_to_price_ratio", "market_price_discount_ratio", "spec_score_0_100",
                 "price_eur", "item_age"]
@@ -68,8 +70,9 @@ def full_value_outliers(spark, src, kind: str = "part") -> DataFrame:
     # the scaled table ends a long plan; write it to the shared checkpoint folder
     z = cut_lineage(z.select("row_id", *[f"iso_{c}" for c in iso_cols]))
     flags = ISO.isolation_outliers(z, [f"iso_{c}" for c in iso_cols])
-    joined = base.join(flags.select(F.col("row_id").alias("item_id"), "isolation_raw_outlier"), "item_id", "left")
-    return value_outliers(joined, "market_pred", R, iso_col="isolation_raw_outlier")
+    joined = cut_lineage(base.join(flags.select(F.col("row_id").alias("item_id"), "isolation_raw_outlier"),
+                                   "item_id", "left"), "value_isolation")
+    return cut_lineage(value_outliers(joined, "market_pred", R, iso_col="isolation_raw_outlier"), "value_full")
 
 
 def guide_requests(spark: SparkSession, src: str, as_of_year: int = DEFAULT_AS_OF_YEAR) -> DataFrame:
