@@ -27,7 +27,9 @@ from pricewise.operators.metrics import regression_metrics
 from pricewise.sources.tables import TARGET_COL
 
 SEED = 42
-POOL = 4
+# concurrent fits submitted from the driver; each tree fit may use MLlib's
+# aggregation budget (maxMemoryInMB) at once, so keep this small
+POOL = 2
 
 
 @dataclass

@@ -143,7 +143,11 @@ def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = M
     p = F.col("_q") * (F.col("_n") - 1)
     value = F.when(F.col("_n") > 0, F.when(F.col("_rlo") == F.col("_rhi"), lo)
                    .otherwise((F.col("_rhi") - p) * lo + (p - F.col("_rlo")) * hi))
-    return res.select(*groups, F.col("_qi").alias("qi"), F.col("_q").alias("q"), value.alias("value"))
+    out = res.select(*groups, F.col("_qi").alias("qi"), F.col("_q").alias("q"), value.alias("value"))
+    # the answer is one row per group and quantile: write it and release the cache
+    out = cut_lineage(out, "quantiles")
+    state.unpersist()
+    return out
 
 
 def exact_median(df: DataFrame, col: str, groups=(), out: str | None = None) -> DataFrame:

@@ -32,7 +32,7 @@ ENSEMBLE_BASES = [M.ModelSpec("ridge", "ridge", {"alpha": 1.0}), M.scaled(SMOKE_
 
 
 def encoded(spark: SparkSession, src: str) -> DataFrame:
-    return PP.encoded_with_folds(spark, src, "part").cache()
+    return PP.encoded_with_folds(spark, src, "part")  # already a materialised table
 
 
 def holdout_fit_predictions(spark, src, spec) -> DataFrame:
