@@ -27,8 +27,8 @@ from pricewise.operators.metrics import regression_metrics
 from pricewise.sources.tables import TARGET_COL
 
 SEED = 42
-# concurrent fits submitted from the driver; each tree fit may use MLlib's
-# aggregation budget (maxMemoryInMB) at once, so keep this small
+# concurrent fits submitted from the driver on a small local heap; each tree
+# fit may use MLlib's aggregation budget (maxMemoryInMB) at once
 POOL = 2
 
 
@@ -127,8 +127,24 @@ def fit_boosted_trees(train, features, target_mode="price_eur", spec=BOOSTED):
     return fit(spec, train, features, target_mode)
 
 
+def _pool_size() -> int:
+    """4 concurrent fits, or 2 when a local driver JVM (which then does all the
+    tree aggregation itself) has less than 4 GiB of heap."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return POOL
+    conf = spark.sparkContext.getConf()
+    if not conf.get("spark.master", "").startswith("local"):
+        return 4
+    mem = conf.get("spark.driver.memory", "1g").strip().lower()
+    units = {"k": 1 / 1024 / 1024, "m": 1 / 1024, "g": 1, "t": 1024}
+    gib = float(mem[:-1]) * units.get(mem[-1], 1) if mem[-1] in units else float(mem) / 2 ** 30
+    return 4 if gib >= 4 else POOL
+
+
 def _run(jobs):
-    with ThreadPoolExecutor(max_workers=POOL) as pool:
+    with ThreadPoolExecutor(max_workers=_pool_size()) as pool:
         return list(pool.map(lambda j: j(), jobs))
 
 
