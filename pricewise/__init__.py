@@ -1,0 +1,8 @@
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the task, so executors need no
+# installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
