@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing
+from . import packing, simhash
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -21,7 +21,14 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, ["doc_id", "piece", "ids_crc32"])
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate component."""
+    out = simhash.cluster(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
+    "op3_simhash": op3_simhash,
     "op5_best_fit_packing": op5_best_fit_packing,
 }
 
