@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, simhash
+from . import langid, packing, secrets, simhash
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -21,13 +21,37 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, ["doc_id", "piece", "ids_crc32"])
 
 
+def op2_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text, learned from the labelled texts not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("held_out"))
+    model = langid.learn(docs.where("not held_out"))
+    return langid.predict(docs, model, columns=["doc_id", "held_out"])
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint and near-duplicate component."""
     out = simhash.cluster(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document; a source is the owner, a document the repository."""
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+
+    def count(field: str, value: str):
+        return F.size(F.filter("spans", lambda s: s[field] == value)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count("kind", k).alias(f"n_{k}") for k in secrets.BASE),
+        F.sha2(secrets.span_text(F.filter("spans", lambda s: s["base"])).cast("binary"), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+        count("label", "live").alias("n_live"), count("label", "copied").alias("n_copied"))
+
+
 QUERIES = {
+    "op2_language_bitmask": op2_language_bitmask,
+    "op7_secret_scan": op7_secret_scan,
     "op3_simhash": op3_simhash,
     "op5_best_fit_packing": op5_best_fit_packing,
 }
