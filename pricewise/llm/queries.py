@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, secrets, simhash
+from . import langid, linededup, packing, secrets, simhash
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -49,11 +49,20 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count("label", "live").alias("n_live"), count("label", "copied").alias("n_copied"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its source's boilerplate lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return linededup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 QUERIES = {
+    "op8_line_dedup": op8_line_dedup,
     "op2_language_bitmask": op2_language_bitmask,
     "op7_secret_scan": op7_secret_scan,
     "op3_simhash": op3_simhash,
     "op5_best_fit_packing": op5_best_fit_packing,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_line_dedup": linededup.SQL,
+}

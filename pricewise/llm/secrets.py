@@ -26,7 +26,9 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,13 +64,30 @@ def _mixed(value: str) -> bool:
     return any(c.islower() for c in value) and any(c.isupper() for c in value) and any(c.isdigit() for c in value) and _bits(value) >= 3.5
 
 
-def spans_of(text: str) -> list[tuple[str, int, int, str]]:
+#: What a text must hold for a kind to occur in it, as linear-time patterns over whole
+#: columns: a first test only, each at least as wide as the kind's own pattern.
+HINTS = {
+    "assign": """(?i)(password|passwd|secret|token|api_?key)["']? *[:=]""",
+    "access": "AKIA[A-Z0-9]{14}",
+    "hex": "[0-9a-f]{16}",
+    "token": "[A-Za-z0-9+/_-]{20}",
+    "pem": "PRIVATE KEY-----",
+}
+
+
+def spans_of(text: str, kinds: set[str] = frozenset(KINDS)) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, secret value) by start, then kind; ends are exclusive code points."""
-    base = [("assign", m.start(), m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
-    base += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
-    base += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
-    more = [("token", m.start(), m.end(), m[0]) for m in TOKEN.finditer(text) if _mixed(m[0])]
-    more += [("pem", m.start(), m.end(), m[0]) for m in PEM.finditer(text)]
+    base, more = [], []
+    if "assign" in kinds:
+        base += [("assign", m.start(), m.end(), m[2]) for m in ASSIGN.finditer(text) if len(m[2]) >= MIN_ASSIGN]
+    if "access" in kinds:
+        base += [("access", m.start(), m.end(), m[0]) for m in ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
+    if "hex" in kinds:
+        base += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
+    if "token" in kinds:
+        more += [("token", m.start(), m.end(), m[0]) for m in TOKEN.finditer(text) if _mixed(m[0])]
+    if "pem" in kinds:
+        more += [("pem", m.start(), m.end(), m[0]) for m in PEM.finditer(text)]
     taken = [(s, e) for _, s, e, _ in base]
     base += [x for x in more if not any(x[1] < e and s < x[2] for s, e in taken)]
     return sorted(base, key=lambda x: (x[1], KINDS.index(x[0])))
@@ -87,8 +106,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [[{"kind": k, "start": s, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest(), "live": looks_live(v) or k == "pem"}
-                      for k, s, e, v in spans_of(t.as_py() or "")] for t in b.column(3)]
+            text = b.column(3).fill_null("")
+            hints = {k: pc.match_substring_regex(text, p).to_numpy(zero_copy_only=False) for k, p in HINTS.items()}
+            found = [[] for _ in range(b.num_rows)]
+            for i in np.flatnonzero(np.logical_or.reduce(list(hints.values()))):
+                found[i] = [{"kind": k, "start": s, "end": e, "hash": hashlib.sha256(v.encode()).hexdigest(), "live": looks_live(v) or k == "pem"}
+                            for k, s, e, v in spans_of(text[int(i)].as_py(), {k for k in KINDS if hints[k][i]})]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(found, kind)], names=["doc_id", "owner", "repo", "candidates"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(owner_col).cast("string").alias("owner"),
