@@ -65,6 +65,20 @@ def words_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, off)
 
 
+def distinct_words(data: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The different words of a slice, each occurrence's word, and each row's first occurrence."""
+    starts, ends, first = words_of(data, off)
+    flat = np.zeros(len(starts) + 1, np.int32)
+    np.cumsum(ends - starts, out=flat[1:])
+    ink = np.zeros(len(data) + 1, np.int32)
+    ink[starts] += 1
+    ink[ends] -= 1
+    body = data[np.cumsum(ink[:-1]).astype(bool)]
+    arr = pa.StringArray.from_buffers(len(starts), pa.py_buffer(flat), pa.py_buffer(np.ascontiguousarray(body)))
+    d = arr.dictionary_encode()
+    return d.dictionary.to_pylist(), d.indices.to_numpy(zero_copy_only=False).astype(np.int64), first
+
+
 def normal_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The words joined by one space each, as bytes, and the new starts (one more than words)."""
     size = ends - starts

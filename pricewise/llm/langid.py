@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_slices, words_of, worker_memory
+from .common import distinct_words, text_slices, worker_memory
 
 SLOTS = 1 << 21
 PROBES = 3
@@ -92,20 +92,6 @@ def _slots(grams: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _distinct_words(rows: pa.RecordBatch, data: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The slice's different words, each occurrence's word, and each row's first occurrence."""
-    starts, ends, first = words_of(data, off)
-    flat = np.zeros(len(starts) + 1, np.int32)
-    np.cumsum(ends - starts, out=flat[1:])
-    ink = np.zeros(len(data) + 1, np.int32)
-    ink[starts] += 1
-    ink[ends] -= 1
-    body = data[np.cumsum(ink[:-1]).astype(bool)]
-    arr = pa.StringArray.from_buffers(len(starts), pa.py_buffer(flat), pa.py_buffer(np.ascontiguousarray(body)))
-    d = arr.dictionary_encode()
-    return d.dictionary.to_pylist(), d.indices.to_numpy(zero_copy_only=False).astype(np.int64), first
-
-
 def trigram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, gram, n) over all rows with a language; a task gives one row per pair and flush."""
     schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
@@ -118,7 +104,7 @@ def trigram_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
             return g, np.bincount(back, np.concatenate([p[1] for p in parts])).astype(np.int64)
 
         for rows, data, off in text_slices(batches, "text"):
-            words, which, first = _distinct_words(rows, data, off)
+            words, which, first = distinct_words(data, off)
             if not words:
                 continue
             grams, per_word = _trigrams(words)
@@ -221,7 +207,7 @@ def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text", colu
         if memory.get("lang_key") != model.key:
             memory.update(lang_key=model.key, lang_words={}, lang_rows=np.zeros((0, 1 + len(model.languages)), np.int32))
         for rows, data, off in text_slices(batches, text_col):
-            words, which, first = _distinct_words(rows, data, off)
+            words, which, first = distinct_words(data, off)
             known, table = memory["lang_words"], memory["lang_rows"]
             if len(known) > CACHED_WORDS:
                 known, table = {}, table[:0]

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linededup, packing, secrets, simhash
+from . import decontaminate, langid, linededup, packing, secrets, simhash
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -55,7 +55,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_boilerplate(docs).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it contains, verbatim or re-parameterised."""
+    out = decontaminate.flag(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "contaminated", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"), "changed")
+
+
 QUERIES = {
+    "op10_decontamination": op10_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op2_language_bitmask": op2_language_bitmask,
     "op7_secret_scan": op7_secret_scan,
