@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, linededup, packing, secrets, simhash
+from . import decontaminate, htmltext, langid, linededup, packing, secrets, simhash
 from .common import table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -61,7 +61,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "contaminated", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"), "changed")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op6_html_extraction": op6_html_extraction,
     "op10_decontamination": op10_decontamination,
     "op8_line_dedup": op8_line_dedup,
     "op2_language_bitmask": op2_language_bitmask,
