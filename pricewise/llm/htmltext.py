@@ -197,7 +197,7 @@ def blocks_of(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
                 beside, inside = stack[-1][1:] if stack else (False, False)
                 heading = any(t in HEADING_TAGS for t, _, _ in stack)
             continue
-        if tag in VOID_TAGS or m[3].endswith("/") and tag in ("svg", "path", "use"):
+        if tag in VOID_TAGS or m[3].endswith("/>") and tag in ("svg", "path", "use"):
             continue
         if tag in RAW_TAGS:
             close = re.compile(rf"</{tag}\s*>", re.IGNORECASE).search(page, at)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, linededup, packing, secrets, simhash
-from .common import table
+from . import decontaminate, htmltext, langid, linededup, packing, secrets, simhash, warc
+from .common import scratch_path, table
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
@@ -66,7 +67,18 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(table(spark, sf_dir, "pages"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written, indexed and read back through the index."""
+    folder = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    captures = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    directory = warc.write_index(captures, folder)
+    back = warc.read_back(spark, directory, folder)
+    return back.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                       F.col("refers_to").cast("long").alias("refers_to"), "url")
+
+
 QUERIES = {
+    "op9_warc": op9_warc,
     "op6_html_extraction": op6_html_extraction,
     "op10_decontamination": op10_decontamination,
     "op8_line_dedup": op8_line_dedup,
@@ -76,6 +88,17 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
 }
 
+#: Records as the payloads alone determine them.
+WARC_SQL = """
+WITH p AS (SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS least FROM p WHERE n >= 100 GROUP BY d)
+SELECT p.page_id, p.n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN f.least <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.least <> p.page_id THEN f.least END AS refers_to, p.url
+FROM p LEFT JOIN f ON p.d = f.d
+"""
+
 ORACLE: dict[str, str] = {
+    "op9_warc": WARC_SQL,
     "op8_line_dedup": linededup.SQL,
 }
