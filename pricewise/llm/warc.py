@@ -224,7 +224,7 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
 
 def _captures(data: bytes) -> list[tuple]:
     return [(k, p or None, t, r or None, f, int(o), int(n)) for k, p, t, r, f, o, n in
-            (x.split("\t") for x in zlib.decompress(data, 31).decode().splitlines())]
+            (x.split("\t") for x in zlib.decompress(data, 31).decode().split("\n")[:-1])]
 
 
 def read_index(spark: SparkSession, directory: DataFrame, folder: str) -> DataFrame:
@@ -296,7 +296,7 @@ def lookup(urls: DataFrame, directory: DataFrame, folder: str, url_col: str = "u
                 key, out = url_key(url), []
                 for i in range(max(0, bisect.bisect_left(firsts, key) - 1), bisect.bisect_right(firsts, key)):
                     if loaded[0] != top[i][1]:
-                        entries = [x.split("\t") for x in reader.all(f"{top[i][1]}.dir").decode().splitlines()]
+                        entries = [x.split("\t") for x in reader.all(f"{top[i][1]}.dir").decode().split("\n")[:-1]]
                         loaded = (top[i][1], [e[0] for e in entries], [(int(e[1]), int(e[2])) for e in entries])
                     name, keys, ranges = loaded
                     for j in range(max(0, bisect.bisect_left(keys, key) - 1), bisect.bisect_right(keys, key)):
