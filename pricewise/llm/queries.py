@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, linededup, packing, secrets, simhash, warc
+from . import decontaminate, htmltext, langid, linededup, packing, permutation, secrets, simhash, warc
 from .common import scratch_path, table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -22,6 +22,12 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, ["doc_id", "piece", "ids_crc32"])
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return permutation.search(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op2_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every whole text, learned from the labelled texts not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", langid.held_out(F.col("doc_id")).alias("held_out"))
@@ -78,6 +84,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_permutation_index": op1_permutation_index,
     "op9_warc": op9_warc,
     "op6_html_extraction": op6_html_extraction,
     "op10_decontamination": op10_decontamination,
