@@ -8,16 +8,27 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, linededup, packing, permutation, secrets, simhash, warc
+from . import decontaminate, htmltext, langid, linededup, packing, permutation, secrets, simhash, substring, warc
 from .common import scratch_path, table
 
 #: Folder of the public tokenizers' vocabulary files.
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 
 
+def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated 35-word windows."""
+    out = substring.dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def word_tokenizer() -> str:
+    """Path of the packing vocabulary."""
+    return os.path.join(TOKENIZERS, "word_bpe_49k.json")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in 2048-token sequences."""
-    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), os.path.join(TOKENIZERS, "word_bpe_49k.json"))
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), word_tokenizer())
     pieces = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(pieces, ["doc_id", "piece", "ids_crc32"])
 
@@ -84,6 +95,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_fm_index": op4_fm_index,
     "op1_permutation_index": op1_permutation_index,
     "op9_warc": op9_warc,
     "op6_html_extraction": op6_html_extraction,
