@@ -128,12 +128,17 @@ def _search(index: pa.Table, queries: pa.Table, pivots: np.ndarray, k: int, rera
             near = near[ids[near] != qids[i]]
             score = (ux[near] * uq[i]).sum(axis=1)
             best = near[np.lexsort((ids[near], -score))[:k]]
-            exact = [float(np.dot(x[b], q[i]) / (np.sqrt(np.dot(x[b], x[b])) * np.sqrt(np.dot(q[i], q[i])))) for b in best]
-            exact = [e if np.isfinite(e) else float(np.dot(ux[b], uq[i])) for e, b in zip(exact, best)]
-            out += zip([qids[i]] * len(best), ids[best].tolist(), exact)
+            out += zip([qids[i]] * len(best), ids[best].tolist(), (_cosine(x[b], q[i], ux[b], uq[i]) for b in best))
     return out
 
 
+def _cosine(a: np.ndarray, b: np.ndarray, unit_a: np.ndarray, unit_b: np.ndarray) -> float:
+    """Of the original vectors; of their unit vectors if squares leave the range of doubles."""
+    with np.errstate(over="ignore", under="ignore"):
+        norm = np.sqrt(np.dot(a, a)) * np.sqrt(np.dot(b, b))
+    return float(np.dot(a, b) / norm) if np.isfinite(norm) and norm > 1e-150 else float(np.dot(unit_a, unit_b))
+
+
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = PIVOTS, rerank: float = RERANK,
            id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest rows found for each query, rows
