@@ -109,6 +109,15 @@ v5 AS (SELECT v4.*,
 vf AS (SELECT v5.*, zscore_value_outlier OR isolation_value_outlier OR market_underpriced_outlier AS is_value_outlier FROM v5)"""
 
 
+def isolation_cte(kind: str) -> str:
+    """vi: the value frame with every third item flagged in place of the isolation forest."""
+    return value_cte(kind) + """,
+qv AS (SELECT quantile_cont(value_score, 0.75) AS qq FROM vf),
+v7 AS (SELECT * EXCLUDE (qq) REPLACE (item_id % 3 = 0 AS isolation_raw_outlier,
+              item_id % 3 = 0 AND coalesce(value_score >= qq, false) AS isolation_value_outlier) FROM vf CROSS JOIN qv),
+vi AS (SELECT * REPLACE (zscore_value_outlier OR isolation_value_outlier OR market_underpriced_outlier AS is_value_outlier) FROM v7)"""
+
+
 def scenarios_cte(rows) -> str:
     vals = []
     for r in rows:
@@ -137,7 +146,7 @@ SORT_SQL = ("performance_to_price_ratio DESC NULLS LAST, value_score DESC NULLS
             "spec_score_0_100 DESC NULLS LAST, price_eur ASC NULLS LAST, item_id ASC")
 
 
-def scenario_topn_sql(kind: str, scenarios, max_n: int = 10, base: str = "vf", with_prefix: str | None = None) -> str:
+def scenario_topn_sql(kind: str, scenarios, base: str = "vf", with_prefix: str | None = None) -> str:
     prefix = with_prefix if with_prefix is not None else value_cte(kind)
     return f"""WITH {prefix},
 {scenarios_cte(scenarios)},
@@ -153,7 +162,7 @@ recs AS (
          performance_to_price_ratio, market_price_discount_ratio, expected_market_price_eur,
          market_underpriced_outlier, is_value_outlier, avg_quantity, n_lines, avg_extendedprice, size, avg_discount,
          {reason_sql()} AS recommendation_reason, item_id
-  FROM pairs WHERE rn <= {max_n} AND rn <= top_n)"""
+  FROM pairs WHERE rn <= top_n)"""
 
 
 def validation_sql(kind: str, scenarios) -> str:
@@ -502,11 +511,11 @@ co3 AS (SELECT *, CASE rank WHEN 1 THEN 'Entry' WHEN 2 THEN 'Mid-range' WHEN 3 T
 
 
 def method_counts_sql(kind: str) -> str:
-    return f"""WITH {value_cte(kind)},
+    return f"""WITH {isolation_cte(kind)},
 c AS (SELECT count_if(zscore_value_outlier) AS c1, count_if(isolation_value_outlier) AS c2, count_if(market_underpriced_outlier) AS c3,
              count_if(zscore_value_outlier AND isolation_value_outlier) AS c4,
              count_if(zscore_value_outlier AND isolation_value_outlier AND market_underpriced_outlier) AS c5,
-             count_if(is_value_outlier) AS c6 FROM vf)
+             count_if(is_value_outlier) AS c6 FROM vi)
 SELECT 1 AS method_order, 'Z-score within segment' AS method, c1 AS "count" FROM c
 UNION ALL SELECT 2, 'IsolationForest + high value_score', c2 FROM c
 UNION ALL SELECT 3, 'Market expected-price underpricing Z-score', c3 FROM c
@@ -603,10 +612,11 @@ O["budget_filter"] = (f"WITH {segmented_cte('part')} SELECT * FROM seg WHERE pri
                       "AND brand_group = 'Brand#7'")
 O["non_null_key_filter"] = (f"WITH {catalog_cte('orders')} SELECT item_id, brand_group FROM cat WHERE brand_group IS NOT NULL "
                             "AND spec_score_0_100 IS NOT NULL")
-O["outlier_predicates"] = (f"WITH {value_cte('orders')} SELECT item_id, segment, market_underpriced_outlier, zscore_value_outlier, "
-                           "isolation_value_outlier, is_value_outlier FROM vf")
-O["flag_union"] = (f"WITH {value_cte('orders')} SELECT item_id, zscore_value_outlier OR market_underpriced_outlier AS flag_union, "
-                   "zscore_value_outlier AND market_underpriced_outlier AS flag_intersection FROM vf")
+O["outlier_predicates"] = (f"WITH {isolation_cte('orders')} SELECT item_id, segment, market_underpriced_outlier, zscore_value_outlier, "
+                           "isolation_value_outlier, is_value_outlier FROM vi")
+O["flag_union"] = f"WITH {isolation_cte('orders')} SELECT item_id, is_value_outlier AS flag_union FROM vi"
+O["flag_intersection"] = (f"WITH {isolation_cte('orders')} SELECT item_id, zscore_value_outlier AND isolation_value_outlier "
+                          "AS flag_intersection FROM vi")
 O["segment_baselines"] = (f"""WITH {segmented_cte('orders')},
 sb AS (SELECT segment AS s, avg(value_score) AS segment_mean_value_score, median(price_eur) AS segment_median_price_eur,
               median(spec_score_0_100 / nullif(price_eur, 0)) AS segment_median_performance_to_price_ratio
@@ -634,9 +644,9 @@ O["value_outliers"] = f"WITH {value_cte('part')} SELECT * EXCLUDE (fold, market_
 O["rank_value_outliers"] = (f"WITH {value_cte('orders')} SELECT item_id, performance_to_price_ratio, market_price_discount_ratio, "
                             "value_score FROM vf WHERE is_value_outlier")
 O["recommend_topn"] = topn_sql("part", 960.0, 10)
-O["recommendation_rank"] = (f"SELECT recommendation_rank, item_id FROM ({topn_sql('orders', 150000.0, 10, 'Mid-range', '3-MEDIUM')})")
+O["recommendation_rank"] = (f"SELECT recommendation_rank, item_id FROM ({topn_sql('orders', 200000.0, 10, 'Mid-range', '3-MEDIUM')})")
 O["outlier_flag_join"] = f"WITH {value_cte('orders')} SELECT item_id, price_eur, is_value_outlier FROM vf"
-O["recommend_for_user"] = scenario_topn_sql("part", PART_SCENARIOS, max_n=8) + "\nSELECT * FROM recs"
+O["recommend_for_user"] = scenario_topn_sql("part", PART_SCENARIOS) + "\nSELECT * FROM recs"
 O["scenario_join"] = (f"WITH {segmented_cte('orders')}, {scenarios_cte(ORDER_SCENARIOS)} SELECT scenario, count(*) AS candidates, "
                       "min(price_eur) AS min_price, max(price_eur) AS max_price FROM seg JOIN sc ON price_eur <= budget_eur "
                       "AND (want_segment IS NULL OR segment = want_segment) AND (want_brand IS NULL OR brand_group = want_brand) "
@@ -776,7 +786,6 @@ SELECT row_id, sum(weight * yhat) AS yhat, n_models FROM pp JOIN wt ON pp.model
 O["load_model"] = None
 del O["load_model"]  # model round trip: rows-only check
 O["inverse_log_target"] = O["log_target"]
-O["flag_intersection"] = O["flag_union"]
 O["column_profile"] = O["column_profile_part"]
 O["select_features"] = (f"WITH {encoded_cte('part')} SELECT row_id, " + ", ".join(q('num__' + c) for c in NUM_ALL)
                         + " FROM enc")

@@ -30,6 +30,7 @@ def asc_last(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).asc_nulls_last()
 
 
+# The default column names of the roles.
 @dataclass
 class Roles:
     """Which column plays which part. Defaults are the reference's names; the

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricewise.session import cut_lineage
+
 N_TREES = 100
 SAMPLE_SIZE = 256
 CONTAMINATION = 0.05
@@ -90,7 +92,7 @@ def sample_for_trees(df: DataFrame, cols, n: int, n_trees: int = N_TREES, sample
     """(tree_id, row_id, _h, features) for the rows each tree may sample."""
     frac = min(1.0, 1.25 * sample_size / max(n, 1))
     cut = int(frac * (2 ** 62))
-    h = lambda t: F.abs(F.xxhash64(F.col("row_id"), t, F.lit(seed))) % F.lit(2 ** 62)
+    h = lambda t: F.pmod(F.xxhash64(F.col("row_id"), t, F.lit(seed)), F.lit(2 ** 62))
     trees = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: h(t) < F.lit(cut))
     return (df.select("row_id", *cols, F.explode(trees).alias("tree_id"))
             .withColumn("_h", h(F.col("tree_id"))))
@@ -136,7 +138,8 @@ def isolation_outliers(df: DataFrame, cols, n_trees: int = N_TREES, sample_size:
     n = df.count()
     sample = sample_for_trees(df, cols, n, n_trees, sample_size, seed)
     forest = grow_trees(sample, cols, sample_size, seed).toPandas()  # n_trees * <= 2*sample_size rows
-    scored = score_rows(df, cols, forest, sample_size)
+    # the scores feed the quantile and the result: write them once
+    scored = cut_lineage(score_rows(df, cols, forest, sample_size), "isolation_scores")
     from pricewise.operators.quantiles import quantile_row
     q = quantile_row(scored, "isolation_score", [1.0 - contamination], "_qs").select(F.col("_qs")[0].alias("_q"))
     return (scored.crossJoin(F.broadcast(q))

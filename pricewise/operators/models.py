@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -89,17 +88,15 @@ def _estimator(spec: ModelSpec, train: DataFrame, label: str):
     raise ValueError(spec.kind)
 
 
-def assemble(df: DataFrame, features) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep").transform(df)
-
-
 def fit(spec: ModelSpec, train: DataFrame, features, target_mode: str = "price_eur",
         target: str = TARGET_COL) -> PipelineModel:
-    """Fit one model on the (log-)target. Rows are repartitioned by id first
+    """Fit one model on the (log-)target. Rows are dealt by a hash of
+    their id to a fixed number of sorted partitions (the session's shuffle partitions),
     so the result does not depend on the input's partitioning."""
     t = train.withColumn("label_t", log_target(target, target_mode))
     if "row_id" in t.columns:
-        t = t.repartitionByRange(max(1, t.rdd.getNumPartitions()), "row_id").sortWithinPartitions("row_id")
+        parts = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        t = t.repartition(parts, "row_id").sortWithinPartitions("row_id")
     asm = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
     est = _estimator(spec, asm.transform(t), "label_t")
     return Pipeline(stages=[asm, est]).fit(t)
@@ -111,22 +108,6 @@ def predict(model: PipelineModel, df: DataFrame, target_mode: str, keep=("row_id
                       inverse_log_target("pred_t", target_mode).alias("yhat"))
 
 
-def fit_linear(train, features, target_mode="price_eur"):
-    return fit(LINEAR, train, features, target_mode)
-
-
-def fit_ridge(train, features, target_mode="price_eur", alpha=1.0):
-    return fit(ModelSpec("Ridge", "ridge", {"alpha": alpha}), train, features, target_mode)
-
-
-def fit_random_forest(train, features, target_mode="price_eur", spec=RANDOM_FOREST):
-    return fit(spec, train, features, target_mode)
-
-
-def fit_boosted_trees(train, features, target_mode="price_eur", spec=BOOSTED):
-    return fit(spec, train, features, target_mode)
-
-
 def _pool_size() -> int:
     """4 concurrent fits, or 2 when a local driver JVM (which then does all the
     tree aggregation itself) has less than 4 GiB of heap."""
@@ -321,7 +302,3 @@ def adjusted_brand_premium(enc: DataFrame, brands: DataFrame, spec: ModelSpec =
     return (oof.select("row_id", F.col("y").alias("actual_price_eur"),
                        clip_min("yhat", 1.0).alias("spec_only_pred_price_eur"))
             .join(brands, "row_id", "left"))
-
-
-def vector_column_to_array(df: DataFrame, col: str, out: str) -> DataFrame:
-    return df.withColumn(out, vector_to_array(col))

@@ -42,7 +42,10 @@ def column_profile(df: DataFrame, cols=None, approx: bool = False, with_dtype: b
             n.alias("n"), F.count_if(F.col("value").isNull()).alias("missing"),
             F.approx_count_distinct("value").alias("unique"))
     else:
-        # distinct first on (column, value): spreads wide columns over tasks
+        # distinct first on (column, value): spreads wide columns over tasks; of long
+        # texts only a 256-bit digest is shuffled, marked apart from short values
+        key = F.when(F.length("value") > 64, F.concat(F.lit("#"), F.sha2(F.col("value").cast("binary"), 256))).otherwise(F.concat(F.lit("="), F.col("value")))
+        longv = longv.withColumn("value", key)
         dv = longv.groupBy("pos", "column", "value").agg(n.alias("c"))
         per = dv.groupBy("pos", "column").agg(
             F.sum("c").alias("n"),

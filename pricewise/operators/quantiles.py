@@ -43,10 +43,6 @@ def _key_cond(keys, prefix="_s_"):
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def _small(df: DataFrame, limit: int = 100_000) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def _rank_value(rank):
     """Value at 0-based ``rank`` of a sorted array of (x, c) structs."""
     init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("val"))

@@ -94,11 +94,11 @@ def scenario_join(catalog: DataFrame, scenarios: DataFrame, roles: Roles = Roles
     return join_small(catalog, s, cond, "inner")
 
 
-def scenario_topn(catalog: DataFrame, scenarios: DataFrame, max_n: int = DEFAULT_TOP_N,
-                  roles: Roles = Roles(), keep_id: bool = True) -> DataFrame:
-    """Top-N per scenario for a whole batch of requests in one job. ``max_n``
-    is a literal upper bound on every scenario's ``top_n`` (it is what lets the
-    planner push a partial limit below the shuffle)."""
+def scenario_topn(catalog: DataFrame, scenarios: DataFrame, roles: Roles = Roles(), keep_id: bool = True) -> DataFrame:
+    """Top-N per scenario for a whole batch of requests in one job. The largest
+    ``top_n`` of the request table is read first: as a literal bound it lets the
+    planner push a partial limit below the shuffle, and it cuts no request."""
+    largest = scenarios.agg(F.max("top_n")).first()[0] or 0
     cand = catalog
     for c in ["market_price_discount_ratio", "expected_market_price_eur"]:
         if c not in cand.columns:
@@ -110,7 +110,7 @@ def scenario_topn(catalog: DataFrame, scenarios: DataFrame, max_n: int = DEFAULT
     pairs = scenario_join(cand, scenarios, roles)
     w = Window.partitionBy("scenario").orderBy(*_sort_keys(roles))
     ranked = (pairs.withColumn("recommendation_rank", F.row_number().over(w))
-              .filter(F.col("recommendation_rank") <= int(max_n))
+              .filter(F.col("recommendation_rank") <= int(largest))
               .filter(F.col("recommendation_rank") <= F.col("top_n"))
               .withColumn("budget_utilization", F.col(roles.price) / F.col("budget_eur")))
     ranked = ranked.withColumn("recommendation_reason", _reason(roles, ranked))
@@ -162,10 +162,10 @@ def recommendation_lift(recs: DataFrame, catalog: DataFrame, roles: Roles = Role
                                                             F.col("overall_mean_performance_to_price_ratio"))))
 
 
-def recommend_for_user(segmented: DataFrame, outliers: DataFrame, scenarios: DataFrame, max_n: int = DEFAULT_TOP_N,
+def recommend_for_user(segmented: DataFrame, outliers: DataFrame, scenarios: DataFrame,
                        roles: Roles = Roles()) -> DataFrame:
     """Serving-side recommendations on a saved segmented catalogue: the value
     flag comes from the saved outlier table (existence join on the item id)."""
     from pricewise.operators.outliers import flag_from_outlier_table
     flagged = flag_from_outlier_table(segmented, outliers, roles.item_id)
-    return scenario_topn(flagged, scenarios, max_n, roles)
+    return scenario_topn(flagged, scenarios, roles)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricewise.functions.clean import py_format
+from pricewise.functions.clean import fixed_text
 from pricewise.operators.common import Roles, join_small
 from pricewise.operators.features import BRAND_PREFIX, NUM_PREFIX
 from pricewise.operators.quantiles import exact_median
@@ -160,8 +160,8 @@ def modeling_summary(best: DataFrame, drivers: DataFrame, segmented: DataFrame,
     names, number of value outliers."""
     b = best.select(
         F.concat(F.col("model"), F.lit(" ("), F.col("target_mode"), F.lit(")")).alias("best"),
-        py_format("MAE", ".2f").alias("mae"),
-        py_format("R2", ".4f").alias("r2"))
+        fixed_text("MAE", 2).alias("mae"),
+        fixed_text("R2", 4).alias("r2"))
     top5 = top_factors_text(drivers, 5)
     segs = (segmented.select(roles.segment).filter(F.col(roles.segment).isNotNull()).distinct()
             .agg(F.array_join(F.array_sort(F.collect_list(roles.segment)), ", ").alias("segments")))
@@ -200,8 +200,8 @@ def quality_checks(validation: DataFrame, cv_means: DataFrame, flagged: DataFram
         rule(2, "recommendations_sorted_by_ppr", F.col("ppr_ok"), F.col("ppr_ok").cast("string")),
         rule(3, "recommendations_sorted_by_value", F.col("value_ok"), F.col("value_ok").cast("string")),
         # better than the median baseline by more than float noise (the baseline itself scores MASE = 1)
-        rule(4, "model_beats_median_baseline", F.col("best_mase") < 1 - 1e-9, F.concat(F.lit("best_MASE="), py_format("best_mase", ".4f"))),
-        rule(5, "model_explains_variance", F.col("best_r2") > 0, F.concat(F.lit("best_R2="), py_format("best_r2", ".4f"))),
+        rule(4, "model_beats_median_baseline", F.col("best_mase") < 1 - 1e-9, F.concat(F.lit("best_MASE="), fixed_text("best_mase", 4))),
+        rule(5, "model_explains_variance", F.col("best_r2") > 0, F.concat(F.lit("best_R2="), fixed_text("best_r2", 4))),
         rule(6, "outlier_share_below_20pct", F.col("nout") < F.col("n") * 0.2,
              F.concat(F.col("nout").cast("string"), F.lit("/"), F.col("n").cast("string"))),
         rule(7, "outliers_found", F.col("nout") > 0, F.col("nout").cast("string")),

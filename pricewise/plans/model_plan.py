@@ -16,7 +16,7 @@ from pricewise.operators import isolation as ISO
 from pricewise.operators import models as M
 from pricewise.operators import reports as RP
 from pricewise.operators.common import CATALOG_ROLES as R
-from pricewise.operators.features import BRAND_PREFIX, NUM_PREFIX, column_medians, feature_columns, vocabulary
+from pricewise.operators.features import BRAND_PREFIX, NUM_PREFIX, column_medians, feature_columns
 from pricewise.operators.folds import kfold_assign
 from pricewise.operators.outliers import value_outliers
 from pricewise.operators.segments import assign_segment_labels, percentile_segments
@@ -114,5 +114,3 @@ def price_guide(spark: SparkSession, src: str, spec=SMOKE_GBT, target_mode: str
     return GD.price_guide(guide_requests(spark, src), model, target_mode, ref, meds, feats, brands, bsum, adj,
                           drivers, DEFAULT_AS_OF_YEAR)
 
-
-__all__ = ["vocabulary"]

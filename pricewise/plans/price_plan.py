@@ -45,16 +45,3 @@ def importance_by_correlation(spark: SparkSession, src: str, kind: str = "part")
     b = univariate_importance(enc.withColumn("_logy", log_target(TARGET_COL, "log_price_eur")), feats, "_logy",
                               "abs_corr (log_price_eur)")
     return a.unionByName(b)
-
-
-def readable_catalog(spark: SparkSession, src: str, kind: str = "part") -> DataFrame:
-    """Catalogue columns plus the premium flag (for brand reports)."""
-    r = readable(spark, src, kind).select("item_id", "is_premium_brand")
-    return catalog(spark, src, kind).join(r, "item_id", "left")
-
-
-def first_n(df: DataFrame, n: int) -> DataFrame:
-    return df.limit(n)
-
-
-__all__ = ["readable", "encoded", "encoded_with_folds", "importance_by_correlation", "F"]

@@ -257,12 +257,12 @@ def q_label_map_join(spark, src):
 
 @register("outlier_method_counts")
 def q_outlier_counts(spark, src):
-    return OU.outlier_method_counts(vp.value_frame(spark, src, "part"))
+    return OU.outlier_method_counts(_with_isolation(spark, src, "part"))
 
 
 @register("outlier_method_counts_orders")
 def q_outlier_counts_orders(spark, src):
-    return OU.outlier_method_counts(vp.value_frame(spark, src, "orders"))
+    return OU.outlier_method_counts(_with_isolation(spark, src, "orders"))
 
 
 @register("outlier_validation")
@@ -399,8 +399,15 @@ def q_non_null(spark, src):
     return catalog(spark, src, "orders").dropna(subset=["brand_group", "spec_score_0_100"]).select("item_id", "brand_group")
 
 
+def _with_isolation(spark, src, kind):
+    """Value frame whose isolation rule has a deterministic flag (every third item)
+    in place of the forest's, so that all three rules can be checked in SQL."""
+    vf = vp.value_frame(spark, src, kind).withColumn("_iso", F.col("item_id") % 3 == 0)
+    return OU.outlier_predicates(vf, R, "_iso").drop("_iso")
+
+
 def _flags(spark, src, kind="part"):
-    return vp.value_frame(spark, src, kind).select(
+    return _with_isolation(spark, src, kind).select(
         "item_id", "segment", "market_underpriced_outlier", "zscore_value_outlier",
         "isolation_value_outlier", "is_value_outlier")
 
@@ -413,8 +420,13 @@ def q_outlier_predicates(spark, src):
 @register("flag_union")
 def q_flag_union(spark, src):
     f = _flags(spark, src, "orders")
-    return f.select("item_id", (F.col("zscore_value_outlier") | F.col("market_underpriced_outlier")).alias("flag_union"),
-                    (F.col("zscore_value_outlier") & F.col("market_underpriced_outlier")).alias("flag_intersection"))
+    return f.select("item_id", F.col("is_value_outlier").alias("flag_union"))
+
+
+@register("flag_intersection")
+def q_flag_intersection(spark, src):
+    f = _flags(spark, src, "orders")
+    return f.select("item_id", (F.col("zscore_value_outlier") & F.col("isolation_value_outlier")).alias("flag_intersection"))
 
 
 @register("segment_baselines")
@@ -471,7 +483,7 @@ def q_recommend_topn(spark, src):
 
 @register("recommendation_rank")
 def q_reco_rank(spark, src):
-    return RE.recommend_topn(vp.value_frame(spark, src, "orders"), 150000.0, 10, "Mid-range", "3-MEDIUM", R).select(
+    return RE.recommend_topn(vp.value_frame(spark, src, "orders"), 200000.0, 10, "Mid-range", "3-MEDIUM", R).select(
         "recommendation_rank", "item_id")
 
 
@@ -486,7 +498,7 @@ def q_outlier_flag_join(spark, src):
 def q_recommend_for_user(spark, src):
     vf = vp.value_frame(spark, src, "part")
     saved = vf.filter(F.col("is_value_outlier")).select("item_id")
-    return RE.recommend_for_user(vf.drop("is_value_outlier"), saved, vp.scenario_table(spark, "part"), 8, R)
+    return RE.recommend_for_user(vf.drop("is_value_outlier"), saved, vp.scenario_table(spark, "part"), R)
 
 
 @register("scenario_join")
@@ -579,7 +591,7 @@ def q_compare(spark, src):
 
 @register("cross_validate")
 def q_cross_validate(spark, src):
-    return M.cross_validate(MP.encoded(spark, src), [M.LINEAR, M.RIDGE, MP.SMOKE_RF])[1]
+    return M.cross_validate(MP.encoded(spark, src), MP.SMOKE_MODELS)[1]
 
 
 @register("oof_predict")
@@ -630,18 +642,18 @@ def q_kmeans(spark, src):
 
 @register("k_sweep")
 def q_k_sweep(spark, src):
-    return CL.k_sweep(catalog(spark, src, "part"), R.segment_features, range(2, 9), n_init=3)
+    return CL.k_sweep(catalog(spark, src, "part"), R.segment_features, range(2, 9), n_init=CL.N_INIT)
 
 
 @register("silhouette")
 def q_silhouette(spark, src):
-    pred, _, _ = CL.kmeans_segments(catalog(spark, src, "part"), R.segment_features, 3, 3)
+    pred, _, _ = CL.kmeans_segments(catalog(spark, src, "part"), R.segment_features, 3)
     return spark.createDataFrame([(CL.silhouette(pred),)], "silhouette double")
 
 
 @register("hierarchical_compare")
 def q_hier(spark, src):
-    return CL.hierarchical_compare(catalog(spark, src, "part"), R.segment_features, 3, 3)
+    return CL.hierarchical_compare(catalog(spark, src, "part"), R.segment_features, 3)
 
 
 @register("pca_2d")
@@ -651,8 +663,9 @@ def q_pca(spark, src):
 
 @register("isolation_outliers")
 def q_isolation(spark, src):
-    cols = ["value_score", "spec_score_0_100", "price_eur", "item_age"]
-    z = CL.scaled_features(catalog(spark, src, "orders").withColumnRenamed("item_id", "row_id"), cols, prefix="iso_")
+    cols = ["value_score", "performance_to_price_ratio", "market_price_discount_ratio", "spec_score_0_100",
+            "price_eur", "item_age"]
+    z = CL.scaled_features(vp.value_frame(spark, src, "orders").withColumnRenamed("item_id", "row_id"), cols, prefix="iso_")
     return ISO.isolation_outliers(z, [f"iso_{c}" for c in cols])
 
 
@@ -801,7 +814,6 @@ def q_read_csv_fallback(spark, src):
 
 register("load_model")(q_write_model)        # save, load back, score: one round trip
 register("inverse_log_target")(q_log_target)  # log1p then expm1 back to EUR
-register("flag_intersection")(q_flag_union)   # both the OR and the AND column
 register("column_profile")(QUERIES["column_profile_part"])
 
 
@@ -836,7 +848,7 @@ def q_modeling_summary(spark, src):
 def q_quality_checks(spark, src):
     cvm = ME.cv_mean_metrics(ME.regression_metrics(_harness_predictions(spark, src)))
     vf = vp.value_frame(spark, src, "part")
-    recs = RE.scenario_topn(vf, vp.scenario_table(spark, "part"), 10, R)
+    recs = RE.scenario_topn(vf, vp.scenario_table(spark, "part"), R)
     val = RE.recommendation_validation(recs, vp.scenario_table(spark, "part"), R)
     leak = TB.leakage_report(PP.encoded(spark, src, "part"))
     return RP.quality_checks(val, cvm, vf, vf, leak, R)

@@ -34,6 +34,7 @@ ORDER_SCENARIOS = [
     (3, "premium_user", 450000.0, "Flagship"),
     (4, "entry_second_phone", 60000.0, "Entry"),
     (5, "no_match", 50000.0, "Flagship"),
+    (6, "long_list", 200000.0, None, None, 25),
 ]
 SCENARIOS = {"part": PART_SCENARIOS, "orders": ORDER_SCENARIOS}
 
@@ -55,9 +56,9 @@ def scenario_table(spark: SparkSession, kind: str = "part") -> DataFrame:
     return scenarios_frame(spark, SCENARIOS[kind])
 
 
-def value_recommendations(spark: SparkSession, source: str, kind: str = "part", max_n: int = 10,
+def value_recommendations(spark: SparkSession, source: str, kind: str = "part",
                           roles: Roles = CATALOG_ROLES) -> DataFrame:
-    return scenario_topn(value_frame(spark, source, kind, roles), scenario_table(spark, kind), max_n, roles)
+    return scenario_topn(value_frame(spark, source, kind, roles), scenario_table(spark, kind), roles)
 
 
 def value_validation(spark: SparkSession, source: str, kind: str = "part", roles: Roles = CATALOG_ROLES) -> DataFrame:

@@ -50,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there and we use it as is. Only when it is
-    unset (local tests) do we create one of our own.
+    unset and the master is local (tests) do we create one of our own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="pricewise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

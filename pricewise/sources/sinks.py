@@ -20,7 +20,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: boo
     out = df.coalesce(1) if single_file else df
     w = out.write.mode("overwrite")
     if fmt == "csv":
-        w = w.option("header", "true").option("escape", '"')
+        w = w.options(header="true", escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
     w.format(fmt).save(path)
     return path
 

@@ -55,10 +55,12 @@ def read_table(spark: SparkSession, source: str, name: str, schema: T.StructType
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             encoding: str = "UTF-8") -> DataFrame:
+             encoding: str = "UTF-8", multi_line: bool = True) -> DataFrame:
+    """``multi_line`` allows line feeds inside quoted cells, but makes each file one
+    task; switch it off for large files without such cells."""
     reader = (spark.read.option("header", "true")
               .option("escape", '"')
-              .option("multiLine", "true")
+              .option("multiLine", str(multi_line).lower())
               .option("encoding", encoding))
     if schema is not None:
         reader = reader.schema(schema)
@@ -68,14 +70,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
     return reader.csv(path)
 
 
-def _legacy_charsets(spark: SparkSession) -> bool:
-    return str(spark.conf.get("spark.sql.legacy.javaCharsets", "false")).lower() == "true"
-
-
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """Pick the first encoding that decodes the whole file: UTF-8 (a BOM is
-    stripped by the reader), then CP949 when the session allows legacy
-    charsets, else ISO-8859-1, which decodes every byte.
+    stripped by the reader), then CP949 (which needs the session's legacy
+    charsets; they are switched on), else ISO-8859-1, which decodes every byte.
 
     The test is one distributed aggregate over the raw lines; nothing is
     collected but a single boolean.
@@ -84,19 +82,20 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     valid = lines.agg(F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True))).first()[0]
     if valid:
         return "UTF-8"
-    if _legacy_charsets(spark):
-        probe = spark.read.option("encoding", "cp949").option("header", "false").csv(path)
-        bad = F.lit(False)
-        for c in probe.columns:
-            bad = bad | F.coalesce(F.col(quote(c)).contains("�"), F.lit(False))
-        if not probe.agg(F.coalesce(F.bool_or(bad), F.lit(False))).first()[0]:
-            return "cp949"
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    probe = spark.read.option("encoding", "cp949").option("header", "false").csv(path)
+    bad = F.lit(False)
+    for c in probe.columns:
+        bad = bad | F.coalesce(F.col(quote(c)).contains("\ufffd"), F.lit(False))
+    if not probe.agg(F.coalesce(F.bool_or(bad), F.lit(False))).first()[0]:
+        return "cp949"
     return "ISO-8859-1"
 
 
-def read_csv_fallback(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv_fallback(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                      multi_line: bool = True) -> DataFrame:
     """Read a CSV whose encoding is unknown (see :func:`detect_encoding`)."""
-    return read_csv(spark, path, schema=schema, encoding=detect_encoding(spark, path))
+    return read_csv(spark, path, schema=schema, encoding=detect_encoding(spark, path), multi_line=multi_line)
 
 
 def leakage_report(df: DataFrame, leak_cols=LEAKAGE_COLUMNS) -> DataFrame:

@@ -26,7 +26,7 @@ def scenario_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def serve_recommendations(requests: DataFrame, catalog: DataFrame, out_path: str, checkpoint: str,
-                          max_n: int = 10, roles: Roles = Roles(), trigger_once: bool = False):
+                          roles: Roles = Roles(), trigger_once: bool = False):
     """Start a streaming query answering every batch of scenario requests
     against ``catalog`` (a static, ideally persisted, value frame). Each batch
     writes to ``out_path/epoch=<id>`` with overwrite, so a replayed epoch
@@ -34,7 +34,7 @@ def serve_recommendations(requests: DataFrame, catalog: DataFrame, out_path: str
     def answer(batch: DataFrame, epoch: int):
         if batch.isEmpty():
             return
-        recs = scenario_topn(catalog, batch, max_n, roles).withColumn("epoch", F.lit(epoch))
+        recs = scenario_topn(catalog, batch, roles).withColumn("epoch", F.lit(epoch))
         recs.write.mode("overwrite").parquet(os.path.join(out_path, f"epoch={epoch}"))
 
     w = requests.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint)
