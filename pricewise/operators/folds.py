@@ -34,22 +34,15 @@ def fold_ids(spark, k: int = N_FOLDS) -> DataFrame:
     return spark.range(k).select(F.col("id").cast("int").alias("k"))
 
 
-def complement_rows(df: DataFrame, k: int = N_FOLDS, fold_col: str = "fold") -> DataFrame:
-    """Each row once for every fold it trains (fold != k): the training sets of
-    all k folds side by side, tagged ``k``. Rows grow (k-1)-fold, so use it
-    only under partial aggregation."""
-    ks = fold_ids(df.sparkSession, k)
-    return df.join(F.broadcast(ks), F.col(fold_col) != F.col("k"), "inner")
-
-
-def baseline_median(df: DataFrame, y_col: str, k: int = N_FOLDS, fold_col: str = "fold",
-                    approx: bool = False) -> DataFrame:
-    """Per fold k: median of y over the training rows (fold != k). One row per fold."""
-    rows = complement_rows(df.select(fold_col, y_col), k, fold_col)
-    if approx:
-        return rows.groupBy("k").agg(F.percentile_approx(y_col, 0.5, 100000).cast("double").alias("baseline"))
-    from pricewise.operators.quantiles import exact_median
-    return exact_median(rows, y_col, ["k"], "baseline")
+def baseline_median(df: DataFrame, y_col: str, k: int = N_FOLDS, fold_col: str = "fold") -> DataFrame:
+    """Per fold k: median of y over the training rows (fold != k). One row per fold.
+
+    Rows are counted by (fold, y) once; only these counts are dealt to the folds
+    that train on them."""
+    counts = df.groupBy(F.col(fold_col).alias("_f"), F.col(y_col).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
+    train = counts.join(F.broadcast(fold_ids(df.sparkSession, k)), F.col("_f") != F.col("k")).groupBy("k", "_y").agg(F.sum("_n").alias("_n"))
+    from pricewise.operators.quantiles import exact_quantiles
+    return exact_quantiles(train, "_y", [0.5], ["k"], weight="_n").select("k", F.col("value").alias("baseline"))
 
 
 def ols_oof_predict(df: DataFrame, x_col: str, y_col: str, k: int = N_FOLDS,

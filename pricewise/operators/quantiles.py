@@ -7,143 +7,82 @@ domain in one task. This module gives the same numbers (linear interpolation
 between the values at ranks floor(q(n-1)) and ceil(q(n-1)), NULL and NaN
 skipped) with bounded per-task state:
 
-1. count the rows of every group;
-2. while the value interval that must contain a group's target ranks holds
-   more than ``max_bracket`` distinct values (HyperLogLog estimate), narrow it: a
-   ``percentile_approx`` grid over the rows still inside proposes two grid
-   values around each target rank, and exact counts verify the proposal (if
-   it fails, the old interval is kept and the next grid is finer);
-3. inside each final interval, aggregate (value, count) pairs - at most
-   ``max_bracket`` of them - sort them and walk the cumulative counts to the
-   two target ranks.
-
-The per-round state (one row per group and quantile) is written to the shared
-checkpoint folder, so plans never grow with the number of rounds. Each round
-shrinks an interval by about ``grid / 10``; 10^12 rows need a few rounds.
+1. rows become (group, value, count), combined before the shuffle, so a value
+   that a third of all rows share is one row; the result is written once;
+2. these are dealt by ranges of (group, value) and written with their range
+   number; a group of any size is spread over many ranges;
+3. the counts per (group, range) - as many as ranges and groups - are summed up
+   in range order, which tells the ranges that hold a target rank;
+4. only those ranges are read again; inside each, running counts over its
+   sorted values (one range per task) find the values at the target ranks.
+
+No row is copied per quantile and no list of values is gathered: from the third
+step on, rows grow only with groups x quantiles and with the number of ranges.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricewise.session import cut_lineage
 
-MAX_BRACKET = 1_000_000
-GRID = 1000
-ACCURACY = 200_000
-MAX_ROUNDS = 10
-MAX_GRID = 16_000
 
-
-def _key_cond(keys, prefix="_s_"):
-    conds = [F.col(k) == F.col(prefix + k) for k in keys]
+def _same(groups, left: str, right: str):
+    conds = [F.col(left + g) == F.col(right + g) for g in groups]
     return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
 
 
-def _rank_value(rank):
-    """Value at 0-based ``rank`` of a sorted array of (x, c) structs."""
-    init = F.struct(F.lit(0).cast("long").alias("cum"), F.lit(None).cast("double").alias("val"))
-    return F.aggregate(
-        "_v", init,
-        lambda acc, e: F.struct(
-            (acc["cum"] + e["_c"]).alias("cum"),
-            F.when(acc["val"].isNull() & (acc["cum"] + e["_c"] > rank), e["_x"]).otherwise(acc["val"]).alias("val")),
-        lambda acc: acc["val"])
-
-
-def exact_quantiles(df: DataFrame, col: str, qs, groups=(), max_bracket: int = MAX_BRACKET,
-                    grid: int = GRID, accuracy: int = ACCURACY) -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, qs, groups=(), weight: str | None = None,
+                    ranges: int | None = None) -> DataFrame:
     """(groups..., qi, q, value): exact linear-interpolation quantiles of ``col``
-    per group. Rows with a NULL group key are left out (as pandas does)."""
-    spark = df.sparkSession
+    per group. Rows with a NULL group key are left out (as pandas does).
+
+    ``weight`` names a column of row counts for input that is aggregated already;
+    ``ranges`` fixes the number of ranges (adaptive execution decides by default)."""
     groups = list(groups)
     qs = [float(q) for q in qs]
-    base = df.select(*[F.col(g) for g in groups], F.col(col).cast("double").alias("_x"))
-    base = base.filter(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    for g in groups:
-        base = base.filter(F.col(g).isNotNull())
-
-    counts = base.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"),
-                                       F.approx_count_distinct("_x").alias("_nd"))
-    qdf = spark.createDataFrame([(i, q) for i, q in enumerate(qs)], "_qi int, _q double")
-    pos = F.col("_q") * (F.col("_n") - 1)
-    state = (counts.crossJoin(F.broadcast(qdf))
-             .select(*groups, "_qi", "_q", "_n",
-                     F.floor(pos).cast("long").alias("_rlo"), F.ceil(pos).cast("long").alias("_rhi"),
-                     F.lit(None).cast("double").alias("_L"), F.lit(None).cast("double").alias("_U"),
-                     F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_inside"),
-                     F.col("_nd").alias("_dist"), F.lit(grid).alias("_m")))
-    # the final step collects distinct (value, count) pairs, so the bound is on distinct values
-    open_cond = (F.col("_dist") > max_bracket) & (F.col("_L").isNull() | F.col("_U").isNull()
-                                                  | (F.col("_L") < F.col("_U")))
-    # one row per group and quantile: small, cached; one job computes it and
-    # tells whether any interval needs narrowing at all (usually none)
-    state = state.cache()
-    n_state = state.count()
-    small_state = n_state <= 100_000
-    if state.filter(open_cond).limit(1).count() > 0:
-        state = cut_lineage(state, "quantile_state")
-
-    def inside_rows(st):
-        """Rows of ``base`` inside each interval of ``st`` (tagged with _qi)."""
-        s = st.select(*[F.col(g).alias("_s_" + g) for g in groups], "_qi", "_L", "_U")
-        cond = _key_cond(groups) & (F.col("_L").isNull() | (F.col("_x") >= F.col("_L"))) \
-            & (F.col("_U").isNull() | (F.col("_x") <= F.col("_U")))
-        return base.join(F.broadcast(s) if small_state else s, cond, "inner").drop(*["_s_" + g for g in groups])
-
-    for _ in range(MAX_ROUNDS):
-        # a round that cannot narrow any interval (grid already at its cap) ends the loop
-        open_ = state.filter(open_cond)
-        if open_.limit(1).count() == 0:
-            break
-        m = min(int(open_.agg(F.max("_m")).first()[0]), MAX_GRID)
-        rows = inside_rows(open_)
-        gridv = F.array(*[F.lit(i / m) for i in range(m + 1)])
-        approx = rows.groupBy(*groups, "_qi").agg(F.percentile_approx("_x", gridv, accuracy).alias("_grid"))
-        span = F.greatest(F.col("_inside") - 1, F.lit(1))
-        ilo = F.greatest(F.floor((F.col("_rlo") - F.col("_below")) / span * m) - 5, F.lit(0)).cast("int")
-        ihi = F.least(F.ceil((F.col("_rhi") - F.col("_below")) / span * m) + 5, F.lit(m)).cast("int")
-        cand = (open_.join(approx, [*groups, "_qi"], "left")
-                .withColumn("_L2", F.col("_grid")[ilo]).withColumn("_U2", F.col("_grid")[ihi]).drop("_grid"))
-        cand = cut_lineage(cand, "quantile_candidates")
-        cs = cand.select(*[F.col(g).alias("_s_" + g) for g in groups], F.col("_qi").alias("_cqi"), "_L2", "_U2")
-        ck = (rows.join(F.broadcast(cs) if small_state else cs, _key_cond(groups) & (F.col("_qi") == F.col("_cqi")))
-              .groupBy(*groups, "_qi")
-              .agg(F.count_if(F.col("_x") < F.col("_L2")).alias("_b2"),
-                   F.count_if((F.col("_x") >= F.col("_L2")) & (F.col("_x") <= F.col("_U2"))).alias("_i2"),
-                   F.approx_count_distinct(F.when((F.col("_x") >= F.col("_L2")) & (F.col("_x") <= F.col("_U2")),
-                                                  F.col("_x"))).alias("_d2")))
-        nxt = cand.join(ck, [*groups, "_qi"], "left")
-        nb = F.col("_below") + F.coalesce(F.col("_b2"), F.lit(0))
-        ok = (F.col("_L2").isNotNull() & F.col("_i2").isNotNull() & (nb <= F.col("_rlo"))
-              & (nb + F.col("_i2") > F.col("_rhi")) & (F.col("_i2") < F.col("_inside")))
-        refined = nxt.select(
-            *groups, "_qi", "_q", "_n", "_rlo", "_rhi",
-            F.when(ok, F.col("_L2")).otherwise(F.col("_L")).alias("_L"),
-            F.when(ok, F.col("_U2")).otherwise(F.col("_U")).alias("_U"),
-            F.when(ok, nb).otherwise(F.col("_below")).alias("_below"),
-            F.when(ok, F.col("_i2")).otherwise(F.col("_inside")).alias("_inside"),
-            F.when(ok, F.col("_d2")).otherwise(F.col("_dist")).alias("_dist"),
-            F.when(ok, F.col("_m")).otherwise(F.least(F.col("_m") * 4, F.lit(MAX_GRID))).alias("_m"))
-        state = cut_lineage(state.filter(~open_cond).unionByName(refined), "quantile_state")
-
-    # final: (value, count) pairs inside each interval, walked to the two ranks
-    pairs = inside_rows(state).groupBy(*groups, "_qi", "_x").agg(F.count(F.lit(1)).alias("_c"))
-    vals = pairs.groupBy(*groups, "_qi").agg(F.array_sort(F.collect_list(F.struct("_x", "_c"))).alias("_v"))
-    res = state.join(vals, [*groups, "_qi"], "left")
-    lo = _rank_value(F.col("_rlo") - F.col("_below"))
-    hi = _rank_value(F.col("_rhi") - F.col("_below"))
-    p = F.col("_q") * (F.col("_n") - 1)
-    value = F.when(F.col("_n") > 0, F.when(F.col("_rlo") == F.col("_rhi"), lo)
-                   .otherwise((F.col("_rhi") - p) * lo + (p - F.col("_rlo")) * hi))
-    out = res.select(*groups, F.col("_qi").alias("qi"), F.col("_q").alias("q"), value.alias("value"))
-    # the answer is one row per group and quantile: write it and release the cache
-    out = cut_lineage(out, "quantiles")
-    state.unpersist()
-    return out
+    keys = [f"_g{i}" for i in range(len(groups))]
+    base = df.select(*[F.col(g).alias(k) for g, k in zip(groups, keys)], F.col(col).cast("double").alias("_x"),
+                     (F.col(weight).cast("long") if weight else F.lit(1).cast("long")).alias("_w"))
+    base = base.where(F.col("_x").isNotNull() & ~F.isnan("_x"))
+    for k in keys:
+        base = base.where(F.col(k).isNotNull())
+    pairs = cut_lineage(base.groupBy(*keys, "_x").agg(F.sum("_w").alias("_c")), "quantile_pairs")
+    order = [*keys, "_x"]
+    dealt = pairs.repartitionByRange(ranges, *order) if ranges else pairs.repartitionByRange(*order)
+    dealt = cut_lineage(dealt.withColumn("_p", F.spark_partition_id()), "quantile_ranges")
+
+    sums = dealt.groupBy(*keys, "_p").agg(F.sum("_c").alias("_t"))
+    before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.withColumn("_off", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+    totals = sums.groupBy(*keys).agg(F.coalesce(F.sum("_t"), F.lit(0)).alias("_n"))
+    targets = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(q).alias("q"),
+                                 F.floor(F.lit(q) * (F.col("_n") - 1)).cast("long").alias("lo"),
+                                 F.ceil(F.lit(q) * (F.col("_n") - 1)).cast("long").alias("hi")) for i, q in enumerate(qs)])
+    # one row per group; groups x quantiles and groups x ranges are small next to the values
+    totals = cut_lineage(totals.withColumn("_targets", targets), "quantile_targets")
+    ranks = F.array_distinct(F.flatten(F.transform("_targets", lambda t: F.array(t["lo"], t["hi"]))))
+    wanted = totals.select(*[F.col(k).alias("_t" + k) for k in keys], ranks.alias("_ranks"))
+    inside = F.filter("_ranks", lambda r: (r >= F.col("_off")) & (r < F.col("_off") + F.col("_t")))
+    need = sums.join(wanted, _same(keys, "", "_t")).withColumn("_ranks", inside).where(F.size("_ranks") > 0)
+    need = need.select(*[F.col(k).alias("_n" + k) for k in keys], F.col("_p").alias("_np"), "_off", "_ranks")
+    found = dealt.join(need, _same(keys, "", "_n") & (F.col("_p") == F.col("_np")))
+    running = Window.partitionBy(*keys, "_p").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("_end", F.col("_off") + F.sum("_c").over(running))
+    hit = F.filter("_ranks", lambda r: (r >= F.col("_end") - F.col("_c")) & (r < F.col("_end")))
+    values = (found.select(*keys, F.explode(hit).alias("_r"), "_x")
+              .groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("_r", "_x"))).alias("_at")))
+    values = values.select(*[F.col(k).alias("_v" + k) for k in keys], "_at")
+    out = totals.join(values, _same(keys, "", "_v"), "left").select(*keys, "_n", "_at", F.explode("_targets").alias("_q"))
+    place = F.col("_q.q") * (F.col("_n") - 1)
+    lo, hi = F.try_element_at("_at", F.col("_q.lo")), F.try_element_at("_at", F.col("_q.hi"))
+    value = F.when(F.col("_n") > 0, F.when(F.col("_q.lo") == F.col("_q.hi"), lo)
+                   .otherwise((F.col("_q.hi") - place) * lo + (place - F.col("_q.lo")) * hi))
+    out = out.select(*[F.col(k).alias(g) for g, k in zip(groups, keys)], F.col("_q.qi").alias("qi"), F.col("_q.q").alias("q"), value.alias("value"))
+    return cut_lineage(out, "quantiles")
 
 
 def exact_median(df: DataFrame, col: str, groups=(), out: str | None = None) -> DataFrame:
