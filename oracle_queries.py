@@ -814,28 +814,42 @@ UNION ALL SELECT 4, 'top_price_features', f FROM drv
 UNION ALL SELECT 5, 'market_segments', s FROM segs
 UNION ALL SELECT 6, 'value_outlier_count', o FROM nout"""
 
+def _rule(i: int, name: str, ok: str, evidence: str) -> str:
+    return f"SELECT {i} AS pos, '{name}' AS \"check\", CASE WHEN coalesce({ok}, false) THEN 'PASS' ELSE 'FAIL' END AS status, {evidence} AS evidence FROM r"
+
+
+def _num(x: str, places: int) -> str:
+    return f"coalesce(printf('%.{places}f', {x}), 'nan')"
+
+
 O["quality_checks"] = f"""WITH
 val AS ({validation_sql('part', PART_SCENARIOS)}),
+metx AS (WITH {harness_cte()} SELECT * FROM mets),
 cvmx AS (WITH {harness_cte()} SELECT * FROM cvm),
-vfx AS (WITH {value_cte('part')} SELECT segment, is_value_outlier FROM vf),
-v AS (SELECT bool_and(all_within_budget) AS budget_ok, bool_and(is_performance_to_price_ratio_descending) AS ppr_ok,
-             bool_and(is_value_score_descending) AS value_ok, sum(row_count) AS nrows FROM val),
-m AS (SELECT min(MASE) AS best_mase, max(R2) AS best_r2 FROM cvmx),
-fl AS (SELECT count(*) AS n, count_if(is_value_outlier) AS nout FROM vfx),
-sg AS (SELECT count(DISTINCT segment) AS nseg, count_if(segment IS NULL) AS nullseg FROM vfx),
-lk AS (SELECT 0 AS leaks),
-r AS (SELECT * FROM v CROSS JOIN m CROSS JOIN fl CROSS JOIN sg CROSS JOIN lk)
-SELECT 1 AS pos, 'recommendations_within_budget' AS "check", CASE WHEN coalesce(budget_ok, false) THEN 'PASS' ELSE 'FAIL' END AS status,
-       'rows=' || CAST(nrows AS VARCHAR) AS evidence FROM r
-UNION ALL SELECT 2, 'recommendations_sorted_by_ppr', CASE WHEN coalesce(ppr_ok, false) THEN 'PASS' ELSE 'FAIL' END, CAST(ppr_ok AS VARCHAR) FROM r
-UNION ALL SELECT 3, 'recommendations_sorted_by_value', CASE WHEN coalesce(value_ok, false) THEN 'PASS' ELSE 'FAIL' END, CAST(value_ok AS VARCHAR) FROM r
-UNION ALL SELECT 4, 'model_beats_median_baseline', CASE WHEN coalesce(best_mase < 1 - 1e-9, false) THEN 'PASS' ELSE 'FAIL' END,
-                 'best_MASE=' || coalesce(printf('%.4f', best_mase), 'nan') FROM r
-UNION ALL SELECT 5, 'model_explains_variance', CASE WHEN coalesce(best_r2 > 0, false) THEN 'PASS' ELSE 'FAIL' END,
-                 'best_R2=' || coalesce(printf('%.4f', best_r2), 'nan') FROM r
-UNION ALL SELECT 6, 'outlier_share_below_20pct', CASE WHEN coalesce(nout < n * 0.2, false) THEN 'PASS' ELSE 'FAIL' END,
-                 CAST(nout AS VARCHAR) || '/' || CAST(n AS VARCHAR) FROM r
-UNION ALL SELECT 7, 'outliers_found', CASE WHEN coalesce(nout > 0, false) THEN 'PASS' ELSE 'FAIL' END, CAST(nout AS VARCHAR) FROM r
-UNION ALL SELECT 8, 'three_segments', CASE WHEN coalesce(nseg = 3, false) THEN 'PASS' ELSE 'FAIL' END, CAST(nseg AS VARCHAR) FROM r
-UNION ALL SELECT 9, 'every_row_segmented', CASE WHEN coalesce(nullseg = 0, false) THEN 'PASS' ELSE 'FAIL' END, CAST(nullseg AS VARCHAR) FROM r
-UNION ALL SELECT 10, 'no_leakage_columns', CASE WHEN coalesce(leaks = 0, false) THEN 'PASS' ELSE 'FAIL' END, CAST(leaks AS VARCHAR) FROM r"""
+vfx AS (WITH {value_cte('part')} SELECT * FROM vf),
+v AS (SELECT bool_and(all_within_budget) AS budget_ok, bool_and(is_performance_to_price_ratio_descending) AS ppr_ok, sum(row_count) AS nrows FROM val),
+m AS (SELECT min(MASE) AS mase FROM cvmx),
+k AS (SELECT count(DISTINCT fold) AS folds, count(*) AS fold_rows FROM metx),
+fl AS (SELECT count(*) AS n, count(DISTINCT segment) AS nseg,
+              avg(CASE WHEN is_value_outlier THEN price_eur END) AS price_out, avg(CASE WHEN NOT is_value_outlier THEN price_eur END) AS price_in,
+              avg(CASE WHEN is_value_outlier THEN performance_to_price_ratio END) AS ppr_out,
+              avg(CASE WHEN NOT is_value_outlier THEN performance_to_price_ratio END) AS ppr_in,
+              avg(CASE WHEN is_value_outlier THEN market_price_gap_eur END) AS gap_out,
+              avg(CASE WHEN is_value_outlier THEN market_price_discount_ratio END) AS share_out FROM vfx),
+r AS (SELECT * FROM v CROSS JOIN m CROSS JOIN k CROSS JOIN fl)
+""" + "\nUNION ALL ".join([
+    _rule(1, "input_rows_read", "n > 0", "'rows=' || n"),
+    _rule(2, "regression_model_beats_median_baseline", "mase < 1 - 1e-9", f"'MASE=' || {_num('mase', 3)}"),
+    _rule(3, "five_fold_cv_available", "folds = 5", "'folds=' || folds || ', rows=' || fold_rows"),
+    _rule(4, "three_market_segments_created", "nseg = 3", "'segments=' || nseg"),
+    _rule(5, "value_outliers_are_cheaper_than_non_outliers", "price_out < price_in",
+          f"'outlier=' || {_num('price_out', 2)} || ', non_outlier=' || {_num('price_in', 2)}"),
+    _rule(6, "value_outliers_have_higher_ppr", "ppr_out > ppr_in", f"'outlier=' || {_num('ppr_out', 3)} || ', non_outlier=' || {_num('ppr_in', 3)}"),
+    _rule(7, "value_outliers_are_under_expected_market_price", "gap_out > 0 AND share_out > 0",
+          f"'avg_gap=' || {_num('gap_out', 2)} || ', avg_discount=' || {_num('share_out * 100', 1)} || '%'"),
+    _rule(8, "recommendations_respect_budget", "budget_ok", "'rows=' || nrows"),
+    _rule(9, "recommendations_sorted_by_ppr", "ppr_ok", "'rows=' || nrows"),
+    _rule(10, "business_price_guides_created", "n > 0", "'guides=' || n"),
+])
+O["write_csv"] = "SELECT doc_id, lang, '  ' || text || ' ' AS text FROM documents"
+O["read_csv_fallback"] = "SELECT doc_id, lang, source, text FROM documents"

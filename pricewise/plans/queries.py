@@ -780,8 +780,9 @@ def _scratch(spark, name):
 
 @register("write_csv")
 def q_write_csv(spark, src):
-    path = SK.write_csv(vp.value_frame(spark, src, "part").drop("fold", "market_pred"), _scratch(spark, "value_frame_csv"))
-    return TB.read_csv(spark, path)
+    """Documents with outer spaces added to every text, written and read back."""
+    docs = TB.read_table(spark, src, "documents").select("doc_id", "lang", F.concat(F.lit("  "), F.col("text"), F.lit(" ")).alias("text"))
+    return TB.read_csv(spark, SK.write_csv(docs, _scratch(spark, "documents_csv")), schema=docs.schema)
 
 
 @register("write_json")
@@ -807,7 +808,7 @@ def q_read_csv_fallback(spark, src):
     docs = TB.read_table(spark, src, "documents").select("doc_id", "lang", "source", "text")
     path = _scratch(spark, "documents_latin1_csv")
     docs.write.mode("overwrite").option("header", "true").option("escape", '"').option("encoding", "ISO-8859-1").csv(path)
-    return TB.read_csv_fallback(spark, path)
+    return TB.read_csv_fallback(spark, path).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 # --- remaining inventory keys ----------------------------------------------------
@@ -846,9 +847,10 @@ def q_modeling_summary(spark, src):
 
 @register("quality_checks")
 def q_quality_checks(spark, src):
-    cvm = ME.cv_mean_metrics(ME.regression_metrics(_harness_predictions(spark, src)))
+    folds = ME.regression_metrics(_harness_predictions(spark, src))
     vf = vp.value_frame(spark, src, "part")
     recs = RE.scenario_topn(vf, vp.scenario_table(spark, "part"), R)
     val = RE.recommendation_validation(recs, vp.scenario_table(spark, "part"), R)
-    leak = TB.leakage_report(PP.encoded(spark, src, "part"))
-    return RP.quality_checks(val, cvm, vf, vf, leak, R)
+    gap = F.col("price_eur") - F.col("expected_market_price_eur")
+    guides = vf.select("item_id", GD.price_guidance_label(gap, F.col("expected_market_price_eur")).alias("guidance"))
+    return RP.quality_checks(val, ME.cv_mean_metrics(folds), folds, vf, guides, R)
