@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import cut_lineage, scratch_path  # noqa: F401  (re-exported)
 
 #: Bytes of text that one numpy step looks at; bounds the memory of a Python worker.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+ROWS = 256
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -32,16 +33,17 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tupl
     """(rows, bytes, offsets) with at most SLICE_BYTES of text each, or one longer row.
     Null texts count as empty."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        col = batch.column(batch.schema.names.index(column)).cast(pa.large_binary()).fill_null(b"")
-        off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + len(col) + 1]
-        data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
-        lo = 0
-        while lo < len(col):
-            hi = max(lo + 1, int(np.searchsorted(off, off[lo] + SLICE_BYTES, "right")) - 1)
-            yield batch.slice(lo, hi - lo), data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
-            lo = hi
+        at = batch.schema.names.index(column)
+        for start in range(0, batch.num_rows, ROWS):  # only these rows' texts are copied
+            part = batch.slice(start, ROWS)
+            col = part.column(at).cast(pa.large_binary()).fill_null(b"")
+            off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + len(col) + 1]
+            data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
+            lo = 0
+            while lo < len(col):
+                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + SLICE_BYTES, "right")) - 1)
+                yield part.slice(lo, hi - lo), data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+                lo = hi
 
 
 def words_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,7 +108,11 @@ def ramp(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(step)
 
 
-def worker_memory() -> dict:
-    """What this Python worker remembers from task to task (caches only: results never
-    depend on it)."""
-    return sys.modules.setdefault("_pricewise_worker", types.ModuleType("_pricewise_worker")).__dict__
+def worker_memory(purpose: str) -> dict:
+    """What this Python worker remembers from task to task for one purpose (caches only:
+    results never depend on it). Another purpose empties it, so that an executor holds
+    the caches of one operator at a time."""
+    held = sys.modules.setdefault("_pricewise_worker", types.ModuleType("_pricewise_worker"))
+    if getattr(held, "purpose", None) != purpose:
+        held.purpose, held.memory = purpose, {}
+    return held.memory

@@ -48,7 +48,7 @@ from .common import cut_lineage, distinct_words, text_slices, worker_memory
 WINDOW = 5
 COVERAGE = 0.8
 FILTER_BITS = 1 << 22
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
 
 #: Units of measure and money that may follow a number.
 UNITS = frozenset("""
@@ -131,7 +131,7 @@ def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFram
                            T.StructField("n", T.LongType()), T.StructField("slots", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [worker_memory().setdefault(("template_words", form), {}) for form in FORMS]
+        known = [worker_memory("templates").setdefault(form, {}) for form in FORMS]
         allow = passing.value if passing is not None else None
         for rows, data, off in text_slices(batches, "text"):
             words, which, first = distinct_words(data, off)

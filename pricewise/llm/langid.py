@@ -49,7 +49,7 @@ PROBES = 3
 SHARE = 0.5
 UNKNOWN = "und"
 #: Distinct words a Python worker remembers; emptied beyond it.
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 
 
 @dataclass
@@ -203,7 +203,7 @@ def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text", colu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         names = np.array([*model.languages, UNKNOWN], object)
-        memory = worker_memory()
+        memory = worker_memory("language")
         if memory.get("lang_key") != model.key:
             memory.update(lang_key=model.key, lang_words={}, lang_rows=np.zeros((0, 1 + len(model.languages)), np.int32))
         for rows, data, off in text_slices(batches, text_col):

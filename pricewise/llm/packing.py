@@ -34,7 +34,7 @@ from .common import cut_lineage, split_rows, text_slices, worker_memory
 CAPACITY = 2048
 GROUP_ROWS = 1 << 16
 #: Words whose ids a task remembers; beyond it the memory is emptied, not the result.
-CACHED_WORDS = 800_000
+CACHED_WORDS = 300_000
 _NONE = np.iinfo(np.int64).max
 
 
@@ -87,6 +87,7 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) > CACHED_WORDS:
             self.clear()
+        if len(self.units) > CACHED_WORDS:
             self.units.clear()
         text = word.decode()
         core = text.rstrip(_MARKS)
@@ -108,8 +109,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
                            T.StructField("ids", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = worker_memory().setdefault(("words", tokenizer_path), None) or _Words(tokenizer_path)
-        worker_memory()["words", tokenizer_path] = words
+        memory = worker_memory("tokens")
+        if tokenizer_path not in memory:
+            memory[tokenizer_path] = _Words(tokenizer_path)
+        words = memory[tokenizer_path]
         step = 4 * capacity
         for rows, data, off in text_slices(batches, "text"):
             raw = data.tobytes()

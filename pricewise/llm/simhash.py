@@ -71,19 +71,22 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: st
             begin = np.repeat(first[:-1] - np.cumsum(n) + n, n) + np.arange(n.sum())
             stop = np.minimum(begin + shingle_words, np.repeat(first[1:], n))
             h = np.fromiter((digest(raw[a:b], HASH_SEED) for a, b in zip(at[begin].tolist(), (at[stop] - 1).tolist())), np.uint64, len(begin))
-            fp = np.zeros(len(n), np.uint64)
-            some = np.flatnonzero(n)
-            if len(some):
-                edges = np.zeros(len(some), np.int64)
-                np.cumsum(n[some][:-1], out=edges[1:])
-                counts = np.add.reduceat(np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), edges, axis=0, dtype=np.int64)
-                bits = counts * 2 > n[some][:, None]
-                fp[some] = np.packbits(bits, axis=1, bitorder="little").view(np.uint64).ravel()
+            edges = np.concatenate([[0], np.cumsum(n)])
+            fp = np.array([_majority(h[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], np.uint64)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
+def _majority(h: np.ndarray) -> int:
+    """The number whose bits are set in over half of h (0 for none); in pieces, so that
+    the bits of a very long text are never spread out at once."""
+    counts = np.zeros(64, np.int64)
+    for lo in range(0, len(h), 1 << 16):
+        counts += np.unpackbits(h[lo:lo + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+    return int(np.packbits(counts * 2 > len(h), bitorder="little").view(np.uint64)[0])
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
