@@ -44,7 +44,7 @@ def test_recommend_budget_inclusive_ties_and_empty(spark):
     assert [r["recommendation_rank"] for r in top] == [1, 2, 3]
     assert RE.recommend_topn(cat, 10.0, 10, roles=ROLES).count() == 0
     sc = RE.scenarios_frame(spark, [(1, "any", 100.0, None), (2, "none", 10.0, "Entry"), (3, "flag", 60.0, "Flagship", None, 1)])
-    recs = RE.scenario_topn(cat, sc, 10, ROLES)
+    recs = RE.scenario_topn(cat, sc, ROLES)
     assert {r["scenario"]: r["n"] for r in recs.groupBy("scenario").agg(F.count("*").alias("n")).collect()} == {1: 3, 3: 1}
     val = {r["scenario"]: r for r in RE.recommendation_validation(recs, sc, ROLES).collect()}
     assert val[2]["row_count"] == 0 and val[2]["all_within_budget"] and val[2]["top_value_score"] is None
@@ -55,7 +55,7 @@ def test_plans_use_partial_topk(spark):
     rows = [(i, "o", "m", "b", float(i), 50.0, None, None, "Entry") for i in range(1, 50)]
     cat = _cat(spark, rows)
     sc = RE.scenarios_frame(spark, [(1, "any", 30.0, None)])
-    plan = RE.scenario_topn(cat, sc, 10, ROLES)._jdf.queryExecution().executedPlan().toString()
+    plan = RE.scenario_topn(cat, sc, ROLES)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "BroadcastNestedLoopJoin" in plan
     plan1 = RE.recommend_topn(cat, 30.0, 5, roles=ROLES)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan1
