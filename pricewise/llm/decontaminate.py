@@ -48,7 +48,7 @@ from .common import cut_lineage, distinct_words, text_slices, worker_memory
 WINDOW = 5
 COVERAGE = 0.8
 FILTER_BITS = 1 << 22
-CACHED_WORDS = 150_000
+CACHED_WORDS = 250_000
 
 #: Units of measure and money that may follow a number.
 UNITS = frozenset("""
@@ -61,6 +61,9 @@ newton newtons n pa kpa hz khz mhz ghz byte bytes kb mb gb tb bit bits mph kmh
 _NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*%?$")
 _WITH_UNIT = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*([A-Za-z]+)$")
 _EDGE = re.compile(r"^[^\w$€£+-]+|[^\w%]+$")
+#: ASCII marks that _EDGE takes off, for the common case of a word of letters.
+_LEAD = """!"#%&'()*,./:;<=>?@[\\]^`{|}~"""
+_TRAIL = """!"#$&'()*+,-./:;<=>?@[\\]^`{|}~"""
 _NUM, _UNIT, _NAME, _NUM_UNIT = "\x00num", "\x00unit", "\x00name", "\x00numunit"
 
 #: Flags of a word.
@@ -72,35 +75,57 @@ _BASE = 0x9E3779B97F4A7C15
 FORMS = (0, 1)
 
 
-def template(word: str, form: int = 0) -> tuple[str, int]:
-    """(template token, flags) of a word; a unit counts as one only after a number."""
-    bare = _EDGE.sub("", word) or word
-    if _NUMBER.match(bare):
-        return _NUM, IS_SLOT | IS_NUMBER
-    m = _WITH_UNIT.match(bare)
-    if m and m[1].lower() in UNITS:
-        return _NUM_UNIT, IS_SLOT
+def _classify(word: str) -> tuple[str, str, int, int]:
+    """(token with names as placeholders, token with names as words, flags of both)."""
+    bare = word.lstrip(_LEAD).rstrip(_TRAIL)
+    if not bare.isalpha():
+        bare = _EDGE.sub("", word) or word
+        if _NUMBER.match(bare):
+            return _NUM, _NUM, IS_SLOT | IS_NUMBER, IS_SLOT | IS_NUMBER
+        m = _WITH_UNIT.match(bare)
+        if m and m[1].lower() in UNITS:
+            return _NUM_UNIT, _NUM_UNIT, IS_SLOT, IS_SLOT
     low = bare.lower()
     if low in UNITS:
-        return low, IS_UNIT
-    if form == 0 and len(bare) > 1 and bare[0].isupper() and bare[1:].islower() and bare.isalpha():
-        return _NAME, IS_SLOT
-    return low, 0
+        return low, low, IS_UNIT, IS_UNIT
+    if len(bare) > 1 and bare[0].isupper() and bare[1:].islower() and bare.isalpha():
+        return _NAME, low, IS_SLOT, 0
+    return low, low, 0, 0
+
+
+def template(word: str, form: int = 0) -> tuple[str, int]:
+    """(template token, flags) of a word; a unit counts as one only after a number."""
+    c = _classify(word)
+    return c[form], c[2 + form]
 
 
 def _hash(token: str) -> int:
     return xxhash.xxh64_intdigest(token.encode(), 1)
 
 
-def _templates(words: list[str], known: dict, form: int) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes and flags of different words."""
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    for w in words:
-        if w not in known:
-            t, f = template(w, form)
-            known[w] = (_hash(t), f)
-    return np.array([known[w][0] for w in words], np.uint64), np.array([known[w][1] for w in words], np.uint8)
+class _Templates:
+    """Token hashes and flags of the words a task has met, by form."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.hashes = [np.zeros(0, np.uint64) for _ in FORMS]
+        self.flags = [np.zeros(0, np.uint8) for _ in FORMS]
+
+    def of(self, words: list[str]) -> np.ndarray:
+        """Numbers of the words in ``hashes`` and ``flags``."""
+        if len(self.number) > CACHED_WORDS:
+            self.clear()
+        new = [w for w in words if w not in self.number]
+        if new:
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
+            found = [_classify(w) for w in new]
+            for form in FORMS:
+                self.hashes[form] = np.concatenate([self.hashes[form], np.array([_hash(c[form]) for c in found], np.uint64)])
+                self.flags[form] = np.concatenate([self.flags[form], np.array([c[2 + form] for c in found], np.uint8)])
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
 
 
 def _as_unit(h: np.ndarray, f: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,17 +156,17 @@ def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFram
                            T.StructField("n", T.LongType()), T.StructField("slots", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [worker_memory("templates").setdefault(form, {}) for form in FORMS]
+        known = worker_memory("templates").setdefault("words", _Templates())
         allow = passing.value if passing is not None else None
         for rows, data, off in text_slices(batches, "text"):
             words, which, first = distinct_words(data, off)
             if not words:
                 continue
+            known_as = known.of(words)[which]
             n_words = np.diff(first)
             row_of = np.repeat(np.arange(len(off) - 1), n_words)
             for form in FORMS:
-                h, f = _templates(words, known[form], form)
-                h, slot = _as_unit(h[which], f[which], first)
+                h, slot = _as_unit(known.hashes[form][known_as], known.flags[form][known_as], first)
                 for size in sizes if sizes is not None else range(1, WINDOW + 1):
                     win = _windows(h, size, form)
                     ok = row_of[:len(win)] == row_of[size - 1:]
