@@ -29,19 +29,19 @@ def split_rows(spark: SparkSession, rows: int, per_task: int) -> int:
     return max(1, -(-rows // per_task))
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """(rows, bytes, offsets) with at most SLICE_BYTES of text each, or one longer row.
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, slice_bytes: int = SLICE_BYTES, slice_rows: int = ROWS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, bytes, offsets) with at most ``slice_bytes`` of text each, or one longer row.
     Null texts count as empty."""
     for batch in batches:
         at = batch.schema.names.index(column)
-        for start in range(0, batch.num_rows, ROWS):  # only these rows' texts are copied
-            part = batch.slice(start, ROWS)
+        for start in range(0, batch.num_rows, slice_rows):  # only these rows' texts are copied
+            part = batch.slice(start, slice_rows)
             col = part.column(at).cast(pa.large_binary()).fill_null(b"")
             off = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset:col.offset + len(col) + 1]
             data = np.frombuffer(col.buffers()[2], dtype=np.uint8) if col.buffers()[2] is not None else np.zeros(0, np.uint8)
             lo = 0
             while lo < len(col):
-                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + SLICE_BYTES, "right")) - 1)
+                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + slice_bytes, "right")) - 1)
                 yield part.slice(lo, hi - lo), data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
                 lo = hi
 
@@ -67,7 +67,7 @@ def words_of(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, np.searchsorted(starts, off)
 
 
-def distinct_words(data: np.ndarray, off: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+def distinct_words(data: np.ndarray, off: np.ndarray, as_bytes: bool = False) -> tuple[list, np.ndarray, np.ndarray]:
     """The different words of a slice, each occurrence's word, and each row's first occurrence."""
     starts, ends, first = words_of(data, off)
     flat = np.zeros(len(starts) + 1, np.int32)
@@ -78,7 +78,7 @@ def distinct_words(data: np.ndarray, off: np.ndarray) -> tuple[list[str], np.nda
     body = data[np.cumsum(ink[:-1]).astype(bool)]
     arr = pa.StringArray.from_buffers(len(starts), pa.py_buffer(flat), pa.py_buffer(np.ascontiguousarray(body)))
     d = arr.dictionary_encode()
-    return d.dictionary.to_pylist(), d.indices.to_numpy(zero_copy_only=False).astype(np.int64), first
+    return (d.dictionary.cast(pa.binary()) if as_bytes else d.dictionary).to_pylist(), d.indices.to_numpy(zero_copy_only=False).astype(np.int64), first
 
 
 def normal_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -52,6 +52,9 @@ BITMAP_BITS = 1 << 27
 #: Texts a task remembers to have sent; emptied beyond it, which only sends more.
 REMEMBERED = 2_000_000
 
+#: Larger slices share the work on repeated words; the passes hold little else.
+SLICE, SLICE_ROWS = 3 << 20, 1024
+
 _KEYS = ["anchor", "text_hash"]
 
 
@@ -72,7 +75,7 @@ def _bitmap(anchors: DataFrame) -> np.ndarray:
 
 def _stretches_of(data: np.ndarray, off: np.ndarray, level: int):
     """Distinct words, each word's number, its hash, and the stretches of the rows."""
-    words, which, first = distinct_words(data, off)
+    words, which, first = distinct_words(data, off, as_bytes=True)
     h = word_hashes(words, level + 1)[which] if words else np.zeros(0, np.uint64)
     return words, which, first, h, stretches(h, first, M[level])
 
@@ -84,7 +87,7 @@ def _text_hash(h: np.ndarray, begin: int, end: int) -> int:
 def _anchor_counts(docs: DataFrame) -> DataFrame:
     """(anchor, n): anchors of the texts; n is 1, or 2 for more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, data, off in text_slices(batches, "text"):
+        for _, data, off in text_slices(batches, "text", SLICE, SLICE_ROWS):
             anchor, n = np.unique(_stretches_of(data, off, 0)[4][0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))], names=["anchor", "n"])
 
@@ -95,7 +98,7 @@ def _sent_stretches(docs: DataFrame, live) -> DataFrame:
     """(anchor, text_hash, n, text) of the stretches of live anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple, int] = {}
-        for _, data, off in text_slices(batches, "text"):
+        for _, data, off in text_slices(batches, "text", SLICE, SLICE_ROWS):
             words, which, _, h, (anchor, begin, size) = _stretches_of(data, off, 0)
             if len(seen) > REMEMBERED:
                 seen.clear()
@@ -106,7 +109,7 @@ def _sent_stretches(docs: DataFrame, live) -> DataFrame:
                 times = seen.get(key, 0)
                 if times < 2:
                     seen[key] = times + 1
-                    out.append((*key, None if times else " ".join(words[i] for i in which[a:b].tolist())))
+                    out.append((*key, None if times else b" ".join([words[i] for i in which[a:b].tolist()]).decode()))
             if out:
                 a, t, text = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(a, np.uint64).view(np.int64)), pa.array(np.array(t, np.uint64).view(np.int64)),
@@ -215,14 +218,14 @@ def _judge(rows: DataFrame, level: int, shard_words: int) -> DataFrame:
 def _finer(rows: DataFrame, level: int) -> DataFrame:
     """The stretches of put-off texts under the next level's anchors, with what they are part of."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, off in text_slices(batches, "text"):
+        for part, data, off in text_slices(batches, "text", SLICE, SLICE_ROWS):
             words, which, first, h, (anchor, begin, size) = _stretches_of(data, off, level)
             row = np.searchsorted(first, begin, "right") - 1
             ends = begin + size + WINDOW - 1
             up = pa.array(row)
             yield pa.RecordBatch.from_arrays([
                 pa.array(anchor.view(np.int64)), pa.array(np.array([_text_hash(h, a, b) for a, b in zip(begin, ends)], np.uint64).view(np.int64)),
-                part.column(2).take(up), pa.array([" ".join(words[i] for i in which[a:b].tolist()) for a, b in zip(begin, ends)], pa.string()),
+                part.column(2).take(up), pa.array([b" ".join([words[i] for i in which[a:b].tolist()]).decode() for a, b in zip(begin, ends)], pa.string()),
                 part.column(0).take(up), part.column(1).take(up), pa.array((begin - first[row]).astype(np.int32))],
                 names=["anchor", "text_hash", "n", "text", "up_anchor", "up_hash", "shift"])
 
@@ -235,7 +238,7 @@ def _places(docs: DataFrame, flagged) -> DataFrame:
                            T.StructField("key", T.LongType()), T.StructField("begin", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, off in text_slices(batches, "text"):
+        for rows, data, off in text_slices(batches, "text", SLICE, SLICE_ROWS):
             _, _, first, h, (anchor, begin, size) = _stretches_of(data, off, 0)
             hit = np.flatnonzero(_in_bitmap(flagged.value, anchor))
             if not len(hit):
@@ -256,7 +259,7 @@ def _cut(docs: DataFrame) -> DataFrame:
                            T.StructField("n_removed", T.LongType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, off in text_slices(batches, "text"):
+        for rows, data, off in text_slices(batches, "text", SLICE, SLICE_ROWS):
             starts, ends, first = words_of(data, off)
             n_words = np.diff(first)
             cover = np.zeros(len(starts) + 1, np.int64)

@@ -16,8 +16,8 @@ _PLACE = np.uint64((1 << 20) - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def word_hashes(words: list[str], seed: int) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w.encode(), seed) for w in words], np.uint64)
+def word_hashes(words: list[bytes], seed: int) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w, seed) for w in words], np.uint64)
 
 
 def run_hashes(h: np.ndarray, m: int) -> np.ndarray:
