@@ -8,7 +8,8 @@ stages but the last return the columns of documents.
 - language: the filter is learned from the stage's own documents with a language; a
   document whose language cannot be told, or whose given language is another one than
   predicted with a score of MIN_SCORE, is rejected
-- lines: boilerplate lines of a source go; n_chars follows the text
+- lines: boilerplate lines of a source go, copies of a text counted as one page, so that
+  near_dedup finds them whole; n_chars follows the text
 - near_dedup: the document with the smallest id of each group stays
 - decontamination: documents with a benchmark passage go
 - packing: one row per piece of a document, with its place in a sequence
@@ -46,9 +47,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their source's boilerplate lines."""
+    """Documents without their source's boilerplate lines; a text counts once a source."""
     named = docs.withColumnRenamed("n_lines", "__n_lines").withColumnRenamed("n_dropped", "__n_dropped")
-    out = linededup.drop_boilerplate(named).drop("n_lines", "n_dropped")
+    out = linededup.drop_boilerplate(named, copies_once=True).drop("n_lines", "n_dropped")
     out = out.withColumnRenamed("__n_lines", "n_lines").withColumnRenamed("__n_dropped", "n_dropped")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))

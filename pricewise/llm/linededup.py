@@ -4,7 +4,9 @@ Per host, the pages that contain a line are divided by the host's pages; a line
 ratio exceeds ``RATIO`` is that site's boilerplate and goes from all its pages. A line
 must also be on ``MIN_PAGES`` pages or more: on a host of a few pages, any line would
 have a high ratio. A line counts once a page, compared without the white space at its
-ends; blank lines are layout, neither counted nor dropped.
+ends; blank lines are layout, neither counted nor dropped. With ``copies_once`` rows of
+a host with one text are one page, so that a group of copies, whatever its size, does
+not make boilerplate of its own text.
 
 Scale: pages are counted by (host, line digest) with map-side sums, so a hot host and a
 line on all its pages are one row per task. A host keeps fewer than (mean lines a page)
@@ -13,10 +15,14 @@ result of the count is small; it is grouped into one row per host. That table is
 broadcast only if its measured size is below BROADCAST_LINES; else the join is
 shuffled and adaptive execution splits a hot host.
 
+With ``copies_once`` the texts are first grouped by (host, text digest), with map-side
+combination, so that the copies of a text are one row per task.
+
 Everything runs on built-in functions. The digest is MD5 (128 bits).
 
 Edge cases: a null text stays null, an empty one empty; null hosts form one host;
-repeated rows are pages of their own; a text whose lines all go becomes empty; ratios
+repeated rows are pages of their own unless ``copies_once`` (null and empty texts are
+then one page each); a text whose lines all go becomes empty; ratios
 equal to RATIO stay; an empty table gives an empty result; other columns pass through.
 """
 
@@ -43,10 +49,15 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text",
-                ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """(host, line, pages, host_pages): digests of the lines above the ratio."""
     pages = docs.select(F.col(host_col).alias("host"), F.col(text_col).alias("text"))
-    totals = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
+    totals = pages
+    if copies_once:
+        copy = F.md5("text").alias("copy")
+        totals = pages.select("host", copy).distinct()
+        pages = pages.groupBy("host", copy).agg(F.first("text").alias("text"))
+    totals = totals.groupBy("host").agg(F.count("*").alias("host_pages"))
     each = pages.select("host", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _key))).alias("line")).where("line is not null")
     counted = each.groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
     return (counted.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).drop("h")
@@ -54,10 +65,10 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
 
 
 def drop_boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text",
-                     ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                     ratio: float = RATIO, min_pages: int = MIN_PAGES, copies_once: bool = False) -> DataFrame:
     """``docs`` with the text less its site's boilerplate lines, and n_lines and
     n_dropped (long) added (input columns of these names are replaced)."""
-    found = cut_lineage(boilerplate(docs, host_col, text_col, ratio, min_pages), "boilerplate")
+    found = cut_lineage(boilerplate(docs, host_col, text_col, ratio, min_pages, copies_once), "boilerplate")
     per_host = found.groupBy("host").agg(F.collect_set("line").alias("__drop")).withColumnRenamed("host", "__host")
     if found.count() <= BROADCAST_LINES:
         per_host = F.broadcast(per_host)

@@ -88,3 +88,19 @@ def test_edge_cases_through_all_stages(spark, empty):
         if not empty and name == "near_dedup":
             assert sorted(r.doc_id or 0 for r in rows) == [0, 4, 5, 6]
     assert bool(rows) != empty
+
+
+def test_one_copy_of_a_large_group_stays(spark):
+    """20 copies in a source of 60 pages, and 6 in one of 8: whole after lines, one each after near_dedup."""
+    word = [f"w{i}" for i in range(4_000)]
+    group = {"a": "\n".join(" ".join(word[i:i + 12]) for i in range(0, 96, 12)), "b": "\n".join(" ".join(word[i:i + 12]) for i in range(100, 196, 12))}
+    rows = [(i, group["a"], "a") for i in range(20)] + [(100 + i, group["b"], "b") for i in range(6)]
+    rows += [(200 + i, "menu\n" + " ".join(word[300 + 40 * i:340 + 40 * i]), "a") for i in range(40)]
+    rows += [(300 + i, " ".join(word[2_000 + 40 * i:2_040 + 40 * i]), "b") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = P.cut_lineage(P.lines(spark, docs, DATA), "lines")
+    texts = {r.doc_id: r.text for r in out.collect()}
+    assert all(texts[i] == t for i, t, _ in rows if i < 200)
+    assert all(texts[i] == t.removeprefix("menu\n") for i, t, _ in rows if i >= 200)
+    kept = {r.doc_id: r.text for r in P.near_dedup(spark, out, DATA).collect()}
+    assert kept[0] == group["a"] and kept[100] == group["b"] and sorted(i for i in kept if i < 200) == [0, 100]
