@@ -1,9 +1,11 @@
 """Secret scan with corpus-wide ownership of every candidate.
 
 ``scan`` finds the base kinds in each whole text (map only): assignments, access keys
-and hex runs; and, outside their spans, further candidates: long mixed tokens and
-private-key headers. ``ownership`` then aggregates candidate hashes over the corpus:
-in how many repositories and of how many owners does a value occur? A value that
+and hex runs; and further candidates: whole private-key blocks and, outside all these
+spans, long mixed tokens. A block reaches from its BEGIN line to its END line, or to
+the end of the base64 text where END is missing; its value is the body without white
+space, so ownership is by key. A header without any body is no key. ``ownership`` then
+aggregates candidate hashes over the corpus: in how many repositories and of how many owners does a value occur? A value that
 ``WIDE_OWNERS`` owners or more hold is a copied example; a value of fewer owners that
 looks live (random-looking, no placeholder) is a credential. Base spans always stay,
 with their class; the further candidates are reported only if they are credentials.
@@ -40,6 +42,12 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # runs are taken whole, so short ones need not match first
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 PEM = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+PEM_END = re.compile(r"-----END (?:[A-Z0-9]+ )*PRIVATE KEY-----")
+#: A body without END: whole lines of base64 (and the headers of an encrypted key), or long runs.
+_BREAK = r"[ \t]*+(?:\r?\n|(?:\\r)?\\n)[ \t]*+"
+PEM_BODY = re.compile(rf"(?:{_BREAK}(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*(?:{_BREAK}(?={_BREAK}))?|[A-Za-z0-9+/]++={{0,2}}(?={_BREAK}|[ \t]*+\Z))"
+                      r"|(?:\s|\\[nrt])*+[A-Za-z0-9+/]{16,}={0,2})*")
+_PEM_SPACE = re.compile(r"\s|\\[nrt]")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 #: Order of kinds at one start.
 KINDS = ("assign", "access", "hex", "token", "pem")
@@ -75,6 +83,19 @@ HINTS = {
 }
 
 
+def _pem_blocks(text: str) -> list[tuple[str, int, int, str]]:
+    """("pem", start, end, body without white space) of every private key with a body."""
+    out = []
+    for m in PEM.finditer(text):
+        dashes = text.find("-----", m.end())
+        last = PEM_END.match(text, dashes) if dashes >= 0 else None
+        stop = dashes if last else PEM_BODY.match(text, m.end()).end()
+        body = _PEM_SPACE.sub("", text[m.end():stop])
+        if any(c.isalnum() for c in body):
+            out.append(("pem", m.start(), last.end() if last else stop, body))
+    return out
+
+
 def spans_of(text: str, kinds: set[str] = frozenset(KINDS)) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, secret value) by start, then kind; ends are exclusive code points."""
     base, more = [], []
@@ -86,9 +107,9 @@ def spans_of(text: str, kinds: set[str] = frozenset(KINDS)) -> list[tuple[str, i
         base += [("hex", m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
     if "token" in kinds:
         more += [("token", m.start(), m.end(), m[0]) for m in TOKEN.finditer(text) if _mixed(m[0])]
-    if "pem" in kinds:
-        more += [("pem", m.start(), m.end(), m[0]) for m in PEM.finditer(text)]
-    taken = [(s, e) for _, s, e, _ in base]
+    keys = _pem_blocks(text) if "pem" in kinds else []
+    taken = [(s, e) for _, s, e, _ in base + keys]
+    base += keys
     base += [x for x in more if not any(x[1] < e and s < x[2] for s, e in taken)]
     return sorted(base, key=lambda x: (x[1], KINDS.index(x[0])))
 

@@ -60,3 +60,37 @@ def test_edge_cases(spark):
     assert len(out) == len(rows)
     assert {r.doc_id: len(r.spans) for r in out} == {1: 0, 2: 0, 3: 1, 4: 1, None: 1}
     assert secrets.find_secrets(docs.limit(0)).collect() == []
+
+
+def pem(seed, kind="RSA ", lines=4):
+    import base64
+    import hashlib
+    raw = b"".join(hashlib.sha256(f"{seed}-{i}".encode()).digest() for i in range(2 * lines))
+    body = base64.b64encode(raw).decode()
+    return f"-----BEGIN {kind}PRIVATE KEY-----\n" + "\n".join(body[i:i + 64] for i in range(0, len(body), 64)) + f"\n-----END {kind}PRIVATE KEY-----"
+
+
+def test_private_keys_are_owned_by_key(spark):
+    own = [f"key:\n{pem(i)}\nend" for i in range(4)]
+    shared = pem("shared", "")
+    rows = [(i, t, f"s{i}") for i, t in enumerate(own)]
+    rows += [(10 + i, (f"x {shared} y", "x " + shared.replace("\n", "\r\n"), "x " + shared.replace("\n", "\\n"))[i], f"s{i}") for i in range(3)]
+    got = spans(secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    assert all(got[i] == [("pem", 5, len(own[i]) - 4, False, "live")] for i in range(4))
+    assert all(got[10 + i] == [] for i in range(3))
+
+
+def test_extent_of_private_keys():
+    block = pem("a")
+    cut = block[:block.index("\n-----END")]
+    found = [x for x in secrets.spans_of(f"{cut}\n\nThe text goes on here.")]
+    assert [(k, s, e) for k, s, e, _ in found] == [("pem", 0, len(cut))] and found[0][3] == secrets.spans_of(block)[0][3]
+    two = secrets.spans_of(f"{cut}\n{pem('b')}")
+    assert [k for k, *_ in two] == ["pem", "pem"] and two[0][2] <= two[1][1] and two[0][3] != two[1][3]
+    header = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00ff00ff00ff00ff00ff00ff00ff00ff\n\n"
+    sealed = block.replace("-----\n", "-----\n" + header, 1)
+    assert [(k, s, e) for k, s, e, _ in secrets.spans_of(sealed) if k == "pem"] == [("pem", 0, len(sealed))]
+    assert [k for k, *_ in secrets.spans_of(sealed)] == ["pem", "hex"]
+    assert secrets.spans_of(sealed[:sealed.index("\n-----END")])[0][2] == sealed.index("\n-----END")
+    assert secrets.spans_of("Keys start with -----BEGIN PRIVATE KEY----- as a rule.") == []
+    assert len(secrets.spans_of("-----BEGIN PRIVATE KEY-----" + "\n" + " " * 200_000 + "x, y")) == 0
