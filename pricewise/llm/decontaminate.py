@@ -4,10 +4,17 @@ Text and benchmark items become sequences of template tokens: numbers, names and
 units are replaced by typed placeholders, every other word is lower-cased and freed of
 outer punctuation. Windows of ``WINDOW`` tokens of the items are hash-joined with those
 of all documents. Matched windows on one diagonal (same shift between item and
-document) are an occurrence; its slots give pairs (item value, document value), and the
-occurrence is consistent if every item value has one document value. A document is
-contaminated if consistent occurrences cover ``COVERAGE`` or more of an item's windows:
-verbatim copies and questions with other numbers or names alike.
+document) are an occurrence; its slots give pairs (item value, document value). A window
+whose slots all have the item's values is literal and always counts. One with other
+values counts if its occurrence is consistent (every item value has one document value)
+and the item has MIN_LITERAL words outside its slots: short items and those of
+placeholders must be met literally.
+
+The counted windows, from any place of the document, cover tokens of the item. A
+document is contaminated if they cover ``COVERAGE`` or more of an item's tokens, or all
+but WINDOW of them and MIN_COVERED at least (one edited word near an end hides as many),
+or if literal windows in a row cover RUN tokens of a longer item: verbatim copies,
+questions with other numbers or names, near copies and long quotations alike.
 
 - number: digits with signs, separators, currency signs or a percent sign
 - unit: a word of UNITS right after a number; a number with such a unit attached is
@@ -39,7 +46,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +54,10 @@ from .common import cut_lineage, distinct_words, text_slices, worker_memory
 
 WINDOW = 5
 COVERAGE = 0.8
+#: Tokens that suffice when no more than WINDOW are left out; literal tokens in a row that always do.
+MIN_COVERED, RUN = 2 * WINDOW, 20
+#: Words outside slots that an item needs for matches with other values.
+MIN_LITERAL = 5
 FILTER_BITS = 1 << 22
 CACHED_WORDS = 250_000
 
@@ -150,10 +161,11 @@ def _windows(h: np.ndarray, size: int, form: int) -> np.ndarray:
 
 
 def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFrame:
-    """(id, form, hash, pos, n, slots): windows of every text. ``sizes``: the window lengths;
+    """(id, form, hash, pos, size, tokens, literal, slots): windows of every text, with their
+    length, the text's tokens and those that are no slots. ``sizes``: the window lengths;
     None takes WINDOW, or the whole of a shorter text. ``passing``: bitmap or None."""
     schema = T.StructType([T.StructField("id", texts.schema["id"].dataType), T.StructField("form", T.IntegerType()), T.StructField("hash", T.LongType()), T.StructField("pos", T.LongType()),
-                           T.StructField("n", T.LongType()), T.StructField("slots", T.ArrayType(T.StringType()))])
+                           T.StructField("size", T.LongType()), T.StructField("tokens", T.LongType()), T.StructField("literal", T.LongType()), T.StructField("slots", T.ArrayType(T.StringType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = worker_memory("templates").setdefault("words", _Templates())
@@ -167,6 +179,7 @@ def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFram
             row_of = np.repeat(np.arange(len(off) - 1), n_words)
             for form in FORMS:
                 h, slot = _as_unit(known.hashes[form][known_as], known.flags[form][known_as], first)
+                literal = np.diff(np.concatenate([[0], np.cumsum(slot == 0)])[first])
                 for size in sizes if sizes is not None else range(1, WINDOW + 1):
                     win = _windows(h, size, form)
                     ok = row_of[:len(win)] == row_of[size - 1:]
@@ -182,12 +195,30 @@ def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFram
                     slots = [[words[which[k]].strip(".,;:!?\"'()").lower() for k in range(a, a + size) if slot[k]] for a in at.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(0).take(pa.array(r)), pa.array(np.full(len(r), form, np.int32)), pa.array(win[at].view(np.int64)),
-                         pa.array(at - first[r]), pa.array(np.maximum(n_words[r] - size + 1, 1)), pa.array(slots, pa.list_(pa.string()))],
-                        names=["id", "form", "hash", "pos", "n", "slots"])
+                         pa.array(at - first[r]), pa.array(np.full(len(r), size, np.int64)), pa.array(n_words[r].astype(np.int64)), pa.array(literal[r].astype(np.int64)),
+                         pa.array(slots, pa.list_(pa.string()))],
+                        names=["id", "form", "hash", "pos", "size", "tokens", "literal", "slots"])
 
     return texts.mapInArrow(run, schema)
 
 
+def _tokens_covered(at: str) -> Column:
+    """Tokens in the windows that begin at the sorted places ``at``."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+    return F.aggregate(at, start, lambda a, p: F.struct((a["n"] + p + F.col("size") - F.greatest(a["end"], p)).alias("n"), (p + F.col("size")).alias("end")), lambda a: a["n"])
+
+
+def _longest_run(at: str) -> Column:
+    """Tokens of the longest row of windows, each one token after the one before."""
+    start = F.struct(F.lit(-2).cast("long").alias("last"), F.lit(0).cast("long").alias("run"), F.lit(0).cast("long").alias("best"))
+
+    def step(a, p):
+        run = F.when(p == a["last"] + 1, a["run"] + 1).otherwise(F.col("size"))
+        return F.struct(p.alias("last"), run.alias("run"), F.greatest(a["best"], run).alias("best"))
+
+    return F.aggregate(at, start, step, lambda a: a["best"])
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, coverage, changed) of every contaminated document and item;
@@ -195,7 +226,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id_col).alias("id"), F.col(item_text_col).alias("text"))
     known = cut_lineage(_window_rows(items, None, None).select(
-        F.col("id").alias("item_id"), "form", "hash", F.col("pos").alias("item_pos"), F.col("n").alias("n_windows"), F.col("slots").alias("item_slots")), "templates")
+        F.col("id").alias("item_id"), "form", "hash", F.col("pos").alias("item_pos"), "size", "tokens", "literal", F.col("slots").alias("item_slots")), "templates")
     # window lengths (at most WINDOW) and the bitmap's set slots (at most FILTER_BITS): bounded
     short = items.select(F.size(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")).alias("k")).where(f"k > 0 and k < {WINDOW}").distinct()
     sizes = [*(r.k for r in short.collect()), WINDOW]
@@ -203,22 +234,25 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     set_bits = known.select(F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1).cast("long")).alias("b")).distinct().toArrow().column(0).to_numpy()
     allow[set_bits] = True
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    hits = _window_rows(texts, sizes, spark.sparkContext.broadcast(allow)).drop("n")
+    hits = _window_rows(texts, sizes, spark.sparkContext.broadcast(allow)).drop("size", "tokens", "literal")
     pairs = (hits.join(known, ["form", "hash"]).where(F.size("slots") == F.size("item_slots"))
              .select("id", F.struct("item_id", "form", (F.col("pos") - F.col("item_pos")).alias("shift")).alias("occ"),
-                     "n_windows", "item_pos", F.arrays_zip("item_slots", "slots").alias("values")))
+                     "size", "tokens", "literal", "item_pos", (F.col("slots") == F.col("item_slots")).alias("same"), F.arrays_zip("item_slots", "slots").alias("values")))
     pairs = cut_lineage(pairs, "template_hits")
     values = pairs.select("id", "occ", F.explode_outer("values").alias("v")).select("id", "occ", "v.*").distinct()
-    occurrence = (values.groupBy("id", "occ", "item_slots")
-                  .agg(F.count("slots").alias("k"), F.max(F.coalesce(F.col("slots") != F.col("item_slots"), F.lit(False))).alias("changed"))
-                  .groupBy("id", "occ").agg(F.max("k").alias("k"), F.max("changed").alias("changed"))
-                  .where("k <= 1").select(F.col("id").alias("i"), F.col("occ").alias("o"), "changed"))
+    occurrence = (values.groupBy("id", "occ", "item_slots").agg(F.count("slots").alias("k"))
+                  .groupBy("id", "occ").agg((F.max("k") <= 1).alias("consistent")).withColumnsRenamed({"id": "i", "occ": "o"}))
+    counts = F.col("same") | (F.col("consistent") & (F.col("literal") >= MIN_LITERAL))
+    item = ["id", "item_id", "form", "size", "tokens"]
     covered = (pairs.drop("values").join(occurrence, F.col("id").eqNullSafe(F.col("i")) & F.col("occ").eqNullSafe(F.col("o")))
-               .select("id", "occ.item_id", "occ.form", "n_windows", "item_pos", "changed")
-               .groupBy("id", "item_id", "form", "n_windows", "item_pos").agg(F.min("changed").alias("changed"))
-               .groupBy("id", "item_id", "form", "n_windows").agg((F.count("*") / F.col("n_windows")).alias("coverage"), F.max("changed").alias("changed"))
-               .where(F.col("coverage") >= COVERAGE)
-               .groupBy("id", "item_id").agg(F.max("coverage").alias("coverage"), F.min("changed").alias("changed")))
+               .select("id", "occ.item_id", "occ.form", "size", "tokens", "item_pos", "same", counts.alias("counts"))
+               .groupBy(*item, "item_pos").agg(F.max("same").alias("same"), F.max("counts").alias("counts"))
+               .groupBy(*item).agg(F.array_sort(F.collect_list(F.when(F.col("counts"), F.col("item_pos")))).alias("at"),
+                                   F.array_sort(F.collect_list(F.when(F.col("same"), F.col("item_pos")))).alias("same_at"), (~F.min("same")).alias("changed"))
+               .select(*item, _tokens_covered("at").alias("n"), _longest_run("same_at").alias("run"), "changed")
+               .where((F.col("n") >= COVERAGE * F.col("tokens")) | (F.col("run") >= RUN)
+                      | (F.col("n") >= F.greatest(F.col("tokens") - WINDOW, F.lit(MIN_COVERED))))
+               .groupBy("id", "item_id").agg(F.max(F.col("n") / F.col("tokens")).alias("coverage"), F.min("changed").alias("changed")))
     return covered.withColumnRenamed("id", "doc_id")
 
 

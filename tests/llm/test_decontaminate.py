@@ -55,3 +55,25 @@ def test_edge_cases(spark):
     assert [r.doc_id for r in D.drop_contaminated(docs, bench).collect()] == [8]
     assert D.flag(docs.limit(0), bench).collect() == []
     assert not any(r.contaminated for r in D.flag(docs, bench.limit(0)).collect())
+
+
+SHORT = "the old miller carried seven heavy sacks of grain across a narrow bridge before dawn broke"
+LONG = "the river that runs below our town was once so clean that people drank from it but since the mill came upstream nobody has dared to swim there and even the fish have gone away to quieter waters"
+
+
+def test_near_copies_and_passages(spark):
+    words = SHORT.split()
+    assert len(words) == 16
+    edits = [" ".join([*words[:i], "otherwise", *words[i + 1:]]) for i in range(16)]
+    long = LONG.split()
+    two = " ".join("otherwise" if i in (4, len(long) - 5) else w for i, w in enumerate(long))
+    got = flags(spark, [*edits, "He wrote: " + " ".join(long[:len(long) * 3 // 4]) + ", no more.", two, " ".join(long[:12])], ((1, SHORT), (2, LONG)))
+    assert all(got[i][0] for i in range(18)) and not got[18][0]
+    # one of two equal numbers changed, in a copy that is verbatim else
+    assert flags(spark, [ITEM.replace("2 more", "7 more")]) == {0: (True, True)}
+
+
+def test_short_items_and_placeholders_are_met_literally(spark):
+    items = ((1, "42"), (2, "Alice has 5 km"), (3, "Alice Bob Carol Dave Erin 1 2 3 4"))
+    got = flags(spark, ["there are 17 of them", "so Robert has 9 km to go", "Paul John Mark Luke Adam 5 6 7 8", "the answer is 42.", "so Alice has 5 km to go", "Alice Bob Carol Dave Erin 1 2 3 4"], items)
+    assert [got[i][0] for i in range(6)] == [False] * 3 + [True] * 3
