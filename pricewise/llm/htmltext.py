@@ -44,16 +44,27 @@ RAW_TAGS = frozenset("script style textarea title noscript template iframe".spli
 BESIDE_TAGS = frozenset("nav footer aside form menu dialog".split())
 MAIN_TAGS = frozenset("article main".split())
 HEADING_TAGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Parts of class names, ids and roles that mark what stands beside the main text.
+#: Class names, ids and roles that mark what stands beside the main text, alone or as the
+#: last word of a longer name, or as its first word before one of BESIDE_ENDS.
 BESIDE_WORDS = frozenset("""
 ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice
 notification alert popup modal overlay sidebar sidenav widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager footer
 masthead topbar comment comments disqus reply replies respond share sharing social related recommended newsletter subscribe signup login
 search skip copyright complementary contentinfo
 """.split())
+BESIDE_ENDS = frozenset("list links link buttons button icons form posts articles items box bar block area slot unit inner top bottom left right".split())
+#: Ids of sections inside the main text are anchors, but for these.
+SECTION_IDS = frozenset("comments respond disqus sidebar footer newsletter".split())
 #: Parts that show a wrapper around the whole page.
 WRAPPER_WORDS = frozenset("with has no without wrapper container layout page".split())
+#: Names of the main text, alone or as the last word of a longer name.
 MAIN_WORDS = frozenset("main article post entry story content articlebody".split())
+MAIN_ENDS = MAIN_WORDS | {"body", "text"}
+#: Blocks of these tags in a row are measured together.
+RUN_TAGS = frozenset("p li td th dd dt blockquote pre".split())
+RUN_WORDS = 24
+#: Scripts without spaces: two letters count as a word.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 FEATURES = ("words", "links", "words_before", "links_before", "words_after", "links_after", "beside", "inside", "page_has_main", "heading")
 
@@ -70,8 +81,8 @@ def _label(words: int, links: float, before: int, links_before: float, after: in
     """The rule that labels the grid: 1 for main text."""
     if beside or page_has_main and not inside:
         return 0
-    if inside:  # all of an article but its lists of links
-        return int(links < 0.9 or links_before < 0.9 and links_after < 0.9)
+    if inside:  # all of an article, its lists of links too
+        return 1
     if links > 0.5:
         return 0
     full = words >= 12
@@ -124,27 +135,44 @@ def classify(node: Node, features: tuple) -> int:
     return node.label
 
 
-def _marks(tag: str, attributes: str) -> tuple[bool, bool]:
-    """Does the element begin something beside the main text, or the main text?"""
+def _size(text: str) -> int:
+    """Words, and half the letters of scripts without spaces."""
+    n = len(text.split())
+    return n if text.isascii() else max(n, len(_UNSPACED.findall(text)) // 2)
+
+
+def _is_beside(words: list[str]) -> bool:
+    return words[-1] in BESIDE_WORDS or words[0] in BESIDE_WORDS and words[-1] in BESIDE_ENDS
+
+
+def _marks(tag: str, attributes: str, within: bool) -> tuple[bool, bool]:
+    """Does the element begin something beside the main text, or the main text? ``within``:
+    it stands inside the main text."""
     beside, inside = tag in BESIDE_TAGS, tag in MAIN_TAGS
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name in ("class", "id", "role") and tag not in ("body", "html"):
                 for part in value.split():
-                    words = set(re.split(r"[-_]+", part))
-                    if words & BESIDE_WORDS and not words & WRAPPER_WORDS:
+                    words = [w for w in re.split(r"[-_]+", part) if w]
+                    if not words or not WRAPPER_WORDS.isdisjoint(words):
+                        continue
+                    if tag in MAIN_TAGS:
+                        beside = beside or part == "comment"
+                    elif name == "id" and (tag in HEADING_TAGS or tag == "section" and within and part not in SECTION_IDS):
+                        continue
+                    elif _is_beside(words):
                         beside = True
-                    elif words & MAIN_WORDS and not words & WRAPPER_WORDS and tag in ("div", "section", "td"):
+                    elif tag in ("div", "section", "td") and (words[0] in MAIN_WORDS if len(words) == 1 else words[-1] in MAIN_ENDS and not MAIN_WORDS.isdisjoint(words)):
                         inside = True
             elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
                 beside = True
     return beside, inside
 
 
-def blocks_of(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
-    """(text, words, words in links, beside, inside, heading) of the page's blocks in order."""
-    out: list[tuple[str, int, int, bool, bool, bool]] = []
+def blocks_of(page: str) -> list[tuple[str, int, int, bool, bool, bool, str]]:
+    """(text, words, words in links, beside, inside, heading, tag of RUN_TAGS or "") of the page's blocks in order."""
+    out: list[tuple[str, int, int, bool, bool, bool, str]] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, beside, inside; with what they inherit
     text: list[str] = []
     link_words = 0
@@ -157,8 +185,9 @@ def blocks_of(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
         if text:
             joined = _BLANK.sub(" ", "".join(text)).strip()
             if joined:
-                n = joined.count(" ") + 1
-                out.append((joined, n, min(link_words, n), beside, inside, heading))
+                n = _size(joined)
+                tag = next((t for t, _, _ in reversed(stack) if t in BLOCK_TAGS), "")
+                out.append((joined, n, min(link_words, n), beside, inside, heading, tag if tag in RUN_TAGS else ""))
             text.clear()
         link_words = 0
 
@@ -168,7 +197,7 @@ def blocks_of(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
             raw = unescape(raw) if "&" in raw else raw
             text.append(raw)
             if links:
-                link_words += len(raw.split())
+                link_words += _size(raw)
 
     at, end = 0, len(page)
     while at < end:
@@ -214,7 +243,7 @@ def blocks_of(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
                     del stack[i:]
                     break
             beside, inside = stack[-1][1:] if stack else (False, False)
-        own_beside, own_inside = _marks(tag, m[3])
+        own_beside, own_inside = _marks(tag, m[3], inside)
         if tag == "header":
             own_beside = own_beside or not inside
         beside, inside = beside or own_beside, inside or own_inside
@@ -226,10 +255,28 @@ def blocks_of(page: str) -> list[tuple[str, int, int, bool, bool, bool]]:
     return out
 
 
+def _measured(blocks: list[tuple]) -> list[tuple[int, float]]:
+    """Words and link density of each block; short blocks of one tag in a row, none of them
+    mostly links, have their words together where these are RUN_WORDS or more."""
+    size = [(b[1], b[2] / max(b[1], 1)) for b in blocks]
+    lo = 0
+    while lo < len(blocks):
+        hi = lo + 1
+        if blocks[lo][6] and not blocks[lo][3] and size[lo][1] <= 0.5:
+            while hi < len(blocks) and blocks[hi][3:] == blocks[lo][3:] and size[hi][1] <= 0.5:
+                hi += 1
+            total = sum(n for n, _ in size[lo:hi])
+            if total >= RUN_WORDS:
+                size[lo:hi] = [(total, d) for _, d in size[lo:hi]]
+        lo = hi
+    return size
+
+
 def main_text(page: str, tree: Node) -> str:
     blocks = blocks_of(page)
-    has_main = any(b[4] and not b[3] for b in blocks)
-    size = [(0, 0.0), *((b[1], b[2] / b[1]) for b in blocks), (0, 0.0)]
+    marked = sum(b[1] for b in blocks if b[4] and not b[3])
+    has_main = marked > 0 and 2 * marked >= sum(b[1] for b in blocks if not b[3])
+    size = [(0, 0.0), *_measured(blocks), (0, 0.0)]
     return "\n\n".join(b[0] for i, b in enumerate(blocks)
                        if classify(tree, (*size[i + 1], *size[i], *size[i + 2], b[3], b[4], has_main, b[5])))
 

@@ -66,3 +66,27 @@ def test_edge_cases(spark):
     assert len(out) == 5 and by[1].text == by[2].text == "" and by[1].n_chars == 0
     assert by[3].text == ("Wört & " * 60_000).strip() and by[None].text == "x y"
     assert htmltext.extract(pages.limit(0)).collect() == []
+
+
+def text_of(page):
+    return htmltext.main_text(page, TREE)
+
+
+def test_names_that_only_look_like_parts_beside():
+    long = " ".join(f"w{i}" for i in range(30))
+    assert text_of(f'<article class="post comments-open"><h2 id="search">Search</h2><p>{long}</p><section id="related-work"><h2 id="social-history">Past</h2><p>Short.</p></section></article>') \
+        == f"Search\n\n{long}\n\nPast\n\nShort."
+    assert text_of(f'<article class="sponsored-none"><p>One.</p><div class="related-posts"><p>{long}</p></div></article>') == "One."
+    assert text_of(f'<div class="post-meta">By A</div><div class="entry-header">On Monday</div><div class="x"><p>{long}</p></div>') == long
+    assert text_of(f'<div class="post">By A</div><div class="x"><p>{long}</p></div>').endswith(long)
+
+
+def test_short_blocks_unspaced_scripts_and_link_lists():
+    rows = [f"a{i} b{i} c{i} d{i} e{i}" for i in range(8)]
+    assert text_of("<div>" + "".join(f"<p>{r}</p>" for r in rows) + "</div><div>Copyright me</div>") == "\n\n".join(rows)
+    assert text_of("<ul>" + "".join(f"<li>{r}</li>" for r in rows) + "</ul>") == "\n\n".join(rows)
+    assert text_of("<table>" + "".join(f"<tr><td>{r}</td></tr>" for r in rows) + "</table>") == "\n\n".join(rows)
+    chinese = "这是一个没有空格的中文段落它应该被当作正文而不是被丢掉因为它很长"
+    assert text_of(f"<div><p>{chinese}</p></div>") == chinese
+    links = "".join(f"<li><a href=/{i}>Source {i}</a></li>" for i in range(3))
+    assert text_of(f"<article><p>See:</p><ul>{links}</ul><nav><a href=/>Home</a></nav></article>") == "See:\n\nSource 0\n\nSource 1\n\nSource 2"
