@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, htmltext, langid, linededup, packing, permutation, secrets, simhash, substring, warc
+from . import decontaminate, filteraudit, htmltext, langid, linededup, packing, permutation, secrets, simhash, substring, warc
 from .common import scratch_path, table
 
 #: Folder of the public tokenizers' vocabulary files.
@@ -94,7 +94,13 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("refers_to").cast("long").alias("refers_to"), "url")
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every order of the five filters, by language."""
+    return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op13_filter_audit": op13_filter_audit,
     "op4_fm_index": op4_fm_index,
     "op1_permutation_index": op1_permutation_index,
     "op9_warc": op9_warc,
@@ -120,4 +126,5 @@ FROM p LEFT JOIN f ON p.d = f.d
 ORACLE: dict[str, str] = {
     "op9_warc": WARC_SQL,
     "op8_line_dedup": linededup.SQL,
+    "op13_filter_audit": filteraudit.SQL,
 }
