@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, filteraudit, htmltext, langid, linededup, packing, permutation, secrets, simhash, substring, warc
+from . import crosstoken, decontaminate, filteraudit, htmltext, langid, linededup, packing, permutation, secrets, simhash, substring, warc
 from .common import scratch_path, table
 
-#: Folder of the public tokenizers' vocabulary files.
-TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
-
-
 def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated 35-word windows."""
     out = substring.dedup(table(spark, sf_dir, "documents"))
@@ -23,7 +19,7 @@ def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_tokenizer() -> str:
     """Path of the packing vocabulary."""
-    return os.path.join(TOKENIZERS, "word_bpe_49k.json")
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,12 +90,19 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("refers_to").cast("long").alias("refers_to"), "url")
 
 
+def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over every document."""
+    docs = table(spark, sf_dir, "documents")
+    return crosstoken.align_corpus(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every order of the five filters, by language."""
     return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES = {
+    "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_filter_audit": op13_filter_audit,
     "op4_fm_index": op4_fm_index,
     "op1_permutation_index": op1_permutation_index,
