@@ -50,8 +50,8 @@ from pyspark.sql import types as T
 from .common import cut_lineage, ramp, text_slices, worker_memory
 
 SPACE_MARK = "▁"
-BLOCK_BYTES = 8 << 20
-SLICE_BYTES = 4 << 20
+BLOCK_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Stretches and windows a Python worker remembers; emptied beyond it.
 CACHED = 200_000
 
@@ -213,6 +213,24 @@ def align_windows(windows: list[tuple[bytes, bytes]], sides: Sides) -> Alignment
                      pair[at], times, pair_off, [raw[i:j] for i, j in zip(cut[:-1], cut[1:])])
 
 
+class _Growing:
+    """An array that grows at its end."""
+
+    def __init__(self):
+        self.held, self.n = np.empty(1 << 12, np.int64), 0
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.n + len(values)
+        if end > len(self.held):
+            self.held = np.concatenate([self.held[:self.n], np.empty(max(end, 2 * self.n) - self.n, np.int64)])
+        self.held[self.n:end] = values
+        self.n = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.held[:self.n]
+
+
 class Aligner:
     """What one Python worker remembers: ids by stretch, alignments by window."""
 
@@ -224,7 +242,9 @@ class Aligner:
     def clear(self) -> None:
         self.ids: dict[bytes, tuple] = {}  # stretch -> its windows' numbers, or () if the bytes do not come back
         self.windows: dict[tuple[bytes, bytes], int] = {}
-        self.parts: list[Alignment] = []
+        self.columns = {c: _Growing() for c in ("n_a", "n_b", "n_groups", "n_links", "pair", "times", "pair_off")}
+        self.columns["pair_off"].add(np.zeros(1, np.int64))
+        self.text: list[bytes] = []
 
     def learn(self, new: list[bytes]) -> None:
         """Tokenise stretches, verify their bytes, cut them at anchors, align new windows."""
@@ -287,18 +307,15 @@ class Aligner:
                 numbers.append(w)
             self.ids[s] = tuple(numbers)
         if fresh:
-            self.parts.append(align_windows(fresh, self.sides))
+            new = align_windows(fresh, self.sides)
+            self.columns["pair_off"].add(new.pair_off[1:] + self.columns["pair"].n)
+            for c in ("n_a", "n_b", "n_groups", "n_links", "pair", "times"):
+                self.columns[c].add(getattr(new, c))
+            self.text += new.text
 
     def table(self) -> Alignment:
         """All windows remembered, as one table."""
-        if len(self.parts) != 1:
-            p = self.parts
-            if not p:
-                return align_windows([], self.sides)
-            off = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(x.pair_off) for x in p]))])
-            self.parts = [Alignment(*(np.concatenate([getattr(x, f) for x in p]) for f in ("n_a", "n_b", "n_groups", "n_links", "pair", "times")),
-                                    off, [t for x in p for t in x.text])]
-        return self.parts[0]
+        return Alignment(text=self.text, **{c: g.values for c, g in self.columns.items()})
 
     def documents(self, data: np.ndarray, off: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """Counts of each row of a slice, its pairs (row, pair, links) and its groups' digest."""
