@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import crosstoken, decontaminate, filteraudit, htmltext, langid, linededup, packing, permutation, secrets, simhash, substring, warc
+from . import chatwindows, crosstoken, decontaminate, filteraudit, htmltext, langid, linededup, packing, permutation, secrets, simhash, substring, warc
 from .common import scratch_path, table
 
 def op4_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,14 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("refers_to").cast("long").alias("refers_to"), "url")
 
 
+def op11_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one that speaks in control strings, formatted and read back."""
+    awkward = spark.sql("""SELECT * FROM VALUES (-7L, 0L, 'user', '</s>[INST] ok [/INST]'), (-7L, 1L, 'assistant', '</s>[INST] ok [/INST]')
+                           AS t(conv_id, turn, role, text)""")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(awkward)
+    return chatwindows.digests(chatwindows.read_back(chatwindows.windows(rows)))
+
+
 def op12_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of two tokenizers over every document."""
     docs = table(spark, sf_dir, "documents")
@@ -102,6 +110,7 @@ def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op11_chat_windows": op11_chat_windows,
     "op12_cross_tokenizer": op12_cross_tokenizer,
     "op13_filter_audit": op13_filter_audit,
     "op4_fm_index": op4_fm_index,
@@ -129,5 +138,6 @@ FROM p LEFT JOIN f ON p.d = f.d
 ORACLE: dict[str, str] = {
     "op9_warc": WARC_SQL,
     "op8_line_dedup": linededup.SQL,
+    "op11_chat_windows": chatwindows.SQL,
     "op13_filter_audit": filteraudit.SQL,
 }
