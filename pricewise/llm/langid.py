@@ -14,10 +14,14 @@ and h hits the corrected count is (h - n p) / (1 - p), p = f^k. The largest corr
 count decides, ties by the more frequent language, then by name. The score is that
 language's corrected share of the text's trigrams (0 to 1).
 
-Bounds: the filter has ``SLOTS`` rows whatever the input, so what goes to the tasks is
-SLOTS x 8 bytes for each 64 languages. More trigrams only fill it, which the
-correction takes into account. Counts cover every labelled row; nothing is sampled.
-Words are remembered by task as a cache only.
+Bounds: the filter has SLOTS_PER_MEMBER rows or more for each trigram of the language
+with most of them (a power of two, MIN_SLOTS at least), so a column is never filled
+beyond 1 - exp(-PROBES / SLOTS_PER_MEMBER) = 0.31 and false hits stay at about 0.03,
+whatever the size of the corpus. What goes to the tasks is 8 bytes a row for each 64
+languages; a corpus whose filter would need more than MAX_SLOTS rows (a gigabyte, 16
+million different trigrams in one language) is refused with a message, not answered
+with a full filter. Counts cover every labelled row; nothing is sampled. Words are
+remembered by task as a cache only.
 
 A trigram is a letter with its two neighbours, anything but a letter counting as one
 boundary sign, after lower-casing.
@@ -43,7 +47,8 @@ from pyspark.sql import types as T
 
 from .common import distinct_words, text_slices, worker_memory
 
-SLOTS = 1 << 21
+MIN_SLOTS, MAX_SLOTS = 1 << 16, 1 << 27
+SLOTS_PER_MEMBER = 8
 PROBES = 3
 #: Least rate of a trigram in a language, as a share of its highest rate in any.
 SHARE = 0.5
@@ -59,6 +64,8 @@ class LanguageFilter:
     planes: np.ndarray
     false_rate: np.ndarray
     key: str
+    #: Different trigrams learned from, over all languages.
+    trigrams: int = 0
 
 
 def _letter_codes(text: str) -> np.ndarray:
@@ -80,7 +87,15 @@ def _trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return grams, np.diff(np.searchsorted(mid, np.concatenate([[0], ends]) + 1))
 
 
-def _slots(grams: np.ndarray) -> list[np.ndarray]:
+def slots_for(members: int) -> int:
+    """Rows of a filter whose fullest column holds ``members`` trigrams."""
+    slots = max(MIN_SLOTS, 1 << max(0, members * SLOTS_PER_MEMBER - 1).bit_length())
+    if slots > MAX_SLOTS:
+        raise ValueError(f"{members} trigrams of one language need {slots} rows of the filter, more than MAX_SLOTS ({MAX_SLOTS})")
+    return slots
+
+
+def _slots(grams: np.ndarray, slots: int) -> list[np.ndarray]:
     """PROBES slots of each trigram (multiplicative mixing of its code)."""
     out = []
     with np.errstate(over="ignore"):
@@ -88,7 +103,7 @@ def _slots(grams: np.ndarray) -> list[np.ndarray]:
         for _ in range(PROBES):
             x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
             x ^= x >> np.uint64(29)
-            out.append((x >> np.uint64(20)) % np.uint64(SLOTS))
+            out.append((x >> np.uint64(20)) % np.uint64(slots))
     return out
 
 
@@ -130,7 +145,7 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", share
     """The filter from all labelled rows of ``docs``.
 
     The rates and memberships are Spark aggregations; the slots are set by tasks and
-    or-ed together by slot. The driver receives the finished filter (at most SLOTS
+    or-ed together by slot. The driver receives the finished filter (at most MAX_SLOTS
     rows of bits) and one row per language.
     """
     counts = trigram_counts(docs, text_col, lang_col).persist()
@@ -138,20 +153,25 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", share
         totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
         by_size = [r.lang for r in totals.orderBy(F.desc("total"), "lang").collect()]
         bit = {lang: i for i, lang in enumerate(by_size)}
-        planes = np.zeros((max(1, -(-len(by_size) // 64)), SLOTS), np.uint64)
+        planes = np.zeros((max(1, -(-len(by_size) // 64)), MIN_SLOTS), np.uint64)
+        trigrams = 0
         if by_size:
+            trigrams = counts.select("gram").distinct().count()
             # a rate per language; the highest per trigram travels with the trigram's one aggregate row
             ranks = docs.sparkSession.createDataFrame(list(bit.items()), "lang string, bit int")
             rated = counts.join(F.broadcast(totals.join(ranks, "lang")), "lang").withColumn("rate", F.col("n") / F.col("total"))
             grams = rated.groupBy("gram").agg(F.max("rate").alias("top"), F.collect_list(F.struct("bit", "rate")).alias("langs"))
             member = grams.select("gram", F.explode("langs").alias("l"), "top").where(F.col("l.rate") >= share * F.col("top")) \
-                .select("gram", F.col("l.bit").alias("bit"))
+                .select("gram", F.col("l.bit").alias("bit")).persist()
+            most = member.groupBy("bit").count().agg(F.max("count")).first()[0]
+            slots = slots_for(most or 0)
+            planes = np.zeros((len(planes), slots), np.uint64)
             schema = T.StructType([T.StructField("plane", T.IntegerType()), T.StructField("slot", T.LongType()), T.StructField("bits", T.LongType())])
 
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for b in batches:
                     bits = b.column(1).to_numpy(zero_copy_only=False)
-                    for slot in _slots(b.column(0).to_numpy(zero_copy_only=False)):
+                    for slot in _slots(b.column(0).to_numpy(zero_copy_only=False), slots):
                         yield pa.RecordBatch.from_arrays(
                             [pa.array((bits // 64).astype(np.int32)), pa.array(slot.astype(np.int64)),
                              pa.array((np.uint64(1) << (bits % 64).astype(np.uint64)).view(np.int64))], names=["plane", "slot", "bits"])
@@ -159,16 +179,17 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", share
             set_bits = member.mapInArrow(run, schema).groupBy("plane", "slot").agg(F.bit_or("bits").alias("bits")).toArrow()
             plane, slot, bits = (set_bits.column(i).to_numpy() for i in range(3))
             planes[plane, slot] = bits.view(np.uint64)
+            member.unpersist()
     finally:
         counts.unpersist()
     fill = np.array([(planes[i // 64] >> np.uint64(i % 64) & np.uint64(1)).mean() for i in range(len(by_size))])
-    return LanguageFilter(by_size, planes, fill ** PROBES, uuid.uuid4().hex)
+    return LanguageFilter(by_size, planes, fill ** PROBES, uuid.uuid4().hex, trigrams)
 
 
 def _hits(words: list[str], model: LanguageFilter) -> np.ndarray:
     """For each word its number of trigrams and its hits by language."""
     grams, per_word = _trigrams(words)
-    slots = [s.astype(np.int64) for s in _slots(grams)]
+    slots = [s.astype(np.int64) for s in _slots(grams, model.planes.shape[1])]
     out = np.zeros((len(words), 1 + len(model.languages)), np.int32)
     out[:, 0] = per_word
     of_gram = np.repeat(np.arange(len(words)), per_word)
@@ -196,12 +217,13 @@ def decide(counts: np.ndarray, model: LanguageFilter) -> tuple[np.ndarray, np.nd
 
 def predict(docs: DataFrame, model: LanguageFilter, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
     """``docs`` (or its ``columns``) with lang_pred (string) and score (double)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # SLOTS rows of bits: bounded
+    # plain arrays and names: executors need not know the class to read them
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.planes, model.false_rate, model.key))
     keep = [c for c in columns or docs.columns if c not in ("lang_pred", "score")]
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = LanguageFilter(*shared.value)
         names = np.array([*model.languages, UNKNOWN], object)
         memory = worker_memory("language")
         if memory.get("lang_key") != model.key:

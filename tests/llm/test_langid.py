@@ -44,7 +44,7 @@ def test_counts_and_decision_against_brute_force(spark):
 
 
 def test_false_positives_are_corrected():
-    model = langid.LanguageFilter(["a", "b"], np.zeros((1, langid.SLOTS), np.uint64), np.array([0.5, 0.0]), "k")
+    model = langid.LanguageFilter(["a", "b"], np.zeros((1, langid.MIN_SLOTS), np.uint64), np.array([0.5, 0.0]), "k")
     best, score = langid.decide(np.array([[100, 55, 30], [100, 100, 30], [0, 0, 0]]), model)
     assert best.tolist() == [1, 0, -1] and np.allclose(score, [0.3, 1.0, 0.0])
 
@@ -70,3 +70,15 @@ def test_many_languages_and_none(spark):
     assert {r.lang_pred for r in langid.predict(bare, langid.learn(bare)).collect()} == {"und"}
     empty = docs.limit(0)
     assert langid.predict(empty, langid.learn(empty)).collect() == []
+
+
+def test_slots_follow_the_counts(spark):
+    assert langid.slots_for(0) == langid.slots_for(langid.MIN_SLOTS // 8) == langid.MIN_SLOTS
+    assert langid.slots_for(3_000_000) == 1 << 25
+    import pytest
+    with pytest.raises(ValueError, match="MAX_SLOTS"):
+        langid.slots_for(20_000_000)
+    # three letters each of a wide alphabet: many trigrams in one language, the rate stays low
+    rows = [(i, "".join(chr(0x4E00 + (i * 7919 + k * k * 31) % 20_000) for k in range(400)), "zh" if i % 2 else "en") for i in range(400)]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.planes.shape[1] > langid.MIN_SLOTS and max(model.false_rate) < 0.05
