@@ -56,9 +56,10 @@ _LOWER[65:91] += 32
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the SimHash as a signed long. Words are parted by the characters
+    """(doc_id, fp, text_hash): the SimHash as a signed long and a hash of the text, which
+    tells rows of one id apart. Words are parted by the characters
     0x20 and 0x09 to 0x0D after A-Z are lower-cased; shingles count with repeats."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("fp", T.LongType()), T.StructField("text_hash", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest as digest
@@ -73,9 +74,9 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, id_col: st
             h = np.fromiter((digest(raw[a:b], HASH_SEED) for a, b in zip(at[begin].tolist(), (at[stop] - 1).tolist())), np.uint64, len(begin))
             edges = np.concatenate([[0], np.cumsum(n)])
             fp = np.array([_majority(h[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())], np.uint64)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fp.view(np.int64)), rows.column(2)], names=["doc_id", "fp", "text_hash"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("text_hash")).mapInArrow(run, schema)
 
 
 def _majority(h: np.ndarray) -> int:
@@ -200,7 +201,7 @@ def link(fps: DataFrame, max_distance: int = MAX_DISTANCE, groups: int = GROUPS)
 
 def cluster(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE,
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) for every row: component_id is the smallest doc_id of
+    """(doc_id, fp, text_hash, component_id) for every row: component_id is the smallest doc_id of
     all documents reachable over links, the row's own included."""
     fps = cut_lineage(fingerprints(docs, shingle_words, id_col, text_col), "fingerprints")
     classes = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
@@ -209,7 +210,7 @@ def cluster(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: i
     named = classes.join(comp, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     per_fp = named.select("fp", "label").join(least, "label").select("fp", "component_id")
-    return fps.join(per_fp, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(per_fp, "fp").select("doc_id", "fp", "text_hash", "component_id")
 
 
 def hex_fingerprint(fp: Column) -> Column:
@@ -217,12 +218,14 @@ def hex_fingerprint(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_one(docs: DataFrame, clustered: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, clustered: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each group: that whose id is its component's id.
 
-    Rows repeated under the kept id are one document. Rows with a null id cannot be
-    named by a component and all stay.
+    Rows are told apart by id and text, so of several texts under one id only those of
+    the component named by it are chosen; of these one stays. Rows with a null id cannot
+    be named by a component and all stay.
     """
-    kept = clustered.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return (docs.join(kept, id_col, "left_semi").dropDuplicates([id_col])
-            .unionByName(docs.where(F.col(id_col).isNull())))
+    kept = (clustered.where(F.col("doc_id") == F.col("component_id"))
+            .select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_hash")).distinct())
+    chosen = docs.join(kept, (F.col(id_col) == F.col("__kept_id")) & (F.xxhash64(text_col) == F.col("__kept_hash")), "left_semi")
+    return chosen.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))

@@ -102,3 +102,10 @@ def test_link_finds_all_chains(spark, groups):
         expect.setdefault(c, []).append(i)
     assert sorted(got.values()) == sorted(expect.values())
     assert links.count() <= len(simhash.band_choices(groups)) * len(fps) * 2
+
+
+def test_texts_under_one_id_are_told_apart(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red orange yellow green blue violet")
+    docs = spark.createDataFrame([(1, a), (5, a), (5, b), (7, c), (7, c)], "doc_id long, text string")
+    kept = simhash.keep_one(docs, simhash.cluster(docs)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == [(1, a), (5, b), (7, c)]
