@@ -34,8 +34,8 @@ a passage that a third of all documents share is split by adaptive execution.
 
 Edge cases: null texts have no words and are clean; an item with fewer than WINDOW
 tokens is one window of its own length, one without words matches nothing; equal items
-all match; decisions are by doc_id, so rows repeated under one id share them (null ids
-too); an empty documents or benchmark table gives no match; other columns are not read.
+all match; decisions are by doc_id and text (a hash of it), so different texts under one
+id, the null id too, are judged each by itself; an empty documents or benchmark table gives no match; other columns are not read.
 """
 
 from __future__ import annotations
@@ -221,7 +221,7 @@ def _longest_run(at: str) -> Column:
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, coverage, changed) of every contaminated document and item;
+    """(doc_id, text_hash, item_id, coverage, changed) of every contaminated document and item;
     ``changed`` is true if some slot has another value than the item's."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_id_col).alias("id"), F.col(item_text_col).alias("text"))
@@ -233,7 +233,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     allow = np.zeros(FILTER_BITS, bool)
     set_bits = known.select(F.col("hash").bitwiseAND(F.lit(FILTER_BITS - 1).cast("long")).alias("b")).distinct().toArrow().column(0).to_numpy()
     allow[set_bits] = True
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.struct(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash")).alias("id"), F.col(text_col).alias("text"))
     hits = _window_rows(texts, sizes, spark.sparkContext.broadcast(allow)).drop("size", "tokens", "literal")
     pairs = (hits.join(known, ["form", "hash"]).where(F.size("slots") == F.size("item_slots"))
              .select("id", F.struct("item_id", "form", (F.col("pos") - F.col("item_pos")).alias("shift")).alias("occ"),
@@ -253,25 +253,29 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                .where((F.col("n") >= COVERAGE * F.col("tokens")) | (F.col("run") >= RUN)
                       | (F.col("n") >= F.greatest(F.col("tokens") - WINDOW, F.lit(MIN_COVERED))))
                .groupBy("id", "item_id").agg(F.max(F.col("n") / F.col("tokens")).alias("coverage"), F.min("changed").alias("changed")))
-    return covered.withColumnRenamed("id", "doc_id")
+    return covered.select("id.doc_id", "id.text_hash", "item_id", "coverage", "changed")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
-    """(doc_id, items, changed): one row per contaminated doc_id; items sorted."""
-    return matches(docs, benchmark, **columns).groupBy("doc_id").agg(
+    """(doc_id, text_hash, items, changed): one row per contaminated id and text; items sorted."""
+    return matches(docs, benchmark, **columns).groupBy("doc_id", "text_hash").agg(
         F.array_sort(F.collect_set("item_id")).alias("items"), F.min("changed").alias("changed"))
 
 
+def _is_row(id_col: str, text_col: str) -> Column:
+    return F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash"))
+
+
 def flag(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, contaminated, items, changed) for every row of ``docs``."""
-    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).withColumnRenamed("doc_id", "__id")
+    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
     none = F.array().cast(found.schema["items"].dataType)
-    return docs.select(F.col(id_col).alias("doc_id")).join(found, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select(
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(found, _is_row("doc_id", "text"), "left").select(
         "doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", none).alias("items"),
         F.coalesce("changed", F.lit(False)).alias("changed"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` less the contaminated ids."""
-    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__id"))
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    """``docs`` less the contaminated rows."""
+    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
+    return docs.join(found, _is_row(id_col, text_col), "left_anti")

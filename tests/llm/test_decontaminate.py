@@ -77,3 +77,11 @@ def test_short_items_and_placeholders_are_met_literally(spark):
     items = ((1, "42"), (2, "Alice has 5 km"), (3, "Alice Bob Carol Dave Erin 1 2 3 4"))
     got = flags(spark, ["there are 17 of them", "so Robert has 9 km to go", "Paul John Mark Luke Adam 5 6 7 8", "the answer is 42.", "so Alice has 5 km to go", "Alice Bob Carol Dave Erin 1 2 3 4"], items)
     assert [got[i][0] for i in range(6)] == [False] * 3 + [True] * 3
+
+
+def test_rows_of_one_id_are_judged_each(spark):
+    docs = spark.createDataFrame([(None, ITEM), (None, "clean one"), (None, "clean two"), (7, ITEM), (7, "clean"), (7, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
+    left = D.drop_contaminated(docs, bench).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in left) == [("7", "None"), ("7", "clean"), ("None", "clean one"), ("None", "clean two")]
+    assert sorted(r.contaminated for r in D.flag(docs, bench).collect()) == [False] * 4 + [True] * 2
