@@ -5,9 +5,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes e
 result as Parquet in the shared checkpoint folder and reads it again for the next. All
 stages but the last return the columns of documents.
 
-- language: the filter is learned from the stage's own documents with a language; a
-  document whose language cannot be told, or whose given language is another one than
-  predicted with a score of MIN_SCORE, is rejected
+- language: documents are judged by prediction and score alone, by a filter learned from
+  labelled documents of the other half (halves by a hash of the text, so that no text
+  vouches for itself or its copies); a document whose score is under FLOOR (in none of the
+  learned languages, or no language at all), or whose given language is another one than
+  predicted with a score of CONFIDENT, is rejected
 - lines: boilerplate lines of a source go, copies of a text counted as one page, so that
   near_dedup finds them whole; n_chars follows the text
 - near_dedup: the document with the smallest id of each group stays
@@ -27,23 +29,33 @@ from pricewise.llm import decontaminate, langid, linededup, packing, simhash
 from pricewise.llm.common import cut_lineage, table
 from pricewise.llm.queries import word_tokenizer
 
+#: Corrected share of trigrams below which a text is in none of the learned languages.
+FLOOR = 0.4
 #: Corrected share of trigrams from which a prediction outweighs a document's own label.
-MIN_SCORE = 0.5
+CONFIDENT = 0.75
+#: Different trigrams that a filter must have been learned from before it may reject.
+ENOUGH = 1000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told and does not contradict their label.
+    """Documents in one of the learned languages that do not contradict their label.
 
-    A null label contradicts nothing; without any labelled document there is no filter
-    to judge by, and only documents without a letter are rejected.
+    A null label contradicts nothing. Where the other half has fewer than ENOUGH trigrams
+    to judge by, only documents without a letter are rejected.
     """
-    model = langid.learn(docs)
-    judged = langid.predict(docs.withColumnRenamed("lang_pred", "__lang_pred").withColumnRenamed("score", "__score"), model)
-    if model.languages:
-        fits = (F.col("lang_pred") != langid.UNKNOWN) & F.coalesce((F.col("lang_pred") == F.col("lang")) | (F.col("score") < MIN_SCORE), F.lit(True))
-    else:
-        fits = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return judged.where(fits).drop("lang_pred", "score").withColumnRenamed("__lang_pred", "lang_pred").withColumnRenamed("__score", "score").select(*docs.columns)
+    half = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")) % 2
+    halves = [docs.where(half == k) for k in (0, 1)]
+    models = [langid.learn(h) for h in halves]
+    kept = []
+    for rows, model in zip(halves, reversed(models)):
+        if model.trigrams < ENOUGH:
+            kept.append(rows.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))))
+            continue
+        judged = langid.predict(rows.withColumnRenamed("lang_pred", "__lang_pred").withColumnRenamed("score", "__score"), model)
+        contradicts = F.coalesce(F.col("lang_pred") != F.col("lang"), F.lit(False)) & (F.col("score") >= CONFIDENT)
+        judged = judged.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= FLOOR) & ~contradicts)
+        kept.append(judged.drop("lang_pred", "score").withColumnRenamed("__lang_pred", "lang_pred").withColumnRenamed("__score", "score").select(*docs.columns))
+    return kept[0].unionByName(kept[1])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
