@@ -2,6 +2,7 @@
 
 import re
 import sys
+import zlib
 from collections import Counter
 from pathlib import Path
 
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 
 sys.path.insert(0, str(Path(__file__).parent))
 import corpus_pipeline as P  # noqa: E402
-from pricewise.llm import linededup  # noqa: E402
+from pricewise.llm import langid, linededup  # noqa: E402
 from pricewise.llm.queries import word_tokenizer  # noqa: E402
 from test_simhash import brute_components, brute_fp  # noqa: E402
 
@@ -25,6 +26,45 @@ def brute_lines(rows):
     return {r.doc_id: "\n".join(x for x in r.text.split("\n") if (r.source, x.strip(" \t\r")) not in drop) for r in rows}
 
 
+def brute_language(rows):
+    """Ids kept, by trigram shares learned from labelled texts of the other half."""
+    def grams(text):
+        codes = ["", *("" if not c.isalpha() else c for c in text.lower()), ""]
+        return [(codes[i - 1], codes[i], codes[i + 1]) for i in range(1, len(codes) - 1) if codes[i]]
+
+    half = {r.doc_id: zlib.crc32((r.text or "").encode()) % 2 for r in rows}
+    own = {r.doc_id: grams(r.text or "") for r in rows}
+    kept = set()
+    for k in (0, 1):
+        seen = {}
+        for r in rows:
+            if half[r.doc_id] != k and r.lang is not None:
+                seen.setdefault(r.lang, Counter()).update(own[r.doc_id])
+        total = {lang: sum(c.values()) for lang, c in seen.items()}
+        top = {g: max(c[g] / total[lang] for lang, c in seen.items()) for g in set().union(*seen.values())}
+        member = {lang: {g for g, n in c.items() if n / total[lang] >= langid.SHARE * top[g]} for lang, c in seen.items()}
+        for r in rows:
+            g = own[r.doc_id]
+            if half[r.doc_id] == k and g:
+                share = {lang: sum(x in m for x in g) / len(g) for lang, m in member.items()}
+                best = max(share, key=share.get)
+                if share[best] >= P.FLOOR and (r.lang in (None, best) or share[best] < P.CONFIDENT):
+                    kept.add(r.doc_id)
+    return kept
+
+
+STRANGE = ["Litwo Ojczyzno moja ty jestes jak zdrowie ile cie trzeba cenic ten tylko sie dowie kto cie stracil dzis pieknosc twa", "\u4e2d\u6587\u6587\u672c\u5728\u8fd9\u91cc\u6ca1\u6709\u7a7a\u683c",
+           "xqzjv wkqpz vvxjq zzkwq pqxzj kjwqx qqzvk xwzjp jqkxv", "\u0421\u044a\u0435\u0448\u044c \u0435\u0449\u0451 \u044d\u0442\u0438\u0445 \u043c\u044f\u0433\u043a\u0438\u0445 \u0431\u0443\u043b\u043e\u043a"]
+
+
+def test_language_rejects_what_is_in_no_learned_language(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    added = [(10_000 + i, t, "en" if i % 2 else None, "src0", len(t)) for i, t in enumerate(STRANGE)] + [(20_000, docs.where("lang = 'en'").first().text, None, None, None)]
+    out = P.language(spark, docs.unionByName(spark.createDataFrame(added, docs.schema)), DATA)
+    assert [r.doc_id for r in out.where("doc_id >= 10000").collect()] == [20_000]
+    assert out.where("doc_id < 10000").count() >= 0.985 * docs.count()
+
+
 def plain(text):
     return " ".join(w.lower().strip(".,;:!?") for w in re.findall(r"[^\x20\x09-\x0D]+", text or ""))
 
@@ -34,7 +74,7 @@ def test_stages_against_brute_force(spark):
     before = docs.collect()
     out = P.language(spark, docs, DATA)
     assert out.columns == docs.columns
-    assert {r.doc_id for r in out.collect()} == {r.doc_id for r in before if re.search(r"[^\W\d_]", r.text)}
+    assert {r.doc_id for r in out.collect()} == brute_language(before)
 
     lines = P.lines(spark, docs, DATA).collect()
     want = brute_lines(before)
