@@ -379,7 +379,8 @@ ORACLE["duplicate_group_sizes"] = (f"WITH {catalog_cte('part')}, g AS (SELECT oe
 ORACLE["duplicate_group_sizes_model"] = (f"WITH {catalog_cte('part')}, g AS (SELECT model, count(*) AS group_size FROM cat "
                                          "WHERE model IS NOT NULL GROUP BY model) "
                                          "SELECT group_size, count(*) AS number_of_groups FROM g GROUP BY group_size")
-ORACLE["top_k_values"] = top_k_sql("events", ["event_type", "user_id", "props"])
+ORACLE["top_k_values"] = top_k_sql("events")
+ORACLE["top_k_values_documents"] = top_k_sql("documents")
 ORACLE["top_k_values_part"] = top_k_sql("part")
 ORACLE["numeric_like"] = numeric_like_sql("customer")
 ORACLE["histogram"] = histogram_sql("SELECT CAST(c_acctbal AS DOUBLE) AS x FROM customer", 30)
@@ -651,11 +652,69 @@ O["scenario_join"] = (f"WITH {segmented_cte('orders')}, {scenarios_cte(ORDER_SCE
                       "min(price_eur) AS min_price, max(price_eur) AS max_price FROM seg JOIN sc ON price_eur <= budget_eur "
                       "AND (want_segment IS NULL OR segment = want_segment) AND (want_brand IS NULL OR brand_group = want_brand) "
                       "GROUP BY scenario")
+O["scenario_topn_many"] = f"""WITH {value_cte('orders')},
+rq AS (SELECT CAST(c_custkey AS INTEGER) AS scenario, abs(c_acctbal) * 40 + 1000 AS budget,
+              CASE WHEN c_custkey % 3 = 0 THEN ['Entry', 'Mid-range', 'Flagship'][c_nationkey % 3 + 1] END AS want_segment,
+              CASE WHEN c_custkey % 5 = 0 THEN '3-MEDIUM' END AS want_brand, CASE WHEN c_custkey % 2 = 0 THEN 3 ELSE 10 END AS top_n FROM customer),
+rk AS (SELECT scenario, top_n, item_id, row_number() OVER (PARTITION BY scenario ORDER BY performance_to_price_ratio DESC NULLS LAST,
+              value_score DESC NULLS LAST, is_value_outlier DESC NULLS LAST, spec_score_0_100 DESC NULLS LAST, price_eur ASC NULLS LAST, item_id) AS recommendation_rank
+       FROM vf JOIN rq ON price_eur <= budget AND (want_segment IS NULL OR segment = want_segment) AND (want_brand IS NULL OR brand_group = want_brand))
+SELECT scenario, CAST(recommendation_rank AS INTEGER) AS recommendation_rank, item_id FROM rk WHERE recommendation_rank <= top_n"""
 O["anchor_cross_join"] = (f"WITH {catalog_cte('orders')}, ov AS (SELECT avg(value_score) AS m FROM cat) "
                           "SELECT item_id, value_score / nullif(m, 0) AS value_vs_overall FROM cat CROSS JOIN ov")
 O["group_stat_join"] = (f"WITH {catalog_cte('orders')}, z AS (SELECT brand_group AS b, avg(price_eur) AS m, stddev_pop(price_eur) AS s "
                         "FROM cat WHERE brand_group IS NOT NULL GROUP BY brand_group) "
                         "SELECT item_id, (price_eur - m) / nullif(s, 0) AS price_z_in_brand FROM cat LEFT JOIN z ON cat.brand_group = z.b")
+O["sorted_index_positions"] = (f"WITH {catalog_cte('orders')} SELECT row_number() OVER (ORDER BY price_eur, item_id) - 1 AS position, "
+                               "price_eur AS value FROM cat WHERE price_eur IS NOT NULL AND NOT isnan(price_eur)")
+O["positional_align_by_place"] = (f"WITH {catalog_cte('orders')}, "
+                                  "a AS (SELECT item_id AS by_price, price_eur, row_number() OVER (ORDER BY price_eur NULLS FIRST, item_id) - 1 AS position FROM cat), "
+                                  "b AS (SELECT item_id AS by_spec, spec_score_0_100, row_number() OVER (ORDER BY spec_score_0_100 NULLS FIRST, item_id) - 1 AS position FROM cat) "
+                                  "SELECT a.*, b.by_spec, b.spec_score_0_100 FROM a JOIN b USING (position)")
+O["contiguous_folds"] = (f"WITH {catalog_cte('orders')} SELECT item_id, CAST(ntile(5) OVER (ORDER BY item_id) - 1 AS INTEGER) AS fold FROM cat")
+
+
+def gram_vectors_cte() -> str:
+    """vec: [1, features, price, log price] and fold of each encoded row; el: its elements."""
+    feats = ", ".join(q(f) for f in enc_features("part"))
+    return encoded_cte("part") + f""",
+vec AS (SELECT row_id, target_price_eur, {fold_sql('row_id')} AS fold,
+               [CAST(1 AS DOUBLE), {feats}, target_price_eur, ln(1 + target_price_eur)] AS v FROM enc),
+el AS (SELECT row_id, fold, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS i FROM vec)"""
+
+
+O["fold_gram"] = (f"WITH {gram_vectors_cte()} SELECT a.fold, CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, sum(a.x * b.x) AS total "
+                  "FROM el a JOIN el b ON a.row_id = b.row_id AND a.i <= b.i GROUP BY a.fold, a.i, b.i")
+
+
+def linear_fit_sql(alpha: float) -> str:
+    """Holdout predictions (fold 0) of the log price: Gauss-Jordan elimination on the
+    centred sums of the other folds; a pivot that is nothing but rounding is passed over."""
+    p = len(enc_features("part"))
+    return f"""WITH RECURSIVE {gram_vectors_cte()},
+tr AS (SELECT * FROM el WHERE fold <> 0 AND i BETWEEN 1 AND {p} OR fold <> 0 AND i = {p + 2}),
+mu AS (SELECT i, avg(x) AS m FROM tr GROUP BY i),
+ce AS (SELECT row_id, CASE WHEN i = {p + 2} THEN {p + 1} ELSE i END AS i, x - m AS x FROM tr JOIN mu USING (i)),
+pr AS (SELECT a.i, b.i AS j, sum(a.x * b.x) + CASE WHEN a.i = b.i THEN CAST({alpha!r} AS DOUBLE) ELSE 0 END AS s
+       FROM ce a JOIN ce b ON a.row_id = b.row_id WHERE a.i <= {p} GROUP BY a.i, b.i),
+m0 AS (SELECT list(r ORDER BY i) AS m FROM (SELECT i, list(s ORDER BY j) AS r FROM pr GROUP BY i)),
+ge AS (
+  SELECT 0 AS k, m, list_transform(range(1, {p + 1}), lambda i: m[i][i]) AS d FROM m0
+  UNION ALL
+  SELECT k + 1,
+    CASE WHEN m[k + 1][k + 1] > 1e-9 * d[k + 1] THEN
+      list_transform(range(1, {p + 1}), lambda i: CASE WHEN i = k + 1 THEN list_transform(m[i], lambda y: y / m[k + 1][k + 1])
+        ELSE list_transform(range(1, {p + 2}), lambda j: m[i][j] - m[i][k + 1] * m[k + 1][j] / m[k + 1][k + 1]) END)
+    ELSE m END, d
+  FROM ge WHERE k < {p}),
+w AS (SELECT list_transform(range(1, {p + 1}), lambda i: CASE WHEN m[i][i] > 0.5 THEN m[i][{p + 1}] ELSE 0 END) AS w FROM ge WHERE k = {p}),
+ml AS (SELECT list(m ORDER BY i) FILTER (WHERE i <= {p}) AS mx, any_value(m) FILTER (WHERE i = {p + 2}) AS my FROM mu)
+SELECT row_id, target_price_eur, exp(my + list_inner_product(w, list_transform(range(1, {p + 1}), lambda i: v[i + 1] - mx[i]))) - 1 AS yhat
+FROM vec, w, ml WHERE fold = 0"""
+
+
+O["fit_linear"] = linear_fit_sql(0.0)
+O["fit_ridge"] = linear_fit_sql(1.0)
 O["positional_align"] = (f"WITH {encoded_cte('part')} SELECT rd.item_id AS row_id, rd.brand_group, enc.target_price_eur "
                          "FROM rd JOIN enc ON rd.item_id = enc.row_id")
 O["median_impute"] = (f"WITH {readable_cte('orders')}, m AS (SELECT " + ", ".join(f"median({c}) AS m_{c}" for c in NUMERIC)

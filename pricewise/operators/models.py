@@ -1,4 +1,4 @@
-"""Price models on MLlib: fits, holdout comparison, cross-validation,
+"""Price models (linear ones from sums of products, trees on MLlib): fits, holdout comparison, cross-validation,
 out-of-fold prediction, stacking and the weighted blend.
 
 Every prediction lands in one long table (row_id, fold, model, target_mode,
@@ -15,15 +15,16 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.functions.clean import TARGET_MODES, clip_min, inverse_log_target, log_target
 from pricewise.operators.features import BRAND_PREFIX, feature_columns
 from pricewise.operators.folds import N_FOLDS, fold_of
+from pricewise.operators.gram import LinearModel, collect_grams, fold_predictor, total_of
 from pricewise.operators.metrics import regression_metrics
-from pricewise.sources.tables import TARGET_COL
+from pricewise.sources.tables import TARGET_COL, quote
 
 SEED = 42
 # concurrent fits submitted from the driver on a small local heap; each tree
@@ -63,18 +64,6 @@ def scaled(spec: ModelSpec, **overrides) -> ModelSpec:
 
 def _estimator(spec: ModelSpec, train: DataFrame, label: str):
     p = spec.params
-    if spec.kind == "linear":
-        return LinearRegression(featuresCol="features", labelCol=label, predictionCol="pred_t",
-                                regParam=0.0, elasticNetParam=0.0, standardization=False)
-    if spec.kind == "ridge":
-        # sklearn's alpha on the sum of squares equals MLlib's regParam on the
-        # mean loss scaled by the label's std: the normal-equation solver
-        # standardises the label with its population std.
-        st = train.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
-        n, sd = max(int(st["n"] or 1), 1), float(st["sd"] or 1.0) or 1.0
-        return LinearRegression(featuresCol="features", labelCol=label, predictionCol="pred_t",
-                                regParam=p.get("alpha", 1.0) / n * sd, elasticNetParam=0.0,
-                                standardization=False, solver="normal")
     if spec.kind == "rf":
         return RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="pred_t", seed=SEED,
                                      numTrees=p["numTrees"], maxDepth=min(p["maxDepth"], 30),
@@ -90,9 +79,12 @@ def _estimator(spec: ModelSpec, train: DataFrame, label: str):
 
 def fit(spec: ModelSpec, train: DataFrame, features, target_mode: str = "price_eur",
         target: str = TARGET_COL) -> PipelineModel:
-    """Fit one model on the (log-)target. Rows are dealt by a hash of
+    """Fit one model on the (log-)target: linear ones from one scan's sums of products (see
+    gram), trees with MLlib. For trees, rows are dealt by a hash of
     their id to a fixed number of sorted partitions (the session's shuffle partitions),
     so the result does not depend on the input's partitioning."""
+    if spec.kind in ("linear", "ridge"):
+        return fit_linear_models(train, [(spec, target_mode)], features, target)[(target_mode, spec.name)]
     t = train.withColumn("label_t", log_target(target, target_mode))
     if "row_id" in t.columns:
         parts = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -102,6 +94,38 @@ def fit(spec: ModelSpec, train: DataFrame, features, target_mode: str = "price_e
     return Pipeline(stages=[asm, est]).fit(t)
 
 
+def _alpha(spec: ModelSpec) -> float:
+    return float(spec.params.get("alpha", 1.0)) if spec.kind == "ridge" else 0.0
+
+
+def fit_linear_models(train: DataFrame, pairs, features, target: str = TARGET_COL) -> dict:
+    """{(target mode, name): model} for linear and ridge ``pairs`` of (spec, mode), in one scan."""
+    features = list(features)
+    sums = collect_grams(train, features, {m: log_target(target, m) for m in dict.fromkeys(m for _, m in pairs)})
+    if not sums:
+        raise ValueError("no complete row to fit on")
+    return {(mode, spec.name): LinearModel(features, *total_of(sums).solve(mode, _alpha(spec))) for spec, mode in pairs}
+
+
+def linear_oof_predict(enc: DataFrame, pairs, k: int = N_FOLDS, features=None, target: str = TARGET_COL) -> DataFrame:
+    """Out-of-fold predictions of all linear and ridge ``pairs`` of (spec, mode): one scan for
+    the sums of every fold, the training sums of a fold being the total minus its own, and
+    one scan that predicts with all models at once."""
+    enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
+    feats = list(features or feature_columns(enc))
+    sums = collect_grams(enc, feats, {m: log_target(target, m) for m in dict.fromkeys(m for _, m in pairs)}, F.col("fold"))
+    every = []
+    for spec, mode in pairs:
+        fits = {}
+        if sums:
+            whole = total_of(sums)
+            fits = {j: (whole - sums[j] if j in sums else whole).solve(mode, _alpha(spec)) for j in range(k)}
+        p = fold_predictor(feats, fits, k)
+        every.append(F.struct(F.lit(spec.name).alias("model"), F.lit(mode).alias("target_mode"), F.col(quote(target)).alias("y"),
+                              inverse_log_target(p, mode).alias("yhat")))
+    return enc.select("row_id", "fold", F.inline(F.array(*every)))
+
+
 def predict(model: PipelineModel, df: DataFrame, target_mode: str, keep=("row_id",)) -> DataFrame:
     out = model.transform(df.drop("features"))
     return out.select(*[c for c in keep if c in out.columns],
@@ -147,7 +171,14 @@ def compare_models(enc: DataFrame, specs=DEFAULT_MODELS, modes=TARGET_MODES, tes
             return mode, spec.name, m, time.time() - t0
         return run
 
-    fitted = _run([job(m, s) for m in modes for s in specs])
+    linear = [(s, m) for m in modes for s in specs if s.kind in ("linear", "ridge")]
+    fitted = []
+    if linear:
+        t0 = time.time()
+        found = fit_linear_models(train, linear, feats)
+        each = (time.time() - t0) / len(found)  # they share one scan
+        fitted = [(m, s.name, found[(m, s.name)], each) for s, m in linear]
+    fitted += _run([job(m, s) for m in modes for s in specs if s.kind not in ("linear", "ridge")])
     preds, times, models = [], [], {}
     for mode, name, m, secs in fitted:
         models[(mode, name)] = m
@@ -171,6 +202,8 @@ def oof_predict(enc: DataFrame, spec: ModelSpec, target_mode: str = "price_eur",
     other folds. Every row is predicted exactly once."""
     enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
     feats = list(features or feature_columns(enc))
+    if spec.kind in ("linear", "ridge"):
+        return linear_oof_predict(enc, [(spec, target_mode)], k, feats, target)
 
     def job(j):
         return lambda: (j, fit(spec, enc.filter(F.col("fold") != j), feats, target_mode, target))
@@ -196,11 +229,13 @@ def cross_validate(enc: DataFrame, specs=DEFAULT_MODELS, modes=TARGET_MODES, k:
     metrics (baseline = training-fold median) and their means."""
     from pricewise.operators.metrics import cv_mean_metrics
     enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
-    long = None
+    linear = [(s, m) for m in modes for s in specs if s.kind in ("linear", "ridge")]
+    long = linear_oof_predict(enc, linear, k) if linear else None
     for mode in modes:
         for s in specs:
-            p = oof_predict(enc, s, mode, k)
-            long = p if long is None else long.unionByName(p)
+            if (s, mode) not in linear:
+                p = oof_predict(enc, s, mode, k)
+                long = p if long is None else long.unionByName(p)
     long = long.join(F.broadcast(fold_baselines(enc, k)), "fold", "left")
     folds = regression_metrics(long)
     return long, folds, cv_mean_metrics(folds)

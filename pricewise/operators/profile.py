@@ -78,11 +78,8 @@ def duplicate_group_sizes(df: DataFrame, keys) -> DataFrame:
 
 def top_k_values(df: DataFrame, cols=None, k: int = TOP_K) -> DataFrame:
     """Most frequent non-null values of every column (ties: value ascending)."""
-    counts = (long_values(df, cols).filter(F.col("value").isNotNull())
-              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")))
-    w = Window.partitionBy("column").orderBy(F.col("count").desc(), F.col("value").asc())
-    return (counts.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k))
+    from pricewise.operators.heavy import top_k
+    return top_k(df, cols, k)
 
 
 def numeric_like(df: DataFrame, cols=None) -> DataFrame:

@@ -1,12 +1,9 @@
 """Budget recommendations: single request, batched scenarios, and their checks.
 
-A batch of requests is a small scenario table joined to the catalogue with a
-theta condition (price <= budget, optional segment / brand). The scenario side
-is broadcast (its size is checked), the per-scenario top-N is a
-``row_number`` with a literal bound, which Spark plans as a partial
-``WindowGroupLimit`` before the shuffle, so at most N rows per scenario and
-input partition travel - a scenario matching a third of the catalogue costs
-no more than any other.
+A batch of requests is a scenario table (budget, optional segment / brand, rows wanted).
+All requests are answered from one price-prefix index (see prefixindex): no request is
+paired with the items it may get, so neither the number of requests nor a scenario that
+matches a third of the catalogue is a limit.
 """
 
 from __future__ import annotations
@@ -16,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pricewise.functions.clean import format_reason, ppr_ratio
 from pricewise.operators.common import Roles, asc_last, desc_last, join_small
+from pricewise.operators.prefixindex import DEFAULT_TOP_N, ROWS_PER_RANGE, candidate_counts, prefix_topn  # noqa: F401
 
 # The four preset scenarios (budget in EUR, segment or None).
 PRESET_SCENARIOS = [
@@ -24,7 +22,6 @@ PRESET_SCENARIOS = [
     (3, "premium_user", 800.0, "Flagship"),
     (4, "entry_second_phone", 150.0, "Entry"),
 ]
-DEFAULT_TOP_N = 10
 
 SCENARIO_SCHEMA = "scenario int, scenario_label string, budget_eur double, segment string, brand string, top_n int"
 
@@ -85,8 +82,9 @@ def recommend_topn(df: DataFrame, budget: float, top_n: int = DEFAULT_TOP_N, seg
 
 
 def scenario_join(catalog: DataFrame, scenarios: DataFrame, roles: Roles = Roles()) -> DataFrame:
-    """Every (scenario, item) pair with price <= budget and matching optional
-    segment / brand. The scenario table is broadcast after a size check."""
+    """Every (scenario, item) pair with price <= budget and matching optional segment /
+    brand: the listing itself, as long as all pairs. Counts and best items come from
+    ``candidate_counts`` and ``scenario_topn`` without it."""
     s = scenarios.withColumnRenamed("segment", "_want_segment").withColumnRenamed("brand", "_want_brand")
     cond = ((F.col(roles.price) <= F.col("budget_eur"))
             & (F.col("_want_segment").isNull() | (F.col(roles.segment) == F.col("_want_segment")))
@@ -94,11 +92,11 @@ def scenario_join(catalog: DataFrame, scenarios: DataFrame, roles: Roles = Roles
     return join_small(catalog, s, cond, "inner")
 
 
-def scenario_topn(catalog: DataFrame, scenarios: DataFrame, roles: Roles = Roles(), keep_id: bool = True) -> DataFrame:
-    """Top-N per scenario for a whole batch of requests in one job. The largest
-    ``top_n`` of the request table is read first: as a literal bound it lets the
-    planner push a partial limit below the shuffle, and it cuts no request."""
-    largest = scenarios.agg(F.max("top_n")).first()[0] or 0
+def scenario_topn(catalog: DataFrame, scenarios: DataFrame, roles: Roles = Roles(), keep_id: bool = True,
+                  rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Top-N per scenario for a whole batch of requests, from a price-prefix index. A
+    request without ``top_n`` gets DEFAULT_TOP_N rows; two requests under one scenario
+    number are refused."""
     cand = catalog
     for c in ["market_price_discount_ratio", "expected_market_price_eur"]:
         if c not in cand.columns:
@@ -107,11 +105,11 @@ def scenario_topn(catalog: DataFrame, scenarios: DataFrame, roles: Roles = Roles
         if c not in cand.columns:
             cand = cand.withColumn(c, F.lit(False))
     cand = cand.withColumn("performance_to_price_ratio", ppr_ratio(roles.spec, roles.price))
-    pairs = scenario_join(cand, scenarios, roles)
-    w = Window.partitionBy("scenario").orderBy(*_sort_keys(roles))
-    ranked = (pairs.withColumn("recommendation_rank", F.row_number().over(w))
-              .filter(F.col("recommendation_rank") <= int(largest))
-              .filter(F.col("recommendation_rank") <= F.col("top_n"))
+    order = [("performance_to_price_ratio", True), (roles.value, True), ("is_value_outlier", True),
+             (roles.spec, True), (roles.price, False), (roles.item_id, False)]
+    picked = prefix_topn(cand, scenarios, order, roles, rows_per_range)
+    wanted = scenarios.select("scenario", "scenario_label", "budget_eur")
+    ranked = (cand.join(picked, roles.item_id).join(wanted, "scenario")
               .withColumn("budget_utilization", F.col(roles.price) / F.col("budget_eur")))
     ranked = ranked.withColumn("recommendation_reason", _reason(roles, ranked))
     cols = ["scenario", "scenario_label", "budget_eur"] + reco_columns(roles) + ([roles.item_id] if keep_id else [])

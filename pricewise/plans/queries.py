@@ -47,6 +47,7 @@ def q_reco_validation_orders(spark: SparkSession, src: str) -> DataFrame:
 from pyspark.sql import functions as F  # noqa: E402
 
 from pricewise.functions import clean as C  # noqa: E402
+from pricewise.operators import positions as PO  # noqa: E402
 from pricewise.operators import profile as P  # noqa: E402
 from pricewise.sources.catalog import catalog, messy_price_text  # noqa: E402
 from pricewise.sources.tables import read_table  # noqa: E402
@@ -148,7 +149,24 @@ def q_dup_groups_model(spark, src):
 
 @register("top_k_values")
 def q_top_k(spark, src):
-    return P.top_k_values(_profile_input(spark, src, "events"), ["event_type", "user_id", "props"], 15)
+    return P.top_k_values(_profile_input(spark, src, "events"), None, 15)
+
+
+@register("top_k_values_documents")
+def q_top_k_documents(spark, src):
+    return P.top_k_values(_profile_input(spark, src, "documents"), None, 15)
+
+
+@register("scenario_topn_many")
+def q_scenario_topn_many(spark, src):
+    """One request per customer: the balance and more as budget, a third of them with a segment or brand."""
+    vf = vp.value_frame(spark, src, "orders")
+    requests = read_table(spark, src, "customer").select(
+        F.col("c_custkey").cast("int").alias("scenario"), F.lit("customer").alias("scenario_label"),
+        (F.abs("c_acctbal") * 40 + 1000).alias("budget_eur"),
+        F.when(F.col("c_custkey") % 3 == 0, F.element_at(F.array(F.lit("Entry"), F.lit("Mid-range"), F.lit("Flagship")), (F.col("c_nationkey") % 3 + 1).cast("int"))).alias("segment"),
+        F.when(F.col("c_custkey") % 5 == 0, "3-MEDIUM").alias("brand"), F.when(F.col("c_custkey") % 2 == 0, 3).cast("int").alias("top_n"))
+    return RE.scenario_topn(vf, requests, R).select("scenario", "recommendation_rank", "item_id")
 
 
 @register("top_k_values_part")
@@ -503,9 +521,7 @@ def q_recommend_for_user(spark, src):
 
 @register("scenario_join")
 def q_scenario_join(spark, src):
-    pairs = RE.scenario_join(vp.segmented_catalog(spark, src, "orders"), vp.scenario_table(spark, "orders"), R)
-    return pairs.groupBy("scenario").agg(F.count(F.lit(1)).alias("candidates"),
-                                         F.min("price_eur").alias("min_price"), F.max("price_eur").alias("max_price"))
+    return RE.candidate_counts(vp.segmented_catalog(spark, src, "orders"), vp.scenario_table(spark, "orders"), R)
 
 
 @register("anchor_cross_join")
@@ -530,6 +546,23 @@ def q_positional_align(spark, src):
     return rd.join(enc, "row_id", "inner")
 
 
+@register("sorted_index_positions")
+def q_sorted_positions(spark, src):
+    return PO.sorted_positions(catalog(spark, src, "orders"), "price_eur", "item_id")
+
+
+@register("positional_align_by_place")
+def q_align_by_place(spark, src):
+    cheap = catalog(spark, src, "orders").select(F.col("item_id").alias("by_price"), F.col("price_eur"))
+    spec = catalog(spark, src, "orders").select(F.col("item_id").alias("by_spec"), F.col("spec_score_0_100"))
+    return PO.align_by_position(cheap, spec, ["price_eur", "by_price"], ["spec_score_0_100", "by_spec"])
+
+
+@register("contiguous_folds")
+def q_contiguous_folds(spark, src):
+    return PO.contiguous_folds(catalog(spark, src, "orders").select("item_id"), ["item_id"])
+
+
 @register("median_impute")
 def q_median_impute(spark, src):
     rd = PP.readable(spark, src, "orders")
@@ -558,6 +591,7 @@ def q_union_all(spark, src):
 # --- models, clustering, isolation, guide (model-based: rows-only checks) -----
 
 from pricewise.operators import cluster as CL  # noqa: E402
+from pricewise.operators import gram as GR  # noqa: E402
 from pricewise.operators import guide as GD  # noqa: E402
 from pricewise.operators import isolation as ISO  # noqa: E402
 from pricewise.operators import models as M  # noqa: E402
@@ -569,6 +603,14 @@ def q_fit_linear(spark, src):
     return MP.holdout_fit_predictions(spark, src, M.LINEAR)
 
 
+@register("fold_gram")
+def q_fold_gram(spark, src):
+    enc = MP.encoded(spark, src)
+    feats = FE.feature_columns(enc)
+    modes = {m: C.log_target("target_price_eur", m) for m in C.TARGET_MODES}
+    return GR.fold_gram(enc, feats, modes, F.col("fold")).select("fold", "i", "j", "total")
+
+
 @register("fit_ridge")
 def q_fit_ridge(spark, src):
     return MP.holdout_fit_predictions(spark, src, M.RIDGE)

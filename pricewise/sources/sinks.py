@@ -13,6 +13,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricewise.operators.gram import LinearModel
+
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", single_file: bool = False) -> str:
     """Overwrite ``path`` with ``df``. CSV gets a header and no index column.
@@ -37,19 +39,30 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.json(path)
 
 
-def write_model(model: PipelineModel, path: str, meta: dict) -> str:
-    """Model package: the fitted pipeline plus a JSON sidecar with what
-    serving needs (target mode, model name, feature names)."""
-    model.write().overwrite().save(os.path.join(path, "model"))
+def write_model(model, path: str, meta: dict) -> str:
+    """Model package: the fitted model plus a JSON sidecar with what serving needs (target
+    mode, model name, feature names). A linear model is a table of its coefficients, any
+    other a pipeline in MLlib's own format."""
     spark = SparkSession.getActiveSession()
-    spark.createDataFrame([(json.dumps(meta, sort_keys=True),)], "meta string").coalesce(1) \
+    linear = isinstance(model, LinearModel)
+    if linear:
+        rows = [(-1, None, model.intercept), *((i, f, float(w)) for i, (f, w) in enumerate(zip(model.features, model.coefficients.toArray())))]
+        spark.createDataFrame(rows, "place int, feature string, coefficient double").coalesce(1).write.mode("overwrite").parquet(os.path.join(path, "model"))
+    else:
+        model.write().overwrite().save(os.path.join(path, "model"))
+    sidecar = {**meta, "kind": "linear" if linear else "pipeline"}
+    spark.createDataFrame([(json.dumps(sidecar, sort_keys=True),)], "meta string").coalesce(1) \
         .write.mode("overwrite").text(os.path.join(path, "meta"))
     return path
 
 
-def load_model(path: str) -> tuple[PipelineModel, dict]:
+def load_model(path: str) -> tuple:
+    """(model, sidecar) of a package."""
     spark = SparkSession.getActiveSession()
     meta = json.loads(spark.read.text(os.path.join(path, "meta")).first()[0])
+    if meta.get("kind") == "linear":
+        rows = spark.read.parquet(os.path.join(path, "model")).orderBy("place").collect()  # one row per feature
+        return LinearModel([r.feature for r in rows[1:]], [r.coefficient for r in rows[1:]], rows[0].coefficient), meta
     return PipelineModel.load(os.path.join(path, "model")), meta
 
 
