@@ -17,6 +17,7 @@ from pricewise.sources.tables import TARGET_COL, quote
 BRAND_PREFIX = "cat__brand_group_"
 NUM_PREFIX = "num__"
 OTHER = "Other"
+MAX_CATEGORIES = 1000
 
 
 def column_medians(df: DataFrame, cols, approx: bool = False) -> DataFrame:
@@ -61,10 +62,13 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col)
 
 
-def vocabulary(df: DataFrame, col: str) -> list:
-    """Category list for one-hot columns. Its size is the number of distinct
-    categories (a schema-level quantity), never the number of rows."""
-    return [r[0] for r in distinct_values(df, col).collect()]
+def vocabulary(df: DataFrame, col: str, most: int = MAX_CATEGORIES) -> list:
+    """Category list for one-hot columns; more than ``most`` values are refused, as each
+    becomes a column."""
+    found = df.select(col).filter(F.col(col).isNotNull()).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"{col} has more than {most} different values, too many for one column each")
+    return sorted(r[0] for r in found)
 
 
 def one_hot(df: DataFrame, col: str, values, prefix: str, other: str | None = OTHER) -> DataFrame:

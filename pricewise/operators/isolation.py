@@ -8,8 +8,8 @@
    rows with the smallest hash and grows one isolation tree per group
    (bounded: sample_size rows each).
 3. Scoring: the forest (trees x at most 2*sample_size nodes - a size set by
-   parameters, not by the data) is broadcast; ``mapInPandas`` walks every row
-   batch through all trees, vectorised with numpy.
+   parameters, not by the data) is one broadcast row of node arrays; every row
+   walks down all trees by higher-order functions, without Python.
 4. Flag: score above its exact (1 - contamination) quantile.
 """
 
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.session import cut_lineage
+from pricewise.sources.tables import quote
 
 N_TREES = 100
 SAMPLE_SIZE = 256
@@ -98,37 +99,34 @@ def sample_for_trees(df: DataFrame, cols, n: int, n_trees: int = N_TREES, sample
             .withColumn("_h", h(F.col("tree_id"))))
 
 
+def packed_forest(spark, forest: pd.DataFrame) -> DataFrame:
+    """One row: the trees as arrays of nodes. ``path`` is a node's depth plus the expected
+    rest of the way for the rows it holds, which counts where a walk ends."""
+    trees = []
+    for _, g in forest.sort_values(["tree_id", "node"]).groupby("tree_id"):
+        path = [float(d + c_factor(n)) for d, n in zip(g["depth"], g["size"])]
+        trees.append((g["feature"].tolist(), g["threshold"].tolist(), g["left_child"].tolist(), g["right_child"].tolist(), path, int(g["depth"].max())))
+    return spark.createDataFrame([(trees,)], "forest array<struct<feature: array<int>, threshold: array<double>, left: array<int>, right: array<int>, path: array<double>, depth: int>>")
+
+
 def score_rows(df: DataFrame, cols, forest: pd.DataFrame, sample_size: int = SAMPLE_SIZE) -> DataFrame:
-    """Anomaly score 2^(-E[h(x)] / c(sample_size)) per row."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(forest)
-    cols = list(cols)
-    cn = c_factor(sample_size)
-
-    def run(batches):
-        f = bc.value
-        trees = [g.sort_values("node") for _, g in f.groupby("tree_id")]
-        arrays = [(g["feature"].to_numpy(), g["threshold"].to_numpy(), g["left_child"].to_numpy(),
-                   g["right_child"].to_numpy(), np.array([c_factor(v) for v in g["size"].to_numpy()]),
-                   g["depth"].to_numpy()) for g in trees]
-        for pdf in batches:
-            x = pdf[cols].to_numpy(dtype=float)
-            total = np.zeros(len(pdf))
-            for feat, thr, left, right, leaf_c, depth in arrays:
-                node = np.zeros(len(pdf), dtype=np.int64)
-                while True:
-                    fe = feat[node]
-                    internal = fe >= 0
-                    if not internal.any():
-                        break
-                    xi = x[np.arange(len(pdf)), np.where(internal, fe, 0)]
-                    nxt = np.where(xi < thr[node], left[node], right[node])
-                    node = np.where(internal, nxt, node)
-                total += depth[node] + leaf_c[node]
-            mean_h = total / max(len(arrays), 1)
-            yield pd.DataFrame({"row_id": pdf["row_id"].to_numpy(), "isolation_score": np.power(2.0, -mean_h / cn)})
-
-    return df.select("row_id", *cols).mapInPandas(run, "row_id long, isolation_score double")
+    """Anomaly score 2^(-E[h(x)] / c(sample_size)) per row: every row walks down every tree
+    by native functions; the forest is one broadcast row of bounded size."""
+    x = F.array(*(F.col(quote(c)).cast("double") for c in cols))
+    n_trees = max(forest["tree_id"].nunique(), 1)
+
+    def end(tree):
+        def step(node, _):
+            feature = F.get(tree["feature"], node)
+            below = F.get(F.col("__x"), feature) < F.get(tree["threshold"], node)
+            # a null or not-a-number goes right, as a value that is not below
+            return F.when(feature < 0, node).when(below, F.get(tree["left"], node)).otherwise(F.get(tree["right"], node))
+        return F.aggregate(F.sequence(F.lit(0), tree["depth"]), F.lit(0), step)
+
+    total = F.aggregate("forest", F.lit(0.0), lambda a, t: a + F.get(t["path"], end(t)))
+    score = F.pow(F.lit(2.0), -(total / n_trees) / F.lit(c_factor(sample_size)))
+    rows = df.select("row_id", x.alias("__x")).crossJoin(F.broadcast(packed_forest(df.sparkSession, forest)))
+    return rows.select(F.col("row_id").cast("long").alias("row_id"), score.alias("isolation_score"))
 
 
 def isolation_outliers(df: DataFrame, cols, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,

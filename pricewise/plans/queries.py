@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricewise.operators.common import CATALOG_ROLES as R
+from pricewise.operators.common import join_small
 from pricewise.plans import value_plan as vp
 
 QUERIES: dict = {}
@@ -690,7 +691,8 @@ def q_k_sweep(spark, src):
 @register("silhouette")
 def q_silhouette(spark, src):
     pred, _, _ = CL.kmeans_segments(catalog(spark, src, "part"), R.segment_features, 3)
-    return spark.createDataFrame([(CL.silhouette(pred),)], "silhouette double")
+    found = CL.silhouette_estimate(pred, [f"z_{c}" for c in R.segment_features])
+    return spark.createDataFrame([found], "silhouette double, standard_error double, anchors int")
 
 
 @register("hierarchical_compare")
@@ -769,7 +771,7 @@ def q_reference_lookup(spark, src):
     rd = PP.readable(spark, src, "part")
     bsum = RP.brand_summary(rd, R).select(F.col("brand_group").alias("_b"), "avg_is_premium_brand")
     ref = RP.numeric_reference(rd, ["num__size"]).select("mean", "std")
-    out = req.join(F.broadcast(bsum), F.col("brand") == F.col("_b"), "left").crossJoin(F.broadcast(ref))
+    out = join_small(req, bsum, F.col("brand") == F.col("_b"), "left").crossJoin(F.broadcast(ref))  # ref: one row
     return out.select("request_id", "brand", F.col("avg_is_premium_brand").alias("is_premium_brand"),
                       ((F.col("size") - F.col("mean")) / F.col("std")).alias("num__size"))
 
