@@ -857,7 +857,7 @@ O["column_profile_report"] = (f"WITH prof AS ({column_profile_sql('part')}), typ
 
 
 O["modeling_summary"] = f"""WITH
-best AS (WITH {harness_cte()} SELECT * FROM cvm ORDER BY MAE, RMSE, model, target_mode LIMIT 1),
+best AS (WITH {harness_cte()} SELECT * FROM mets WHERE fold = 0 ORDER BY MAE, RMSE, model, target_mode LIMIT 1),
 drv AS (WITH {importance_cte()},
         tot AS (SELECT model AS tm, sum(importance) AS t FROM impt GROUP BY model),
         nrm AS (SELECT impt.*, importance / nullif(t, 0) AS share FROM impt LEFT JOIN tot ON impt.model = tot.tm),

@@ -34,15 +34,24 @@ def fold_ids(spark, k: int = N_FOLDS) -> DataFrame:
     return spark.range(k).select(F.col("id").cast("int").alias("k"))
 
 
-def baseline_median(df: DataFrame, y_col: str, k: int = N_FOLDS, fold_col: str = "fold") -> DataFrame:
-    """Per fold k: median of y over the training rows (fold != k). One row per fold.
-
-    Rows are counted by (fold, y) once; only these counts are dealt to the folds
-    that train on them."""
-    counts = df.groupBy(F.col(fold_col).alias("_f"), F.col(y_col).alias("_y")).agg(F.count(F.lit(1)).alias("_n"))
-    train = counts.join(F.broadcast(fold_ids(df.sparkSession, k)), F.col("_f") != F.col("k")).groupBy("k", "_y").agg(F.sum("_n").alias("_n"))
+def baseline_medians(df: DataFrame, columns: dict, k: int = N_FOLDS, fold_col: str = "fold") -> DataFrame:
+    """(k, one column per entry of ``columns``): for each fold the median of every column over
+    the training rows (fold != k); ``columns`` maps output names to input columns.
+
+    Rows are counted by (column, fold, value) once; only these counts are dealt to the folds
+    that train on them, and one quantile run serves all columns and folds."""
+    names = list(columns)
+    values = F.array(*[F.struct(F.lit(i).alias("_c"), F.col(columns[n]).cast("double").alias("_y")) for i, n in enumerate(names)])
+    counts = df.select(F.col(fold_col).alias("_f"), F.inline(values)).groupBy("_f", "_c", "_y").agg(F.count(F.lit(1)).alias("_n"))
+    train = counts.join(F.broadcast(fold_ids(df.sparkSession, k)), F.col("_f") != F.col("k")).groupBy("k", "_c", "_y").agg(F.sum("_n").alias("_n"))
     from pricewise.operators.quantiles import exact_quantiles
-    return exact_quantiles(train, "_y", [0.5], ["k"], weight="_n").select("k", F.col("value").alias("baseline"))
+    found = exact_quantiles(train, "_y", [0.5], ["k", "_c"], weight="_n")
+    return found.groupBy("k").agg(*[F.first(F.when(F.col("_c") == i, F.col("value")), ignorenulls=True).alias(n) for i, n in enumerate(names)])
+
+
+def baseline_median(df: DataFrame, y_col: str, k: int = N_FOLDS, fold_col: str = "fold") -> DataFrame:
+    """Per fold k: median of y over the training rows (fold != k). One row per fold."""
+    return baseline_medians(df, {"baseline": y_col}, k, fold_col)
 
 
 def ols_oof_predict(df: DataFrame, x_col: str, y_col: str, k: int = N_FOLDS,

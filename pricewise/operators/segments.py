@@ -93,14 +93,15 @@ def segment_lifts(df: DataFrame, roles: Roles = Roles()) -> DataFrame:
                                        F.col("segment_median_price_eur"))))
 
 
-def segment_zscore(df: DataFrame, cols: dict, segment_col: str = "segment") -> DataFrame:
+def segment_zscore(df: DataFrame, cols: dict, segment_col: str = "segment", bounded: bool = True) -> DataFrame:
     """``cols`` maps input column -> output column. z = (x - mean) / std_pop within
-    the segment; a constant segment (std 0) and NULL segments give NULL."""
+    the segment; a constant segment (std 0) and NULL segments give NULL. ``bounded`` says
+    that there are few segments; groups of any number are joined after a size check."""
     aggs = []
     for i, c in enumerate(cols):
         aggs += [F.avg(c).alias(f"_m{i}"), F.stddev_pop(c).alias(f"_s{i}")]
     stats = df.filter(F.col(segment_col).isNotNull()).groupBy(segment_col).agg(*aggs)
-    out = join_small(df, stats, segment_col, "left", bounded=True)
+    out = join_small(df, stats, segment_col, "left", bounded=bounded)
     for i, (c, name) in enumerate(cols.items()):
         out = out.withColumn(name, F.try_divide(F.col(c) - F.col(f"_m{i}"), F.col(f"_s{i}")))
     return out.drop(*[f"_{p}{i}" for i in range(len(cols)) for p in "ms"])

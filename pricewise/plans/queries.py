@@ -536,7 +536,7 @@ def q_anchor(spark, src):
 @register("group_stat_join")
 def q_group_stat(spark, src):
     cat = catalog(spark, src, "orders")
-    return SG.segment_zscore(cat.withColumnRenamed("brand_group", "segment"), {"price_eur": "price_z_in_brand"}).select(
+    return SG.segment_zscore(cat.withColumnRenamed("brand_group", "segment"), {"price_eur": "price_z_in_brand"}, bounded=False).select(
         "item_id", "price_z_in_brand")
 
 
@@ -877,7 +877,8 @@ def q_format_reason(spark, src):
 
 
 def _summary_inputs(spark, src):
-    best = ME.best_model(ME.cv_mean_metrics(ME.regression_metrics(_harness_predictions(spark, src))))
+    # fold 0 is the holdout: its predictions come from fits on all other folds
+    best = ME.best_model(ME.regression_metrics(_harness_predictions(spark, src).where(F.col("fold") == 0)))
     drivers = RP.top_price_drivers(PP.importance_by_correlation(spark, src, "part"), 20)
     vf = vp.value_frame(spark, src, "part")
     return best, drivers, vf
