@@ -619,7 +619,7 @@ def q_fit_ridge(spark, src):
 
 @register("fit_random_forest")
 def q_fit_rf(spark, src):
-    return MP.holdout_fit_predictions(spark, src, MP.SMOKE_RF)
+    return MP.holdout_fit_predictions(spark, src, M.RANDOM_FOREST)  # full parameters
 
 
 @register("fit_boosted_trees")
