@@ -1,25 +1,29 @@
 """Nearest neighbours by a permutation index.
 
-At most ``PIVOTS`` vectors of a bounded sample (SAMPLE rows) order the space: a vector is represented by all pivots, nearest
-first. The index holds, for each block of about BLOCK_ROWS vectors, one inverted file
-per pivot that posts the rank the pivot has in every vector's order. A query reads the
-files of its pivots, sums the differences of ranks (Spearman's footrule), and the
-``RERANK`` share of the block with the smallest footrule (ties included; in a dense group
-all its members) is reranked by the cosine in double precision. Every vector is posted; nothing is sampled but pivots.
-
-Scale: vectors are dealt to blocks by a hash of their id, queries to packs of at most
-BLOCK_ROWS; a (block, pack) pair is one group of one task, so both sides of a task are
-bounded and equal vectors spread over all blocks. A group gives at most ``k`` rows per
-query, and a window ranks them. The search is the stated query set against all rows in
-blocks; its work is the product of both, lowered by the footrule filter.
-
-Recall: the share to rerank was chosen by measurement against brute force (README).
+At most ``PIVOTS`` vectors of a bounded sample (SAMPLE rows) order the space: a vector is
+represented by its ``NEAREST`` nearest pivots, in order. The index holds, for each block
+of about BLOCK_ROWS vectors, one inverted file per pivot: the vectors that have the pivot
+among their nearest, and at which place. A query reads only the files of its own nearest
+pivots and sums, over the pivots both have, NEAREST less the difference of places; that
+is a constant less half of Spearman's footrule for orders cut at NEAREST. The ``RERANK``
+share of the block with the largest sums (ties included; all rows above DENSE of the
+largest possible sum, so members of a dense group too) is reranked by the cosine in
+double precision. Every vector is posted; nothing is sampled but pivots.
+
+Scale: vectors are dealt to blocks by a hash of id and vector, queries to packs of at most
+PACK_ROWS; a (block, pack) pair is one group of one task, so both sides of a task are
+bounded and equal vectors spread over all blocks. A file is split by the blocks, and
+sums stay in the task: a group gives at most ``k`` rows per query, and a window ranks
+them. The search is the stated query set against all rows in blocks; a query meets about
+NEAREST^2 / PIVOTS postings per vector of the table, two by default.
+
+Recall: PIVOTS, NEAREST and RERANK were chosen by measurement against brute force (README).
 
 Edge cases: vectors that are null, zero, hold null or non-finite components, or have
-another length than the pivots take no part, as query or candidate; the same id with
-several vectors counts once, with the smallest vector; ties of the score go to the
-smaller id; fewer than ``k`` candidates give fewer rows; a null id takes no part; empty
-tables give an empty result; other columns are not read.
+another length than the pivots take no part, as query or candidate; rows with the same id
+and vector count once; an id with several vectors is a candidate with each and asks with
+the smallest; ties of the score go to the smaller id; fewer than ``k`` candidates give fewer rows; a null id
+takes no part; empty tables give an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,20 +37,23 @@ from pyspark.sql import Window
 
 from .common import cut_lineage, split_rows
 
-PIVOTS = 128
+PIVOTS = 512
+#: Pivots under which a vector is posted, and files that a query reads.
+NEAREST = 32
 #: Rows of which pivots are chosen, whatever the table's size.
 SAMPLE = 2048
 APART = 0.7
-RERANK = 0.10
+RERANK = 0.15
 #: At least so many candidates of a block are reranked: in a few rows the footrule is coarse.
-FLOOR = 256
-#: Rows whose footrule is below this share of the block's median are all reranked: members
-#: of a dense group, which share one order of pivots and which the footrule cannot part.
+FLOOR = 512
+#: Rows above this share of the largest possible sum are all reranked: members of a dense
+#: group, which share one order of pivots and which the footrule cannot part.
 DENSE = 0.5
 BLOCK_ROWS = 1 << 14
+PACK_ROWS = 1 << 15
 K = 5
-#: Queries whose footrules are held at once.
-QUERY_STEP = 64
+#: Rounding of a product by BLAS, which may differ between equal rows.
+BLAS_ERROR = 1e-9
 
 
 def usable(v: Column) -> Column:
@@ -83,52 +90,66 @@ def pivots_of(vectors: DataFrame, n: int = PIVOTS) -> np.ndarray:
     return unit[taken]
 
 
-def ranks(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    """[row, pivot]: the place of the pivot in the row's order, nearest first."""
-    order = np.argsort(-(x @ pivots.T), axis=1, kind="stable")
-    out = np.empty(order.shape, np.int16)
-    np.put_along_axis(out, order, np.arange(order.shape[1], dtype=np.int16)[None, :], axis=1)
+def orders(x: np.ndarray, pivots: np.ndarray, nearest: int = NEAREST) -> np.ndarray:
+    """[row, place]: the row's nearest pivots, nearest first."""
+    return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :nearest].astype(np.int32)
+
+
+def post(order: np.ndarray, n_pivots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The inverted files: first posting of each pivot, then row and place of the postings."""
+    flat = order.ravel()
+    by_pivot = np.argsort(flat, kind="stable")
+    first = np.searchsorted(flat[by_pivot], np.arange(n_pivots + 1))
+    return first, (by_pivot // order.shape[1]).astype(np.int32), (by_pivot % order.shape[1]).astype(np.int32)
+
+
+def _agreement(asked: np.ndarray, files: tuple, rows: int) -> np.ndarray:
+    """Sum of every row of the block over the files of a query's pivots."""
+    first, row, place = files
+    out = np.zeros(rows, np.int32)
+    for j, p in enumerate(asked.tolist()):
+        part = slice(first[p], first[p + 1])
+        out[row[part]] += len(asked) - np.abs(place[part] - j)  # a row is posted once in a file
     return out
 
 
-def _first(table: pa.Table) -> pa.Table:
-    """One row per id (rows come sorted by id and vector)."""
-    ids = table.column("id").to_numpy()
-    return table.filter(pa.array(np.r_[True, ids[1:] != ids[:-1]][:len(ids)]))
+def _distinct(ids: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Rows without those that repeat an id with its vector."""
+    _, which, counts = np.unique(ids, return_inverse=True, return_counts=True)
+    keep = counts[which] == 1
+    seen = set()
+    for r in np.flatnonzero(~keep).tolist():
+        key = (int(ids[r]), x[r].tobytes())
+        keep[r] = key not in seen
+        seen.add(key)
+    return np.flatnonzero(keep)
 
 
 def _search(index: pa.Table, queries: pa.Table, pivots: np.ndarray, k: int, rerank: float):
-    """Up to ``k`` (query, id, score) of the block for every query."""
+    """Up to ``k`` (query, id, score) of the block for every query row."""
     width = pivots.shape[1]
     ids, qids = index.column("id").to_numpy(), queries.column("id").to_numpy()
     x, q = _matrix(index.column("vec"), width), _matrix(queries.column("vec"), width)
+    rows = _distinct(ids, x)
+    ids, x = ids[rows], x[rows]
     ux, uq = _unit(x), _unit(q)
-    files = np.ascontiguousarray(ranks(ux, pivots).T)  # one inverted file per pivot
-    q_ranks = ranks(uq, pivots)
+    files = post(orders(ux, pivots), len(pivots))
+    asked = orders(uq, pivots)
     budget = max(FLOOR, int(np.ceil(rerank * len(ids))))
     out = []
-    for lo in range(0, len(qids), QUERY_STEP):
-        step = q_ranks[lo:lo + QUERY_STEP]
-        foot = np.zeros((len(step), len(ids)), np.int32)
-        gap = np.empty(len(ids), np.int16)
-        for p in range(len(pivots)):
-            for j in range(len(step)):
-                np.subtract(files[p], step[j, p], out=gap)
-                np.abs(gap, out=gap)
-                foot[j] += gap
-        for j in range(len(step)):
-            i = lo + j
-            if budget < len(ids):
-                middle = len(ids) // 2
-                part = np.partition(foot[j], sorted({budget - 1, middle}))
-                limit = max(part[budget - 1], DENSE * part[middle])
-                near = np.flatnonzero(foot[j] <= limit)
-            else:
-                near = np.arange(len(ids))
-            near = near[ids[near] != qids[i]]
-            score = (ux[near] * uq[i]).sum(axis=1)
-            best = near[np.lexsort((ids[near], -score))[:k]]
-            out += zip([qids[i]] * len(best), ids[best].tolist(), (_cosine(x[b], q[i], ux[b], uq[i]) for b in best))
+    for i in range(len(qids)):
+        near = np.flatnonzero(ids != qids[i])
+        if budget < len(ids):
+            agree = _agreement(asked[i], files, len(ids))
+            limit = min(np.partition(agree, len(ids) - budget)[len(ids) - budget], DENSE * asked.shape[1] ** 2)
+            some = near[agree[near] >= max(limit, 1)]
+            near = some if len(some) >= k else near
+        if len(near) > k:
+            rough = ux[near] @ uq[i]
+            near = near[rough >= np.partition(rough, len(near) - k)[len(near) - k] - BLAS_ERROR]
+        score = (ux[near] * uq[i]).sum(axis=1)
+        best = near[np.lexsort((ids[near], -score))[:k]]
+        out += zip([qids[i]] * len(best), ids[best].tolist(), (_cosine(x[b], q[i], ux[b], uq[i]) for b in best))
     return out
 
 
@@ -150,28 +171,20 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, n_pivots: int = P
         return df.where(F.col("id").isNotNull() & usable(F.col("vec")))
 
     index, asked = cut_lineage(clean(vectors), "vectors"), cut_lineage(clean(queries), "queries")
+    asked = asked.groupBy("id").agg(F.min("vec").alias("vec"))
     pivots = pivots_of(index, n_pivots)
     width = pivots.shape[1]
     index, asked = (df.where(F.size("vec") == width) for df in (index, asked))
-    blocks, packs = split_rows(spark, index.count(), block_rows), split_rows(spark, asked.count(), block_rows)
-    left = index.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(packs - 1))).alias("pack"), "id", "vec")
+    blocks, packs = split_rows(spark, index.count(), block_rows), split_rows(spark, asked.count(), PACK_ROWS)
+    left = index.select(F.pmod(F.xxhash64("id", "vec"), F.lit(blocks)).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(packs - 1))).alias("pack"), "id", "vec")
     right = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), F.pmod(F.xxhash64("id"), F.lit(packs)).cast("int").alias("pack"), "id", "vec")
     schema = T._parse_datatype_string("query_id long, vec_id long, score double")
     arrow = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        found = _search(*(_first(t.take(_order(t))) for t in (a, b)), pivots, k, rerank) if len(a) and len(b) else []
+        found = _search(a, b, pivots, k, rerank) if len(a) and len(b) else []
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*found), arrow)] if found else [pa.array([], f.type) for f in arrow], schema=arrow)
 
     found = left.groupBy("block", "pack").cogroup(right.groupBy("block", "pack")).applyInArrow(run, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _order(table: pa.Table) -> pa.Array:
-    """Row order by id, then by vector."""
-    ids, vecs = table.column("id").to_pylist(), table.column("vec")
-    counts = {}
-    for i in ids:
-        counts[i] = counts.get(i, 0) + 1
-    return pa.array(sorted(range(len(ids)), key=lambda r: (ids[r], vecs[r].as_py() if counts[ids[r]] > 1 else ())), pa.int64())

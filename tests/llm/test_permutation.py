@@ -39,6 +39,26 @@ def test_recall(spark, block_rows):
             assert abs(score - a @ b / np.linalg.norm(a) / np.linalg.norm(b)) < 1e-12
 
 
+def test_files_hold_the_nearest_pivots_only():
+    rng = np.random.default_rng(3)
+    x, pivots = (permutation._unit(rng.normal(size=(n, 8))) for n in (200, 40))
+    order = permutation.orders(x, pivots, 6)
+    first, row, place = permutation.post(order, 40)
+    assert len(row) == 200 * 6
+    for p in range(40):
+        got = sorted(zip(row[first[p]:first[p + 1]].tolist(), place[first[p]:first[p + 1]].tolist()))
+        assert got == [(r, int(np.flatnonzero(order[r] == p)[0])) for r in range(200) if p in order[r]]
+    agree = permutation._agreement(order[7], (first, row, place), 200)
+    want = [sum(6 - abs(j - list(order[r]).index(p)) for j, p in enumerate(order[7]) if p in order[r]) for r in range(200)]
+    assert agree.tolist() == want and agree.argmax() == 7 and agree[7] == 36
+
+
+def test_an_id_with_several_vectors_is_a_candidate_with_each(spark):
+    v = spark.createDataFrame([(50, [1.0, 0.0]), (7, [1.0, 0.1]), (7, [1.0, 0.2]), (7, [1.0, 0.2])], "vec_id long, embedding array<double>")
+    got = [(r.rank, r.vec_id, round(r.score, 9)) for r in permutation.search(v, v.where("vec_id = 50")).orderBy("rank").collect()]
+    assert got == [(1, 7, round(1 / 1.01 ** 0.5, 9)), (2, 7, round(1 / 1.04 ** 0.5, 9))]
+
+
 def test_small_table_is_exact_with_edge_cases(spark):
     rows = [(0, [1.0, 0.0, 0.0]), (1, [1.0, 0.1, 0.0]), (2, [2.0, 0.2, 0.0]), (3, [0.0, 0.0, 0.0]), (4, None), (5, [NAN, 1.0, 0.0]), (6, [INF, 1.0, 0.0]),
             (7, [0.0, 1.0, 0.0]), (8, [None, 1.0, 0.0]), (9, [1e200, 1e200, 0.0]), (None, [1.0, 0.0, 0.0]), (50, [1.0, 0.0, 0.0]), (50, [1.0, 0.0, 0.0]),
