@@ -9,8 +9,12 @@ beside each index file, and above these one first key per index file. ``lookup``
 searches both levels, reads the block's byte range, then the record's byte range.
 ``read_back`` reads every block and every record.
 
-Scale and failure: payloads are shuffled once, by digest, only where the repeated
-payloads are too many to broadcast (adaptive execution decides, and splits a hot one).
+Scale and failure: the repeated digests are counted first. Up to BROADCAST_DIGESTS of them
+are broadcast and no payload is shuffled; beyond that the pages join by digest, payloads
+with them (a digest that is on very many pages is split by adaptive execution).
+Records are read back in slices of archive files: the offset in a file is the running sum
+of the lengths before it, so slices of READ_BYTES hold equal amounts of bytes, and tasks
+get equal numbers of slices.
 Captures are sorted by (key, file, offset), so a host or URL with very many captures is
 dealt over tasks. Files are named by task attempt and listed only in what the finished
 attempt returned, so a rerun never rewrites what a reader was told; files of lost
@@ -44,6 +48,10 @@ from .common import cut_lineage
 MIN_REVISIT = 100
 BLOCK_CAPTURES = 1024
 MAX_ARCHIVE_BYTES = 1 << 30
+#: Repeated digests that are broadcast at most (about 100 bytes each).
+BROADCAST_DIGESTS = 200_000
+#: Most and fewest archive bytes of a slice, and slices for a task.
+READ_BYTES, MIN_READ_BYTES, SLICES = 1 << 22, 1 << 16, 8
 #: Date of all records: the pages table has no capture times.
 DATE = "2000-01-01T00:00:00Z"
 
@@ -167,6 +175,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
     repeated = (rows.where(F.octet_length("html") >= MIN_REVISIT).groupBy("digest")
                 .agg(F.min("page_id").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    repeated = cut_lineage(repeated, "repeated")
+    if repeated.count() <= BROADCAST_DIGESTS:
+        repeated = F.broadcast(repeated)
     rows = rows.join(repeated, "digest", "left").select(
         F.col("page_id").cast("string").alias("page_id"), "url", "html", "digest",
         F.when(F.coalesce(F.col("page_id") != F.col("least"), F.col("least").isNotNull()), F.col("least").cast("string")).alias("refers_to"))
@@ -190,10 +201,10 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 def write_index(captures: DataFrame, folder: str) -> DataFrame:
     """Sorts the captures into blocks and returns the directory (first_key, file,
-    offset, length, n), one row per block, already materialised. Each index file also
+    offset, length, n, record_bytes: of the records it lists), one row per block, already materialised. Each index file also
     has its part of the directory beside it (``.dir``)."""
-    schema = T._parse_datatype_string("first_key string, file string, offset long, length long, n long")
-    arrow = pa.schema([("first_key", pa.string()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("n", pa.int64())])
+    schema = T._parse_datatype_string("first_key string, file string, offset long, length long, n long, record_bytes long")
+    arrow = pa.schema([("first_key", pa.string()), ("file", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("n", pa.int64()), ("record_bytes", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer = _Writer(folder, "cdx.gz")
@@ -203,7 +214,7 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
         def block(lines):
             data = gzip.compress("".join("\t".join("" if v is None else str(v) for v in x) + "\n" for x in lines).encode(), 6, mtime=0)
             name, at = writer.put(data, MAX_ARCHIVE_BYTES << 10)
-            directory.append((lines[0][0], name, at, len(data), len(lines)))
+            directory.append((lines[0][0], name, at, len(data), len(lines), sum(x[6] for x in lines)))
 
         for b in batches:
             held += zip(*(c.to_pylist() for c in b.columns))
@@ -214,7 +225,7 @@ def write_index(captures: DataFrame, folder: str) -> DataFrame:
             block(held)
         writer.close()
         if directory:
-            writer.beside(f"{directory[0][1]}.dir", "".join(f"{k}\t{at}\t{size}\n" for k, _, at, size, _ in directory).encode())
+            writer.beside(f"{directory[0][1]}.dir", "".join(f"{k}\t{at}\t{size}\n" for k, _, at, size, *_ in directory).encode())
         yield _batch(directory, arrow)
 
     order = ["key", "file", "offset"]
@@ -242,10 +253,20 @@ def read_index(spark: SparkSession, directory: DataFrame, folder: str) -> DataFr
     return directory.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, schema)
 
 
-def read_records(captures: DataFrame, folder: str) -> DataFrame:
+def read_tasks(spark: SparkSession, record_bytes: int) -> tuple[int, int]:
+    """Tasks that read so many bytes of records, and the bytes of a slice: as many tasks as
+    the session runs at once, more if one had over SLICES slices of READ_BYTES."""
+    tasks = max(spark.sparkContext.defaultParallelism, -(-record_bytes // (READ_BYTES * SLICES)))
+    return tasks, min(READ_BYTES, max(MIN_READ_BYTES, record_bytes // (tasks * SLICES)))
+
+
+def read_records(captures: DataFrame, folder: str, record_bytes: int | None = None) -> DataFrame:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, html) read
     from the archives; ids as text; html is null for revisits. The digest of a response
-    is computed anew from its payload and must equal the header's."""
+    is computed anew from its payload and must equal the header's. ``record_bytes``: the sum of the captures' lengths, if known."""
+    if record_bytes is None:
+        record_bytes = captures.agg(F.sum("length")).first()[0] or 0
+    tasks, slice_bytes = read_tasks(captures.sparkSession, record_bytes)
     schema = T._parse_datatype_string("page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, html string")
     arrow = pa.schema([("page_id", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                        ("record_type", pa.string()), ("refers_to", pa.string()), ("html", pa.string())])
@@ -268,12 +289,14 @@ def read_records(captures: DataFrame, folder: str) -> DataFrame:
                 yield _batch(out, arrow)
         reader.close()
 
-    return captures.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, schema)
+    part = F.floor(F.col("offset") / slice_bytes)
+    return captures.select("file", "offset", "length").repartition(tasks, "file", part).sortWithinPartitions("file", "offset").mapInArrow(run, schema)
 
 
 def read_back(spark: SparkSession, directory: DataFrame, folder: str) -> DataFrame:
     """Every record, found through the index."""
-    return read_records(read_index(spark, directory, folder), folder)
+    record_bytes = directory.agg(F.sum("record_bytes")).first()[0] or 0
+    return read_records(read_index(spark, directory, folder), folder, record_bytes)
 
 
 def lookup(urls: DataFrame, directory: DataFrame, folder: str, url_col: str = "url") -> DataFrame:

@@ -7,6 +7,7 @@ import uuid
 
 import pytest
 from pyarrow import fs
+from pyspark.sql import functions as F
 
 from pricewise.llm import warc
 from pricewise.session import scratch_path
@@ -84,6 +85,24 @@ def test_lookup_over_many_blocks(spark, folder, monkeypatch):
     assert sorted(int(r.page_id) for r in found if r.url == "http://h0.example/0") == [i for i in range(300) if i % 9 == 0 and i % 3 == 0]
 
 
+def test_many_repeated_digests_are_joined_without_a_broadcast(spark, folder, monkeypatch):
+    monkeypatch.setattr(warc, "BROADCAST_DIGESTS", 1)
+    rows = [(i, f"http://h/{i}", f"{i % 40}" * 120) for i in range(130)]
+    assert round_trip(spark, rows, folder)[0] == expected(rows)
+
+
+def test_records_are_read_by_many_tasks_of_like_size(spark, folder):
+    rows = [(i, f"http://h/{i}", "".join(map(str, range(i, i + 3000)))) for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    captures = warc.write_archives(pages, folder)
+    directory = warc.write_index(captures, folder)
+    total = captures.agg(F.sum("length")).first()[0]
+    assert directory.agg(F.sum("record_bytes")).first()[0] == total
+    sizes = [r.s for r in warc.read_back(spark, directory, folder).groupBy(F.spark_partition_id()).agg(F.sum("payload_bytes").alias("s")).collect()]
+    assert len(sizes) >= spark.sparkContext.defaultParallelism // 2 and max(sizes) <= 0.5 * sum(sizes)
+    assert warc.read_tasks(spark, 1 << 50) == (1 << 25, warc.READ_BYTES) and warc.read_tasks(spark, 0)[1] == warc.MIN_READ_BYTES
+
+
 def test_keys():
     assert warc.url_key("https://M.Example.com/A b?x=1#f") == "com,example,m)/a%20b?x=1"
     assert warc.url_key(None) == "" and warc.url_key("http://h:8080") == "h:8080)/"
