@@ -10,6 +10,9 @@ values counts if its occurrence is consistent (every item value has one document
 and the item has MIN_LITERAL words outside its slots: short items and those of
 placeholders must be met literally.
 
+A window of fewer than MIN_WINDOW_LITERAL words outside its slots says nothing about its
+text: it is joined by the values in its slots and so matches literally only.
+
 The counted windows, from any place of the document, cover tokens of the item. A
 document is contaminated if they cover ``COVERAGE`` or more of an item's tokens, or all
 but WINDOW of them and MIN_COVERED at least (one edited word near an end hides as many),
@@ -29,7 +32,11 @@ lies within one form.
 Scale: the documents are read once. Each task first tests its windows against a bitmap
 of FILTER_BITS slots (bounded, whatever the benchmark's size; a fuller bitmap lets more
 windows pass, nothing is lost), then only passing windows are shuffled by hash. The
-aggregations by (document, item, diagonal) are Spark group-bys. The join is by hash, so
+aggregations by (document, item, diagonal) are Spark group-bys. Windows that can match
+literally only leave a text once each, however often it repeats them: where they stand
+does not matter. So lists of numbers or a word said a thousand times do not multiply.
+Template windows with slots keep all their places, which a text that repeats one of the
+item's templates can still multiply with the item's own repeats of it. The join is by hash, so
 a passage that a third of all documents share is split by adaptive execution.
 
 Edge cases: null texts have no words and are clean; an item with fewer than WINDOW
@@ -58,6 +65,8 @@ COVERAGE = 0.8
 MIN_COVERED, RUN = 2 * WINDOW, 20
 #: Words outside slots that an item needs for matches with other values.
 MIN_LITERAL = 5
+#: Words outside slots that a window needs to be joined by its template; others join by their values.
+MIN_WINDOW_LITERAL = 2
 FILTER_BITS = 1 << 22
 CACHED_WORDS = 250_000
 
@@ -110,6 +119,11 @@ def template(word: str, form: int = 0) -> tuple[str, int]:
     return c[form], c[2 + form]
 
 
+def _value(word: str) -> str:
+    """What a slot holds."""
+    return word.strip(".,;:!?\"'()").lower()
+
+
 def _hash(token: str) -> int:
     return xxhash.xxh64_intdigest(token.encode(), 1)
 
@@ -123,6 +137,7 @@ class _Templates:
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.hashes = [np.zeros(0, np.uint64) for _ in FORMS]
+        self.values = np.zeros(0, np.uint64)
         self.flags = [np.zeros(0, np.uint8) for _ in FORMS]
 
     def of(self, words: list[str]) -> np.ndarray:
@@ -133,6 +148,7 @@ class _Templates:
         if new:
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             found = [_classify(w) for w in new]
+            self.values = np.concatenate([self.values, np.array([xxhash.xxh64_intdigest(_value(w).encode(), 2) for w in new], np.uint64)])
             for form in FORMS:
                 self.hashes[form] = np.concatenate([self.hashes[form], np.array([_hash(c[form]) for c in found], np.uint64)])
                 self.flags[form] = np.concatenate([self.flags[form], np.array([c[2 + form] for c in found], np.uint8)])
@@ -149,17 +165,26 @@ def _as_unit(h: np.ndarray, f: np.ndarray, first: np.ndarray) -> tuple[np.ndarra
 
 
 def _windows(h: np.ndarray, size: int, form: int) -> np.ndarray:
-    """Hash of every run of ``size`` tokens."""
-    if len(h) < size:
+    """Hash of every run of ``size`` tokens; of every row of an array of such runs."""
+    if h.ndim == 1 and len(h) < size:
         return np.zeros(0, np.uint64)
-    out = np.full(len(h) - size + 1, 2 * size + form, np.uint64)
+    out = np.full(len(h) if h.ndim == 2 else len(h) - size + 1, 2 * size + form, np.uint64)
     with np.errstate(over="ignore"):
         for j in range(size):
-            out = (out ^ h[j:len(h) - size + 1 + j]) * np.uint64(_BASE)
+            out = (out ^ (h[:, j] if h.ndim == 2 else h[j:len(h) - size + 1 + j])) * np.uint64(_BASE)
             out ^= out >> np.uint64(32)
     return out
 
 
+def _once(row: np.ndarray, hashes: np.ndarray, literally: np.ndarray) -> np.ndarray:
+    """Which windows to keep: of those that match ``literally``, the first of each hash in a row."""
+    keep = np.ones(len(row), bool)
+    some = np.flatnonzero(literally)
+    order = some[np.lexsort((hashes[some], row[some]))]
+    keep[order[1:]] = (row[order[1:]] != row[order[:-1]]) | (hashes[order[1:]] != hashes[order[:-1]])
+    return keep
+
+
 def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFrame:
     """(id, form, hash, pos, size, tokens, literal, slots): windows of every text, with their
     length, the text's tokens and those that are no slots. ``sizes``: the window lengths;
@@ -179,20 +204,30 @@ def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFram
             row_of = np.repeat(np.arange(len(off) - 1), n_words)
             for form in FORMS:
                 h, slot = _as_unit(known.hashes[form][known_as], known.flags[form][known_as], first)
-                literal = np.diff(np.concatenate([[0], np.cumsum(slot == 0)])[first])
+                slots_before = np.concatenate([[0], np.cumsum(slot, dtype=np.int64)])
+                literal = n_words - np.diff(slots_before[first])
+                valued = np.where(slot, known.values[known_as], h)
                 for size in sizes if sizes is not None else range(1, WINDOW + 1):
                     win = _windows(h, size, form)
                     ok = row_of[:len(win)] == row_of[size - 1:]
                     if sizes is None:
                         own = n_words[row_of[:len(win)]]
                         ok &= (own == size) if size < WINDOW else (own >= WINDOW)
+                    n_slots = slots_before[size:] - slots_before[:-size] if len(win) else win
+                    by_value = n_slots > max(0, size - MIN_WINDOW_LITERAL)
+                    few = np.flatnonzero(by_value & ok)
+                    if len(few):
+                        win[few] = _windows(valued[few[:, None] + np.arange(size)], size, form)
                     if allow is not None:
                         ok &= allow[win & np.uint64(FILTER_BITS - 1)]
                     at = np.flatnonzero(ok)
                     if not len(at):
                         continue
                     r = row_of[at]
-                    slots = [[words[which[k]].strip(".,;:!?\"'()").lower() for k in range(a, a + size) if slot[k]] for a in at.tolist()]
+                    if allow is not None:
+                        at = at[_once(r, win[at], (by_value | (n_slots == 0))[at])]
+                        r = row_of[at]
+                    slots = [[_value(words[which[k]]) for k in range(a, a + size) if slot[k]] for a in at.tolist()]
                     yield pa.RecordBatch.from_arrays(
                         [rows.column(0).take(pa.array(r)), pa.array(np.full(len(r), form, np.int32)), pa.array(win[at].view(np.int64)),
                          pa.array(at - first[r]), pa.array(np.full(len(r), size, np.int64)), pa.array(n_words[r].astype(np.int64)), pa.array(literal[r].astype(np.int64)),

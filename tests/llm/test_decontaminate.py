@@ -85,3 +85,34 @@ def test_rows_of_one_id_are_judged_each(spark):
     left = D.drop_contaminated(docs, bench).collect()
     assert sorted((str(r.doc_id), str(r.text)) for r in left) == [("7", "None"), ("7", "clean"), ("None", "clean one"), ("None", "clean two")]
     assert sorted(r.contaminated for r in D.flag(docs, bench).collect()) == [False] * 4 + [True] * 2
+
+
+def test_lists_of_numbers_and_repeated_words_do_not_multiply(spark, monkeypatch):
+    rows = {}
+    cut = D.cut_lineage
+
+    def counted(df, name):
+        out = cut(df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(D, "cut_lineage", counted)
+    numbers = [" ".join(str((i * 7919 + k) % 9973) for i in range(200)) for k in range(2)]
+    many = " ".join(str(i) for i in range(20_000, 22_000))
+    items = [(1, numbers[0]), (2, "ha " * 200), (3, "7 " * 200), (4, "Ann " * 200)]
+    got = flags(spark, [many, "ha " * 2000, "7 " * 2000, "Bob " * 2000, numbers[1], "so " + numbers[0] + " end", "Ann " * 300], items)
+    assert [got[i] for i in range(7)] == [(False, False), (True, False), (True, False), (False, False), (False, False), (True, False), (True, False)]
+    assert rows["template_hits"] <= 2 * 196 * 6
+
+
+def test_windows_once_against_a_plain_version():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    row, h, lit = np.sort(rng.integers(0, 5, 300)), rng.integers(0, 9, 300).astype(np.uint64), rng.random(300) < 0.7
+    seen, want = set(), []
+    for r, x, one in zip(row.tolist(), h.tolist(), lit.tolist()):
+        want.append(not one or (r, x) not in seen)
+        if one:
+            seen.add((r, x))
+    assert D._once(row, h, lit).tolist() == want
+    assert D._once(row[:0], h[:0], lit[:0]).tolist() == []
