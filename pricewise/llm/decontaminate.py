@@ -68,6 +68,8 @@ MIN_LITERAL = 5
 #: Words outside slots that a window needs to be joined by its template; others join by their values.
 MIN_WINDOW_LITERAL = 2
 FILTER_BITS = 1 << 22
+#: Contaminated ids that are broadcast at most (about 100 bytes each, and their items).
+BROADCAST_ROWS = 200_000
 CACHED_WORDS = 250_000
 
 #: Units of measure and money that may follow a number.
@@ -297,20 +299,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **columns) -> DataFrame:
         F.array_sort(F.collect_set("item_id")).alias("items"), F.min("changed").alias("changed"))
 
 
-def _is_row(id_col: str, text_col: str) -> Column:
-    return F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash"))
+def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The contaminated ids and texts, written once; broadcast up to BROADCAST_ROWS, joined by shuffle beyond."""
+    found = cut_lineage(contaminated(docs, benchmark, id_col=id_col, text_col=text_col), "contaminated")
+    found = found.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+    return F.broadcast(found) if found.select("__hash").count() <= BROADCAST_ROWS else found
+
+
+def _is_row(id_col: str, text_hash: Column) -> Column:
+    return F.col(id_col).eqNullSafe(F.col("__id")) & (text_hash == F.col("__hash"))
 
 
 def flag(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, contaminated, items, changed) for every row of ``docs``."""
-    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+    """(doc_id, contaminated, items, changed) for every row of ``docs``; texts are not shuffled."""
+    found = _found(docs, benchmark, id_col, text_col)
     none = F.array().cast(found.schema["items"].dataType)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(found, _is_row("doc_id", "text"), "left").select(
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"))
+    return rows.join(found, _is_row("doc_id", F.col("text_hash")), "left").select(
         "doc_id", F.col("items").isNotNull().alias("contaminated"), F.coalesce("items", none).alias("items"),
         F.coalesce("changed", F.lit(False)).alias("changed"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` less the contaminated rows."""
-    found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-    return docs.join(found, _is_row(id_col, text_col), "left_anti")
+    found = _found(docs, benchmark, id_col, text_col).select("__id", "__hash")
+    return docs.join(found, _is_row(id_col, F.xxhash64(text_col)), "left_anti")

@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from pricewise.llm import decontaminate as D
 
 DATA = "/root/testdata/sf0.01"
@@ -79,7 +81,9 @@ def test_short_items_and_placeholders_are_met_literally(spark):
     assert [got[i][0] for i in range(6)] == [False] * 3 + [True] * 3
 
 
-def test_rows_of_one_id_are_judged_each(spark):
+@pytest.mark.parametrize("broadcast_rows", [D.BROADCAST_ROWS, 0])
+def test_rows_of_one_id_are_judged_each(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(D, "BROADCAST_ROWS", broadcast_rows)
     docs = spark.createDataFrame([(None, ITEM), (None, "clean one"), (None, "clean two"), (7, ITEM), (7, "clean"), (7, None)], "doc_id long, text string")
     bench = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     left = D.drop_contaminated(docs, bench).collect()
