@@ -68,8 +68,8 @@ MIN_LITERAL = 5
 #: Words outside slots that a window needs to be joined by its template; others join by their values.
 MIN_WINDOW_LITERAL = 2
 FILTER_BITS = 1 << 22
-#: Contaminated ids that are broadcast at most (about 100 bytes each, and their items).
-BROADCAST_ROWS = 200_000
+#: Contaminated rows, and items found in them, that are broadcast at most.
+BROADCAST_ROWS = 400_000
 CACHED_WORDS = 250_000
 
 #: Units of measure and money that may follow a number.
@@ -303,7 +303,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, id_col: str, text_col: str) ->
     """The contaminated ids and texts, written once; broadcast up to BROADCAST_ROWS, joined by shuffle beyond."""
     found = cut_lineage(contaminated(docs, benchmark, id_col=id_col, text_col=text_col), "contaminated")
     found = found.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
-    return F.broadcast(found) if found.select("__hash").count() <= BROADCAST_ROWS else found
+    held = found.agg(F.sum(F.size("items") + 1)).first()[0] or 0
+    return F.broadcast(found) if held <= BROADCAST_ROWS else found
 
 
 def _is_row(id_col: str, text_hash: Column) -> Column:
