@@ -208,7 +208,6 @@ def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFram
                 h, slot = _as_unit(known.hashes[form][known_as], known.flags[form][known_as], first)
                 slots_before = np.concatenate([[0], np.cumsum(slot, dtype=np.int64)])
                 literal = n_words - np.diff(slots_before[first])
-                valued = np.where(slot, known.values[known_as], h)
                 for size in sizes if sizes is not None else range(1, WINDOW + 1):
                     win = _windows(h, size, form)
                     ok = row_of[:len(win)] == row_of[size - 1:]
@@ -219,7 +218,8 @@ def _window_rows(texts: DataFrame, sizes: list[int] | None, passing) -> DataFram
                     by_value = n_slots > max(0, size - MIN_WINDOW_LITERAL)
                     few = np.flatnonzero(by_value & ok)
                     if len(few):
-                        win[few] = _windows(valued[few[:, None] + np.arange(size)], size, form)
+                        run_of = few[:, None] + np.arange(size)
+                        win[few] = _windows(np.where(slot[run_of], known.values[known_as[run_of]], h[run_of]), size, form)
                     if allow is not None:
                         ok &= allow[win & np.uint64(FILTER_BITS - 1)]
                     at = np.flatnonzero(ok)
