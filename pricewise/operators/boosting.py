@@ -24,6 +24,7 @@ folder; a lost executor costs the rounds since then at most.
 
 Rows whose target is null or not finite are left out of the fit. A null or not-a-number
 feature ranks above every number. A fit without a row predicts not-a-number.
+A fit that sees all rows and features and finds no split ends early.
 """
 
 from __future__ import annotations
@@ -479,6 +480,8 @@ def fit_many(df: DataFrame, features, targets: dict[str, Column], runs: list[Run
             t = g.tree(g.splits, cuts, scales[i])
             models[i].trees.append(t)
             grown[i] = ((t.feature, t.bin, t.left, t.right, t.depth), t.value)
+            if not g.splits and runs[i].params.rows >= 1 and runs[i].params.columns >= 1:
+                alive.discard(i)  # nothing is left to split, and every further round would see the same
         round_no += 1
         if any(round_no < runs[i].params.rounds for i in alive):
             before, state = state, state.map(advance(grown)).persist(StorageLevel.MEMORY_AND_DISK)  # computed by the next pass

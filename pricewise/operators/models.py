@@ -1,10 +1,11 @@
-"""Price models (linear ones from sums of products, trees on MLlib): fits, holdout comparison, cross-validation,
-out-of-fold prediction, stacking and the weighted blend.
+"""Price models (linear ones from sums of products, boosted trees on histograms, forests on
+MLlib): fits, holdout comparison, cross-validation, out-of-fold prediction, stacking and
+the weighted blend.
 
 Every prediction lands in one long table (row_id, fold, model, target_mode,
-y, yhat), so all metrics for all fits are one grouped aggregate. Independent
-fits are submitted from a small driver thread pool; each fit is itself a
-distributed MLlib job.
+y, yhat), so all metrics for all fits are one grouped aggregate. Boosted fits of
+all folds and targets advance together (see boosting); independent MLlib fits are
+submitted from a small driver thread pool.
 """
 
 from __future__ import annotations
@@ -12,24 +13,29 @@ from __future__ import annotations
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pricewise.functions.clean import TARGET_MODES, clip_min, inverse_log_target, log_target
+from pricewise.operators.boosting import Boost, Run, fit_many, score
 from pricewise.operators.features import BRAND_PREFIX, feature_columns
 from pricewise.operators.folds import N_FOLDS, fold_of
 from pricewise.operators.gram import LinearModel, collect_grams, fold_predictor, total_of
 from pricewise.operators.metrics import regression_metrics
+from pricewise.session import cut_lineage
 from pricewise.sources.tables import TARGET_COL, quote
 
 SEED = 42
 # concurrent fits submitted from the driver on a small local heap; each tree
 # fit may use MLlib's aggregation budget (maxMemoryInMB) at once
 POOL = 2
+#: Key of models fitted on all rows, beside those of the training part.
+WHOLE = "all rows"
 
 
 @dataclass
@@ -37,7 +43,7 @@ class ModelSpec:
     """One model family and its parameters (the reference's values by default)."""
 
     name: str
-    kind: str  # linear | ridge | rf | gbt
+    kind: str  # linear | ridge | rf | leafwise | symmetric
     params: dict = field(default_factory=dict)
 
 
@@ -48,12 +54,14 @@ RANDOM_FOREST = ModelSpec("Random Forest", "rf", {"numTrees": 220, "maxDepth": 1
 RF_IMPORTANCE = ModelSpec("Random Forest", "rf", {"numTrees": 260, "maxDepth": 18, "minInstancesPerNode": 2})
 RF_ENSEMBLE = ModelSpec("random_forest", "rf", {"numTrees": 300, "maxDepth": 20, "minInstancesPerNode": 2})
 RF_MARKET = ModelSpec("market_random_forest", "rf", {"numTrees": 140, "maxDepth": 14, "minInstancesPerNode": 2})
-# Boosting: MLlib trees are depth-wise, the reference's leaf-wise booster used
-# 450 rounds, rate 0.045, 31 leaves (about depth 5), 0.9 row / column sampling.
-BOOSTED = ModelSpec("Gradient Boosting", "gbt", {"maxIter": 450, "stepSize": 0.045, "maxDepth": 5,
-                                                 "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"})
-BOOSTED_DEEP = ModelSpec("gradient_boosting_deep", "gbt", {"maxIter": 600, "stepSize": 0.04, "maxDepth": 8,
-                                                          "subsamplingRate": 0.9, "featureSubsetStrategy": "0.9"})
+BOOSTED = ModelSpec("Gradient Boosting", "leafwise", {"rounds": 450, "rate": 0.045, "leaves": 31, "rows": 0.9, "columns": 0.9})
+BOOSTED_DEEP = ModelSpec("gradient_boosting_deep", "leafwise", {"rounds": 600, "rate": 0.04, "leaves": 48, "rows": 0.85, "columns": 0.85})
+BOOSTED_SYMMETRIC = ModelSpec("symmetric_boosting", "symmetric", {"rounds": 600, "rate": 0.04, "depth": 8, "l2": 3.0})
+BOOSTED_BASE = ModelSpec("gradient_boosting", "leafwise", BOOSTED.params)
+RIDGE_BASE = ModelSpec("ridge", "ridge", {"alpha": 1.0})
+#: The five bases of the ensembles.
+ENSEMBLE_BASES = [RIDGE_BASE, RF_ENSEMBLE, BOOSTED_BASE, BOOSTED_DEEP, BOOSTED_SYMMETRIC]
+BOOSTED_KINDS = ("leafwise", "symmetric")
 DEFAULT_MODELS = [LINEAR, RIDGE, RANDOM_FOREST, BOOSTED]
 
 
@@ -69,11 +77,6 @@ def _estimator(spec: ModelSpec, train: DataFrame, label: str):
                                      numTrees=p["numTrees"], maxDepth=min(p["maxDepth"], 30),
                                      minInstancesPerNode=p.get("minInstancesPerNode", 1),
                                      subsamplingRate=p.get("subsamplingRate", 1.0), maxBins=p.get("maxBins", 32))
-    if spec.kind == "gbt":
-        return GBTRegressor(featuresCol="features", labelCol=label, predictionCol="pred_t", seed=SEED,
-                            maxIter=p["maxIter"], stepSize=p["stepSize"], maxDepth=p["maxDepth"],
-                            subsamplingRate=p.get("subsamplingRate", 1.0),
-                            featureSubsetStrategy=p.get("featureSubsetStrategy", "all"))
     raise ValueError(spec.kind)
 
 
@@ -85,6 +88,8 @@ def fit(spec: ModelSpec, train: DataFrame, features, target_mode: str = "price_e
     so the result does not depend on the input's partitioning."""
     if spec.kind in ("linear", "ridge"):
         return fit_linear_models(train, [(spec, target_mode)], features, target)[(target_mode, spec.name)]
+    if spec.kind in BOOSTED_KINDS:
+        return fit_boosted_models(train, [(spec, target_mode, None)], features, target)[(target_mode, spec.name, None)]
     t = train.withColumn("label_t", log_target(target, target_mode))
     if "row_id" in t.columns:
         parts = int(t.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -107,6 +112,33 @@ def fit_linear_models(train: DataFrame, pairs, features, target: str = TARGET_CO
     return {(mode, spec.name): LinearModel(features, *total_of(sums).solve(mode, _alpha(spec))) for spec, mode in pairs}
 
 
+def _boost(spec: ModelSpec) -> Boost:
+    return Boost(shape=spec.kind, **spec.params)
+
+
+def fit_boosted_models(train: DataFrame, fits, features, target: str = TARGET_COL) -> dict:
+    """{(target mode, name, left-out fold): model} for ``fits`` of (spec, mode, fold or None),
+    which advance together over one binned table."""
+    modes = {m: log_target(target, m) for m in dict.fromkeys(m for _, m, _ in fits)}
+    fold = F.col("fold") if "fold" in train.columns else None
+    found = fit_many(train, features, modes, [Run(_boost(s), m, j) for s, m, j in fits], fold)
+    return {(m, s.name, j): model for (s, m, j), model in zip(fits, found)}
+
+
+def boosted_oof_predict(enc: DataFrame, pairs, k: int = N_FOLDS, features=None, target: str = TARGET_COL, fitted: dict | None = None) -> DataFrame:
+    """Out-of-fold predictions of all boosted ``pairs`` of (spec, mode), fitted together
+    (unless ``fitted`` has them) and scored in one pass, every row by the models of its fold."""
+    enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
+    feats = list(features or feature_columns(enc))
+    if fitted is None:
+        fitted = fit_boosted_models(enc, [(s, m, j) for s, m in pairs for j in range(k)], feats, target)
+    columns = {f"__p{i}": {j: fitted[(m, s.name, j)] for j in range(k)} for i, (s, m) in enumerate(pairs)}
+    rows = score(enc.select("row_id", "fold", quote(target), *(quote(f) for f in feats if f != target)), columns, "fold")
+    every = [F.struct(F.lit(s.name).alias("model"), F.lit(m).alias("target_mode"), F.col(quote(target)).alias("y"),
+                      inverse_log_target(f"__p{i}", m).alias("yhat")) for i, (s, m) in enumerate(pairs)]
+    return rows.select("row_id", "fold", F.inline(F.array(*every)))
+
+
 def linear_oof_predict(enc: DataFrame, pairs, k: int = N_FOLDS, features=None, target: str = TARGET_COL) -> DataFrame:
     """Out-of-fold predictions of all linear and ridge ``pairs`` of (spec, mode): one scan for
     the sums of every fold, the training sums of a fold being the total minus its own, and
@@ -154,10 +186,11 @@ def _run(jobs):
 
 
 def compare_models(enc: DataFrame, specs=DEFAULT_MODELS, modes=TARGET_MODES, test_fold: int = 0,
-                   k: int = N_FOLDS) -> tuple[DataFrame, DataFrame, dict]:
+                   k: int = N_FOLDS, refit: bool = False) -> tuple[DataFrame, DataFrame, dict]:
     """Holdout comparison: fold ``test_fold`` is the test set. Returns the
     long prediction table, the metric table (with fit seconds) and the fitted
-    models keyed by (mode, name). A fresh estimator is built for every fit."""
+    models keyed by (mode, name). A fresh estimator is built for every fit. With ``refit``
+    the boosted models of all rows grow along, under (mode, name, WHOLE)."""
     enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
     feats = feature_columns(enc)
     train, test = enc.filter(F.col("fold") != test_fold), enc.filter(F.col("fold") == test_fold)
@@ -178,7 +211,15 @@ def compare_models(enc: DataFrame, specs=DEFAULT_MODELS, modes=TARGET_MODES, tes
         found = fit_linear_models(train, linear, feats)
         each = (time.time() - t0) / len(found)  # they share one scan
         fitted = [(m, s.name, found[(m, s.name)], each) for s, m in linear]
-    fitted += _run([job(m, s) for m in modes for s in specs if s.kind not in ("linear", "ridge")])
+    boosted = [(s, m) for m in modes for s in specs if s.kind in BOOSTED_KINDS]
+    whole = {}
+    if boosted:
+        t0 = time.time()
+        found = fit_boosted_models(enc, [(s, m, j) for s, m in boosted for j in ((test_fold, None) if refit else (test_fold,))], feats)
+        each = (time.time() - t0) / len(found)  # they share their passes
+        fitted += [(m, s.name, found[(m, s.name, test_fold)], each) for s, m in boosted]
+        whole = {(m, s.name, WHOLE): found[(m, s.name, None)] for s, m in boosted if refit}
+    fitted += _run([job(m, s) for m in modes for s in specs if s.kind == "rf"])
     preds, times, models = [], [], {}
     for mode, name, m, secs in fitted:
         models[(mode, name)] = m
@@ -193,7 +234,18 @@ def compare_models(enc: DataFrame, specs=DEFAULT_MODELS, modes=TARGET_MODES, tes
     spark = enc.sparkSession
     secs = spark.createDataFrame(times, "target_mode string, model string, fit_seconds double")
     mets = regression_metrics(long, group=["target_mode", "model"]).join(secs, ["target_mode", "model"], "left")
-    return long, mets, models
+    return long, mets, {**models, **whole}
+
+
+def winner(mets: DataFrame, models: dict, enc: DataFrame, specs=DEFAULT_MODELS):
+    """(target mode, model fitted on all rows) of the leaderboard's first row."""
+    from pricewise.operators.metrics import best_model
+    best = best_model(mets).first()
+    model = models.get((best.target_mode, best.model, WHOLE))
+    if model is None:
+        spec = next(s for s in specs if s.name == best.model)
+        model = fit(spec, enc, feature_columns(enc), best.target_mode)
+    return best.target_mode, model
 
 
 def oof_predict(enc: DataFrame, spec: ModelSpec, target_mode: str = "price_eur", k: int = N_FOLDS,
@@ -204,6 +256,8 @@ def oof_predict(enc: DataFrame, spec: ModelSpec, target_mode: str = "price_eur",
     feats = list(features or feature_columns(enc))
     if spec.kind in ("linear", "ridge"):
         return linear_oof_predict(enc, [(spec, target_mode)], k, feats, target)
+    if spec.kind in BOOSTED_KINDS:
+        return boosted_oof_predict(enc, [(spec, target_mode)], k, feats, target)
 
     def job(j):
         return lambda: (j, fit(spec, enc.filter(F.col("fold") != j), feats, target_mode, target))
@@ -230,12 +284,11 @@ def cross_validate(enc: DataFrame, specs=DEFAULT_MODELS, modes=TARGET_MODES, k:
     from pricewise.operators.metrics import cv_mean_metrics
     enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
     linear = [(s, m) for m in modes for s in specs if s.kind in ("linear", "ridge")]
-    long = linear_oof_predict(enc, linear, k) if linear else None
-    for mode in modes:
-        for s in specs:
-            if (s, mode) not in linear:
-                p = oof_predict(enc, s, mode, k)
-                long = p if long is None else long.unionByName(p)
+    boosted = [(s, m) for m in modes for s in specs if s.kind in BOOSTED_KINDS]
+    found = [linear_oof_predict(enc, linear, k)] if linear else []
+    found += [boosted_oof_predict(enc, boosted, k)] if boosted else []
+    found += [oof_predict(enc, s, m, k) for m in modes for s in specs if s.kind == "rf"]
+    long = reduce(DataFrame.unionByName, found)
     long = long.join(F.broadcast(fold_baselines(enc, k)), "fold", "left")
     folds = regression_metrics(long)
     return long, folds, cv_mean_metrics(folds)
@@ -257,52 +310,69 @@ def blend_predict(preds: DataFrame, weights: DataFrame) -> DataFrame:
             .groupBy("row_id").agg(F.sum(F.col("weight") * F.col("yhat")).alias("yhat")))
 
 
-def weighted_blend(enc: DataFrame, specs, target_mode: str = "log_price_eur", test_fold: int = 0, k: int = N_FOLDS):
-    """Weights from inner k-fold OOF MAE on the training part, bases refitted
-    on the whole training part, blended on the holdout."""
+@dataclass
+class Bases:
+    """The base models of both ensembles, fitted once: out-of-fold predictions on the
+    training part and predictions of the holdout by models of the whole training part,
+    both long (row_id, model, y, yhat)."""
+    names: list[str]
+    target_mode: str
+    train: DataFrame
+    oof: DataFrame
+    holdout: DataFrame
+
+
+def fit_bases(enc: DataFrame, specs, target_mode: str = "log_price_eur", test_fold: int = 0, k: int = N_FOLDS) -> Bases:
     enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
-    train = enc.filter(F.col("fold") != test_fold)
-    test = enc.filter(F.col("fold") == test_fold)
-    inner = train.withColumn("fold", (fold_of("row_id", k * k) % F.lit(k)).cast("int"))
-    oof = None
-    for s in specs:
-        p = oof_predict(inner, s, target_mode, k)
-        oof = p if oof is None else oof.unionByName(p)
-    w = blend_weights(oof)
     feats = feature_columns(enc)
-    preds = None
+    train, test = enc.filter(F.col("fold") != test_fold), enc.filter(F.col("fold") == test_fold)
+    inner = train.withColumn("fold", (fold_of("row_id", k * k) % F.lit(k)).cast("int"))
+    boosted = [s for s in specs if s.kind in BOOSTED_KINDS]
+    models = {}
+    oof, held = [], []
+    if boosted:
+        models = fit_boosted_models(inner, [(s, target_mode, j) for s in boosted for j in (*range(k), None)], feats)
+        oof.append(boosted_oof_predict(inner, [(s, target_mode) for s in boosted], k, feats, fitted=models))
     for s in specs:
-        m = fit(s, train, feats, target_mode)
-        p = predict(m, test, target_mode).withColumn("model", F.lit(s.name))
-        preds = p if preds is None else preds.unionByName(p)
-    return w, blend_predict(preds, w)
+        if s not in boosted:
+            oof.append(oof_predict(inner, s, target_mode, k, feats))
+        m = models.get((target_mode, s.name, None)) or fit(s, train, feats, target_mode)
+        held.append(predict(m, test, target_mode, keep=("row_id", TARGET_COL)).select("row_id", F.lit(s.name).alias("model"), F.col(TARGET_COL).alias("y"), "yhat"))
+    # both ensembles read them several times, and all models sit in these plans
+    wide = ["row_id", "model", "y", "yhat"]
+    return Bases([s.name for s in specs], target_mode, train.select("row_id", TARGET_COL),
+                 cut_lineage(reduce(DataFrame.unionByName, [o.select(*wide) for o in oof]), "bases_oof"),
+                 cut_lineage(reduce(DataFrame.unionByName, held), "bases_holdout"))
+
+
+def blend_of(bases: Bases) -> tuple[DataFrame, DataFrame]:
+    """(weights from out-of-fold errors, blended predictions of the holdout)."""
+    w = blend_weights(bases.oof)
+    return w, blend_predict(bases.holdout, w)
+
+
+def stack_of(bases: Bases, alpha: float = 1.0):
+    """(ridge meta model on out-of-fold predictions in target space, its holdout predictions)."""
+    def by_model(long):
+        t = long.select("row_id", "model", log_target("yhat", bases.target_mode).alias("p_t"))
+        return t.groupBy("row_id").pivot("model", bases.names).agg(F.first("p_t"))
+
+    meta_train = by_model(bases.oof).join(bases.train, "row_id")
+    meta = fit(ModelSpec("stacking_ridge_meta", "ridge", {"alpha": alpha}), meta_train, bases.names, bases.target_mode)
+    return meta, predict(meta, by_model(bases.holdout), bases.target_mode)
+
+
+def weighted_blend(enc: DataFrame, specs, target_mode: str = "log_price_eur", test_fold: int = 0, k: int = N_FOLDS):
+    """Weights from inner k-fold OOF MAE on the training part, bases refitted
+    on the whole training part, blended on the holdout."""
+    return blend_of(fit_bases(enc, specs, target_mode, test_fold, k))
 
 
 def stacking_ensemble(enc: DataFrame, specs, target_mode: str = "log_price_eur", test_fold: int = 0,
                       k: int = N_FOLDS, alpha: float = 1.0):
     """Base models' k-fold OOF predictions (target space) feed a ridge meta
     model; bases are refitted on the whole training part; no passthrough."""
-    enc = enc.withColumn("fold", fold_of("row_id", k)) if "fold" not in enc.columns else enc
-    train = enc.filter(F.col("fold") != test_fold)
-    test = enc.filter(F.col("fold") == test_fold)
-    inner = train.withColumn("fold", (fold_of("row_id", k * k) % F.lit(k)).cast("int"))
-    names = [s.name for s in specs]
-    oof = None
-    for s in specs:
-        p = oof_predict(inner, s, target_mode, k).select("row_id", "model", log_target("yhat", target_mode).alias("p_t"))
-        oof = p if oof is None else oof.unionByName(p)
-    wide = oof.groupBy("row_id").pivot("model", names).agg(F.first("p_t"))
-    meta_train = wide.join(train.select("row_id", TARGET_COL), "row_id")
-    meta = fit(ModelSpec("stacking_ridge_meta", "ridge", {"alpha": alpha}), meta_train, names, target_mode)
-    feats = feature_columns(enc)
-    base_preds = None
-    for s in specs:
-        m = fit(s, train, feats, target_mode)
-        p = predict(m, test, target_mode).select("row_id", F.lit(s.name).alias("model"),
-                                                 log_target("yhat", target_mode).alias("p_t"))
-        base_preds = p if base_preds is None else base_preds.unionByName(p)
-    test_wide = base_preds.groupBy("row_id").pivot("model", names).agg(F.first("p_t"))
-    return meta, predict(meta, test_wide, target_mode)
+    return stack_of(fit_bases(enc, specs, target_mode, test_fold, k), alpha)
 
 
 def holdout_predictions(enc: DataFrame, stack_pred: DataFrame, blend_pred: DataFrame, test_fold: int = 0,
@@ -314,14 +384,15 @@ def holdout_predictions(enc: DataFrame, stack_pred: DataFrame, blend_pred: DataF
 
 # --- explanation ---------------------------------------------------------------
 
-def feature_importance(enc: DataFrame, specs=(RF_IMPORTANCE, BOOSTED), target_mode: str = "price_eur") -> DataFrame:
+def feature_importance(enc: DataFrame, specs=(RF_IMPORTANCE, BOOSTED), target_mode: str = "price_eur", models: dict | None = None) -> DataFrame:
     """Tree importances on all rows as a long table (model, target_mode,
-    feature, importance), sorted by model then importance."""
+    feature, importance), sorted by model then importance; a boosted model's importance is
+    a feature's share in the gain of its splits. ``models`` may hold some fitted already."""
     feats = feature_columns(enc)
     spark = enc.sparkSession
     rows = []
     for s in specs:
-        m = fit(s, enc, feats, target_mode)
+        m = (models or {}).get((target_mode, s.name, WHOLE)) or fit(s, enc, feats, target_mode)
         imp = m.stages[-1].featureImportances.toArray()
         rows += [(f"{s.name} ({target_mode})", target_mode, f, float(v)) for f, v in zip(feats, imp)]
     return (spark.createDataFrame(rows, "model string, target_mode string, feature string, importance double")

@@ -25,10 +25,11 @@ from pricewise.session import cut_lineage
 from pricewise.sources.catalog import DEFAULT_AS_OF_YEAR, catalog
 
 SMOKE_RF = M.scaled(M.RANDOM_FOREST, numTrees=20, maxDepth=8)
-SMOKE_GBT = M.scaled(M.BOOSTED, maxIter=20)
+SMOKE_GBT = M.scaled(M.BOOSTED, rounds=20)
+LONG_GBT = M.scaled(M.BOOSTED, rounds=100)
 SMOKE_MODELS = [M.LINEAR, M.RIDGE, SMOKE_RF, SMOKE_GBT]
-ENSEMBLE_BASES = [M.ModelSpec("ridge", "ridge", {"alpha": 1.0}), M.scaled(SMOKE_RF, numTrees=20),
-                  M.ModelSpec("gradient_boosting", "gbt", SMOKE_GBT.params)]
+ENSEMBLE_BASES = [M.RIDGE_BASE, M.scaled(M.RF_ENSEMBLE, numTrees=20, maxDepth=8), M.scaled(M.BOOSTED_BASE, rounds=20),
+                  M.scaled(M.BOOSTED_DEEP, rounds=20), M.scaled(M.BOOSTED_SYMMETRIC, rounds=20)]
 
 
 def encoded(spark: SparkSession, src: str) -> DataFrame:
@@ -98,15 +99,17 @@ def guide_requests(spark: SparkSession, src: str, as_of_year: int = DEFAULT_AS_O
     return per_brand("part").unionByName(per_brand("orders"))
 
 
-def price_guide(spark: SparkSession, src: str, spec=SMOKE_GBT, target_mode: str = "log_price_eur") -> DataFrame:
+def price_guide(spark: SparkSession, src: str, specs=tuple(SMOKE_MODELS)) -> DataFrame:
+    """Fair-price guide of the requests by the winner of the leaderboard, fitted on all rows."""
     enc = encoded(spark, src)
     feats = feature_columns(enc)
-    model = M.fit(spec, enc, feats, target_mode)
+    _, mets, models = M.compare_models(enc, specs, refit=True)
+    target_mode, model = M.winner(mets, models, enc, specs)
     rd = PP.readable(spark, src, "part")
     ref = RP.numeric_reference(rd, [NUM_PREFIX + c for c in ["is_premium_brand"] + PP.NUMERIC_COLS])
     meds = column_medians(enc, feats)
     bsum = RP.brand_summary(rd, R)
-    imp = M.feature_importance(enc, [SMOKE_RF, SMOKE_GBT])
+    imp = M.feature_importance(enc, [SMOKE_RF, SMOKE_GBT], models=models)
     drivers = RP.top_factors_text(RP.top_price_drivers(imp, 20), 5)
     adj = RP.adjusted_brand_summary(M.adjusted_brand_premium(enc, rd.select(F.col("item_id").alias("row_id"), "brand_group"),
                                                              SMOKE_GBT))

@@ -624,7 +624,7 @@ def q_fit_rf(spark, src):
 
 @register("fit_boosted_trees")
 def q_fit_gbt(spark, src):
-    return MP.holdout_fit_predictions(spark, src, MP.SMOKE_GBT)
+    return MP.holdout_fit_predictions(spark, src, MP.LONG_GBT)
 
 
 @register("compare_models")
@@ -655,9 +655,8 @@ def q_blend_models(spark, src):
 @register("holdout_predictions")
 def q_holdout_preds(spark, src):
     enc = MP.encoded(spark, src)
-    stack = M.stacking_ensemble(enc, MP.ENSEMBLE_BASES)[1]
-    blend = M.weighted_blend(enc, MP.ENSEMBLE_BASES)[1]
-    return M.holdout_predictions(enc, stack, blend)
+    bases = M.fit_bases(enc, MP.ENSEMBLE_BASES)
+    return M.holdout_predictions(enc, M.stack_of(bases)[1], M.blend_of(bases)[1])
 
 
 @register("feature_importance")

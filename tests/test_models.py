@@ -86,3 +86,45 @@ def test_compare_models_smoke(spark):
     long, mets, models = M.compare_models(enc, SMOKE_MODELS[:2] + [M.scaled(SMOKE_MODELS[2], numTrees=5)], ["log_price_eur"])
     assert mets.count() == 3 and len(models) == 3
     assert long.select("row_id").distinct().count() == enc.filter("fold = 0").count()
+
+
+def test_bases_are_fitted_once_for_stack_and_blend(spark):
+    enc = _learnable(spark, SF_SMALL).cache()
+    specs = [M.RIDGE_BASE, M.scaled(M.BOOSTED_BASE, rounds=3), M.scaled(M.BOOSTED_SYMMETRIC, rounds=3, depth=3)]
+    bases = M.fit_bases(enc, specs)
+    weights, blend = M.blend_of(bases)
+    _, stack = M.stack_of(bases)
+    held = enc.filter("fold = 0").count()
+    assert blend.count() == stack.count() == held
+    assert bases.oof.groupBy("model").count().select("count").distinct().collect() == [(enc.count() - held,)]
+    assert abs(sum(r.weight for r in weights.collect()) - 1.0) < 1e-12
+    both = M.holdout_predictions(enc, stack, blend).collect()
+    assert len(both) == held and all(r.stacking_pred_eur is not None and r.weighted_blend_pred_eur is not None for r in both)
+    # plain ridge on the out-of-fold predictions, plain weights by their errors
+    names = [x.name for x in specs]
+    wide = lambda long: long.toPandas().pivot(index="row_id", columns="model", values="yhat")[names].sort_index()
+    y = bases.train.toPandas().set_index("row_id").sort_index()["target_price_eur"]
+    a, h = np.log1p(wide(bases.oof).clip(lower=0)), np.log1p(wide(bases.holdout).clip(lower=0))
+    w = np.linalg.solve(((a - a.mean()).T @ (a - a.mean())).to_numpy() + np.eye(3), ((a - a.mean()).T @ (np.log1p(y) - np.log1p(y).mean())).to_numpy())
+    plain = np.expm1((h - a.mean()).to_numpy() @ w + np.log1p(y).mean())
+    got = np.array([r.stacking_pred_eur for r in sorted(both, key=lambda r: r.row_id)])
+    assert np.allclose(got, plain, rtol=1e-6)
+    inverse = 1 / (wide(bases.oof).sub(y, axis=0)).abs().mean()
+    plain = (wide(bases.holdout) * (inverse / inverse.sum())).sum(axis=1).to_numpy()
+    got = np.array([r.weighted_blend_pred_eur for r in sorted(both, key=lambda r: r.row_id)])
+    assert np.allclose(got, plain, rtol=1e-9)
+
+
+def test_winner_is_the_first_of_the_leaderboard_and_knows_all_rows(spark):
+    enc = _learnable(spark, SF_SMALL).cache()
+    specs = [M.RIDGE, M.scaled(M.BOOSTED, rounds=2)]
+    _, mets, models = M.compare_models(enc, specs, refit=True)
+    first = ME.model_leaderboard(mets).first()
+    mode, model = M.winner(mets, models, enc, specs)
+    # the target is linear in the features, so ridge on the plain price wins
+    assert (first.model, first.target_mode) == ("Ridge", "price_eur") and mode == "price_eur"
+    from pricewise.operators.features import feature_columns
+    again = M.fit(M.RIDGE, enc, feature_columns(enc), "price_eur")
+    assert np.allclose(model.coefficients.toArray(), again.coefficients.toArray())
+    boosted = models[("price_eur", specs[1].name, M.WHOLE)]
+    assert boosted.start != models[("price_eur", specs[1].name)].start and len(boosted.trees) == 2
