@@ -1,8 +1,7 @@
 """Model-based jobs bound to the test catalogue (rows-only checks).
 
-``SMOKE_MODELS`` keeps each family of ``DEFAULT_MODELS`` but with fewer and
-shallower trees, so the registered queries finish in seconds at sf0.01; the
-library defaults keep the reference's parameters.
+``SMOKE_MODELS`` keeps each family of ``DEFAULT_MODELS`` but with fewer trees and
+shallower forests; the library defaults keep the reference's parameters.
 """
 
 from __future__ import annotations
