@@ -8,17 +8,19 @@
    rows with the smallest hash and grows one isolation tree per group
    (bounded: sample_size rows each).
 3. Scoring: the forest (trees x at most 2*sample_size nodes - a size set by
-   parameters, not by the data) is one broadcast row of node arrays; every row
-   walks down all trees by higher-order functions, without Python.
+   parameters, not by the data) is broadcast as node arrays; chunks of rows
+   walk down each tree together by numpy.
 4. Flag: score above its exact (1 - contamination) quantile.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ N_TREES = 100
 SAMPLE_SIZE = 256
 CONTAMINATION = 0.05
 SEED = 42
+#: Rows that walk down a tree together.
+CHUNK = 4096
 
 TREE_SCHEMA = ("tree_id int, node int, feature int, threshold double, left_child int, right_child int, "
                "size long, depth int")
@@ -109,9 +113,22 @@ def packed_forest(spark, forest: pd.DataFrame) -> DataFrame:
     return spark.createDataFrame([(trees,)], "forest array<struct<feature: array<int>, threshold: array<double>, left: array<int>, right: array<int>, path: array<double>, depth: int>>")
 
 
-def score_rows(df: DataFrame, cols, forest: pd.DataFrame, sample_size: int = SAMPLE_SIZE) -> DataFrame:
-    """Anomaly score 2^(-E[h(x)] / c(sample_size)) per row: every row walks down every tree
-    by native functions; the forest is one broadcast row of bounded size."""
+def forest_arrays(forest: pd.DataFrame) -> list[tuple]:
+    """The trees as (feature, threshold, children, path, depth). ``children`` holds a node's
+    right child at 2 * node and the left one after it, a leaf being its own child; ``path`` is
+    a node's depth plus the expected rest of the way for the rows it holds, which counts where
+    a walk ends."""
+    trees = []
+    for _, g in forest.sort_values(["tree_id", "node"]).groupby("tree_id"):
+        feature, own = g["feature"].to_numpy(np.int64), np.arange(len(g))
+        kids = [np.where(feature < 0, own, g[c].to_numpy(np.int64)) for c in ("right_child", "left_child")]
+        path = np.array([float(d + c_factor(n)) for d, n in zip(g["depth"], g["size"])])
+        trees.append((np.maximum(feature, 0), g["threshold"].to_numpy(float), np.stack(kids, axis=1).ravel(), path, int(g["depth"].max())))
+    return trees
+
+
+def _native_paths(df: DataFrame, cols, forest: pd.DataFrame) -> DataFrame:
+    """(row_id, __total): summed paths, every row walking by higher-order functions."""
     x = F.array(*(F.col(quote(c)).cast("double") for c in cols))
     n_trees = max(forest["tree_id"].nunique(), 1)
 
@@ -124,9 +141,43 @@ def score_rows(df: DataFrame, cols, forest: pd.DataFrame, sample_size: int = SAM
         return F.aggregate(F.sequence(F.lit(0), tree["depth"]), F.lit(0), step)
 
     total = F.aggregate("forest", F.lit(0.0), lambda a, t: a + F.get(t["path"], end(t)))
-    score = F.pow(F.lit(2.0), -(total / n_trees) / F.lit(c_factor(sample_size)))
     rows = df.select("row_id", x.alias("__x")).crossJoin(F.broadcast(packed_forest(df.sparkSession, forest)))
-    return rows.select(F.col("row_id").cast("long").alias("row_id"), score.alias("isolation_score"))
+    return rows.select(F.col("row_id").cast("long").alias("row_id"), total.alias("__total"))
+
+
+def _chunk_paths(df: DataFrame, cols, forest: pd.DataFrame) -> DataFrame:
+    """(row_id, __total): summed paths, chunks of rows walking down each tree together."""
+    held = df.sparkSession.sparkContext.broadcast(forest_arrays(forest))
+    dims, chunk = len(cols), CHUNK
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, chunk):
+                part = batch.slice(at, chunk)
+                n = part.num_rows
+                # a null or not-a-number is not below and goes right
+                x = np.concatenate([part.column(1 + i).to_numpy(zero_copy_only=False).astype(np.float64) for i in range(dims)])
+                row, total = np.arange(n), np.zeros(n)
+                for feature, threshold, kids, path, depth in held.value:
+                    place, node = feature * n, np.zeros(n, np.int64)
+                    for _ in range(depth):
+                        below = x.take(place.take(node) + row) < threshold.take(node)
+                        node = kids.take(2 * node + below)
+                    total += path.take(node)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(total)], names=["row_id", "__total"])
+
+    rows = df.select(F.col("row_id").cast("long").alias("row_id"), *(F.col(quote(c)).cast("double").alias(f"__x{i}") for i, c in enumerate(cols)))
+    return rows.mapInArrow(run, "row_id long, __total double")
+
+
+def score_rows(df: DataFrame, cols, forest: pd.DataFrame, sample_size: int = SAMPLE_SIZE, native: bool = True) -> DataFrame:
+    """Anomaly score 2^(-E[h(x)] / c(sample_size)) per row: every row walks down every tree;
+    the forest is broadcast, of bounded size. Natively without Python, which suits few rows,
+    or by chunks of rows in numpy with the same scores at a fraction of the time."""
+    n_trees = max(forest["tree_id"].nunique(), 1)
+    paths = (_native_paths if native else _chunk_paths)(df, cols, forest)
+    score = F.pow(F.lit(2.0), -(F.col("__total") / n_trees) / F.lit(c_factor(sample_size)))
+    return paths.select("row_id", score.alias("isolation_score"))
 
 
 def isolation_outliers(df: DataFrame, cols, n_trees: int = N_TREES, sample_size: int = SAMPLE_SIZE,
@@ -137,7 +188,7 @@ def isolation_outliers(df: DataFrame, cols, n_trees: int = N_TREES, sample_size:
     sample = sample_for_trees(df, cols, n, n_trees, sample_size, seed)
     forest = grow_trees(sample, cols, sample_size, seed).toPandas()  # n_trees * <= 2*sample_size rows
     # the scores feed the quantile and the result: write them once
-    scored = cut_lineage(score_rows(df, cols, forest, sample_size), "isolation_scores")
+    scored = cut_lineage(score_rows(df, cols, forest, sample_size, native=False), "isolation_scores")
     from pricewise.operators.quantiles import quantile_row
     q = quantile_row(scored, "isolation_score", [1.0 - contamination], "_qs").select(F.col("_qs")[0].alias("_q"))
     return (scored.crossJoin(F.broadcast(q))

@@ -2,11 +2,13 @@
 
 import pickle
 
-import pytest
+import numpy as np
 from pyspark.rdd import RDD
 from pyspark.sql import functions as F
 
+from pricewise.functions import clean as C
 from pricewise.operators import boosting as B
+from pricewise.operators import isolation as ISO
 
 
 def test_sums_sent_to_the_driver_do_not_grow_with_tasks(spark, monkeypatch):
@@ -32,3 +34,31 @@ def test_sums_sent_to_the_driver_do_not_grow_with_tasks(spark, monkeypatch):
     many = size(df)
     assert 0 < many < 1.2 * one
     assert max(len(v[0]) for s in sent for _, v in s) <= 6 * sum(len(c) + 1 for c in cuts)
+
+
+def test_strip_reads_the_ends_only(spark):
+    """As Python's strip, without a pattern that tries every place of a text."""
+    space = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
+    texts = ["", " ", space, f"{space}a{space}b{space}", "a\r\n", "\u0085x\u2028\n", "\u200bx\u200b", "x", None, *(f"{c}x {c}y{c}" for c in space)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("i", C.py_strip("t").alias("s"))
+    assert {r.i: r.s for r in out.collect()} == {i: t if t is None else t.strip() for i, t in enumerate(texts)}
+    plan = C.normalize_missing(df)._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan.lower()
+
+
+def test_isolation_flags_rows_by_chunks_with_the_native_scores(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, *map(float, p)) for i, p in enumerate(rng.normal(size=(500, 2)))] + [(500, None, 1.0), (501, float("nan"), float("inf")), (None, -0.0, 0.0)]
+    df = spark.createDataFrame(rows, "row_id long, a double, b double")
+    forest = ISO.grow_trees(ISO.sample_for_trees(df.where("row_id < 500"), ["a", "b"], 500, 20, 64), ["a", "b"], 64).toPandas()
+    monkeypatch.setattr(ISO, "CHUNK", 100)
+    want = sorted(map(tuple, ISO.score_rows(df, ["a", "b"], forest, 64).collect()), key=str)
+    got = sorted(map(tuple, ISO.score_rows(df, ["a", "b"], forest, 64, native=False).collect()), key=str)
+    assert got == want and len(got) == 503
+
+    def refused(*_):
+        raise AssertionError("scored row by row")
+    monkeypatch.setattr(ISO, "packed_forest", refused)
+    out = ISO.isolation_outliers(df.where("row_id < 500"), ["a", "b"], 20, 64)
+    assert out.count() == 500
