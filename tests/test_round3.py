@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from pricewise.functions import clean as C
 from pricewise.operators import boosting as B
+from pricewise.operators import cluster as CL
 from pricewise.operators import isolation as ISO
+from pricewise.operators import lloyd as L
 
 
 def test_sums_sent_to_the_driver_do_not_grow_with_tasks(spark, monkeypatch):
@@ -62,3 +64,34 @@ def test_isolation_flags_rows_by_chunks_with_the_native_scores(spark, monkeypatc
     monkeypatch.setattr(ISO, "packed_forest", refused)
     out = ISO.isolation_outliers(df.where("row_id < 500"), ["a", "b"], 20, 64)
     assert out.count() == 500
+
+
+def test_nearest_centre_and_many_centres(spark, monkeypatch):
+    """A centre at a time gives the same as the table of all distances, ties to the first, and
+    Ward's rows meet their many micro-clusters in numpy, strange rows included."""
+    rng = np.random.default_rng(4)
+    x, c = np.asfortranarray(rng.integers(0, 4, (500, 3)).astype(float)), rng.integers(0, 4, (20, 3)).astype(float)
+    place, least = L._nearest(x, c)
+    far = L._squares(x, c)
+    assert (place == far.argmin(axis=1)).all() and (least == far.min(axis=1)).all()
+
+    rows = [(i, *map(float, v)) for i, v in enumerate(x)] + [(500, None, 1.0, 2.0), (501, float("nan"), 3.0, 3.0), (502, float("inf"), 3.0, 3.0)]
+    df = spark.createDataFrame(rows, "i int, a double, b double, c double")
+    cents = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(c)], "cluster int, center array<double>")
+    want = {r.i: r.m for r in CL.assign_nearest(df, ["a", "b", "c"], cents, "m").collect()}
+    assert {r.i: r.m for r in CL._assign_many(df, ["a", "b", "c"], c, "m").collect()} == want
+
+    def refused(*_):
+        raise AssertionError("many centres compared row by row")
+    monkeypatch.setattr(CL, "assign_nearest", refused)
+    out = CL.ward_segments(df.where("i < 500"), ["a", "b", "c"], 3, micro=16)
+    assert out.count() == 500 and out.select("cluster").distinct().count() == 3
+
+
+def test_silhouette_in_small_pieces(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(int(g), float(v + 3 * g)) for g, v in zip(rng.integers(0, 3, 300), rng.normal(size=300))], "cluster int, a double")
+    want = CL.silhouette_estimate(df, ["a"], anchors=40)
+    monkeypatch.setattr(CL, "CACHED", 500)
+    got = CL.silhouette_estimate(df, ["a"], anchors=40)
+    assert np.allclose(got, want, rtol=1e-12)
