@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.rdd import RDD
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
+from conftest import SF_SMALL
 from pricewise.functions import clean as C
 from pricewise.operators import boosting as B
 from pricewise.operators import cluster as CL
@@ -95,3 +97,10 @@ def test_silhouette_in_small_pieces(spark, monkeypatch):
     monkeypatch.setattr(CL, "CACHED", 500)
     got = CL.silhouette_estimate(df, ["a"], anchors=40)
     assert np.allclose(got, want, rtol=1e-12)
+
+
+def test_modeling_summary_is_of_all_folds(spark):
+    found = {r.item: r.value for r in E.queries()["modeling_summary"](spark, SF_SMALL).collect()}
+    best = E.queries()["model_leaderboard"](spark, SF_SMALL).first()
+    assert found["best_regression_model"] == f"{best.model} ({best.target_mode})"
+    assert abs(float(found["holdout_mae_eur"]) - best.MAE) < 0.006 and abs(float(found["holdout_r2"]) - best.R2) < 0.00006
