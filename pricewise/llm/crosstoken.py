@@ -15,8 +15,8 @@ Full tokenisation is cheap because both tokenizers restart at a single space bet
 two characters that are not white space: A's splitting rule begins a new unit there, and
 no piece of B holds a space mark behind another character (checked when the vocabulary
 is loaded; otherwise whole texts are encoded). So ids are remembered by the stretch
-between two such spaces. These memories are caches: bounded, emptied when full, and
-without influence on results.
+between two such spaces. These memories are caches: bounded, cut down when full to what
+was met again since the last time, and without influence on results.
 
 Links of the corpus. ``align`` writes one row per block of documents (about BLOCK_BYTES
 of text, or one longer document) to the shared folder: the documents' counts, the different id
@@ -40,6 +40,7 @@ import os
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -52,7 +53,7 @@ from .common import cut_lineage, ramp, text_slices, worker_memory
 SPACE_MARK = "▁"
 BLOCK_BYTES = 4 << 20
 SLICE_BYTES = 1 << 20
-#: Stretches and windows a Python worker remembers; emptied beyond it.
+#: Stretches and windows a Python worker remembers; cut down beyond it.
 CACHED = 200_000
 
 
@@ -241,11 +242,32 @@ class Aligner:
 
     def clear(self) -> None:
         self.ids: dict[bytes, tuple] = {}  # stretch -> its windows' numbers, or () if the bytes do not come back
+        self.met: set[bytes] = set()  # stretches met again since the memory was last cut down
         self.windows: dict[tuple[bytes, bytes], int] = {}
         self.columns = {c: _Growing() for c in ("n_a", "n_b", "n_groups", "n_links", "pair", "times", "pair_off")}
         self.columns["pair_off"].add(np.zeros(1, np.int64))
         self.text: list[bytes] = []
 
+    def shrink(self) -> None:
+        """Keep the stretches met again, at most half of what fits, and their windows only."""
+        kept = {s: self.ids[s] for s in islice(self.met, CACHED // 2)}
+        old, keys, texts = self.table(), list(self.windows), self.text
+        number = np.unique(np.fromiter((w for ws in kept.values() for w in ws), np.int64))
+        self.clear()
+        if len(number) > CACHED // 2:
+            return
+        of = dict(zip(number.tolist(), range(len(number))))
+        self.ids = {s: tuple(map(of.__getitem__, ws)) for s, ws in kept.items()}
+        self.windows = {keys[w]: i for w, i in of.items()}
+        self.text = [texts[w] for w in of]
+        n_pairs = np.diff(old.pair_off)[number]
+        at = ramp(old.pair_off[number], n_pairs)
+        self.columns["pair_off"].add(np.cumsum(n_pairs))
+        for c in ("n_a", "n_b", "n_groups", "n_links"):
+            self.columns[c].add(getattr(old, c)[number])
+        for c in ("pair", "times"):
+            self.columns[c].add(getattr(old, c)[at])
+
     def learn(self, new: list[bytes]) -> None:
         """Tokenise stretches, verify their bytes, cut them at anchors, align new windows."""
         texts = [s.decode() for s in new]
@@ -332,8 +354,10 @@ class Aligner:
         coded = arr.dictionary_encode()
         distinct, which = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         if len(self.ids) > CACHED or len(self.windows) > CACHED:
-            self.clear()
+            self.shrink()
         unknown = [s for s in distinct if s not in self.ids]
+        self.met.update(distinct)
+        self.met.difference_update(unknown)
         if unknown:
             self.learn(unknown)
         table = self.table()

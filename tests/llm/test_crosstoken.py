@@ -127,6 +127,22 @@ def test_small_caches_change_nothing(monkeypatch):
         assert small.documents(data, off)[-1] == wide.documents(data, off)[-1]
 
 
+def test_full_caches_keep_what_was_met_again(monkeypatch):
+    wide, small, learned = CT.Aligner(BYTE, PIECE), CT.Aligner(BYTE, PIECE), []
+    learn = small.learn
+    monkeypatch.setattr(small, "learn", lambda new: (learned.extend(new), learn(new)))
+    texts = [f"often seen words stay, word{i} and other{i} go".encode() for i in range(60)]
+    monkeypatch.setattr(CT, "CACHED", 40)
+    for t in texts:
+        data, off = np.frombuffer(t, np.uint8), np.array([0, len(t)])
+        a, b = small.documents(data, off), wide.documents(data, off)
+        assert a[-1] == b[-1] and {c: v.tolist() for c, v in a[0].items()} == {c: v.tolist() for c, v in b[0].items()}
+        assert Counter(dict(zip(a[2].tolist(), a[3].tolist()))) == Counter(dict(zip(b[2].tolist(), b[3].tolist())))
+        assert len(small.ids) <= 40 + len(t.split()) and len(small.windows) <= 40 + len(t.split())
+    assert learned.count(b" often") == learned.count(b" stay,") == 1
+    assert learned.count(b" word3") == 1
+
+
 def test_query_equals_definition(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, SF_SMALL, "documents").select("doc_id", "text").collect()]
     assert got(op12_cross_tokenizer(spark, SF_SMALL)) == plain_align(docs)
