@@ -281,7 +281,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
                   .groupBy("id", "occ").agg((F.max("k") <= 1).alias("consistent")).withColumnsRenamed({"id": "i", "occ": "o"}))
     counts = F.col("same") | (F.col("consistent") & (F.col("literal") >= MIN_LITERAL))
     item = ["id", "item_id", "form", "size", "tokens"]
-    covered = (pairs.drop("values").join(occurrence, F.col("id").eqNullSafe(F.col("i")) & F.col("occ").eqNullSafe(F.col("o")))
+    # hits repeat a few items, so their file is far smaller than their rows: never broadcast by its size
+    covered = (pairs.drop("values").join(occurrence.hint("merge"), F.col("id").eqNullSafe(F.col("i")) & F.col("occ").eqNullSafe(F.col("o")))
                .select("id", "occ.item_id", "occ.form", "size", "tokens", "item_pos", "same", counts.alias("counts"))
                .groupBy(*item, "item_pos").agg(F.max("same").alias("same"), F.max("counts").alias("counts"))
                .groupBy(*item).agg(F.array_sort(F.collect_list(F.when(F.col("counts"), F.col("item_pos")))).alias("at"),
