@@ -83,6 +83,7 @@ def test_boosting_in_one_task_equals_passes(spark, monkeypatch):
 #: (query, function of models that it calls, parameter, value).
 FULL = [
     ("adjusted_brand_premium", "adjusted_brand_premium", "spec", M.BOOSTED),
+    ("compare_models", "compare_models", "specs", M.DEFAULT_MODELS),
 ]
 
 
