@@ -84,6 +84,7 @@ def test_boosting_in_one_task_equals_passes(spark, monkeypatch):
 FULL = [
     ("adjusted_brand_premium", "adjusted_brand_premium", "spec", M.BOOSTED),
     ("compare_models", "compare_models", "specs", M.DEFAULT_MODELS),
+    ("cross_validate", "cross_validate", "specs", M.DEFAULT_MODELS),
 ]
 
 
