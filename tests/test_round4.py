@@ -85,6 +85,7 @@ FULL = [
     ("adjusted_brand_premium", "adjusted_brand_premium", "spec", M.BOOSTED),
     ("compare_models", "compare_models", "specs", M.DEFAULT_MODELS),
     ("cross_validate", "cross_validate", "specs", M.DEFAULT_MODELS),
+    ("feature_importance", "feature_importance", "specs", (M.RF_IMPORTANCE, M.BOOSTED)),
 ]
 
 
