@@ -86,6 +86,7 @@ FULL = [
     ("compare_models", "compare_models", "specs", M.DEFAULT_MODELS),
     ("cross_validate", "cross_validate", "specs", M.DEFAULT_MODELS),
     ("feature_importance", "feature_importance", "specs", (M.RF_IMPORTANCE, M.BOOSTED)),
+    ("fit_boosted_trees", "fit", "spec", M.BOOSTED),
 ]
 
 
