@@ -87,6 +87,7 @@ FULL = [
     ("cross_validate", "cross_validate", "specs", M.DEFAULT_MODELS),
     ("feature_importance", "feature_importance", "specs", (M.RF_IMPORTANCE, M.BOOSTED)),
     ("fit_boosted_trees", "fit", "spec", M.BOOSTED),
+    ("holdout_predictions", "fit_bases", "specs", M.ENSEMBLE_BASES),
 ]
 
 
