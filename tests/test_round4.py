@@ -88,6 +88,7 @@ FULL = [
     ("feature_importance", "feature_importance", "specs", (M.RF_IMPORTANCE, M.BOOSTED)),
     ("fit_boosted_trees", "fit", "spec", M.BOOSTED),
     ("holdout_predictions", "fit_bases", "specs", M.ENSEMBLE_BASES),
+    ("stacking_ensemble", "stacking_ensemble", "specs", M.ENSEMBLE_BASES),
 ]
 
 
