@@ -89,6 +89,7 @@ FULL = [
     ("fit_boosted_trees", "fit", "spec", M.BOOSTED),
     ("holdout_predictions", "fit_bases", "specs", M.ENSEMBLE_BASES),
     ("stacking_ensemble", "stacking_ensemble", "specs", M.ENSEMBLE_BASES),
+    ("weighted_blend_models", "weighted_blend", "specs", M.ENSEMBLE_BASES),
 ]
 
 
